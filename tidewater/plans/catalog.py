@@ -540,6 +540,18 @@ def q_job_item_index(spark, d):
     return index
 
 
+@register("stream_order_search", ORACLE["job_order_search"])
+def q_stream_order_search(spark, d):
+    """J2 as a Structured Streaming query over the queue table (one
+    ``availableNow`` run); the final index equals the batch job's."""
+    from tidewater.streaming.runner import OrderSearchStream
+
+    job = OrderSearchStream(spark, d, d, work_root=fresh_path(spark, "order-search-stream"),
+                            file_glob="events.parquet")
+    job.run(available_now=True)
+    return job.result()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

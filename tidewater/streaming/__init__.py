@@ -1 +1,5 @@
-"""tidewater.streaming"""
+"""Structured Streaming drivers for the jobs."""
+
+from tidewater.streaming.runner import OrderSearchStream, queue_stream
+
+__all__ = ["OrderSearchStream", "queue_stream"]
