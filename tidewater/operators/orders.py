@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.dedup import last_by_key
 from tidewater.operators.merge import lookup_join, strict_lookup
 from tidewater.operators.ranking import nest_children, position_in_group
+from tidewater.session import materialize
 
 ORDER_COLUMNS = ["shop_id", "gorder_id", "order_id", "order_status", "order_time",
                  "order_pay_amount", "buy_account_name", "buy_account_phone"]
@@ -47,10 +48,12 @@ def order_rows(found: DataFrame, orders: DataFrame):
     deleted).  A checkout with an order whose status or time is null fails
     as a whole.
     """
-    rows = found.join(orders, "gorder_id", "inner")
-    bad = (rows.where(F.col("order_status").isNull() | F.col("order_time").isNull())
-               .select("gorder_id").distinct())
-    return rows.join(bad, "gorder_id", "left_anti"), found.join(bad, "gorder_id", "left_semi")
+    # The failing checkouts come from a pruned scan of the order table, so
+    # the joined rows are not evaluated twice.
+    bad = (orders.where(F.col("order_status").isNull() | F.col("order_time").isNull())
+                 .select("gorder_id").distinct())
+    rows = found.join(orders, "gorder_id", "inner").join(bad, "gorder_id", "left_anti")
+    return rows, found.join(bad, "gorder_id", "left_semi")
 
 
 def enrich_address(rows: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -59,7 +62,7 @@ def enrich_address(rows: DataFrame, addresses: DataFrame) -> DataFrame:
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
-                 skew_safe: bool = True) -> DataFrame:
+                 skew_safe="auto") -> DataFrame:
     """T4 items + goods names + 0-based position.
 
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
@@ -81,13 +84,16 @@ def refund_duplicates(refunds: DataFrame) -> DataFrame:
                    .where(F.col("n_refunds") > 1))
 
 
-def enrich_refund(flat: DataFrame, refunds: DataFrame):
+def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFrame | None = None):
     """``has_refund`` (default false), type and epoch-ms time per item.
 
     Matching is by item id across all orders of the checkout, as in the
-    reference.  Returns ``(flat, failed_gorders)``.
+    reference.  ``orders_of_batch`` (``order_id``, ``gorder_id``) scopes the
+    refund feed to the batch; by default it is taken from ``flat``.
+    Returns ``(flat, failed_gorders)``.
     """
-    order_of = flat.select("order_id", "gorder_id").distinct()
+    src = flat if orders_of_batch is None else orders_of_batch
+    order_of = src.select("order_id", "gorder_id").distinct()
     scoped = refunds.join(order_of, "order_id", "inner")
     dup = refund_duplicates(scoped).join(order_of, "order_id").select("gorder_id").distinct()
     # One refund per (checkout, item); two orders of one checkout refunding
@@ -113,7 +119,7 @@ def nest_orders(flat: DataFrame) -> DataFrame:
 
 def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFrame,
                           addresses: DataFrame, items: DataFrame, goods: DataFrame,
-                          refunds: DataFrame, skew_safe: bool = True):
+                          refunds: DataFrame, skew_safe="auto"):
     """J2 enrichment: claimed queue rows -> flat order documents.
 
     Returns ``(docs, dead)``: ``docs`` in :data:`FLAT_DOC_COLUMNS`, ``dead``
@@ -122,9 +128,12 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     keys = claimed.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
     found, missing = resolve_gorders(keys, gorders)
     rows, bad = order_rows(found, orders)
-    rows = enrich_address(rows, addresses)
+    # Order level, one row per order of the batch: small next to the item
+    # table and read three times below, so it is written once as a stage
+    # table in the shared folder instead of being recomputed per reference.
+    rows = materialize(enrich_address(rows, addresses), "order-rows")
     flat = attach_items(rows, items, goods, skew_safe=skew_safe)
-    flat, refund_failed = enrich_refund(flat, refunds)
+    flat, refund_failed = enrich_refund(flat, refunds, rows)
     docs = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c)
                          for c in FLAT_DOC_COLUMNS])
     dead = (missing.select("gorder_id", F.lit("missing gorder").alias("dl_reason"))

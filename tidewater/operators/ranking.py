@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import materialize
+
+
+# A group up to this many rows is numbered by one task (a sort that spills
+# to disk past memory); larger groups are split across tasks.
+HOT_GROUP_ROWS = 2_000_000
 
 
 def position_in_group(df: DataFrame, group, order, out: str = "index_id",
-                      skew_safe: bool = True, partitions: int | None = None) -> DataFrame:
+                      skew_safe="auto", partitions: int | None = None,
+                      hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """0-based position of each row within its group by ``order``.
 
     ``order`` must be total within a group.  The plain plan is a
@@ -17,29 +23,35 @@ def position_in_group(df: DataFrame, group, order, out: str = "index_id",
     in one task.  ``skew_safe`` splits hot groups instead:
 
     1. range-partition by (group, order): a hot group spans several
-       partitions, each a contiguous slice of its order (pinned with a
-       reliable checkpoint so every branch sees the same slices);
+       partitions, each a contiguous slice of its order (written once as a
+       stage table so every branch sees the same slices);
     2. number rows within (partition, group) and count them;
     3. per group, offset each slice by the sizes of the slices before it
        (a window over the small count table: one row per slice);
     4. position = offset + local number.
+
+    ``skew_safe="auto"`` stages the rows once, measures the largest group
+    with an aggregate (one number reaches the driver) and splits only when
+    it exceeds ``hot_rows``.  Both plans give the same positions.
     """
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
+    if skew_safe == "auto":
+        df = materialize(df, "position-input")
+        biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+        skew_safe = biggest > hot_rows
     if not skew_safe:
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w) - 1)
 
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Both branches below must see the same slicing.  Range bounds are
     # sampled per exchange, so two evaluations of the plan could slice
-    # differently; a reliable checkpoint in the shared folder materialises
-    # the sliced rows once, cuts the lineage, and survives executor loss.
-    ranged = (df.repartitionByRange(n, *group, *order)
-                .withColumn("__slice", F.spark_partition_id())
-                .checkpoint(eager=True))
+    # differently; the sliced rows are written once as a stage table in the
+    # shared folder, which also cuts the lineage.
+    ranged = materialize(df.repartitionByRange(n, *group, *order)
+                           .withColumn("__slice", F.spark_partition_id()), "ranked")
     local = ranged.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__slice", *group).orderBy(*order)) - 1)
     sizes = ranged.groupBy("__slice", *group).agg(F.count(F.lit(1)).alias("__n"))

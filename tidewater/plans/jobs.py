@@ -75,7 +75,7 @@ def _order_search_inputs(spark: SparkSession, d: str, orders_before: str | None
                 refunds=roles.refunds(spark, d))
 
 
-def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame, skew_safe: bool = True,
+def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame, skew_safe="auto",
                        orders_before: str | None = None):
     """J2 enrichment: claimed rows -> ``(flat order documents, dead)``."""
     return build_order_documents(claimed, skew_safe=skew_safe,
@@ -83,7 +83,7 @@ def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame, skew_saf
 
 
 def order_index_as_of(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF,
-                      skew_safe: bool = True) -> DataFrame:
+                      skew_safe="auto") -> DataFrame:
     """The order index as the job left it when every checkout was last
     indexed: all checkouts, orders before ``as_of``."""
     everyone = roles.gorders(spark, d).select("gorder_id")
@@ -92,7 +92,7 @@ def order_index_as_of(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF,
 
 
 def job_order_search(spark: SparkSession, d: str, index: DataFrame | None = None,
-                     skew_safe: bool = True):
+                     skew_safe="auto"):
     """J2 over the whole queue: replace each claimed checkout's documents.
 
     Returns ``(new_index, dead)``.

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied when the caller has not set them.  AQE re-plans joins at
 # runtime (broadcast only after measuring the materialised side, skew-split
@@ -30,6 +30,7 @@ DEFAULT_CONF = {
     "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Checkpoint files of unreachable RDDs are removed.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -86,3 +87,38 @@ def checkpoint_root(spark: SparkSession, *parts: str) -> str:
 def fresh_path(spark: SparkSession, prefix: str) -> str:
     """A new, unused folder name under the shared checkpoint folder."""
     return checkpoint_root(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
+
+
+# Stage tables written by the current process; released by the caller
+# (e.g. after a streaming batch commits).
+_STAGES: list[str] = []
+
+
+def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back.
+
+    Cuts the lineage (a later failure recomputes from the written files, not
+    from the sources), computes the frame once however often it is read,
+    and gives the planner real file sizes for its broadcast decisions.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, prefix)
+    df.write.mode("overwrite").parquet(path)
+    _STAGES.append(path)
+    return spark.read.parquet(path)
+
+
+def release_stages(spark: SparkSession) -> int:
+    """Delete the stage tables written so far (call when no DataFrame that
+    reads them is still in use).  Returns the number removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _STAGES:
+        p = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n

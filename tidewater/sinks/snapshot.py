@@ -66,11 +66,14 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(self._vpath(version))
         return True
 
-    def apply(self, version: int, update, empty: DataFrame) -> bool:
-        """Read the current state (``empty`` when none), apply
-        ``update(state) -> new_state`` and commit it as ``version``."""
+    def apply(self, version: int, update, empty) -> bool:
+        """Read the current state, apply ``update(state) -> new_state`` and
+        commit it as ``version``.  ``empty`` is the initial state, a
+        DataFrame or a function building one; it is only built when no
+        version exists yet."""
         if self.is_committed(version):
             return False
         cur = self.read()
-        state = empty if cur is None else cur
-        return self.commit(update(state), version)
+        if cur is None:
+            cur = empty() if callable(empty) else empty
+        return self.commit(update(cur), version)

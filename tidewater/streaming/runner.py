@@ -62,7 +62,7 @@ class OrderSearchStream:
 
     def __init__(self, spark: SparkSession, sf_dir: str, queue_folder: str, work_root: str | None = None,
                  file_glob: str | None = None, max_files: int | None = None,
-                 requeue_folder: str | None = None, skew_safe: bool = True):
+                 requeue_folder: str | None = None, skew_safe="auto"):
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
         self.queue_folder = queue_folder
@@ -95,7 +95,7 @@ class OrderSearchStream:
             if n_dead and self.requeue_folder:
                 _to_queue_rows(stored).write.mode("append").parquet(self.requeue_folder)
             self.index.apply(batch_id, lambda cur: replace_groups(cur, docs, ("shop_id", "gorder_id")),
-                             empty=self.initial_index())
+                             empty=self.initial_index)
             self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(), "dead": n_dead})
         finally:
             batch.unpersist()
