@@ -87,3 +87,23 @@ def test_versioned_table_replay_is_noop(spark):
     assert vt.read().count() == 1
     assert vt.apply(1, lambda cur: cur.union(cur), empty=df) is True
     assert vt.current_version() == 1 and vt.read().count() == 2
+
+
+def test_routed_versions_rewrite_only_touched_buckets(spark):
+    from tidewater.sinks.snapshot import RoutedVersionedTable
+
+    root = fresh_path(spark, "routed-test")
+    t = RoutedVersionedTable(spark, root, "shop_id", buckets=8)
+    base = spark.createDataFrame([(f"d{i}", None, i % 8, i, "old") for i in range(40)], DOCS)
+    assert t.initialize(base, version=-1)
+    batch = spark.createDataFrame([("d3", None, 3, 3, "new"), ("n1", None, 3, 99, "new")], DOCS)
+    upd = lambda cur: ks.replace_groups(cur, batch, ("shop_id", "gorder_id"))
+    assert t.apply(0, batch, upd)
+    assert not t.apply(0, batch, upd)                   # replay: no-op
+    m = t._read_manifest(0)
+    rewritten = {b for b, v in m["buckets"].items() if v == 0}
+    assert len(rewritten) == 1                           # only shop 3's bucket
+    out = t.read()
+    assert out.count() == 41
+    assert rows(out.where("v = 'new'"), "doc_id") == [("d3",), ("n1",)]
+    assert rows(t.read(-1), "doc_id") == rows(base, "doc_id")   # old version intact

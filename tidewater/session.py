@@ -109,16 +109,33 @@ def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def release_stages(spark: SparkSession) -> int:
-    """Delete the stage tables written so far (call when no DataFrame that
-    reads them is still in use).  Returns the number removed."""
+def release_stages(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the stage tables written after the first ``keep`` ones (call
+    when no DataFrame that reads them is still in use).  Returns the number
+    removed."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while _STAGES:
+    while len(_STAGES) > keep:
         p = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)
             n += 1
     return n
+
+
+class stage_scope:
+    """``with stage_scope(spark): ...`` deletes the stage tables written in
+    the block when it exits (e.g. one streaming micro-batch)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        self.mark = len(_STAGES)
+        return self
+
+    def __exit__(self, *exc):
+        release_stages(self.spark, keep=self.mark)
+        return False

@@ -6,9 +6,11 @@ micro-batch runs a job's batch function inside ``foreachBatch``:
 * the static tables are re-read inside the batch, so every batch sees
   fresh lookups (the reference re-queries per row);
 * the sink's new state is written as version ``batch_id`` of a
-  :class:`~tidewater.sinks.snapshot.VersionedTable`; a replayed batch id
-  is skipped, so output is effectively-once on top of the checkpoint's
-  at-least-once input;
+  :class:`~tidewater.sinks.snapshot.RoutedVersionedTable` routed by shop:
+  only the routing buckets the batch touches are rewritten, the others are
+  shared with the previous version; a replayed batch id is skipped, so
+  output is effectively-once on top of the checkpoint's at-least-once
+  input;
 * failing keys are written to a dead-letter folder (one sub-folder per
   batch id, overwritten on replay) and appended to the queue folder, so
   the next trigger retries them (S4);
@@ -27,9 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.plans import jobs
-from tidewater.session import checkpoint_root, prepare_session
+from tidewater.session import checkpoint_root, materialize, prepare_session, stage_scope
 from tidewater.sinks.search import replace_groups
-from tidewater.sinks.snapshot import VersionedTable
+from tidewater.sinks.snapshot import RoutedVersionedTable
+
+# Routing buckets of the streamed index: a micro-batch rewrites only the
+# buckets of the shops it touches.
+INDEX_BUCKETS = 64
 
 # Fixed value: the reference polls the queue once per second.
 POLL_INTERVAL = "1 second"
@@ -71,7 +77,7 @@ class OrderSearchStream:
         self.requeue_folder = requeue_folder
         self.skew_safe = skew_safe
         root = work_root or checkpoint_root(spark, "order-search-stream")
-        self.index = VersionedTable(spark, os.path.join(root, "index"))
+        self.index = RoutedVersionedTable(spark, os.path.join(root, "index"), "shop_id", INDEX_BUCKETS)
         self.dead_root = os.path.join(root, "dead-letter")
         self.checkpoint = os.path.join(root, "checkpoint")
         self.counters: list[dict] = []
@@ -84,22 +90,26 @@ class OrderSearchStream:
             return
         batch = batch.persist()
         try:
-            docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch, self.skew_safe)
-            docs = docs.withColumn("doc_id", F.col("order_id").cast("string"))
-            # Dead-letter and requeue first, the index commit last: the
-            # commit marks the batch done, so a crash before it replays all.
-            dead_path = os.path.join(self.dead_root, f"batch={batch_id}")
-            dead.write.mode("overwrite").parquet(dead_path)
-            stored = self.spark.read.parquet(dead_path)
-            n_dead = stored.count()
-            if n_dead and self.requeue_folder:
-                _to_queue_rows(stored).write.mode("append").parquet(self.requeue_folder)
-            self.index.apply(batch_id, lambda cur: replace_groups(cur, docs, ("shop_id", "gorder_id")),
-                             empty=self.initial_index)
-            self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(), "dead": n_dead})
+            with stage_scope(self.spark):
+                self._process(batch, batch_id)
         finally:
             batch.unpersist()
 
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
+        docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch, self.skew_safe)
+        docs = materialize(docs.withColumn("doc_id", F.col("order_id").cast("string")), "batch-docs")
+        # Dead-letter and requeue first, the index commit last: the
+        # commit marks the batch done, so a crash before it replays all.
+        dead_path = os.path.join(self.dead_root, f"batch={batch_id}")
+        dead.write.mode("overwrite").parquet(dead_path)
+        stored = self.spark.read.parquet(dead_path)
+        n_dead = stored.count()
+        if n_dead and self.requeue_folder:
+            _to_queue_rows(stored).write.mode("append").parquet(self.requeue_folder)
+        self.index.apply(batch_id, docs, lambda cur: replace_groups(cur, docs, ("shop_id", "gorder_id")),
+                         empty=self.initial_index)
+        self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(), "dead": n_dead})
+
     def run(self, available_now: bool = True, timeout: float | None = None):
         schema = self.spark.read.parquet(
             os.path.join(self.queue_folder, self.file_glob) if self.file_glob else self.queue_folder).schema
