@@ -66,15 +66,17 @@ def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
     """T4 items + goods names + 0-based position.
 
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
-    The batch of orders is usually far smaller than the item table, so the
-    join is written to let AQE broadcast the batch and stream the items.
+    An order without items keeps one row with null item columns.
     """
-    flat = lookup_join(rows, items, "order_id", stream_lookup=True)
-    flat = lookup_join(flat, goods, "goods_id")
+    # The batch's items: the item table streamed through a semi join on the
+    # batch's order ids (broadcast when AQE measures them small).
+    batch_items = items.join(rows.select("order_id"), "order_id", "left_semi")
+    # An item's position depends only on the items of its order, so it is
+    # computed on the narrow item rows, before the join to the orders.
     order = [F.col("line_no").asc_nulls_last(), F.col("item_id").asc_nulls_last()]
-    flat = position_in_group(flat, ["order_id"], order, "index_id", skew_safe=skew_safe)
-    return (flat.withColumn("index_id", F.when(F.col("item_id").isNotNull(), F.col("index_id")))
-                .drop("line_no"))
+    batch_items = position_in_group(batch_items, ["order_id"], order, "index_id", skew_safe=skew_safe)
+    flat = lookup_join(rows, batch_items.drop("line_no"), "order_id", stream_lookup=True)
+    return lookup_join(flat, goods, "goods_id")
 
 
 def refund_duplicates(refunds: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from tidewater.operators.orders import FLAT_DOC_COLUMNS, build_order_documents
 from tidewater.operators.projection import project_columns, require_key
 from tidewater.sinks.search import index_documents, replace_groups
 from tidewater.sinks.table import bind_positional, upsert_commission
+from tidewater.session import materialize
 from tidewater.sources import roles
 from tidewater.sources.roles import INDEX_AS_OF
 
@@ -57,6 +58,8 @@ def job_commission(spark: SparkSession, d: str):
     """J1 over the whole queue: ``(new_target, lost, dead)``."""
     batch, dead = commission_batch(roles.queue(spark, d), roles.gorders(spark, d),
                                    roles.orders(spark, d))
+    # The sink reads the batch three times (update, insert, lost): stage it.
+    batch = materialize(batch, "commission-batch")
     new_target, lost = upsert_commission(roles.commission_target(spark, d), batch)
     return new_target, lost, dead
 
@@ -98,7 +101,8 @@ def job_order_search(spark: SparkSession, d: str, index: DataFrame | None = None
     Returns ``(new_index, dead)``.
     """
     docs, dead = order_search_batch(spark, d, roles.queue(spark, d), skew_safe)
-    docs = docs.withColumn("doc_id", F.col("order_id").cast("string"))
+    # The sink reads the batch twice (group keys, new rows): stage it.
+    docs = materialize(docs.withColumn("doc_id", F.col("order_id").cast("string")), "order-docs")
     index = order_index_as_of(spark, d, skew_safe=skew_safe) if index is None else index
     return replace_groups(index, docs, ("shop_id", "gorder_id")), dead
 
@@ -132,6 +136,7 @@ def job_item_index(spark: SparkSession, d: str):
     before, _ = item_index_batch(spark, d, roles.gorders(spark, d).select("gorder_id"),
                                  orders_before=INDEX_AS_OF)
     docs, dead = item_index_batch(spark, d, roles.queue(spark, d))
+    docs = materialize(docs, "item-docs")
     return index_documents(before, docs), dead
 
 
