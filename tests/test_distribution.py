@@ -1,0 +1,30 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.operators import distribution as dist
+
+
+def _plan(df):
+    return df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_layouts(spark):
+    df = spark.range(0, 1000).withColumn("k", F.col("id") % 7)
+    assert dist.shuffle(df, 5).rdd.getNumPartitions() == 5
+    keyed = dist.by_key(df, "k", n=4)
+    per_part = keyed.rdd.glom().map(lambda rows: {r["k"] for r in rows}).collect()
+    seen = [k for part in per_part for k in part]
+    assert len(seen) == len(set(seen)) == 7          # each key in exactly one partition
+    assert dist.single_task(df).rdd.getNumPartitions() == 1
+    with pytest.raises(ValueError):
+        dist.single_task(df, bound=10)
+
+
+def test_broadcast_only_below_bound(spark):
+    big = spark.range(0, 100000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    j = big.join(dist.to_all(small, bound=100), "k")
+    assert "BroadcastHashJoin" in _plan(j)
+    assert dist.rows_at_most(small, 10) and not dist.rows_at_most(small, 9)
+    not_hinted = dist.to_all(big, bound=100)
+    assert "broadcast" not in str(not_hinted._jdf.queryExecution().logical()).lower()

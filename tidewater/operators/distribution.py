@@ -1,0 +1,51 @@
+"""Distribution of rows between steps.
+
+The reference picks a grouping per step (shuffle, fields, all, global) and
+a task count per step.  In Spark the planner places exchanges where a join
+or aggregate needs them and AQE sizes them; these helpers are for the few
+places where a caller wants a layout explicitly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Broadcast / single-task only below this many rows unless a bound is proven.
+SMALL_ROWS = 1_000_000
+
+
+def shuffle(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Even spread (round robin)."""
+    return df.repartition(n) if n else df.repartition()
+
+
+def by_key(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
+    """Rows of one key in one partition (hash of the key itself).
+
+    A hot key lands in one partition; joins and aggregates downstream should
+    rely on AQE skew handling or partial aggregation rather than on this.
+    """
+    return df.repartition(n, *keys) if n else df.repartition(*keys)
+
+
+def rows_at_most(df: DataFrame, bound: int) -> bool:
+    """Whether ``df`` has at most ``bound`` rows; reads at most ``bound + 1``."""
+    return df.limit(bound + 1).count() <= bound
+
+
+def to_all(df: DataFrame, bound: int = SMALL_ROWS, proven: bool = False) -> DataFrame:
+    """D3: copy to every task (broadcast) when the frame is small.
+
+    ``proven=True`` means the caller knows the size bound (e.g. a poll of
+    ``n`` rows); otherwise the bound is checked first.  Above the bound the
+    frame is returned as is and the planner shuffles instead.
+    """
+    return F.broadcast(df) if proven or rows_at_most(df, bound) else df
+
+
+def single_task(df: DataFrame, bound: int = SMALL_ROWS) -> DataFrame:
+    """One partition, only for outputs checked to be small."""
+    if not rows_at_most(df, bound):
+        raise ValueError(f"refusing to put more than {bound} rows in one task")
+    return df.coalesce(1)

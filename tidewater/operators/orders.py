@@ -73,7 +73,9 @@ def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
     batch_items = items.join(rows.select("order_id"), "order_id", "left_semi")
     # An item's position depends only on the items of its order, so it is
     # computed on the narrow item rows, before the join to the orders.
-    order = [F.col("line_no").asc_nulls_last(), F.col("item_id").asc_nulls_last()]
+    # Line number, then item id; the remaining item columns make the order
+    # total where an item id repeats in the source (sf0.001 has one).
+    order = [F.col(c).asc_nulls_last() for c in ("line_no", "item_id", "unit_price", "item_count")]
     batch_items = position_in_group(batch_items, ["order_id"], order, "index_id", skew_safe=skew_safe)
     flat = lookup_join(rows, batch_items.drop("line_no"), "order_id", stream_lookup=True)
     return lookup_join(flat, goods, "goods_id")

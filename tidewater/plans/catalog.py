@@ -298,11 +298,13 @@ def q_refund_duplicates(spark, d):
 
 # ------------------------------------------------ aggregations and windows
 
-@register("item_index", f"""SELECT order_id, item_id, CAST(row_number() OVER (PARTITION BY order_id
-  ORDER BY line_no, item_id) - 1 AS INTEGER) AS index_id FROM ({sql.ITEMS})""")
+@register("item_index", f"""SELECT order_id, item_id, unit_price, item_count, CAST(row_number() OVER
+  (PARTITION BY order_id ORDER BY line_no, item_id, unit_price, item_count) - 1 AS INTEGER) AS index_id
+  FROM ({sql.ITEMS})""")
 def q_item_index(spark, d):
-    items = roles.items(spark, d).select("order_id", "item_id", "line_no")
-    return ranking.position_in_group(items, ["order_id"], ["line_no", "item_id"], "index_id").drop("line_no")
+    items = roles.items(spark, d).select("order_id", "item_id", "line_no", "unit_price", "item_count")
+    order = ["line_no", "item_id", "unit_price", "item_count"]
+    return ranking.position_in_group(items, ["order_id"], order, "index_id").drop("line_no")
 
 
 @register("distinct_keys", sql.KEYS)

@@ -82,7 +82,8 @@ def order_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
   gd.p_name AS goods_name FROM {p}_ords x LEFT JOIN ({ITEMS}) i ON i.order_id = x.order_id
   LEFT JOIN part gd ON gd.p_partkey = i.goods_id),
 {p}_idx AS (SELECT *, CASE WHEN item_id IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY order_id
-  ORDER BY line_no ASC NULLS LAST, item_id ASC NULLS LAST) - 1 AS INTEGER) END AS index_id FROM {p}_flat),
+  ORDER BY line_no ASC NULLS LAST, item_id ASC NULLS LAST, unit_price ASC NULLS LAST, item_count ASC NULLS LAST)
+  - 1 AS INTEGER) END AS index_id FROM {p}_flat),
 {p}_oo AS (SELECT DISTINCT order_id, gorder_id FROM {p}_idx),
 {p}_scoped AS (SELECT r.*, oo.gorder_id FROM ({REFUNDS}) r JOIN {p}_oo oo ON oo.order_id = r.order_id),
 {p}_dup AS (SELECT DISTINCT oo.gorder_id FROM (SELECT order_id FROM {p}_scoped
