@@ -12,8 +12,8 @@ a batch of changed keys and the lookup side is a large fact table in which
 one key may own a third of the rows, ``stream_lookup=True`` rewrites the
 join as ``inner join`` (either side may be broadcast after AQE measures it;
 both sides may be skew-split) plus the incoming rows whose key has no match
-(an anti join against the *distinct* lookup keys, which a partial
-aggregate collapses before the shuffle).  Same result, no shuffle of the
+(an anti join against the lookup keys that occur in the batch, made
+distinct after a semi join, see :func:`matched_keys`).  Same result, no shuffle of the
 big side when the batch is small and no hot task when a key is hot.
 """
 
@@ -82,29 +82,44 @@ def lookup_join(incoming: DataFrame, lookup: DataFrame, on, *, guard_blank: bool
                .join(lookup.alias(_LK), _condition(pairs, guard_blank), "inner")
                .select(*_merge_select(incoming, lookup, pairs)))
     in_keys = [l for l, _ in pairs]
-    hit_keys = _lookup_keys(lookup, pairs)
+    hit_keys = matched_keys(lookup, pairs, incoming)
     if guard_blank:
         hit_keys = hit_keys.where(reduce(lambda a, b: a & b, [not_blank(F.col(k)) for k in in_keys]))
     unmatched = incoming.join(hit_keys, in_keys, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def _lookup_keys(lookup: DataFrame, pairs) -> DataFrame:
-    """Distinct lookup keys under the incoming names.  A column-pruned scan
-    and a partial aggregate: a hot key leaves each map task as one row.  The
-    incoming side is not read here, so chained lookups read their input
-    twice (join, anti join), not three times."""
-    return lookup.select(*[F.col(r).alias(l) for l, r in pairs]).distinct()
+def matched_keys(big: DataFrame, pairs, small: DataFrame) -> DataFrame:
+    """The distinct keys of ``big`` that also occur in ``small``, under the
+    ``small`` names.
+
+    ``big``'s key column is scanned (pruned) and semi-joined to the distinct
+    keys of ``small`` (broadcast when AQE measures them small), then made
+    distinct: the shuffle carries at most the batch's keys, whatever the size
+    of ``big`` and however hot one of its keys is.  A distinct over all of
+    ``big``'s keys would shuffle the whole key column when keys are unique.
+    """
+    names = [l for l, _ in pairs]
+    wanted = small.select(*names).distinct()
+    return (big.select(*[F.col(r).alias(l) for l, r in pairs])
+               .join(wanted, names, "left_semi").distinct())
 
 
-def lookup_chain(incoming: DataFrame, steps) -> DataFrame:
+def lookup_chain(incoming: DataFrame, steps, stage_between: bool = True) -> DataFrame:
     """Each step looks up by the previous step's output key.
 
     ``steps`` is a list of ``(lookup_df, on, kwargs)`` applied in order with
-    ``df.transform``; composition is the whole "chain wiring".
+    ``df.transform``; composition is the whole "chain wiring".  A split
+    lookup reads its input three times, so with ``stage_between`` the output
+    of a step that feeds a split lookup is written once as a stage table
+    (otherwise the first input would be recomputed 3^n times).
     """
+    from tidewater.session import materialize
+
     df = incoming
-    for lookup, on, kw in steps:
+    for i, (lookup, on, kw) in enumerate(steps):
+        if i and stage_between and (kw or {}).get("stream_lookup"):
+            df = materialize(df, "chain-step")
         df = df.transform(lambda d, lk=lookup, o=on, k=kw: lookup_join(d, lk, o, **(k or {})))
     return df
 
@@ -115,7 +130,7 @@ def strict_lookup(incoming: DataFrame, lookup: DataFrame, on):
     found = (incoming.alias(_IN).join(lookup.alias(_LK), _condition(pairs, False), "inner")
              .select(*_merge_select(incoming, lookup, pairs)))
     in_keys = [l for l, _ in pairs]
-    missing = incoming.join(_lookup_keys(lookup, pairs), in_keys, "left_anti")
+    missing = incoming.join(matched_keys(lookup, pairs, incoming), in_keys, "left_anti")
     return found, missing
 
 
@@ -123,7 +138,7 @@ def exists_split(incoming: DataFrame, target: DataFrame, on):
     """``(existing, new)`` by key presence in ``target``."""
     pairs = _pairs(on)
     in_keys = [l for l, _ in pairs]
-    keys = target.select(*[F.col(r).alias(l) for l, r in pairs]).distinct()
+    keys = matched_keys(target, pairs, incoming)
     return (incoming.join(keys, in_keys, "left_semi"), incoming.join(keys, in_keys, "left_anti"))
 
 

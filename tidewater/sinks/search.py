@@ -74,7 +74,12 @@ def update_documents(index: DataFrame, batch: DataFrame, with_routing: bool = Fa
 
 
 def _anti_batch(batch: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
-    k = index.select(*[F.col(c).alias(f"__k_{c}") for c in keys]).distinct()
+    """Batch rows whose document is not in the index.  Only index keys that
+    occur in the batch are collected (semi join first), never all of them."""
+    wanted = batch.select(*[F.col(c).alias(f"__w_{c}") for c in keys]).distinct()
+    wcond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__w_{c}")) for c in keys])
+    k = (index.select(*keys).join(wanted, wcond, "left_semi")
+              .select(*[F.col(c).alias(f"__k_{c}") for c in keys]).distinct())
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
     return batch.join(k, cond, "left_anti")
 

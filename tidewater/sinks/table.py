@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import last_by_key
+from tidewater.operators.merge import matched_keys
 
 # Status written by the insert statement of the commission sink.
 INSERTED_STATUS = 1
@@ -68,15 +69,17 @@ def upsert(target: DataFrame, batch: DataFrame, check_key: str, update_keys,
         F.when(hit, F.col(f"__b_{c}")).otherwise(F.col(c)).alias(c) if c in update_columns
         else F.col(c) for c in target.columns])
 
-    target_keys = target.select(check_key).distinct()
+    # Only target keys that occur in the batch are collected: the shuffle is
+    # bounded by the batch, not by the target.
+    target_keys = matched_keys(target, [(check_key, check_key)], batch)
     new_rows = batch.join(target_keys, check_key, "left_anti")
     inserts = new_rows.select(*[
         F.col(c) if c in batch.columns else
         (F.lit(insert_defaults[c]) if c in insert_defaults else F.lit(None)).cast(t).alias(c)
         for c, t in target.dtypes])
     existing = batch.join(target_keys, check_key, "left_semi")
-    matched_keys = target.select(*update_keys).distinct()
-    lost = existing.join(matched_keys, update_keys, "left_anti")
+    both = matched_keys(target, [(k, k) for k in update_keys], batch)
+    lost = existing.join(both, update_keys, "left_anti")
     return updated.unionByName(inserts), lost
 
 
@@ -85,8 +88,8 @@ def upsert_actions(target: DataFrame, batch: DataFrame, check_key: str, update_k
     (check key exists under other update keys) or ``insert``."""
     update_keys = [update_keys] if isinstance(update_keys, str) else list(update_keys)
     cols = list(dict.fromkeys(update_keys + [check_key]))
-    exists = target.select(check_key).distinct().withColumn("__exists", F.lit(True))
-    match = target.select(*update_keys).distinct().withColumn("__match", F.lit(True))
+    exists = matched_keys(target, [(check_key, check_key)], batch).withColumn("__exists", F.lit(True))
+    match = matched_keys(target, [(k, k) for k in update_keys], batch).withColumn("__match", F.lit(True))
     j = batch.select(*cols).join(exists, check_key, "left").join(match, update_keys, "left")
     action = (F.when(F.col("__match"), F.lit("update"))
                .when(F.col("__exists"), F.lit("lost")).otherwise(F.lit("insert")))
