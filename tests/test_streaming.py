@@ -38,3 +38,22 @@ def test_stream_equals_batch_and_replay_is_noop(spark):
                               max_files=1, requeue_folder=requeue_dir)
     again.run(available_now=True)
     assert again.counters == [] and again.index.versions() == versions
+
+
+def test_commission_and_item_streams_equal_batch_jobs(spark):
+    from tidewater.streaming.runner import CommissionStream, ItemIndexStream
+
+    root = fresh_path(spark, "stream-test-j1j3")
+    queue_dir = os.path.join(root, "queue")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartitionByRange(3, "event_id").write.parquet(queue_dir)
+
+    j1 = CommissionStream(spark, SF_SMALL, queue_dir, work_root=os.path.join(root, "j1"), max_files=1)
+    j1.run(available_now=True)
+    assert len(j1.counters) == 3
+    batch_target, _, _ = jobs.job_commission(spark, SF_SMALL)
+    assert rows(j1.result(), *batch_target.columns) == rows(batch_target)
+
+    j3 = ItemIndexStream(spark, SF_SMALL, queue_dir, work_root=os.path.join(root, "j3"), max_files=2)
+    j3.run(available_now=True)
+    batch_index, _ = jobs.job_item_index(spark, SF_SMALL)
+    assert rows(j3.result(), *batch_index.columns) == rows(batch_index)

@@ -542,16 +542,37 @@ def q_job_item_index(spark, d):
     return index
 
 
+def _run_stream(cls, spark, d):
+    job = cls(spark, d, d, work_root=fresh_path(spark, f"{cls.name}-stream"), file_glob="events.parquet")
+    job.run(available_now=True)
+    return job.result()
+
+
 @register("stream_order_search", ORACLE["job_order_search"])
 def q_stream_order_search(spark, d):
     """J2 as a Structured Streaming query over the queue table (one
     ``availableNow`` run); the final index equals the batch job's."""
     from tidewater.streaming.runner import OrderSearchStream
 
-    job = OrderSearchStream(spark, d, d, work_root=fresh_path(spark, "order-search-stream"),
-                            file_glob="events.parquet")
-    job.run(available_now=True)
-    return job.result()
+    return _run_stream(OrderSearchStream, spark, d)
+
+
+@register("stream_commission", ORACLE["job_commission"])
+def q_stream_commission(spark, d):
+    """J1 as a Structured Streaming query; the final target equals the
+    batch job's."""
+    from tidewater.streaming.runner import CommissionStream
+
+    return _run_stream(CommissionStream, spark, d)
+
+
+@register("stream_item_index", ORACLE["job_item_index"])
+def q_stream_item_index(spark, d):
+    """J3 as a Structured Streaming query; the final item index equals the
+    batch job's."""
+    from tidewater.streaming.runner import ItemIndexStream
+
+    return _run_stream(ItemIndexStream, spark, d)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,5 +1,6 @@
 """Structured Streaming drivers for the jobs."""
 
-from tidewater.streaming.runner import OrderSearchStream, queue_stream
+from tidewater.streaming.runner import (CommissionStream, ItemIndexStream, OrderSearchStream,
+                                        QueueJobStream, queue_stream)
 
-__all__ = ["OrderSearchStream", "queue_stream"]
+__all__ = ["QueueJobStream", "OrderSearchStream", "CommissionStream", "ItemIndexStream", "queue_stream"]

@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 from tidewater.plans import jobs
 from tidewater.session import checkpoint_root, materialize, prepare_session, stage_scope
-from tidewater.sinks.search import replace_groups
+from tidewater.sinks.search import index_documents, replace_groups
 from tidewater.sinks.snapshot import RoutedVersionedTable
+from tidewater.sinks.table import upsert_commission
+from tidewater.sources import roles
 
 # Routing buckets of the streamed index: a micro-batch rewrites only the
 # buckets of the shops it touches.
@@ -63,8 +65,18 @@ def _to_queue_rows(dead: DataFrame, retry_time=None) -> DataFrame:
                        F.lit(None).cast("string").alias("props"))
 
 
-class OrderSearchStream:
-    """J2 as a streaming job: queue folder -> versioned order index."""
+class QueueJobStream:
+    """A job as a streaming query: queue folder -> versioned, routed target.
+
+    Subclasses say how a micro-batch is enriched (:meth:`enrich`), how the
+    sink updates the target (:meth:`apply_sink`, local to a routing
+    bucket), what the target starts as (:meth:`initial_state`) and by
+    which column it is routed.
+    """
+
+    name = "queue-job"
+    routing_col = "gorder_id"
+    buckets = INDEX_BUCKETS
 
     def __init__(self, spark: SparkSession, sf_dir: str, queue_folder: str, work_root: str | None = None,
                  file_glob: str | None = None, max_files: int | None = None,
@@ -76,15 +88,24 @@ class OrderSearchStream:
         self.max_files = max_files
         self.requeue_folder = requeue_folder
         self.skew_safe = skew_safe
-        root = work_root or checkpoint_root(spark, "order-search-stream")
-        self.index = RoutedVersionedTable(spark, os.path.join(root, "index"), "shop_id", INDEX_BUCKETS)
+        root = work_root or checkpoint_root(spark, f"{self.name}-stream")
+        self.index = RoutedVersionedTable(spark, os.path.join(root, "index"), self.routing_col, self.buckets)
         self.dead_root = os.path.join(root, "dead-letter")
         self.checkpoint = os.path.join(root, "checkpoint")
         self.counters: list[dict] = []
 
-    def initial_index(self) -> DataFrame:
-        return jobs.order_index_as_of(self.spark, self.sf_dir, skew_safe=self.skew_safe)
+    # -- job specifics -----------------------------------------------------
+    def initial_state(self) -> DataFrame:
+        raise NotImplementedError
+
+    def enrich(self, batch: DataFrame):
+        """``(rows for the sink, dead-letter rows with gorder_id, dl_reason)``."""
+        raise NotImplementedError
 
+    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    # -- micro-batch -------------------------------------------------------
     def process(self, batch: DataFrame, batch_id: int) -> None:
         if self.index.is_committed(batch_id):
             return
@@ -96,18 +117,17 @@ class OrderSearchStream:
             batch.unpersist()
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch, self.skew_safe)
-        docs = materialize(docs.withColumn("doc_id", F.col("order_id").cast("string")), "batch-docs")
-        # Dead-letter and requeue first, the index commit last: the
+        rows, dead = self.enrich(batch)
+        rows = materialize(rows, f"{self.name}-batch")
+        # Dead-letter and requeue first, the target commit last: the
         # commit marks the batch done, so a crash before it replays all.
         dead_path = os.path.join(self.dead_root, f"batch={batch_id}")
-        dead.write.mode("overwrite").parquet(dead_path)
+        dead.select("gorder_id", "dl_reason").write.mode("overwrite").parquet(dead_path)
         stored = self.spark.read.parquet(dead_path)
         n_dead = stored.count()
         if n_dead and self.requeue_folder:
             _to_queue_rows(stored).write.mode("append").parquet(self.requeue_folder)
-        self.index.apply(batch_id, docs, lambda cur: replace_groups(cur, docs, ("shop_id", "gorder_id")),
-                         empty=self.initial_index)
+        self.index.apply(batch_id, rows, lambda cur: self.apply_sink(cur, rows), empty=self.initial_state)
         self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(), "dead": n_dead})
 
     def run(self, available_now: bool = True, timeout: float | None = None):
@@ -125,4 +145,62 @@ class OrderSearchStream:
 
     def result(self) -> DataFrame:
         cur = self.index.read()
-        return self.initial_index() if cur is None else cur
+        return self.initial_state() if cur is None else cur
+
+
+class OrderSearchStream(QueueJobStream):
+    """Order documents, each claimed checkout's group replaced (K9).
+    Routed by shop, the group key the replace is local to."""
+
+    name = "order-search"
+    routing_col = "shop_id"
+
+    def initial_state(self) -> DataFrame:
+        return jobs.order_index_as_of(self.spark, self.sf_dir, skew_safe=self.skew_safe)
+
+    def enrich(self, batch: DataFrame):
+        docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch, self.skew_safe)
+        return docs.withColumn("doc_id", F.col("order_id").cast("string")), dead
+
+    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
+        return replace_groups(state, rows, ("shop_id", "gorder_id"))
+
+
+class CommissionStream(QueueJobStream):
+    """Commission events upserted (K2).  Routed by order id, the check
+    key; a lost cross-checkout update is dead-lettered (not requeued: a
+    retry cannot succeed)."""
+
+    name = "commission"
+    routing_col = "order_id"
+
+    def initial_state(self) -> DataFrame:
+        return roles.commission_target(self.spark, self.sf_dir)
+
+    def enrich(self, batch: DataFrame):
+        rows, dead = jobs.commission_batch(batch, roles.gorders(self.spark, self.sf_dir),
+                                           roles.orders(self.spark, self.sf_dir))
+        return rows, dead
+
+    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
+        new_state, _ = upsert_commission(state, rows)
+        return new_state
+
+
+class ItemIndexStream(QueueJobStream):
+    """Item documents indexed by item id (K3).  Routed by document id."""
+
+    name = "item-index"
+    routing_col = "doc_id"
+
+    def initial_state(self) -> DataFrame:
+        before, _ = jobs.item_index_batch(self.spark, self.sf_dir,
+                                          roles.gorders(self.spark, self.sf_dir).select("gorder_id"),
+                                          orders_before=roles.INDEX_AS_OF)
+        return before
+
+    def enrich(self, batch: DataFrame):
+        return jobs.item_index_batch(self.spark, self.sf_dir, batch)
+
+    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
+        return index_documents(state, rows)
