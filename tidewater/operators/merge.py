@@ -65,15 +65,21 @@ def _condition(pairs, guard_blank: bool) -> Column:
 
 
 def lookup_join(incoming: DataFrame, lookup: DataFrame, on, *, guard_blank: bool = False,
-                stream_lookup: bool = False) -> DataFrame:
+                stream_lookup: bool = False, prefilter: bool = False) -> DataFrame:
     """Left lookup, incoming wins, 1:N fans out.
 
     ``on``: a column name, a list of names, or ``{incoming_col: lookup_col}``.
     Lookup key columns are not emitted (they equal the incoming key).
     ``guard_blank`` (P5): a null or blank key skips the lookup and the row
-    passes unchanged.
+    passes unchanged.  ``prefilter``: semi-join the lookup to the incoming
+    keys first; Catalyst pushes the semi join down into a derived lookup
+    (e.g. a join of base tables), so it is computed only for the batch's
+    keys.  Use it when ``incoming`` is cheap to read again (a stage table).
     """
     pairs = _pairs(on)
+    if prefilter:
+        wanted = incoming.select(*[F.col(l).alias(r) for l, r in pairs]).distinct()
+        lookup = lookup.join(wanted, [r for _, r in pairs], "left_semi")
     if not stream_lookup:
         joined = incoming.alias(_IN).join(lookup.alias(_LK), _condition(pairs, guard_blank), "left")
         return joined.select(*_merge_select(incoming, lookup, pairs))

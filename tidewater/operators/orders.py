@@ -57,8 +57,12 @@ def order_rows(found: DataFrame, orders: DataFrame):
 
 
 def enrich_address(rows: DataFrame, addresses: DataFrame) -> DataFrame:
-    """T5: receiver name/phone per order; absent (null) when no address."""
-    return lookup_join(rows, addresses, "order_id")
+    """T5: receiver name/phone per order; absent (null) when no address.
+
+    The address table is semi-filtered to the batch's orders first, so a
+    derived address table is only computed for them.
+    """
+    return lookup_join(rows, addresses, "order_id", prefilter=True)
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
@@ -133,7 +137,7 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     found, missing = resolve_gorders(keys, gorders)
     rows, bad = order_rows(found, orders)
     # Order level, one row per order of the batch: small next to the item
-    # table and read three times below, so it is written once as a stage
+    # table and read several times below, so it is written once as a stage
     # table in the shared folder instead of being recomputed per reference.
     rows = materialize(enrich_address(rows, addresses), "order-rows")
     flat = attach_items(rows, items, goods, skew_safe=skew_safe)
