@@ -60,6 +60,9 @@ def test_skew_safe_position_matches_window_on_hot_group(spark):
     b = position_in_group(df, "g", ["o"], "pos", skew_safe=False)
     assert rows(a, "g", "o", "pos") == rows(b, "g", "o", "pos")
     assert a.where("g = 1").agg(F.max("pos")).first()[0] == 4999
+    # adaptive: measures the largest group and splits only above the limit
+    c = position_in_group(df, "g", ["o"], "pos", skew_safe="auto", hot_rows=100, partitions=16)
+    assert rows(c, "g", "o", "pos") == rows(b, "g", "o", "pos")
 
 
 def test_refund_duplicates(spark):
