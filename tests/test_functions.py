@@ -54,3 +54,10 @@ def test_dates(spark):
     assert r["parsed"] == int(dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc).timestamp() * 1000)
     assert r["badparsed"] is None
     assert r["day"] == int(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def test_strict_parse_raises(spark):
+    import pytest
+    df = spark.createDataFrame([("not a date",)], "s string")
+    with pytest.raises(Exception):
+        df.select(dates.parse_date("s", strict=True)).collect()

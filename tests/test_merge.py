@@ -64,3 +64,16 @@ def test_flatten_json_later_wins(spark):
     out = merge.flatten_json(df, "props", "k INT, v INT")
     assert sorted(out.columns) == ["id", "k", "v"]
     assert rows(out, "id", "k", "v") == [(1, 3, 8)]
+
+
+def test_commission_batch_dead_letters_checkout_without_orders(spark):
+    from tidewater.plans.jobs import commission_batch
+
+    claimed = spark.createDataFrame([(1,), (2,), (1,)], "gorder_id bigint")
+    gorders = spark.createDataFrame([(1, "acct", 5), (2, "b2", 6)], "gorder_id bigint, buy_account string, benefit_user int")
+    orders = spark.createDataFrame([(1, 10, "HIGH", 3.0, 4.0, 100)],
+                                   "gorder_id bigint, order_id bigint, order_type string, commission_amount double, "
+                                   "pay_amount double, pay_success_time bigint")
+    batch, dead = commission_batch(claimed, gorders, orders)
+    assert rows(batch) == [("HIGH", 3.0, None, 5, 4.0, 100, 1, 10)]
+    assert rows(dead) == [(2, "no order")]

@@ -107,3 +107,17 @@ def test_routed_versions_rewrite_only_touched_buckets(spark):
     assert out.count() == 41
     assert rows(out.where("v = 'new'"), "doc_id") == [("d3",), ("n1",)]
     assert rows(t.read(-1), "doc_id") == rows(base, "doc_id")   # old version intact
+
+
+def test_get_documents_bulk_and_single(spark):
+    from tidewater.sources import search as ss
+
+    idx = spark.createDataFrame([("a", "r1", 1, 1, "x"), ("b", None, 1, 1, "y")], DOCS)
+    req = spark.createDataFrame([("a", "r1"), ("b", None), ("zz", "r1"), ("a", "r9")], "doc_id string, routing string")
+    got = ss.get_documents(idx, req, with_routing=True)
+    assert rows(got, "_doc_id", "routing", "v", "found") == sorted(
+        [("a", "r1", "x", True), ("b", None, "y", True), ("zz", "r1", None, False), ("a", "r9", None, False)],
+        key=repr)
+    assert rows(ss.get_document(idx, "b"), "_doc_id", "v") == [("b", "y")]
+    assert ss.get_document(idx, "nope").count() == 0
+    assert ss.search_page(idx, {}).count() == 0

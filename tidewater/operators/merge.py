@@ -95,7 +95,7 @@ def lookup_join(incoming: DataFrame, lookup: DataFrame, on, *, guard_blank: bool
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def matched_keys(big: DataFrame, pairs, small: DataFrame) -> DataFrame:
+def matched_keys(big: DataFrame, pairs, small: DataFrame, null_safe: bool = False) -> DataFrame:
     """The distinct keys of ``big`` that also occur in ``small``, under the
     ``small`` names.
 
@@ -106,9 +106,11 @@ def matched_keys(big: DataFrame, pairs, small: DataFrame) -> DataFrame:
     ``big``'s keys would shuffle the whole key column when keys are unique.
     """
     names = [l for l, _ in pairs]
-    wanted = small.select(*names).distinct()
-    return (big.select(*[F.col(r).alias(l) for l, r in pairs])
-               .join(wanted, names, "left_semi").distinct())
+    keys = big.select(*[F.col(r).alias(l) for l, r in pairs])
+    wanted = small.select(*[F.col(n).alias(f"__w_{n}") for n in names]).distinct()
+    eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
+    cond = reduce(lambda a, b: a & b, [eq(F.col(n), F.col(f"__w_{n}")) for n in names])
+    return keys.join(wanted, cond, "left_semi").distinct()
 
 
 def lookup_chain(incoming: DataFrame, steps, stage_between: bool = True) -> DataFrame:

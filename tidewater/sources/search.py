@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.merge import matched_keys
 from tidewater.sinks.search import term_predicate
 
 # Default page size of a term search.
@@ -17,19 +18,26 @@ def get_documents(index: DataFrame, ids: DataFrame, with_routing: bool = False)
     """S8 (bulk): one row per requested id with ``_doc_id`` and ``found``.
 
     A miss is an empty document (payload columns null, ``found`` false), the
-    reading the reference's null-pointer on a miss was meant to have.
+    reading the reference's null-pointer on a miss was meant to have.  The
+    requests are the small side: the hits are an inner join (AQE broadcasts
+    the requests and streams the index), the misses an anti join against
+    the index keys that occur in the request, so the index is never
+    shuffled whole.
     """
     keys = ["doc_id", "routing"] if with_routing else ["doc_id"]
     req = ids.select(*keys).distinct()
-    idx = index.withColumn("__found", F.lit(True))
-    cond = reduce(lambda a, c: a & F.col(f"r.{c}").eqNullSafe(F.col(f"i.{c}")),
-                  keys[1:], F.col("r.doc_id") == F.col("i.doc_id"))
-    j = req.alias("r").join(idx.alias("i"), cond, "left")
     payload = [c for c in index.columns if c not in keys]
-    return j.select(F.col("r.doc_id").alias("_doc_id"),
-                    *[F.col(f"r.{c}").alias(c) for c in keys],
-                    *[F.col(f"i.`{c}`") for c in payload],
-                    F.coalesce(F.col("i.__found"), F.lit(False)).alias("found"))
+    idx = index.select(*keys, *payload, F.lit(True).alias("found"))
+    cond = reduce(lambda a, b: a & b, [req[k].eqNullSafe(idx[k]) for k in keys])
+    hits = req.join(idx, cond, "inner").select(*[req[k] for k in keys], *[idx[f"`{c}`"] for c in payload],
+                                              idx["found"])
+    present = matched_keys(index, [(k, k) for k in keys], req, null_safe=True)
+    misses = req.join(present, reduce(lambda a, b: a & b, [req[k].eqNullSafe(present[k]) for k in keys]),
+                      "left_anti")
+    misses = misses.select(*keys, *[F.lit(None).cast(t).alias(c) for c, t in index.dtypes if c in payload],
+                           F.lit(False).alias("found"))
+    out = hits.unionByName(misses)
+    return out.select(F.col("doc_id").alias("_doc_id"), *keys, *payload, "found")
 
 
 def get_document(index: DataFrame, doc_id: str, routing: str | None = None) -> DataFrame:
