@@ -68,9 +68,17 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, defaulting it only when unset."""
+    """Return the shared checkpoint folder, defaulting it only when unset.
+
+    A default is only made up in local mode (tests); on a cluster a
+    machine-local folder would split stage tables across executors' disks,
+    so an unset ``spark.checkpoint.dir`` is an error there.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared storage")
         current = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.plans import jobs
@@ -117,18 +117,22 @@ class QueueJobStream:
             batch.unpersist()
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
+        # Counters ride along the writes as observed metrics (no extra
+        # count jobs).
+        seen_out, seen_dead = Observation(f"{self.name}-out"), Observation(f"{self.name}-dead")
         rows, dead = self.enrich(batch)
-        rows = materialize(rows, f"{self.name}-batch")
+        rows = materialize(rows.observe(seen_out, F.count(F.lit(1)).alias("n")), f"{self.name}-batch")
         # Dead-letter and requeue first, the target commit last: the
         # commit marks the batch done, so a crash before it replays all.
         dead_path = os.path.join(self.dead_root, f"batch={batch_id}")
-        dead.select("gorder_id", "dl_reason").write.mode("overwrite").parquet(dead_path)
-        stored = self.spark.read.parquet(dead_path)
-        n_dead = stored.count()
+        (dead.select("gorder_id", "dl_reason").observe(seen_dead, F.count(F.lit(1)).alias("n"))
+             .write.mode("overwrite").parquet(dead_path))
+        n_dead = seen_dead.get["n"]
         if n_dead and self.requeue_folder:
-            _to_queue_rows(stored).write.mode("append").parquet(self.requeue_folder)
+            _to_queue_rows(self.spark.read.parquet(dead_path)).write.mode("append").parquet(self.requeue_folder)
         self.index.apply(batch_id, rows, lambda cur: self.apply_sink(cur, rows), empty=self.initial_state)
-        self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(), "dead": n_dead})
+        self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(),   # persisted
+                              "emitted": seen_out.get["n"], "dead": n_dead})
 
     def run(self, available_now: bool = True, timeout: float | None = None):
         schema = self.spark.read.parquet(
