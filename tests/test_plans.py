@@ -36,3 +36,16 @@ def test_range_scan_reaches_the_scan(spark):
     cells = roles.wide_cells(spark, SF_CHECK)
     df = sw.scan_range(cells, "4170", "4171")
     assert "ReadSchema" in _plan(df)
+
+
+def test_routed_read_prunes_to_one_bucket(spark):
+    from tidewater.session import fresh_path
+    from tidewater.sinks import layout
+
+    docs = roles.documents(spark, SF_CHECK)
+    path = fresh_path(spark, "routed-plan-test")
+    layout.write_routed(docs, path, "routing", buckets=16)
+    one = layout.read_routed(spark, path, routing_value="7", buckets=16)
+    p = _plan(one)
+    assert "PartitionFilters: [isnotnull(routing_bucket#" in p and "routing_bucket" in p.split("PartitionFilters")[1]
+    assert one.count() == docs.where("routing = '7'").count()

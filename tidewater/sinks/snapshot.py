@@ -174,8 +174,10 @@ class RoutedVersionedTable:
     def _write_buckets(self, df: DataFrame, version: int) -> set[int]:
         from pyspark.sql import functions as F
 
+        # REBALANCE clusters rows by bucket (few files per bucket) and lets
+        # AQE split a bucket that holds a hot routing value over many tasks.
         (df.withColumn("bucket", self._bucket())
-           .repartition("bucket")
+           .hint("rebalance", "bucket")
            .write.mode("overwrite").partitionBy("bucket").parquet(self._vdir(version)))
         d = self._Path(self._vdir(version))
         if not self._fs.exists(d):
