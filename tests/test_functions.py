@@ -61,3 +61,10 @@ def test_strict_parse_raises(spark):
     df = spark.createDataFrame([("not a date",)], "s string")
     with pytest.raises(Exception):
         df.select(dates.parse_date("s", strict=True)).collect()
+
+
+def test_lenient_parse_rolls_over(spark):
+    df = spark.createDataFrame([("2024-02-30",), ("2024-13-01 24:00:61",), ("2024-01-05 10:20:30",),
+                                ("junk",), (None,)], "s string")
+    got = [r[0] for r in df.select(dates.format_date(dates.parse_date_lenient("s"))).collect()]
+    assert got == ["2024-03-01 00:00:00", "2025-01-02 00:01:01", "2024-01-05 10:20:30", None, None]

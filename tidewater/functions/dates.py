@@ -41,6 +41,25 @@ def parse_date(text, fmt: str = DATE_TIME_FORMAT, strict: bool = False) -> Colum
     return fn(_col(text), F.lit(fmt))
 
 
+_DATE_TIME_PARTS = r"^\s*(\d+)-(\d+)-(\d+)(?:\s+(\d+):(\d+):(\d+))?\s*$"
+
+
+def parse_date_lenient(text) -> Column:
+    """F3, lenient: ``yyyy-MM-dd[ HH:mm:ss]`` where out-of-range fields roll
+    over as a lenient calendar does (month 13 -> January next year, Feb 30
+    -> Mar 1, hour 24 -> next day).  Text that does not have the shape is
+    null.  Built from ``regexp_extract`` and date arithmetic, no UDF.
+    """
+    t = _col(text)
+    part = lambda i: F.regexp_extract(t, _DATE_TIME_PARTS, i)
+    ok = t.rlike(_DATE_TIME_PARTS)
+    num = lambda i: F.when(part(i) == "", F.lit(0)).otherwise(part(i).cast("int"))
+    day = F.date_add(F.add_months(F.make_date(num(1), F.lit(1), F.lit(1)), num(2) - 1), num(3) - 1)
+    secs = num(4) * 3600 + num(5) * 60 + num(6)
+    ts = F.timestamp_seconds(F.unix_timestamp(day.cast("timestamp")) + secs)
+    return F.when(ok, ts)
+
+
 def epoch_millis(ts) -> Column:
     """epoch milliseconds.  ``timestamp_ntz`` is read as session-zone
     (UTC) wall time."""
