@@ -30,14 +30,15 @@ def position_in_group(df: DataFrame, group, order, out: str = "index_id",
        (a window over the small count table: one row per slice);
     4. position = offset + local number.
 
-    ``skew_safe="auto"`` stages the rows once, measures the largest group
-    with an aggregate (one number reaches the driver) and splits only when
+    ``skew_safe="auto"`` measures the largest group with an aggregate over
+    the group columns (one number reaches the driver) and splits only when
     it exceeds ``hot_rows``.  Both plans give the same positions.
     """
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
     if skew_safe == "auto":
-        df = materialize(df, "position-input")
+        # A pruned pass: only the group columns are read and counted
+        # (partial aggregation), one number reaches the driver.
         biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
         skew_safe = biggest > hot_rows
     if not skew_safe:
