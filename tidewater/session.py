@@ -9,6 +9,7 @@ when nothing is configured (tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -113,10 +114,23 @@ def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, prefix)
     df.write.mode("overwrite").parquet(path)
+    if not _STAGES and not _EXIT_HOOK:
+        _EXIT_HOOK.append(atexit.register(_release_at_exit, spark))
     _STAGES.append(path)
     return spark.read.parquet(path)
 
 
+_EXIT_HOOK: list = []
+
+
+def _release_at_exit(spark: SparkSession) -> None:
+    """Stage tables of a finished process are not read by anyone."""
+    try:
+        release_stages(spark)
+    except Exception:  # noqa: BLE001 - the JVM may already be gone
+        pass
+
+
 def release_stages(spark: SparkSession, keep: int = 0) -> int:
     """Delete the stage tables written after the first ``keep`` ones (call
     when no DataFrame that reads them is still in use).  Returns the number
