@@ -77,3 +77,18 @@ def test_commission_batch_dead_letters_checkout_without_orders(spark):
     batch, dead = commission_batch(claimed, gorders, orders)
     assert rows(batch) == [("HIGH", 3.0, None, 5, 4.0, 100, 1, 10)]
     assert rows(dead) == [(2, "no order")]
+
+
+def test_exists_split_and_empty_groups(spark):
+    from tidewater.operators.projection import non_empty_groups, project_defaults
+
+    inc = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    tgt = spark.createDataFrame([(1,), (1,), (5,)], "k int")
+    old, new = merge.exists_split(inc, tgt, "k")
+    assert rows(old) == [(1, "a")]
+    assert rows(new) == sorted([(2, "b"), (None, "c")], key=repr)
+    nested = spark.createDataFrame([(1, [1, 2]), (2, [])], "g int, orders array<int>")
+    assert rows(non_empty_groups(nested, "orders"), "g") == [(1,)]
+    typed = project_defaults(spark.createDataFrame([(None, None)], "n int, s string"), "n:7, s:x, u")
+    assert typed.dtypes == [("n", "int"), ("s", "string"), ("u", "string")]
+    assert rows(typed) == [(7, "x", None)]
