@@ -20,6 +20,8 @@ from tidewater.plans import oracle as sql
 from tidewater.session import fresh_path
 from tidewater.sinks import layout, search as ksearch, table as ktable, widecolumn as kwide
 from tidewater.sources import queue as squeue, roles, search as ssearch, widecolumn as swide
+from tidewater.sources.tables import table
+from tidewater.streaming.runner import CommissionStream, ItemIndexStream, OrderSearchStream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -198,7 +200,6 @@ def q_overlay_non_null(spark, d):
                              "gorder_id", ["create_time", "id"])
     src = last.select("gorder_id", F.col("value").alias("balance"),
                       F.when(F.col("event_type") == "purchase", F.lit("BUYER")).alias("segment"))
-    from tidewater.sources.tables import table
     tgt = table(spark, d, "customer").select(
         F.col("c_custkey").alias("gorder_id"), F.col("c_name").alias("buy_account"),
         F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
@@ -218,7 +219,6 @@ def q_flatten_struct(spark, d):
   coalesce(e.value, c.c_acctbal) AS value, c.c_mktsegment AS segment
 FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id""")
 def q_lookup_join(spark, d):
-    from tidewater.sources.tables import table
     inc = roles.queue(spark, d).select("id", "gorder_id", "event_type", "value")
     lk = table(spark, d, "customer").select(F.col("c_custkey").alias("gorder_id"),
                                             F.col("c_acctbal").alias("value"),
@@ -552,8 +552,6 @@ def _run_stream(cls, spark, d):
 def q_stream_order_search(spark, d):
     """J2 as a Structured Streaming query over the queue table (one
     ``availableNow`` run); the final index equals the batch job's."""
-    from tidewater.streaming.runner import OrderSearchStream
-
     return _run_stream(OrderSearchStream, spark, d)
 
 
@@ -561,8 +559,6 @@ def q_stream_order_search(spark, d):
 def q_stream_commission(spark, d):
     """J1 as a Structured Streaming query; the final target equals the
     batch job's."""
-    from tidewater.streaming.runner import CommissionStream
-
     return _run_stream(CommissionStream, spark, d)
 
 
@@ -570,8 +566,6 @@ def q_stream_commission(spark, d):
 def q_stream_item_index(spark, d):
     """J3 as a Structured Streaming query; the final item index equals the
     batch job's."""
-    from tidewater.streaming.runner import ItemIndexStream
-
     return _run_stream(ItemIndexStream, spark, d)
 
 
