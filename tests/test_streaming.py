@@ -57,3 +57,16 @@ def test_commission_and_item_streams_equal_batch_jobs(spark):
     j3.run(available_now=True)
     batch_index, _ = jobs.job_item_index(spark, SF_SMALL)
     assert rows(j3.result(), *batch_index.columns) == rows(batch_index)
+
+
+def test_cli_runs_a_job_once(spark, capsys):
+    import json
+
+    from tidewater.__main__ import main
+
+    work = fresh_path(spark, "cli-test")
+    main(["item-index", "--tables", SF_SMALL, "--queue", SF_SMALL, "--glob", "events.parquet",
+          "--work", work, "--once"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["job"] == "item-index" and out["version"] == 0
+    assert out["batches"][0]["queue_rows"] == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
