@@ -121,3 +121,19 @@ def test_get_documents_bulk_and_single(spark):
     assert rows(ss.get_document(idx, "b"), "_doc_id", "v") == [("b", "y")]
     assert ss.get_document(idx, "nope").count() == 0
     assert ss.search_page(idx, {}).count() == 0
+
+
+def test_routed_vacuum_keeps_shared_buckets(spark):
+    from tidewater.sinks.snapshot import RoutedVersionedTable
+
+    t = RoutedVersionedTable(spark, fresh_path(spark, "vacuum-test"), "shop_id", buckets=4)
+    base = spark.createDataFrame([(f"d{i}", None, i % 4, i, "v0") for i in range(20)], DOCS)
+    t.initialize(base, version=-1)
+    for v in range(4):
+        b = spark.createDataFrame([(f"n{v}", None, 1, 100 + v, f"v{v}")], DOCS)
+        t.apply(v, b, lambda cur, b=b: ks.replace_groups(cur, b, ("shop_id", "gorder_id")))
+    expected = rows(t.read(), "doc_id")
+    assert t.vacuum(keep=2) > 0
+    assert t.versions() == [2, 3]
+    assert rows(t.read(), "doc_id") == expected          # shared buckets of v=-1 survive
+    assert rows(t.read(2), "doc_id") == sorted(set(expected) - {("n3",)}, key=repr)

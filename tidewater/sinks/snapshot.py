@@ -209,3 +209,29 @@ class RoutedVersionedTable:
         buckets.update({str(b): version for b in written})
         self._write_manifest(version, {"schema": manifest["schema"], "buckets": buckets})
         return True
+
+    def vacuum(self, keep: int = 3) -> int:
+        """Drop versions older than the newest ``keep``: their manifests and
+        every bucket folder no kept manifest points to (a bucket written long
+        ago may still be current).  Returns the number of folders removed."""
+        versions = self.versions()
+        if len(versions) <= keep:
+            return 0
+        kept = versions[-keep:]
+        live = set()
+        for v in kept:
+            for b, vb in self._read_manifest(v)["buckets"].items():
+                live.add((int(vb), int(b)))
+        removed = 0
+        for v in versions[:-keep]:
+            vdir = self._Path(self._vdir(v))
+            if self._fs.exists(vdir):
+                for st in self._fs.listStatus(vdir):
+                    name = st.getPath().getName()
+                    if st.isDirectory() and name.startswith("bucket=") and (v, int(name[7:])) not in live:
+                        self._fs.delete(st.getPath(), True)
+                        removed += 1
+                if not any(st.getPath().getName().startswith("bucket=") for st in self._fs.listStatus(vdir)):
+                    self._fs.delete(vdir, True)
+            self._fs.delete(self._Path(self._mpath(v)), False)
+        return removed

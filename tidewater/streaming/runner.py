@@ -38,6 +38,8 @@ from tidewater.sources import roles
 # Routing buckets of the streamed index: a micro-batch rewrites only the
 # buckets of the shops it touches.
 INDEX_BUCKETS = 64
+# Versions of a streamed target kept for readers and replays.
+KEEP_VERSIONS = 3
 
 # Fixed value: the reference polls the queue once per second.
 POLL_INTERVAL = "1 second"
@@ -131,6 +133,9 @@ class QueueJobStream:
         if n_dead and self.requeue_folder:
             _to_queue_rows(self.spark.read.parquet(dead_path)).write.mode("append").parquet(self.requeue_folder)
         self.index.apply(batch_id, rows, lambda cur: self.apply_sink(cur, rows), empty=self.initial_state)
+        # Older versions are no longer read by anyone once a few newer ones
+        # exist; their unshared bucket folders go.
+        self.index.vacuum(keep=KEEP_VERSIONS)
         self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(),   # persisted
                               "emitted": seen_out.get["n"], "dead": n_dead})
 
