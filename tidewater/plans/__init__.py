@@ -1 +1 @@
-"""tidewater.plans"""
+"""The shipped jobs and the registered query catalog."""
