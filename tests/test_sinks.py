@@ -137,3 +137,16 @@ def test_routed_vacuum_keeps_shared_buckets(spark):
     assert t.versions() == [2, 3]
     assert rows(t.read(), "doc_id") == expected          # shared buckets of v=-1 survive
     assert rows(t.read(2), "doc_id") == sorted(set(expected) - {("n3",)}, key=repr)
+
+
+def test_search_pages_are_slices_of_the_sorted_matches(spark):
+    from tidewater.sources import search as ss
+
+    idx = spark.createDataFrame([(f"d{i:03d}", "r1" if i % 2 else "r2", i % 3, i, "x" if i % 5 else "y")
+                                 for i in range(250)], DOCS)
+    match = sorted(r["doc_id"] for r in idx.where("v = 'x' and shop_id = 1").collect())
+    for page in range(3):
+        got = [r["_doc_id"] for r in ss.search_page(idx, {"v": "x", "shop_id": 1}, page=page, size=20).collect()]
+        assert got == match[page * 20:(page + 1) * 20]
+    routed = ss.search_page(idx, {"v": "x"}, page=0, size=1000, routing="r1")
+    assert {r["routing"] for r in routed.collect()} == {"r1"}
