@@ -72,9 +72,10 @@ def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
     An order without items keeps one row with null item columns.
     """
-    # The batch's items: the item table streamed through a semi join on the
-    # batch's order ids (broadcast when AQE measures them small).
-    batch_items = items.join(rows.select("order_id"), "order_id", "left_semi")
+    # The batch's items: the item table streamed once through a semi join on
+    # the batch's order ids (broadcast when AQE measures them small) and
+    # staged; the steps below read the batch-sized stage, not the table.
+    batch_items = materialize(items.join(rows.select("order_id"), "order_id", "left_semi"), "batch-items")
     # An item's position depends only on the items of its order, so it is
     # computed on the narrow item rows, before the join to the orders.
     # Line number, then item id; the remaining item columns make the order
@@ -102,7 +103,9 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
     """
     src = flat if orders_of_batch is None else orders_of_batch
     order_of = src.select("order_id", "gorder_id").distinct()
-    scoped = refunds.join(order_of, "order_id", "inner")
+    # The refund feed is scanned once for the batch's orders and staged: the
+    # duplicate check and the per-item pick both read the stage.
+    scoped = materialize(refunds.join(order_of, "order_id", "inner"), "batch-refunds")
     dup = refund_duplicates(scoped).join(order_of, "order_id").select("gorder_id").distinct()
     # One refund per (checkout, item); two orders of one checkout refunding
     # the same item id resolve to the latest refund.
