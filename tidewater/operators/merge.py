@@ -66,8 +66,15 @@ def _condition(pairs, guard_blank: bool) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+def batch_slice(lookup: DataFrame, pairs, incoming: DataFrame) -> DataFrame:
+    """The lookup rows whose key occurs in ``incoming``, scanned once and
+    staged: later steps read the batch-sized slice, not the table."""
+    wanted = incoming.select(*[F.col(l).alias(r) for l, r in pairs]).distinct()
+    return materialize(lookup.join(wanted, [r for _, r in pairs], "left_semi"), "lookup-slice")
+
+
 def lookup_join(incoming: DataFrame, lookup: DataFrame, on, *, guard_blank: bool = False,
-                stream_lookup: bool = False, prefilter: bool = False) -> DataFrame:
+                stream_lookup: bool = False, prefilter: bool = False, stage: bool = False) -> DataFrame:
     """Left lookup, incoming wins, 1:N fans out.
 
     ``on``: a column name, a list of names, or ``{incoming_col: lookup_col}``.
@@ -77,9 +84,13 @@ def lookup_join(incoming: DataFrame, lookup: DataFrame, on, *, guard_blank: bool
     keys first; Catalyst pushes the semi join down into a derived lookup
     (e.g. a join of base tables), so it is computed only for the batch's
     keys.  Use it when ``incoming`` is cheap to read again (a stage table).
+    ``stage``: additionally write that slice once (:func:`batch_slice`), so
+    a split lookup scans the big table once instead of twice.
     """
     pairs = _pairs(on)
-    if prefilter:
+    if stage:
+        lookup = batch_slice(lookup, pairs, incoming)
+    elif prefilter:
         wanted = incoming.select(*[F.col(l).alias(r) for l, r in pairs]).distinct()
         lookup = lookup.join(wanted, [r for _, r in pairs], "left_semi")
     if not stream_lookup:
@@ -132,9 +143,12 @@ def lookup_chain(incoming: DataFrame, steps, stage_between: bool = True) -> Data
     return df
 
 
-def strict_lookup(incoming: DataFrame, lookup: DataFrame, on):
-    """T4 head: ``(found, missing)``; a missing key fails the incoming row."""
+def strict_lookup(incoming: DataFrame, lookup: DataFrame, on, stage: bool = False):
+    """T4 head: ``(found, missing)``; a missing key fails the incoming row.
+    ``stage`` as in :func:`lookup_join`."""
     pairs = _pairs(on)
+    if stage:
+        lookup = batch_slice(lookup, pairs, incoming)
     found = (incoming.alias(_IN).join(lookup.alias(_LK), _condition(pairs, False), "inner")
              .select(*_merge_select(incoming, lookup, pairs)))
     in_keys = [l for l, _ in pairs]

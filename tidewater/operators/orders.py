@@ -38,7 +38,7 @@ def resolve_gorders(keys: DataFrame, gorders: DataFrame):
 
     ``gorders`` has ``gorder_id`` and ``shop_id``.
     """
-    return strict_lookup(keys, gorders, "gorder_id")
+    return strict_lookup(keys, gorders, "gorder_id", stage=True)
 
 
 def order_rows(found: DataFrame, orders: DataFrame):

@@ -47,10 +47,10 @@ def commission_batch(claimed: DataFrame, gorders: DataFrame, orders: DataFrame):
     g = lookup_join(keys, gorders.select(
         "gorder_id",
         F.col("buy_account").alias("gorder_buy_account"),
-        F.col("benefit_user").alias("gorder_benefit_user")), "gorder_id", stream_lookup=True)
+        F.col("benefit_user").alias("gorder_benefit_user")), "gorder_id", stream_lookup=True, stage=True)
     # One row per claimed checkout, read three times by the split lookup.
     g = materialize(g, "commission-gorders")
-    o = lookup_join(g, orders, "gorder_id", stream_lookup=True)
+    o = lookup_join(g, orders, "gorder_id", stream_lookup=True, stage=True)
     good, dead = require_key(o, "order_id")
     batch = bind_positional(project_columns(good, COMMISSION_COLUMNS))
     return batch, dead.select("gorder_id", F.lit("no order").alias("dl_reason"))
@@ -121,10 +121,10 @@ def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
     """
     inp = _order_search_inputs(spark, d, orders_before)
     keys = distinct_keys(claimed, "gorder_id")
-    found, missing = strict_lookup(keys, inp["gorders"], "gorder_id")
+    found, missing = strict_lookup(keys, inp["gorders"], "gorder_id", stage=True)
     # Order level, read three times by the split lookup: stage it once.
     rows = materialize(found.join(inp["orders"], "gorder_id", "inner"), "item-index-rows")
-    flat = lookup_join(rows, inp["items"], "order_id", stream_lookup=True)
+    flat = lookup_join(rows, inp["items"], "order_id", stream_lookup=True, stage=True)
     flat = lookup_join(flat, inp["goods"], "goods_id")
     docs = project_columns(flat, ITEM_INDEX_COLUMNS, ITEM_INDEX_TYPES)
     good, bad = require_key(docs, "item_id")
