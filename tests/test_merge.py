@@ -92,3 +92,17 @@ def test_exists_split_and_empty_groups(spark):
     typed = project_defaults(spark.createDataFrame([(None, None)], "n int, s string"), "n:7, s:x, u")
     assert typed.dtypes == [("n", "int"), ("s", "string"), ("u", "string")]
     assert rows(typed) == [(7, "x", None)]
+
+
+def test_staged_lookups_equal_unstaged(spark):
+    inc = spark.createDataFrame([("1", "a"), (" ", "b"), (None, "c"), ("2", None), ("9", "z")], "k string, v string")
+    lk = spark.createDataFrame([("1", "x", 1), ("1", "y", 2), (" ", "blank", 3), ("2", "w", 4), ("7", "u", 5)],
+                               "k string, v string, n int")
+    for guard in (False, True):
+        plain = merge.lookup_join(inc, lk, "k", guard_blank=guard)
+        staged = merge.lookup_join(inc, lk, "k", guard_blank=guard, stream_lookup=True, stage=True)
+        assert rows(staged) == rows(plain)
+    f1, m1 = merge.strict_lookup(inc, lk, "k")
+    f2, m2 = merge.strict_lookup(inc, lk, "k", stage=True)
+    assert rows(f1) == rows(f2) and rows(m1) == rows(m2)
+    assert rows(m2, "k") == sorted([(None,), ("9",)], key=repr)
