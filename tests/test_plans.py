@@ -49,3 +49,19 @@ def test_routed_read_prunes_to_one_bucket(spark):
     p = _plan(one)
     assert "PartitionFilters: [isnotnull(routing_bucket#" in p and "routing_bucket" in p.split("PartitionFilters")[1]
     assert one.count() == docs.where("routing = '7'").count()
+
+
+def test_batch_slice_streams_the_big_table(spark):
+    from tidewater.operators.merge import batch_slice
+
+    items = roles.items(spark, SF_CHECK)
+    batch = roles.orders(spark, SF_CHECK).where("gorder_id < 20").select("order_id")
+    sliced = batch_slice(items, [("order_id", "order_id")], batch)
+    assert sliced.count() == items.join(batch, "order_id", "left_semi").count()
+    # the slice's writing job: the item scan feeds a broadcast semi join
+    probe = items.join(batch.distinct(), "order_id", "left_semi")
+    probe.write.format("noop").mode("overwrite").save()
+    final = _plan(probe)
+    assert "BroadcastHashJoin LeftSemi BuildRight" in final
+    tree = final.split("\n\n")[0]
+    assert "SortMergeJoin" not in tree
