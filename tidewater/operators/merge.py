@@ -13,8 +13,11 @@ one key may own a third of the rows, ``stream_lookup=True`` rewrites the
 join as ``inner join`` (either side may be broadcast after AQE measures it;
 both sides may be skew-split) plus the incoming rows whose key has no match
 (an anti join against the lookup keys that occur in the batch, made
-distinct after a semi join, see :func:`matched_keys`).  Same result, no shuffle of the
-big side when the batch is small and no hot task when a key is hot.
+distinct after a semi join, see :func:`matched_keys`).  Same result, no
+shuffle of the big side when the batch is small and no hot task when a key
+is hot.  ``stage=True`` first slices the lookup table to the batch's keys
+and writes the slice once (:func:`batch_slice`), so the big table is
+scanned once per batch.
 """
 
 from __future__ import annotations
