@@ -50,6 +50,12 @@ def test_commission_and_item_streams_equal_batch_jobs(spark):
     j1 = CommissionStream(spark, SF_SMALL, queue_dir, work_root=os.path.join(root, "j1"), max_files=1)
     j1.run(available_now=True)
     assert len(j1.counters) == 3
+    import time
+    for _ in range(50):                      # listener events arrive asynchronously
+        if sum(b["input_rows"] for b in j1.progress.batches) == 1000:
+            break
+        time.sleep(0.1)
+    assert sum(b["input_rows"] for b in j1.progress.batches) == 1000
     batch_target, _, _ = jobs.job_commission(spark, SF_SMALL)
     assert rows(j1.result(), *batch_target.columns) == rows(batch_target)
 

@@ -14,7 +14,9 @@ micro-batch runs a job's batch function inside ``foreachBatch``:
 * failing keys are written to a dead-letter folder (one sub-folder per
   batch id, overwritten on replay) and appended to the queue folder, so
   the next trigger retries them (S4);
-* per-batch counters (G7) come from ``observe`` and the batch sizes.
+* per-batch counters (G7): rows written and dead-lettered come from
+  ``Observation`` metrics on the writes, input rows and trigger time from a
+  ``StreamingQueryListener`` (:class:`ProgressLog`).
 
 Triggers: ``processingTime`` (the reference polls every second) or
 ``availableNow`` for tests and catch-up runs.  ``max_files`` bounds a
@@ -24,9 +26,11 @@ micro-batch (back-pressure, S6).
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewater.plans import jobs
 from tidewater.session import checkpoint_root, materialize, prepare_session, stage_scope
@@ -58,6 +62,31 @@ def queue_stream(spark: SparkSession, folder: str, schema, file_glob: str | None
                       F.col("ts").alias("create_time"), "event_type", "value", "props")
 
 
+class ProgressLog(StreamingQueryListener):
+    """G7 from the query side: input rows and trigger duration per
+    micro-batch, as reported by the streaming engine."""
+
+    def __init__(self, query_name: str):
+        super().__init__()
+        self.query_name = query_name
+        self.batches: list[dict] = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if p.name == self.query_name:
+            self.batches.append({"batch_id": p.batchId, "input_rows": p.numInputRows,
+                                 "trigger_ms": p.durationMs.get("triggerExecution")})
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def _to_queue_rows(dead: DataFrame, retry_time=None) -> DataFrame:
     ts = (F.current_timestamp() if retry_time is None else F.lit(retry_time)).cast("timestamp_ntz")
     keys = dead.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
@@ -143,13 +172,23 @@ class QueueJobStream:
         schema = self.spark.read.parquet(
             os.path.join(self.queue_folder, self.file_glob) if self.file_glob else self.queue_folder).schema
         stream = queue_stream(self.spark, self.queue_folder, schema, self.file_glob, self.max_files)
-        writer = (stream.writeStream.foreachBatch(self.process)
+        query_name = f"{self.name}-{os.path.basename(self.checkpoint.rstrip('/'))}-{id(self)}"
+        self.progress = ProgressLog(query_name)
+        self.spark.streams.addListener(self.progress)
+        writer = (stream.writeStream.foreachBatch(self.process).queryName(query_name)
                   .option("checkpointLocation", self.checkpoint))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
             processingTime=POLL_INTERVAL)
         q = writer.start()
         if available_now:
             q.awaitTermination(timeout)
+            # Listener events arrive asynchronously: let the log catch up
+            # with the processed batches (bounded wait), then detach.
+            for _ in range(50):
+                if len(self.progress.batches) >= len(self.counters):
+                    break
+                time.sleep(0.1)
+            self.spark.streams.removeListener(self.progress)
         return q
 
     def result(self) -> DataFrame:
