@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import rows
 from tidewater.operators import merge

@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tidewater.plans import jobs
