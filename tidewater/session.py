@@ -117,7 +117,7 @@ def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
     if not _STAGES and not _EXIT_HOOK:
         _EXIT_HOOK.append(atexit.register(_release_at_exit, spark))
     _STAGES.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _EXIT_HOOK: list = []
