@@ -33,12 +33,12 @@ ITEM_COLUMNS = ["index_id", "item_id", "goods_id", "goods_name", "goods_img", "s
 FLAT_DOC_COLUMNS = ORDER_COLUMNS + ITEM_COLUMNS
 
 
-def resolve_gorders(keys: DataFrame, gorders: DataFrame):
+def resolve_gorders(keys: DataFrame, gorders: DataFrame, stage: bool = True):
     """T1 + T4 head: shop id of each claimed checkout; ``(found, missing)``.
 
     ``gorders`` has ``gorder_id`` and ``shop_id``.
     """
-    return strict_lookup(keys, gorders, "gorder_id", stage=True)
+    return strict_lookup(keys, gorders, "gorder_id", stage=stage)
 
 
 def order_rows(found: DataFrame, orders: DataFrame):
@@ -66,23 +66,28 @@ def enrich_address(rows: DataFrame, addresses: DataFrame) -> DataFrame:
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
-                 skew_safe="auto") -> DataFrame:
+                 skew_safe="auto", rebuild: bool = False) -> DataFrame:
     """T4 items + goods names + 0-based position.
 
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
     An order without items keeps one row with null item columns.
     """
-    # The batch's items: the item table streamed once through a semi join on
-    # the batch's order ids (broadcast when AQE measures them small) and
-    # staged; the steps below read the batch-sized stage, not the table.
-    batch_items = materialize(items.join(rows.select("order_id"), "order_id", "left_semi"), "batch-items")
+    if rebuild:
+        # Every order is in the batch: slicing would copy the item table.
+        batch_items = items
+    else:
+        # The batch's items: the item table streamed once through a semi
+        # join on the batch's order ids (broadcast when AQE measures them
+        # small) and staged; the steps below read the batch-sized stage.
+        batch_items = materialize(items.join(rows.select("order_id"), "order_id", "left_semi"),
+                                  "batch-items")
     # An item's position depends only on the items of its order, so it is
     # computed on the narrow item rows, before the join to the orders.
     # Line number, then item id; the remaining item columns make the order
     # total where an item id repeats in the source (sf0.001 has one).
     order = [F.col(c).asc_nulls_last() for c in ("line_no", "item_id", "unit_price", "item_count")]
     batch_items = position_in_group(batch_items, ["order_id"], order, "index_id", skew_safe=skew_safe)
-    flat = lookup_join(rows, batch_items.drop("line_no"), "order_id", stream_lookup=True)
+    flat = lookup_join(rows, batch_items.drop("line_no"), "order_id", stream_lookup=not rebuild)
     return lookup_join(flat, goods, "goods_id")
 
 
@@ -93,7 +98,8 @@ def refund_duplicates(refunds: DataFrame) -> DataFrame:
                    .where(F.col("n_refunds") > 1))
 
 
-def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFrame | None = None):
+def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFrame | None = None,
+                  stage: bool = True):
     """``has_refund`` (default false), type and epoch-ms time per item.
 
     Matching is by item id across all orders of the checkout, as in the
@@ -105,7 +111,9 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
     order_of = src.select("order_id", "gorder_id").distinct()
     # The refund feed is scanned once for the batch's orders and staged: the
     # duplicate check and the per-item pick both read the stage.
-    scoped = materialize(refunds.join(order_of, "order_id", "inner"), "batch-refunds")
+    scoped = refunds.join(order_of, "order_id", "inner")
+    if stage:
+        scoped = materialize(scoped, "batch-refunds")
     dup = refund_duplicates(scoped).join(order_of, "order_id").select("gorder_id").distinct()
     # One refund per (checkout, item); two orders of one checkout refunding
     # the same item id resolve to the latest refund.
@@ -130,21 +138,24 @@ def nest_orders(flat: DataFrame) -> DataFrame:
 
 def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFrame,
                           addresses: DataFrame, items: DataFrame, goods: DataFrame,
-                          refunds: DataFrame, skew_safe="auto"):
+                          refunds: DataFrame, skew_safe="auto", rebuild: bool = False):
     """J2 enrichment: claimed queue rows -> flat order documents.
 
     Returns ``(docs, dead)``: ``docs`` in :data:`FLAT_DOC_COLUMNS`, ``dead``
-    one row per failing checkout with ``dl_reason``.
+    one row per failing checkout with ``dl_reason``.  ``rebuild`` says the
+    claimed keys are every checkout (a full rebuild of the index): the big
+    tables are then joined directly instead of being sliced to the batch
+    and staged, which would copy them.  Same result either way.
     """
     keys = claimed.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
-    found, missing = resolve_gorders(keys, gorders)
+    found, missing = resolve_gorders(keys, gorders, stage=not rebuild)
     rows, bad = order_rows(found, orders)
     # Order level, one row per order of the batch: small next to the item
     # table and read several times below, so it is written once as a stage
     # table in the shared folder instead of being recomputed per reference.
     rows = materialize(enrich_address(rows, addresses), "order-rows")
-    flat = attach_items(rows, items, goods, skew_safe=skew_safe)
-    flat, refund_failed = enrich_refund(flat, refunds, rows)
+    flat = attach_items(rows, items, goods, skew_safe=skew_safe, rebuild=rebuild)
+    flat, refund_failed = enrich_refund(flat, refunds, rows, stage=not rebuild)
     docs = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c)
                          for c in FLAT_DOC_COLUMNS])
     dead = (missing.select("gorder_id", F.lit("missing gorder").alias("dl_reason"))

@@ -81,9 +81,9 @@ def _order_search_inputs(spark: SparkSession, d: str, orders_before: str | None
 
 
 def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame, skew_safe="auto",
-                       orders_before: str | None = None):
+                       orders_before: str | None = None, rebuild: bool = False):
     """J2 enrichment: claimed rows -> ``(flat order documents, dead)``."""
-    return build_order_documents(claimed, skew_safe=skew_safe,
+    return build_order_documents(claimed, skew_safe=skew_safe, rebuild=rebuild,
                                  **_order_search_inputs(spark, d, orders_before))
 
 
@@ -92,7 +92,7 @@ def order_index_as_of(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF,
     """The order index as the job left it when every checkout was last
     indexed: all checkouts, orders before ``as_of``."""
     everyone = roles.gorders(spark, d).select("gorder_id")
-    docs, _ = order_search_batch(spark, d, everyone, skew_safe, orders_before=as_of)
+    docs, _ = order_search_batch(spark, d, everyone, skew_safe, orders_before=as_of, rebuild=True)
     return docs.withColumn("doc_id", F.col("order_id").cast("string"))
 
 
@@ -112,7 +112,7 @@ def job_order_search(spark: SparkSession, d: str, index: DataFrame | None = None
 # --------------------------------------------------------------------- J3
 
 def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
-                     orders_before: str | None = None):
+                     orders_before: str | None = None, rebuild: bool = False):
     """J3 as intended: item documents keyed by item id.
 
     The chain is T1 -> T4 -> P1 (no address or refund step), so the
@@ -121,10 +121,15 @@ def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
     """
     inp = _order_search_inputs(spark, d, orders_before)
     keys = distinct_keys(claimed, "gorder_id")
-    found, missing = strict_lookup(keys, inp["gorders"], "gorder_id", stage=True)
-    # Order level, read three times by the split lookup: stage it once.
-    rows = materialize(found.join(inp["orders"], "gorder_id", "inner"), "item-index-rows")
-    flat = lookup_join(rows, inp["items"], "order_id", stream_lookup=True, stage=True)
+    found, missing = strict_lookup(keys, inp["gorders"], "gorder_id", stage=not rebuild)
+    rows = found.join(inp["orders"], "gorder_id", "inner")
+    if rebuild:
+        # Every checkout: plain joins, slicing would copy the tables.
+        flat = lookup_join(rows, inp["items"], "order_id")
+    else:
+        # Order level, read three times by the split lookup: stage it once.
+        rows = materialize(rows, "item-index-rows")
+        flat = lookup_join(rows, inp["items"], "order_id", stream_lookup=True, stage=True)
     flat = lookup_join(flat, inp["goods"], "goods_id")
     docs = project_columns(flat, ITEM_INDEX_COLUMNS, ITEM_INDEX_TYPES)
     good, bad = require_key(docs, "item_id")
@@ -137,7 +142,7 @@ def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
 def job_item_index(spark: SparkSession, d: str):
     """J3 over the whole queue: ``(new_item_index, dead)``."""
     before, _ = item_index_batch(spark, d, roles.gorders(spark, d).select("gorder_id"),
-                                 orders_before=INDEX_AS_OF)
+                                 orders_before=INDEX_AS_OF, rebuild=True)
     docs, dead = item_index_batch(spark, d, roles.queue(spark, d))
     docs = materialize(docs, "item-docs")
     return index_documents(before, docs), dead

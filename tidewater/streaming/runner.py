@@ -244,7 +244,7 @@ class ItemIndexStream(QueueJobStream):
     def initial_state(self) -> DataFrame:
         before, _ = jobs.item_index_batch(self.spark, self.sf_dir,
                                           roles.gorders(self.spark, self.sf_dir).select("gorder_id"),
-                                          orders_before=roles.INDEX_AS_OF)
+                                          orders_before=roles.INDEX_AS_OF, rebuild=True)
         return before
 
     def enrich(self, batch: DataFrame):
