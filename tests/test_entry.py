@@ -23,8 +23,15 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
 
 
+FORBIDDEN_PLAN_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas",
+                        "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_smoke(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert df.columns == list(dict.fromkeys(df.columns))
     df.limit(5).collect()
+    # JVM-side only (no Python UDFs) and no cross joins anywhere in the plan.
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "extended")
+    assert not [n for n in FORBIDDEN_PLAN_NODES if n in plan]
