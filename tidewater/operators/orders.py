@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import last_by_key
-from tidewater.operators.merge import lookup_join, strict_lookup
+from tidewater.operators.merge import batch_slice, lookup_join, strict_lookup
 from tidewater.operators.ranking import nest_children, position_in_group
 from tidewater.session import materialize
 
@@ -41,15 +41,17 @@ def resolve_gorders(keys: DataFrame, gorders: DataFrame, stage: bool = True):
     return strict_lookup(keys, gorders, "gorder_id", stage=stage)
 
 
-def order_rows(found: DataFrame, orders: DataFrame):
+def order_rows(found: DataFrame, orders: DataFrame, stage: bool = True):
     """T4 body: one row per order of each found checkout; ``(rows, bad)``.
 
     A checkout with no orders yields no rows (P6: nothing written, nothing
     deleted).  A checkout with an order whose status or time is null fails
-    as a whole.
+    as a whole.  With ``stage`` the order table is sliced to the batch's
+    checkouts once (one scan); the join and the failure check read the
+    slice.
     """
-    # The failing checkouts come from a pruned scan of the order table, so
-    # the joined rows are not evaluated twice.
+    if stage:
+        orders = batch_slice(orders, [("gorder_id", "gorder_id")], found)
     bad = (orders.where(F.col("order_status").isNull() | F.col("order_time").isNull())
                  .select("gorder_id").distinct())
     rows = found.join(orders, "gorder_id", "inner").join(bad, "gorder_id", "left_anti")
@@ -149,7 +151,7 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     """
     keys = claimed.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
     found, missing = resolve_gorders(keys, gorders, stage=not rebuild)
-    rows, bad = order_rows(found, orders)
+    rows, bad = order_rows(found, orders, stage=not rebuild)
     # Order level, one row per order of the batch: small next to the item
     # table and read several times below, so it is written once as a stage
     # table in the shared folder instead of being recomputed per reference.
