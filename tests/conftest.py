@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,12 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    # Tests run outside a cluster: give the session its own shared folder
-    # only when none is configured.
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tidewater-test-ckpt-")
-    s = get_session("local[4]", 8, app_name="tidewater-tests", extra=extra)
+    # The session's spark.checkpoint.dir is used when configured; only when
+    # it is unset does get_session give the local test session a folder.
+    s = get_session("local[4]", 8, app_name="tidewater-tests")
     yield s
 
 
