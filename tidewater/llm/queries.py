@@ -80,11 +80,11 @@ _OP3 = r"""
 WITH cut AS (
   SELECT row_number() OVER () AS r, doc_id,
          list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM documents),
 items AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark),
 windows AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS passage

@@ -33,10 +33,12 @@ SAMPLE_ROWS = 12_000
 #: n-grams that the classifier may use.
 FEATURES = 3_000
 #: A kept n-gram occurs in so many sampled documents at least.
-MIN_DOCUMENTS = 5
+MIN_DOCUMENTS = 3
+#: ... and differs between the labels by so many standard errors.
+MIN_EVIDENCE = 4.0
 SIZES = (4, 5, 6)
 BUCKETS = 1 << 22
-RIDGE, COUNTERFACTUAL = 1e-4, 1.0
+RIDGE, COUNTERFACTUAL = 3e-4, 1.0
 
 # Identity terms, swapped within each group.
 IDENTITIES = (
@@ -155,7 +157,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         p1, p0 = F.col("pos") / n1, F.col("neg") / n0
         pool = (F.col("pos") + F.col("neg")) / share.n
         z = (p1 - p0) / F.sqrt(pool * (1 - pool) * (1 / n1 + 1 / n0) + 1e-9)
-        best = (_count(sample).filter(F.col("pos") + F.col("neg") >= MIN_DOCUMENTS).withColumn("z", F.abs(z))
+        best = (_count(sample).filter(F.col("pos") + F.col("neg") >= MIN_DOCUMENTS).withColumn("z", F.abs(z)).filter(F.col("z") >= MIN_EVIDENCE)
                 .orderBy(F.desc("z"), "bucket").limit(features).collect())
         bucket = np.array(sorted(r.bucket for r in best), np.int64)
         rows = _rows(sample, bucket).collect()
