@@ -39,27 +39,25 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
-SLICE, SHARD = 8 << 20, 24 << 20
+SLICE, SHARD = 3 << 20, 12 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
 
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """64-bit hash of every ``size`` bytes, never zero."""
-    wrap = (1 << 64) - 1
-    powers = {1: data.astype(np.uint64) + np.uint64(1)}
-    width = 1
-    while width * 2 <= size:
-        h = powers[width]
-        powers[2 * width] = h[:-width] * np.uint64(pow(_BASE, width, wrap + 1)) + h[width:]
+    n, out, width, done = len(data) - size + 1, None, 1, 0
+    own = data.astype(np.uint64) + np.uint64(1)  # hashes of width bytes
+    while True:
+        step = np.uint64(pow(_BASE, width, 1 << 64))
+        if size & width:
+            part = own[done:done + n]
+            out = part.copy() if out is None else out * step + part
+            done += width
+        if 2 * width > size:
+            break
+        own = own[:-width] * step + own[width:]
         width *= 2
-    n, out, at = len(data) - size + 1, None, 0
-    while at < size:
-        part = powers[width][at:at + n]
-        out = part.copy() if out is None else out * np.uint64(pow(_BASE, width, wrap + 1)) + part
-        at += width
-        while width > size - at > 0:
-            width //= 2
     out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return (out ^ (out >> np.uint64(32))) | np.uint64(1)
 
@@ -83,7 +81,7 @@ class Anchors:
         if len(data) < length:
             return
         hashes = _gram_hashes(data, gram)
-        row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        row = np.repeat(np.arange(len(ends) - 1, dtype=np.int32), np.diff(ends))
         windows = len(data) - length + 1
         inside = row[:windows] == row[length - 1:]
         self.least = np.where(inside, _slide(hashes, self.width, np.minimum), np.uint64(0))
