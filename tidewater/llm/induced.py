@@ -66,12 +66,11 @@ class SpillQueues:
 
 def _types(text: np.ndarray) -> np.ndarray:
     """True where the suffix is larger than its successor (L)."""
-    n = len(text)
     change = np.flatnonzero(text[1:] != text[:-1])
     falls = text[change] > text[change + 1]
     # a run takes the type of its last symbol; the end of the text is S
-    at = np.searchsorted(change, np.arange(n))
-    return np.append(falls, False)[at]
+    runs = np.diff(np.concatenate(([-1], change, [len(text) - 1])))
+    return np.repeat(np.append(falls, False), runs)
 
 
 class Inducer:

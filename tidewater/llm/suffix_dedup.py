@@ -39,7 +39,7 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
-SLICE, SHARD = 3 << 20, 12 << 20
+SLICE, SHARD = 3 << 20, 4 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
@@ -177,7 +177,8 @@ def _repeated(table: pa.Table) -> pa.Table:
     rows = []
     for i, number in enumerate(slices):
         own = np.concatenate([once[i], more[i]])
-        own = np.sort(own[np.isin(own, wanted)])
+        place = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+        own = np.sort(own[wanted[place] == own]) if len(wanted) else own[:0]
         if len(own):
             rows.append((number, shard, own.astype("<u4").tobytes()))
     return pa.Table.from_batches([_batch(rows, [("slice", pa.int64()), ("shard", pa.int64()), ("anchors", pa.binary())])])
@@ -361,9 +362,11 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
                 ["slice", "place", "doc_id", "text"])
 
     tagged = texts.mapInArrow(tag, "slice long, place long, doc_id long, text string")
-    asked = _announce(texts, length, gram, bits).groupBy("shard").applyInArrow(_repeated, "slice long, shard long, anchors binary")
+    # as many tasks as shards: the work is in the sorting, not in the bytes
+    dealt = _announce(texts, length, gram, bits).repartition(1 << bits, "shard")
+    asked = dealt.groupBy("shard").applyInArrow(_repeated, "slice long, shard long, anchors binary")
     cut = stage(_cut(tagged, asked, length, gram, bits), "pieces")
-    answers = cut.filter("kind = 0").groupBy("shard").applyInArrow(_classes(length), "slice long, number long, data binary")
+    answers = cut.filter("kind = 0").repartition(1 << bits, "shard").groupBy("shard").applyInArrow(_classes(length), "slice long, number long, data binary")
     known = answers.select("slice", F.lit(2).alias("kind"), "number", "data").unionByName(
         cut.filter("kind = 1").select("slice", "kind", "number", "data"))
     return _remove(tagged, known, length)
