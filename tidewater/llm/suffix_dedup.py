@@ -6,14 +6,14 @@ filters come first.  Every window of LENGTH bytes has an anchor, the smallest
 hash among its ``GRAM``-byte strings, so equal windows have equal anchors; a
 window whose anchor occurs in one document only repeats nowhere.  And a
 window's neighbours share its anchor, so they travel as one piece, and equal
-pieces of a slice travel once, with their smallest doc_id.
+pieces of a slice travel once.
 
 Pieces are dealt to shards by anchor.  A shard collapses equal pieces and
 sorts the window suffixes of the anchors that still have several by external
 induced sorting (:mod:`.induced`); neighbours in that order with a common
-prefix of LENGTH bytes form a class, whose smallest doc_id goes back to the
-slices.  Every step is a grouping of bounded blobs; documents meet only their
-own slice's answers.
+prefix of LENGTH bytes form a class, and windows of documents other than the
+class's first go back to the slices as removed places.  Every step is a
+grouping of bounded compressed blobs.
 
 ``documents`` must give the same rows in the same partitions when read again
 (a table read from files).  Null text is empty; shorter texts than LENGTH
@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, numbered_slices, ragged, stage, text_bytes
+from .common import binary_array, numbered_slices, ragged, text_bytes
 from .induced import suffix_order
 
 LENGTH = 50
 GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
-SLICE, SHARD = 3 << 20, 4 << 20
+SLICE, SHARD = 3 << 20, 8 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
@@ -195,76 +195,88 @@ def _wanted(anchors: Anchors, shards: list[int], blobs: list[bytes], bits: int)
     return keys[place] == own
 
 
-#: kind 0: a distinct piece of a slice (number, shard, hash, smallest doc_id,
-#: bytes); kind 1: the places of pieces in the slice's row ``number``.
-_PIECES = "slice long, kind int, number long, shard long, hash long, least long, data binary"
+def _pack(batch: pa.RecordBatch) -> bytes:
+    """A batch as one compressed blob."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def _cut(texts: DataFrame, asked: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
-    names = ["slice", "kind", "number", "shard", "hash", "least", "data"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+def _unpack(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
+def _cut(slices: DataFrame, asked: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
+    """(shard, slice, pieces): blobs of the pieces at the anchors asked for,
+    with the rows, doc_ids and places where they are."""
 
     def run(key: tuple, own: pa.Table, wanted: pa.Table) -> pa.Table:
-        number = key[0].as_py()
-        out = []
+        number, rows = key[0].as_py(), []
         if own.num_rows and wanted.num_rows:
-            part = own.sort_by("place").combine_chunks().to_batches()[0]
-            found = Anchors(*text_bytes(part.column("text")), length, gram)
+            part = _unpack(own.column("texts")[0].as_py())
+            data, ends = text_bytes(part.column("text"))
+            found = Anchors(data, ends, length, gram)
             row, first, count, hashes = found.pieces(_wanted(found, wanted.column("shard").to_pylist(), wanted.column("anchors").to_pylist(), bits))
-            if len(row):
-                coded = found.content(first, count).dictionary_encode()
-                index = coded.indices.to_numpy()
-                n = len(coded.dictionary)
-                least = np.full(n, _LAST)
-                np.minimum.at(least, index, _ids(part.column("doc_id"))[row])
-                its = np.zeros(n, np.uint64)
-                its[index] = hashes
-                out.append(pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, number)), pa.array(np.zeros(n, np.int32)), pa.array(np.arange(n)), pa.array(_range(its, bits)),
-                     pa.array(its.view(np.int64)), pa.array(least), coded.dictionary], names))
-                places = np.stack([index, first - text_bytes(part.column("text"))[1][row], count], axis=1).astype("<i4")
-                order = np.argsort(row, kind="stable")
-                rows = [(number, 1, r, None, None, None, p.tobytes()) for r, p in _dealt(places[order], row[order])]
-                out.append(_batch(rows, list(zip(names, kinds, strict=True))))
-        return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds, strict=True))))
-
-    return texts.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(run, _PIECES)
+            ids = _ids(part.column("doc_id"))
+            order = np.argsort(hashes, kind="stable")
+            for shard, at in _dealt(order, _range(hashes[order], bits)):
+                r = row[at]
+                rows.append((shard, number, _pack(pa.RecordBatch.from_arrays(
+                    [found.content(first[at], count[at]).dictionary_encode(), pa.array(hashes[at].view(np.int64)), pa.array(ids[r]),
+                     pa.array(r), pa.array((first[at] - ends[r]).astype(np.int32)), pa.array(count[at].astype(np.int32))],
+                    ["content", "hash", "id", "row", "first", "count"]))))
+        return pa.Table.from_batches([_batch(rows, [("shard", pa.int64()), ("slice", pa.int64()), ("pieces", pa.binary())])])
+
+    return slices.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(run, "shard long, slice long, pieces binary")
 
 
 def _classes(length: int):
-    """Of a shard's pieces: per slice and piece, the smallest doc_id of each
-    window's class (one value if all windows agree)."""
+    """Of a shard's pieces: per slice, the places of windows to remove as
+    (row, first window, last window + 1)."""
 
     def run(table: pa.Table) -> pa.Table:
-        pieces = table.column("data").combine_chunks()
-        coded = pieces.dictionary_encode()
-        coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+        parts = [_unpack(b.as_py()) for b in table.column("pieces")]
+        coded = pa.concat_arrays([p.column("content").cast(pa.binary()) for p in parts]).dictionary_encode()
+        hashes, ids, row, first, count = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("hash", "id", "row", "first", "count"))
+        at_slice = np.repeat(np.array(table.column("slice").to_pylist()), [p.num_rows for p in parts])
         index, content = coded.indices.to_numpy(), coded.dictionary
         least = np.full(len(content), _LAST)
-        np.minimum.at(least, index, table.column("least").to_numpy())
-        hashes = np.zeros(len(content), np.int64)
-        hashes[index] = table.column("hash").to_numpy()
-        data, ends = text_bytes_of(content)
-        count = np.diff(ends) - length + 1
+        np.minimum.at(least, index, ids)
+        anchor = np.zeros(len(content), np.int64)
+        anchor[index] = hashes
+        data, ends = text_bytes(content.cast(pa.large_binary()).view(pa.large_string()))
+        sizes = np.diff(ends)
+        windows = sizes - length + 1
         # a piece alone with its anchor has no other windows to meet
-        mates = np.flatnonzero(pd.Series(hashes).duplicated(keep=False).to_numpy())
-        first = np.cumsum(count) - count
-        best = np.repeat(least, count)
+        mates = np.flatnonzero(pd.Series(anchor).duplicated(keep=False).to_numpy())
+        start = np.cumsum(windows) - windows
+        best = np.repeat(least, windows)
         if len(mates):
-            at = ragged(first[mates], count[mates])
-            best[at] = _least_of_class(data[ragged(ends[mates], np.diff(ends)[mates])], np.diff(ends)[mates], count[mates], least[mates], length)
-        even = np.minimum.reduceat(best, first) == np.maximum.reduceat(best, first)
-        answers = [best[a:a + (1 if e else n)].astype("<i8").tobytes() for a, n, e in zip(first, count, even, strict=True)]
-        return pa.table({"slice": table.column("slice"), "number": table.column("number"),
-                         "data": pa.array([answers[i] for i in index], pa.binary())})
+            best[ragged(start[mates], windows[mates])] = _least_of_class(
+                data[ragged(ends[mates], sizes[mates])], sizes[mates], windows[mates], least[mates], length)
+        # whole pieces go if their worst window goes; of the others, runs
+        whole = np.maximum.reduceat(best, start)[index] < ids
+        mixed = np.flatnonzero(~whole & (np.minimum.reduceat(best, start)[index] < ids))
+        n = count[mixed].astype(np.int64)
+        gone = best[ragged(start[index[mixed]], n)] < np.repeat(ids[mixed], n)
+        owner = np.repeat(mixed, n)
+        place = ragged(first[mixed].astype(np.int64), n)[gone]
+        owner = owner[gone]
+        joins = (owner[1:] == owner[:-1]) & (place[1:] == place[:-1] + 1)
+        head = np.flatnonzero(np.append(True, ~joins)[:len(owner)])
+        tail = np.append(head[1:], len(owner)) - 1
+        pick = np.concatenate((np.flatnonzero(whole), owner[head]))
+        begin = np.concatenate((first[whole], place[head]))
+        stop = np.concatenate((first[whole] + count[whole], place[tail] + 1 if len(head) else place[:0]))
+        order = np.argsort(at_slice[pick], kind="stable")
+        spans = np.stack([row[pick], begin, stop], axis=1).astype("<i4")[order]
+        rows = [(number, p.tobytes()) for number, p in _dealt(spans, at_slice[pick][order])]
+        return pa.Table.from_batches([_batch(rows, [("slice", pa.int64()), ("spans", pa.binary())])])
 
     return run
 
 
-def text_bytes_of(content: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return text_bytes(content.cast(pa.large_binary()).view(pa.large_string()))
-
-
 def _least_of_class(data: np.ndarray, sizes: np.ndarray, count: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
     """Window by window of the given pieces: the smallest ``least`` of the
     pieces that hold the window's bytes."""
@@ -299,37 +311,20 @@ def _common_prefix(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
 _RESULT = "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"
 
 
-def _remove(texts: DataFrame, answers: DataFrame, length: int) -> DataFrame:
+def _remove(slices: DataFrame, answers: DataFrame, length: int) -> DataFrame:
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
+
     def run(key: tuple, own: pa.Table, known: pa.Table) -> pa.Table:
-        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
         if not own.num_rows:
-            return schema.empty_table()
-        part = own.sort_by("place").combine_chunks().to_batches()[0]
+            raise ValueError("documents changed between two reads; read them from a table")
+        part = _unpack(own.column("texts")[0].as_py())
         data, ends = text_bytes(part.column("text"))
-        kind, number, blobs = known.column("kind").to_numpy(), known.column("number").to_numpy(), known.column("data").to_pylist()
         cover = np.zeros(len(data) + 1, np.int32)
-        if len(kind):
-            answer = np.flatnonzero(kind == 2)
-            sizes = np.zeros(number[answer].max() + 1 if len(answer) else 0, np.int64)
-            start = sizes.copy()
-            sizes[number[answer]] = [len(blobs[i]) // 8 for i in answer]
-            start[number[answer]] = np.cumsum(sizes[number[answer]]) - sizes[number[answer]]
-            values = np.frombuffer(b"".join(blobs[i] for i in answer), "<i8")
-            ids = _ids(part.column("doc_id"))
-            for i in np.flatnonzero(kind == 1):
-                piece, first, count = np.frombuffer(blobs[i], "<i4").reshape(-1, 3).T.astype(np.int64)
-                row = int(number[i])
-                if not sizes[piece].all():
-                    raise ValueError("documents changed between two reads; read them from a table")
-                one = sizes[piece] == 1
-                gone = one & (values[start[piece]] < ids[row])
-                np.add.at(cover, ends[row] + first[gone], 1)
-                np.add.at(cover, ends[row] + (first + count)[gone] + length - 1, -1)
-                at = ragged(first[~one], count[~one])
-                hit = at[values[ragged(start[piece[~one]], count[~one])] < ids[row]] + ends[row]
-                np.add.at(cover, hit, 1)
-                np.add.at(cover, hit + length, -1)
+        for blob in known.column("spans").to_pylist():
+            row, first, stop = np.frombuffer(blob, "<i4").reshape(-1, 3).T.astype(np.int64)
+            np.add.at(cover, ends[row] + first, 1)
+            np.add.at(cover, ends[row] + stop + length - 1, -1)
         gone = np.cumsum(cover[:-1]) > 0
         edge = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
         begin, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -343,9 +338,9 @@ def _remove(texts: DataFrame, answers: DataFrame, length: int) -> DataFrame:
         bounds = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32))
         left = np.concatenate(([0], np.cumsum(~gone)))
         kept = binary_array(data[~gone], left[ends[1:]] - left[ends[:-1]])
-        return pa.table([part.column("doc_id"), pa.array(np.diff(ends)), pa.ListArray.from_arrays(bounds, spans), kept], schema)
+        return pa.table([part.column("doc_id"), pa.array(np.diff(ends)), pa.ListArray.from_arrays(bounds, spans), kept], schema=schema)
 
-    return texts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, _RESULT)
+    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, _RESULT)
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -357,16 +352,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, part in numbered_slices(batches, SLICE):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(part.num_rows, number)), pa.array(np.arange(part.num_rows)), part.column("doc_id"), part.column("text")],
-                ["slice", "place", "doc_id", "text"])
+            yield _batch([(number, _pack(part))], [("slice", pa.int64()), ("texts", pa.binary())])
 
-    tagged = texts.mapInArrow(tag, "slice long, place long, doc_id long, text string")
+    slices = texts.mapInArrow(tag, "slice long, texts binary")
     # as many tasks as shards: the work is in the sorting, not in the bytes
-    dealt = _announce(texts, length, gram, bits).repartition(1 << bits, "shard")
-    asked = dealt.groupBy("shard").applyInArrow(_repeated, "slice long, shard long, anchors binary")
-    cut = stage(_cut(tagged, asked, length, gram, bits), "pieces")
-    answers = cut.filter("kind = 0").repartition(1 << bits, "shard").groupBy("shard").applyInArrow(_classes(length), "slice long, number long, data binary")
-    known = answers.select("slice", F.lit(2).alias("kind"), "number", "data").unionByName(
-        cut.filter("kind = 1").select("slice", "kind", "number", "data"))
-    return _remove(tagged, known, length)
+    announced = _announce(texts, length, gram, bits).repartition(1 << bits, "shard")
+    asked = announced.groupBy("shard").applyInArrow(_repeated, "slice long, shard long, anchors binary")
+    cut = _cut(slices, asked, length, gram, bits).repartition(1 << bits, "shard")
+    answers = cut.groupBy("shard").applyInArrow(_classes(length), "slice long, spans binary")
+    return _remove(slices, answers, length)
