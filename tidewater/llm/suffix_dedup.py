@@ -39,7 +39,7 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
-SLICE, SHARD = 3 << 20, 8 << 20
+SLICE, SHARD = 3 << 20, 3 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
