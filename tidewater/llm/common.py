@@ -4,6 +4,7 @@ tables in the shared folder, and byte-level views of Arrow text columns."""
 from __future__ import annotations
 
 import atexit
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -83,6 +84,15 @@ def numbered_slices(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[t
         yield task | i, part
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a worker lives on between tasks,
+    and what its allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column, end to end, and the n + 1 offsets of
     its rows (a null row is empty)."""

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, numbered_slices, ragged, text_bytes
+from .common import binary_array, give_back, numbered_slices, ragged, text_bytes
 from .induced import suffix_order
 
 LENGTH = 50
 GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
-SLICE, SHARD = 3 << 20, 3 << 20
+SLICE, SHARD = 2 << 20, 5 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
@@ -153,6 +153,7 @@ def _announce(documents: DataFrame, length: int, gram: int, bits: int) -> DataFr
                     blobs.setdefault(shard, [b"", b""])[i] = values.astype("<u4").tobytes()
             rows = [(s, number, *b) for s, b in blobs.items()]
             yield _batch(rows, [("shard", pa.int64()), ("slice", pa.int64()), ("once", pa.binary()), ("more", pa.binary())])
+            give_back()
 
     return documents.select("text").mapInArrow(run, "shard long, slice long, once binary, more binary")
 
@@ -212,6 +213,7 @@ def _cut(slices: DataFrame, asked: DataFrame, length: int, gram: int, bits: int)
     with the rows, doc_ids and places where they are."""
 
     def run(key: tuple, own: pa.Table, wanted: pa.Table) -> pa.Table:
+        give_back()
         number, rows = key[0].as_py(), []
         if own.num_rows and wanted.num_rows:
             part = _unpack(own.column("texts")[0].as_py())
@@ -236,6 +238,7 @@ def _classes(length: int):
     (row, first window, last window + 1)."""
 
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         parts = [_unpack(b.as_py()) for b in table.column("pieces")]
         coded = pa.concat_arrays([p.column("content").cast(pa.binary()) for p in parts]).dictionary_encode()
         hashes, ids, row, first, count = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("hash", "id", "row", "first", "count"))
@@ -316,6 +319,7 @@ def _remove(slices: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 
     def run(key: tuple, own: pa.Table, known: pa.Table) -> pa.Table:
+        give_back()
         if not own.num_rows:
             raise ValueError("documents changed between two reads; read them from a table")
         part = _unpack(own.column("texts")[0].as_py())
