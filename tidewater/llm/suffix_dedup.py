@@ -39,7 +39,7 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
-SLICE, SHARD = 2 << 20, 5 << 20
+SLICE, SHARD = 3 << 20, 8 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 
@@ -90,10 +90,15 @@ class Anchors:
         self.at = np.flatnonzero(chosen)
         self.hash, self.row = hashes[self.at], row[self.at]
 
+    @property
+    def key(self) -> np.ndarray:
+        """The hashes, spread evenly: a smallest hash is a small number."""
+        return self.hash * np.uint64(_BASE)
+
     def pieces(self, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For the anchors in ``mask``: rows, first windows, numbers of
-        windows and hashes.  A window belongs to the first of its anchors."""
-        at, hashes, row = self.at[mask], self.hash[mask], self.row[mask]
+        windows and keys.  A window belongs to the first of its anchors."""
+        at, hashes, row, keys = self.at[mask], self.hash[mask], self.row[mask], self.key[mask]
         order = np.argsort(hashes, kind="stable")
         before = np.full(len(at), -1)
         same = hashes[order][1:] == hashes[order][:-1]
@@ -106,7 +111,7 @@ class Anchors:
             first[own] = start[own]
             count += own
         held = count > 0
-        return row[held], first[held], count[held], hashes[held]
+        return row[held], first[held], count[held], keys[held]
 
     def content(self, first: np.ndarray, count: np.ndarray) -> pa.Array:
         size = count + self.length - 1
@@ -140,8 +145,9 @@ def _announce(documents: DataFrame, length: int, gram: int, bits: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, part in numbered_slices(batches, SLICE):
             found = Anchors(*text_bytes(part.column("text")), length, gram)
-            order = np.lexsort((found.row, found.hash))
-            hashes, row = found.hash[order], found.row[order]
+            hashes = found.key
+            order = np.lexsort((found.row, hashes))
+            hashes, row = hashes[order], found.row[order]
             new = np.append(True, hashes[1:] != hashes[:-1])[:len(hashes)]
             start = np.flatnonzero(new)
             end = np.append(start[1:], len(hashes)) - 1
@@ -191,7 +197,7 @@ def _wanted(anchors: Anchors, shards: list[int], blobs: list[bytes], bits: int)
     if not keys or not len(anchors.at):
         return np.zeros(len(anchors.at), bool)
     keys = np.sort(np.concatenate(keys))
-    own = (_range(anchors.hash, bits).astype(np.uint64) << np.uint64(32)) | _low(anchors.hash, bits)
+    own = (_range(anchors.key, bits).astype(np.uint64) << np.uint64(32)) | _low(anchors.key, bits)
     place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
     return keys[place] == own
 
