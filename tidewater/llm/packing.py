@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import text_slices
+from .common import give_back, text_slices
 from .tokens import encoder, vocabulary_path
 
 LONGEST = 4096
@@ -153,6 +153,7 @@ def pack_documents(documents: DataFrame, longest: int = LONGEST, shortest: int =
                     yield packer.take()
             packer.pack()
             yield packer.take()
+            give_back()
         packer.flush()
         yield packer.take()
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import give_back, text_slices
 from .tokens import encoder, vocabulary_path
 
 CHUNK = 6 << 20
@@ -34,6 +34,7 @@ def document_lengths(documents: DataFrame, vocabulary: str | None = None) -> Dat
             lengths, counts = np.unique(np.diff(codes.encode(part.column("text"))[1]) + 1, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(lengths, pa.int64()), pa.array(counts, pa.int64())],
                                              ["n_tokens", "n_docs"])
+            give_back()
 
     return documents.select("text").mapInArrow(run, "n_tokens long, n_docs long")
 
