@@ -38,7 +38,7 @@ END = 256
 #: Bytes of text in a block, and bytes that a numpy step looks at.
 BLOCK, STEP = 24 << 20, 2 << 20
 #: Measured rows of the model up to which it is broadcast (16 bytes each).
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 GRAM, WORD = 0, 1
 
 
