@@ -151,7 +151,7 @@ def shard_documents(documents: DataFrame, shards: int = SHARDS, overhead: int =
     each shard, by doc_id within hashed groups)."""
     rows = metadata(documents, overhead)
     front = [Node(0, shards)]
-    placed = rows.withColumn("node", F.lit(0))
+    placed = stage(rows.withColumn("node", F.lit(0)), "tree")
     while any(n.shards > 1 for n in front):
         nodes = [n for n in front if n.shards > 1]
         _split(placed, nodes)
