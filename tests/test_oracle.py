@@ -24,7 +24,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(E.catalog.oracle_sql()))
 def test_matches_oracle(spark, duck, name):
     sp = E.queries()[name](spark, SF_SMALL).toPandas()
     dk = duck.execute(E.oracle_sql()[name]).df()

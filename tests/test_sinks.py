@@ -1,7 +1,7 @@
 
 from conftest import rows
 from tidewater.sinks import search as ks, table as kt, widecolumn as kw
-from tidewater.sinks.snapshot import VersionedTable
+from tidewater.sinks.appended import AppendedTable
 from tidewater.session import fresh_path
 
 TGT = ("order_type string, amount double, buy_account string, benefit_user_account int, "
@@ -78,34 +78,40 @@ def test_wide_put_and_delete(spark):
     assert rows(kw.delete_rows(out, spark.createDataFrame([("k1",)], "row_key string")), "row_key") == [("k2",)]
 
 
-def test_versioned_table_replay_is_noop(spark):
-    vt = VersionedTable(spark, fresh_path(spark, "vt-test"))
-    df = spark.createDataFrame([(1,)], "a int")
-    assert vt.commit(df, 0) is True
-    assert vt.commit(df.union(df), 0) is False
-    assert vt.read().count() == 1
-    assert vt.apply(1, lambda cur: cur.union(cur), empty=df) is True
-    assert vt.current_version() == 1 and vt.read().count() == 2
-
-
-def test_routed_versions_rewrite_only_touched_buckets(spark):
-    from tidewater.sinks.snapshot import RoutedVersionedTable
-
-    root = fresh_path(spark, "routed-test")
-    t = RoutedVersionedTable(spark, root, "shop_id", buckets=8)
-    base = spark.createDataFrame([(f"d{i}", None, i % 8, i, "old") for i in range(40)], DOCS)
-    assert t.initialize(base, version=-1)
-    batch = spark.createDataFrame([("d3", None, 3, 3, "new"), ("n1", None, 3, 99, "new")], DOCS)
-    upd = lambda cur: ks.replace_groups(cur, batch, ("shop_id", "gorder_id"))
-    assert t.apply(0, batch, upd)
-    assert not t.apply(0, batch, upd)                   # replay: no-op
-    m = t._read_manifest(0)
-    rewritten = {b for b, v in m["buckets"].items() if v == 0}
-    assert len(rewritten) == 1                           # only shop 3's bucket
-    out = t.read()
-    assert out.count() == 41
-    assert rows(out.where("v = 'new'"), "doc_id") == [("d3",), ("n1",)]
-    assert rows(t.read(-1), "doc_id") == rows(base, "doc_id")   # old version intact
+def _target(spark, root, name="epoch"):
+    return AppendedTable(spark, f"{root}/index", ["shop_id", "gorder_id"], f"{root}/{name}")
+
+
+def test_appended_batches_hold_only_their_rows_and_replays_change_nothing(spark):
+    root = fresh_path(spark, "appended-test")
+    t = _target(spark, root)
+    base = spark.createDataFrame([(f"d{i}", None, i % 8 or None, i, "old") for i in range(40)], DOCS)
+    t.initialize(lambda: base)
+    t.initialize(lambda: base.limit(0))                  # there is one already
+    one = spark.createDataFrame([("d3", None, 3, 3, "new"), ("n1", None, 3, 99, "new"), ("d8", None, None, 8, "new")], DOCS)
+    two = spark.createDataFrame([("d4", None, 4, 4, "two"), ("x4", None, 4, 4, "two")], DOCS)
+    t.append(0, one)
+    t.append(1, two)
+    state = rows(t.read(), *base.columns)
+    assert t.read().count() == 42 and t.rows().where("epoch > 0").count() == 5
+    assert rows(t.read().where("v = 'new'"), "doc_id") == [("d3",), ("d8",), ("n1",)]
+    for i, df in ((0, one), (1, two), (0, one)):        # replays of any age
+        t.append(i, df)
+        assert rows(t.read(), *base.columns) == state
+    assert rows(t.read((t.epoch, 1)).where("gorder_id = 4"), "v") == [("old",)]
+    assert rows(t.read(only=two), "doc_id") == [("d4",), ("x4",)]
+    assert rows(t.compact(f"{root}/compacted").read(), *base.columns) == state
+
+
+def test_new_checkpoint_over_an_old_target_loses_nothing(spark):
+    root = fresh_path(spark, "appended-epoch-test")
+    t = _target(spark, root)
+    t.initialize(lambda: spark.createDataFrame([("d1", None, 1, 1, "old")], DOCS))
+    t.append(0, spark.createDataFrame([("d2", None, 1, 2, "first")], DOCS))
+    again = _target(spark, root, "epoch2")               # batch ids start anew
+    assert _target(spark, root).epoch == t.epoch < again.epoch
+    again.append(0, spark.createDataFrame([("d1", None, 1, 1, "second")], DOCS))
+    assert rows(again.read(), "doc_id", "v") == [("d1", "second"), ("d2", "first")] == rows(t.read(), "doc_id", "v")
 
 
 def test_get_documents_bulk_and_single(spark):
@@ -122,22 +128,6 @@ def test_get_documents_bulk_and_single(spark):
     assert ss.search_page(idx, {}).count() == 0
 
 
-def test_routed_vacuum_keeps_shared_buckets(spark):
-    from tidewater.sinks.snapshot import RoutedVersionedTable
-
-    t = RoutedVersionedTable(spark, fresh_path(spark, "vacuum-test"), "shop_id", buckets=4)
-    base = spark.createDataFrame([(f"d{i}", None, i % 4, i, "v0") for i in range(20)], DOCS)
-    t.initialize(base, version=-1)
-    for v in range(4):
-        b = spark.createDataFrame([(f"n{v}", None, 1, 100 + v, f"v{v}")], DOCS)
-        t.apply(v, b, lambda cur, b=b: ks.replace_groups(cur, b, ("shop_id", "gorder_id")))
-    expected = rows(t.read(), "doc_id")
-    assert t.vacuum(keep=2) > 0
-    assert t.versions() == [2, 3]
-    assert rows(t.read(), "doc_id") == expected          # shared buckets of v=-1 survive
-    assert rows(t.read(2), "doc_id") == sorted(set(expected) - {("n3",)}, key=repr)
-
-
 def test_search_pages_are_slices_of_the_sorted_matches(spark):
     from tidewater.sources import search as ss
 
@@ -149,3 +139,12 @@ def test_search_pages_are_slices_of_the_sorted_matches(spark):
         assert got == match[page * 20:(page + 1) * 20]
     routed = ss.search_page(idx, {"v": "x"}, page=0, size=1000, routing="r1")
     assert {r["routing"] for r in routed.collect()} == {"r1"}
+
+
+def test_repeated_ids_in_a_batch_leave_one_document(spark):
+    idx = spark.createDataFrame([("a", None, 1, 1, "x")], DOCS)
+    twice = spark.createDataFrame([("a", "u1"), ("a", "u2"), ("b", "u3"), ("b", "u3")], "doc_id string, v string")
+    updated, missing = ks.update_documents(idx, twice)
+    assert rows(updated, "doc_id", "v") == [("a", "u2")] and rows(missing, "doc_id", "v") == [("b", "u3")]
+    both = spark.createDataFrame([("a", None, 1, 1, "n1"), ("a", None, 1, 1, "n2"), ("c", None, 1, 1, "n3")], DOCS)
+    assert rows(ks.index_documents(idx, both), "doc_id", "v") == [("a", "n2"), ("c", "n3")]

@@ -39,7 +39,7 @@ def main(argv=None) -> None:
     if not a.once:
         q.awaitTermination()
     print(json.dumps({"job": a.job, "batches": job.counters,
-                      "version": job.index.current_version()}))
+                      "epoch": job.index.epoch}))
 
 
 if __name__ == "__main__":

@@ -105,10 +105,10 @@ FROM ids LEFT JOIN dx ON dx.doc_id = ids.doc_id""")
 def q_doc_get(spark, d):
     ids = (roles.orders(spark, d).join(_queue_keys(spark, d), "gorder_id", "left_semi")
            .select(keys.id_text("order_id").alias("doc_id")))
-    return ssearch.get_documents(roles.documents(spark, d), ids)
+    return ssearch.get_documents(roles.documents(spark, d, roles.INDEX_AS_OF), ids)
 
 
-@register("doc_search_page", f"""SELECT {sql.DOC_COLS}, doc_id AS _doc_id FROM ({sql.docs()})
+@register("doc_search_page", f"""SELECT {sql.DOC_COLS}, doc_id AS _doc_id FROM ({sql.CURRENT_DOCS})
 WHERE order_status = 'F' AND order_priority = '1-URGENT' ORDER BY doc_id LIMIT 100 OFFSET {100 * SEARCH_PAGE}""")
 def q_doc_search_page(spark, d):
     return ssearch.search_page(roles.documents(spark, d), SEARCH_TERMS, page=SEARCH_PAGE)
@@ -404,11 +404,11 @@ def q_upsert_commission(spark, d):
 SELECT * FROM dx WHERE doc_id NOT IN (SELECT doc_id FROM b) UNION ALL SELECT * FROM b""")
 def q_doc_index(spark, d):
     batch = _queued_docs(spark, d).withColumn("routing", F.lit(None).cast("string"))
-    return ksearch.index_documents(roles.documents(spark, d), batch)
+    return ksearch.index_documents(roles.documents(spark, d, roles.INDEX_AS_OF), batch)
 
 
 def _queued_docs(spark, d):
-    cur = roles.documents(spark, d, as_of="9999-12-31")
+    cur = roles.documents(spark, d)
     return cur.join(_queue_keys(spark, d), "gorder_id", "left_semi").select(*roles.documents(spark, d).columns)
 
 
@@ -417,7 +417,7 @@ def _queued_docs(spark, d):
   order_pay_amount, order_time FROM ({sql.QUEUED_DOCS}))
 SELECT * FROM dx WHERE doc_id NOT IN (SELECT doc_id FROM b) UNION ALL SELECT * FROM b""")
 def q_doc_index_parent(spark, d):
-    return ksearch.index_with_parent(roles.documents(spark, d), _queued_docs(spark, d), "shop_id")
+    return ksearch.index_with_parent(roles.documents(spark, d, roles.INDEX_AS_OF), _queued_docs(spark, d), "shop_id")
 
 
 def _refund_updates(spark, d):
@@ -431,7 +431,7 @@ SELECT dx.doc_id, dx.routing, dx.shop_id, dx.gorder_id, dx.order_id,
   CASE WHEN u.doc_id IS NOT NULL THEN '{REFUND_STATUS}' ELSE dx.order_status END AS order_status,
   dx.order_priority, dx.order_pay_amount, dx.order_time FROM dx LEFT JOIN u ON u.doc_id = dx.doc_id""")
 def q_doc_update(spark, d):
-    updated, _ = ksearch.update_documents(roles.documents(spark, d), _refund_updates(spark, d))
+    updated, _ = ksearch.update_documents(roles.documents(spark, d, roles.INDEX_AS_OF), _refund_updates(spark, d))
     return updated
 
 
@@ -439,11 +439,11 @@ def q_doc_update(spark, d):
 SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS doc_id, '{REFUND_STATUS}' AS order_status FROM lineitem
 WHERE l_returnflag = 'R' AND CAST(l_orderkey AS VARCHAR) NOT IN (SELECT doc_id FROM dx)""")
 def q_doc_update_missing(spark, d):
-    _, missing = ksearch.update_documents(roles.documents(spark, d), _refund_updates(spark, d))
+    _, missing = ksearch.update_documents(roles.documents(spark, d, roles.INDEX_AS_OF), _refund_updates(spark, d))
     return missing
 
 
-@register("doc_delete", f"""WITH dx AS ({sql.docs()})
+@register("doc_delete", f"""WITH dx AS ({sql.CURRENT_DOCS})
 SELECT * FROM dx WHERE doc_id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders
   WHERE o_custkey IN (SELECT user_id FROM events WHERE event_type = 'error'))""")
 def q_doc_delete(spark, d):
@@ -453,14 +453,14 @@ def q_doc_delete(spark, d):
     return ksearch.delete_documents(roles.documents(spark, d), ids)
 
 
-@register("doc_delete_by_query", f"""SELECT * FROM ({sql.docs()})
+@register("doc_delete_by_query", f"""SELECT * FROM ({sql.CURRENT_DOCS})
 WHERE NOT (order_status = 'O' AND order_priority = '5-LOW')""")
 def q_doc_delete_by_query(spark, d):
     remaining, _ = ksearch.delete_by_query(roles.documents(spark, d), DELETE_TERMS)
     return remaining
 
 
-@register("doc_delete_count", f"""SELECT CAST(count(*) AS BIGINT) AS deleted FROM ({sql.docs()})
+@register("doc_delete_count", f"""SELECT CAST(count(*) AS BIGINT) AS deleted FROM ({sql.CURRENT_DOCS})
 WHERE order_status = 'O' AND order_priority = '5-LOW'""")
 def q_doc_delete_count(spark, d):
     _, n = ksearch.delete_by_query(roles.documents(spark, d), DELETE_TERMS)
@@ -472,10 +472,10 @@ SELECT * FROM dx WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.shop_id IS NOT DISTIN
   AND b.gorder_id IS NOT DISTINCT FROM dx.gorder_id)
 UNION ALL SELECT * FROM b""")
 def q_replace_group(spark, d):
-    return ksearch.replace_groups(roles.documents(spark, d), _queued_docs(spark, d), ("shop_id", "gorder_id"))
+    return ksearch.replace_groups(roles.documents(spark, d, roles.INDEX_AS_OF), _queued_docs(spark, d), ("shop_id", "gorder_id"))
 
 
-@register("routing_layout", f"SELECT {sql.DOC_COLS} FROM ({sql.docs()})")
+@register("routing_layout", f"SELECT {sql.DOC_COLS} FROM ({sql.CURRENT_DOCS})")
 def q_routing_layout(spark, d):
     path = fresh_path(spark, "routing-layout")
     layout.write_routed(roles.documents(spark, d), path, "routing")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.dedup import distinct_keys
+from tidewater.operators.dedup import distinct_keys, last_by_key
 from tidewater.operators.merge import lookup_join, strict_lookup
 from tidewater.operators.orders import FLAT_DOC_COLUMNS, build_order_documents
 from tidewater.operators.projection import project_columns, require_key
@@ -133,6 +133,8 @@ def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
     flat = lookup_join(flat, inp["goods"], "goods_id")
     docs = project_columns(flat, ITEM_INDEX_COLUMNS, ITEM_INDEX_TYPES)
     good, bad = require_key(docs, "item_id")
+    # one document per id, as an index keeps (the highest price, then count)
+    good = last_by_key(good, "item_id", ["unit_price", "item_count"])
     good = good.withColumn("doc_id", F.col("item_id")).withColumn("routing", F.lit(None).cast("string"))
     dead = (missing.select("gorder_id", F.lit("missing gorder").alias("dl_reason"))
             .unionByName(bad.select("gorder_id", F.lit("null item id").alias("dl_reason"))))

@@ -118,7 +118,8 @@ def item_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
   CAST(NULL AS BIGINT) AS apply_time, goods_id, goods_name, CAST(NULL AS VARCHAR) AS goods_img, sku_id,
   CAST(NULL AS VARCHAR) AS sku_desc, unit_price, item_count FROM {p}_flat),
 {p}_docs AS (SELECT *, item_id AS doc_id, CAST(NULL AS VARCHAR) AS routing FROM {p}_all
-  WHERE item_id IS NOT NULL),
+  WHERE item_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY unit_price DESC, item_count DESC) = 1),
 {p}_dead AS (SELECT gorder_id, 'missing gorder' AS dl_reason FROM {p}_k
   WHERE gorder_id NOT IN (SELECT c_custkey FROM customer)
   UNION ALL SELECT gorder_id, 'null item id' AS dl_reason FROM {p}_all WHERE item_id IS NULL)"""

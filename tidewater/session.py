@@ -12,8 +12,10 @@ from __future__ import annotations
 import atexit
 import os
 import tempfile
+import threading
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings applied when the caller has not set them.  AQE re-plans joins at
@@ -45,20 +47,36 @@ RUNTIME_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidewater", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        for k, v in conf.items():
+            if spark.conf.isModifiable(k) and not _is_set(spark, k):
+                spark.conf.set(k, v)
+        for k, v in (extra or {}).items():
+            if spark.conf.isModifiable(k):
+                spark.conf.set(k, v)
+    else:
+        builder = SparkSession.builder.appName(app_name)
+        if master:
+            builder = builder.master(master)
+        # what the launcher set stays
+        SparkContext._ensure_initialized()
+        given = SparkConf()
+        for k, v in ({k: v for k, v in conf.items() if not given.contains(k)} | (extra or {})).items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare_session(spark)
 
 
+def _is_set(spark: SparkSession, key: str) -> bool:
+    """Whether the session or its launcher set ``key`` (a default is not)."""
+    return key in spark.conf.getAll
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Apply :data:`RUNTIME_CONF` and the checkpoint folder to a session."""
     for k, v in RUNTIME_CONF.items():
@@ -98,9 +116,17 @@ def fresh_path(spark: SparkSession, prefix: str) -> str:
     return checkpoint_root(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
 
 
-# Stage tables written by the current process; released by the caller
-# (e.g. after a streaming batch commits).
-_STAGES: list[str] = []
+class _Stages(threading.local):
+    """Stage tables by the thread that wrote them: a streaming batch runs in a
+    thread of its own, so a scope never releases another job's stages."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        _EVERY.append(self.paths)
+
+
+_EVERY: list[list[str]] = []
+_STAGES = _Stages()
 
 
 def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
@@ -114,9 +140,9 @@ def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, prefix)
     df.write.mode("overwrite").parquet(path)
-    if not _STAGES and not _EXIT_HOOK:
+    if not _EXIT_HOOK:
         _EXIT_HOOK.append(atexit.register(_release_at_exit, spark))
-    _STAGES.append(path)
+    _STAGES.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -126,20 +152,25 @@ _EXIT_HOOK: list = []
 def _release_at_exit(spark: SparkSession) -> None:
     """Stage tables of a finished process are not read by anyone."""
     try:
-        release_stages(spark)
+        for paths in _EVERY:
+            _delete(spark, paths, 0)
     except Exception:  # noqa: BLE001 - the JVM may already be gone
         pass
 
 
 def release_stages(spark: SparkSession, keep: int = 0) -> int:
-    """Delete the stage tables written after the first ``keep`` ones (call
-    when no DataFrame that reads them is still in use).  Returns the number
-    removed."""
+    """Delete the stage tables that this thread wrote after the first ``keep``
+    ones (call when no DataFrame that reads them is still in use).  Returns
+    the number removed."""
+    return _delete(spark, _STAGES.paths, keep)
+
+
+def _delete(spark: SparkSession, paths: list[str], keep: int) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while len(_STAGES) > keep:
-        p = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+    while len(paths) > keep:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)
@@ -155,7 +186,7 @@ class stage_scope:
         self.spark = spark
 
     def __enter__(self):
-        self.mark = len(_STAGES)
+        self.mark = len(_STAGES.paths)
         return self
 
     def __exit__(self, *exc):

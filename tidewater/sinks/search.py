@@ -40,12 +40,13 @@ def index_documents(index: DataFrame, batch: DataFrame, order=None) -> DataFrame
     """K3/K5: replace whole documents by id, create the rest.
 
     Within one bulk request the last request for an id wins; ``order``
-    (e.g. ``["ts", "event_id"]``) gives that order.  Without it the batch
-    must be unique per id.
+    (e.g. ``["ts", "event_id"]``) gives that order, else the greatest row.
     """
     batch = assign_ids(batch)
     if order:
         batch = last_by_key(batch, "doc_id", order).drop(*order)
+    else:
+        batch = last_by_key(batch, "doc_id", [c for c in batch.columns if c != "doc_id"])
     kept = _anti(index, batch, ["doc_id"])
     return kept.unionByName(batch.select(*[c for c in batch.columns if c in index.columns]),
                             allowMissingColumns=True)
@@ -57,11 +58,14 @@ def index_with_parent(index: DataFrame, batch: DataFrame, parent_col: str, order
 
 
 def update_documents(index: DataFrame, batch: DataFrame, with_routing: bool = False):
-    """K6/K7: partial update.  Fields present in ``batch`` replace the
+    """K6/K7: partial update; of several updates of one document in a batch
+    one wins.  Fields present in ``batch`` replace the
     document's fields; others are kept.  Returns ``(index, missing)``:
     a batch row whose document does not exist fails (dead-letter)."""
     keys = _keys(with_routing)
     fields = [c for c in batch.columns if c not in keys and c in index.columns]
+    if fields:  # one update per document: the greatest fields win a tie
+        batch = last_by_key(batch.select(*keys, *fields), keys, fields)
     b = batch.select(*[F.col(c).alias(f"__b_{c}") for c in keys + fields])
     cond = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"__b_{c}")),
                   keys[1:], F.col(keys[0]) == F.col(f"__b_{keys[0]}"))

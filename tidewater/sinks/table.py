@@ -1,7 +1,7 @@
 """Relational sinks: insert (K1) and check-then-write upsert (K2).
 
 Sinks are pure ``(target, batch) -> new_target`` functions; the versioned
-writer in :mod:`tidewater.sinks.snapshot` persists the result once per
+writer in :mod:`tidewater.sinks.appended` persists the result once per
 batch id.
 """
 

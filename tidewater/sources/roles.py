@@ -116,10 +116,13 @@ def commission_target(spark: SparkSession, d: str) -> DataFrame:
         F.lit(EXISTING_TARGET_STATUS).alias("status"))
 
 
-def documents(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF) -> DataFrame:
-    """Order documents in the search index, as last indexed (orders before
-    ``as_of``).  ``doc_id`` = order id, ``routing`` = checkout id."""
-    o = table(spark, d, "orders").filter(F.col("o_orderdate") < F.lit(as_of).cast("timestamp_ntz"))
+def documents(spark: SparkSession, d: str, as_of: str | None = None) -> DataFrame:
+    """Order documents in the search index; with ``as_of`` the index as it was
+    then (orders before it), for batches that replace and create.
+    ``doc_id`` = order id, ``routing`` = checkout id."""
+    o = table(spark, d, "orders")
+    if as_of is not None:
+        o = o.filter(F.col("o_orderdate") < F.lit(as_of).cast("timestamp_ntz"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
              .select(id_text("o_orderkey").alias("doc_id"),

@@ -5,16 +5,15 @@ micro-batch runs a job's batch function inside ``foreachBatch``:
 
 * the static tables are re-read inside the batch, so every batch sees
   fresh lookups (the reference re-queries per row);
-* the sink's new state is written as version ``batch_id`` of a
-  :class:`~tidewater.sinks.snapshot.RoutedVersionedTable` routed by shop:
-  only the routing buckets the batch touches are rewritten, the others are
-  shared with the previous version; a replayed batch id is skipped, so
-  output is effectively-once on top of the checkpoint's at-least-once
-  input;
+* the batch's rows are appended to an
+  :class:`~tidewater.sinks.appended.AppendedTable`; readers resolve each
+  group to its latest batch.  A replay overwrites its own rows, so output is
+  effectively-once on top of the checkpoint's at-least-once input, and no
+  batch rewrites what it does not hold;
 * failing keys are written to a dead-letter folder (one sub-folder per
   batch id, overwritten on replay) and appended to the queue folder, so
   the next trigger retries them (S4);
-* per-batch counters (G7): rows written and dead-lettered come from
+* per-batch counters (G7): rows read, written and dead-lettered come from
   ``Observation`` metrics on the writes, input rows and trigger time from a
   ``StreamingQueryListener`` (:class:`ProgressLog`).
 
@@ -34,17 +33,10 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewater.plans import jobs
 from tidewater.session import checkpoint_root, materialize, prepare_session, stage_scope
-from tidewater.sinks.search import index_documents, replace_groups
-from tidewater.sinks.snapshot import RoutedVersionedTable
+from tidewater.sinks.appended import AppendedTable
 from tidewater.sinks.table import upsert_commission
 from tidewater.sources import roles
 
-# Routing buckets of the streamed index: a micro-batch rewrites only the
-# buckets of the shops it touches.
-INDEX_BUCKETS = 64
-# Versions of a streamed target kept for readers and replays.
-KEEP_VERSIONS = 3
-
 # Fixed value: the reference polls the queue once per second.
 POLL_INTERVAL = "1 second"
 
@@ -87,31 +79,33 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
-def _to_queue_rows(dead: DataFrame, retry_time=None) -> DataFrame:
-    ts = (F.current_timestamp() if retry_time is None else F.lit(retry_time)).cast("timestamp_ntz")
+def _to_queue_rows(dead: DataFrame, epoch: int, batch_id: int) -> DataFrame:
+    """Queue rows for another try.  Their ids come from the failing batch, so
+    a replayed batch requeues the same rows, not more of them."""
+    ts = F.current_timestamp().cast("timestamp_ntz")
     keys = dead.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
-    return keys.select(F.xxhash64(F.lit("retry"), F.col("gorder_id"), ts).alias("event_id"),
+    return keys.select(F.xxhash64(F.lit("retry"), F.col("gorder_id"), F.lit(epoch), F.lit(batch_id)).alias("event_id"),
                        ts.alias("ts"), F.col("gorder_id").alias("user_id"),
                        F.lit("requeue").alias("event_type"), F.lit(None).cast("double").alias("value"),
                        F.lit(None).cast("string").alias("props"))
 
 
 class QueueJobStream:
-    """A job as a streaming query: queue folder -> versioned, routed target.
+    """A job as a streaming query: queue folder -> appended target.
 
-    Subclasses say how a micro-batch is enriched (:meth:`enrich`), how the
-    sink updates the target (:meth:`apply_sink`, local to a routing
-    bucket), what the target starts as (:meth:`initial_state`) and by
-    which column it is routed.
+    Subclasses say how a micro-batch is enriched (:meth:`enrich`), what rows
+    it appends (:meth:`to_append`), what the target starts as
+    (:meth:`initial_state`) and which columns a batch replaces as a group.
+    ``then`` is called with the batch's rows after they are written, the next
+    step of a chain (K14).
     """
 
     name = "queue-job"
-    routing_col = "gorder_id"
-    buckets = INDEX_BUCKETS
+    group_cols: tuple[str, ...] = ("gorder_id",)
 
     def __init__(self, spark: SparkSession, sf_dir: str, queue_folder: str, work_root: str | None = None,
                  file_glob: str | None = None, max_files: int | None = None,
-                 requeue_folder: str | None = None, skew_safe="auto"):
+                 requeue_folder: str | None = None, skew_safe="auto", then=None):
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
         self.queue_folder = queue_folder
@@ -120,7 +114,8 @@ class QueueJobStream:
         self.requeue_folder = requeue_folder
         self.skew_safe = skew_safe
         root = work_root or checkpoint_root(spark, f"{self.name}-stream")
-        self.index = RoutedVersionedTable(spark, os.path.join(root, "index"), self.routing_col, self.buckets)
+        self.then = then
+        self.index = AppendedTable(spark, os.path.join(root, "index"), self.group_cols, os.path.join(root, "epoch"))
         self.dead_root = os.path.join(root, "dead-letter")
         self.checkpoint = os.path.join(root, "checkpoint")
         self.counters: list[dict] = []
@@ -133,39 +128,38 @@ class QueueJobStream:
         """``(rows for the sink, dead-letter rows with gorder_id, dl_reason)``."""
         raise NotImplementedError
 
-    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
-        raise NotImplementedError
+    def to_append(self, rows: DataFrame, batch_id: int):
+        """``(rows to append, rows that the sink could not place or None)``."""
+        return rows, None
 
     # -- micro-batch -------------------------------------------------------
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        if self.index.is_committed(batch_id):
-            return
-        batch = batch.persist()
-        try:
-            with stage_scope(self.spark):
-                self._process(batch, batch_id)
-        finally:
-            batch.unpersist()
+        with stage_scope(self.spark):
+            self._process(batch, batch_id)
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         # Counters ride along the writes as observed metrics (no extra
         # count jobs).
-        seen_out, seen_dead = Observation(f"{self.name}-out"), Observation(f"{self.name}-dead")
+        seen_in, seen_out, seen_dead = (Observation(f"{self.name}-{n}-{batch_id}") for n in ("in", "out", "dead"))
+        self.index.initialize(self.initial_state)
+        batch = materialize(batch.observe(seen_in, F.count(F.lit(1)).alias("n")), f"{self.name}-queue")
         rows, dead = self.enrich(batch)
-        rows = materialize(rows.observe(seen_out, F.count(F.lit(1)).alias("n")), f"{self.name}-batch")
-        # Dead-letter and requeue first, the target commit last: the
-        # commit marks the batch done, so a crash before it replays all.
-        dead_path = os.path.join(self.dead_root, f"batch={batch_id}")
-        (dead.select("gorder_id", "dl_reason").observe(seen_dead, F.count(F.lit(1)).alias("n"))
-             .write.mode("overwrite").parquet(dead_path))
+        rows, lost = self.to_append(materialize(rows, f"{self.name}-batch"), batch_id)
+        dead = dead.select("gorder_id", "dl_reason")
+        if lost is not None:
+            dead = dead.unionByName(lost.select("gorder_id", F.lit("lost update").alias("dl_reason")))
+        # Dead-letter and requeue first, the batch's rows last; every write
+        # overwrites what an earlier try of the same batch left.
+        dead_path = os.path.join(self.dead_root, f"epoch={self.index.epoch}", f"batch={batch_id}")
+        dead.observe(seen_dead, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(dead_path)
         n_dead = seen_dead.get["n"]
         if n_dead and self.requeue_folder:
-            _to_queue_rows(self.spark.read.parquet(dead_path)).write.mode("append").parquet(self.requeue_folder)
-        self.index.apply(batch_id, rows, lambda cur: self.apply_sink(cur, rows), empty=self.initial_state)
-        # Older versions are no longer read by anyone once a few newer ones
-        # exist; their unshared bucket folders go.
-        self.index.vacuum(keep=KEEP_VERSIONS)
-        self.counters.append({"batch_id": batch_id, "queue_rows": batch.count(),   # persisted
+            retry = self.spark.read.parquet(dead_path).where("dl_reason <> 'lost update'")
+            _to_queue_rows(retry, self.index.epoch, batch_id).write.mode("append").parquet(self.requeue_folder)
+        self.index.append(batch_id, rows.observe(seen_out, F.count(F.lit(1)).alias("n")))
+        if self.then is not None:
+            self.then(rows, batch_id)
+        self.counters.append({"batch_id": batch_id, "queue_rows": seen_in.get["n"],
                               "emitted": seen_out.get["n"], "dead": n_dead})
 
     def run(self, available_now: bool = True, timeout: float | None = None):
@@ -192,16 +186,15 @@ class QueueJobStream:
         return q
 
     def result(self) -> DataFrame:
-        cur = self.index.read()
-        return self.initial_state() if cur is None else cur
+        self.index.initialize(self.initial_state)
+        return self.index.read()
 
 
 class OrderSearchStream(QueueJobStream):
-    """Order documents, each claimed checkout's group replaced (K9).
-    Routed by shop, the group key the replace is local to."""
+    """Order documents, each claimed checkout's group replaced (K9)."""
 
     name = "order-search"
-    routing_col = "shop_id"
+    group_cols = ("shop_id", "gorder_id")
 
     def initial_state(self) -> DataFrame:
         return jobs.order_index_as_of(self.spark, self.sf_dir, skew_safe=self.skew_safe)
@@ -210,17 +203,14 @@ class OrderSearchStream(QueueJobStream):
         docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch, self.skew_safe)
         return docs.withColumn("doc_id", F.col("order_id").cast("string")), dead
 
-    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
-        return replace_groups(state, rows, ("shop_id", "gorder_id"))
-
 
 class CommissionStream(QueueJobStream):
-    """Commission events upserted (K2).  Routed by order id, the check
-    key; a lost cross-checkout update is dead-lettered (not requeued: a
-    retry cannot succeed)."""
+    """Commission events upserted (K2) by order id, the check key; a lost
+    cross-checkout update is dead-lettered (not requeued: a retry cannot
+    succeed)."""
 
     name = "commission"
-    routing_col = "order_id"
+    group_cols = ("order_id",)
 
     def initial_state(self) -> DataFrame:
         return roles.commission_target(self.spark, self.sf_dir)
@@ -230,16 +220,17 @@ class CommissionStream(QueueJobStream):
                                            roles.orders(self.spark, self.sf_dir))
         return rows, dead
 
-    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
-        new_state, _ = upsert_commission(state, rows)
-        return new_state
+    def to_append(self, rows: DataFrame, batch_id: int):
+        # the state of the batch's orders alone, as it was before the batch
+        state = materialize(self.index.read((self.index.epoch, batch_id), only=rows), "commission-state")
+        return upsert_commission(state, rows)
 
 
 class ItemIndexStream(QueueJobStream):
-    """Item documents indexed by item id (K3).  Routed by document id."""
+    """Item documents indexed by item id (K3)."""
 
     name = "item-index"
-    routing_col = "doc_id"
+    group_cols = ("doc_id",)
 
     def initial_state(self) -> DataFrame:
         before, _ = jobs.item_index_batch(self.spark, self.sf_dir,
@@ -249,6 +240,3 @@ class ItemIndexStream(QueueJobStream):
 
     def enrich(self, batch: DataFrame):
         return jobs.item_index_batch(self.spark, self.sf_dir, batch)
-
-    def apply_sink(self, state: DataFrame, rows: DataFrame) -> DataFrame:
-        return index_documents(state, rows)
