@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, lower_ascii, numbered_slices, stage, text_bytes, text_slices, words_of
+from .common import fold, give_back, lower_ascii, numbered_slices, stage, text_bytes, text_slices, words_of
 
 ORDER = 4
 SYMBOLS = 257
 END = 256
 #: Bytes of text in a block, and bytes that a numpy step looks at.
-BLOCK, STEP = 24 << 20, 2 << 20
+BLOCK, STEP = 16 << 20, 1 << 20
 #: Measured rows of the model up to which it is broadcast (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 GRAM, WORD = 0, 1
@@ -92,6 +92,7 @@ def dictionary(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = _end_key()
         for block, part in numbered_slices(batches, BLOCK):
+            give_back()
             found: dict[int, list] = {GRAM: [], WORD: []}
             for step in text_slices([part], limit=STEP):
                 train = step.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -200,6 +201,7 @@ def score(documents: DataFrame) -> DataFrame:
                                               part.column("train")], ["block", "doc_id", "text", "train"])
 
     def sums(key: tuple, own: pa.Table, known: pa.Table) -> pa.Table:
+        give_back()
         kind, keys, value = (known.column(c).to_numpy() for c in ("kind", "key", "value"))
         of = {k: pd.Series(value[kind == k], index=pd.Index(keys[kind == k])) for k in (GRAM, WORD)}
         end_count = of[WORD].get(_end_key(), 0.0)
