@@ -1,10 +1,7 @@
-import os
-import sys
+"""Sample tables and the fixtures that give them."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 PASSAGE = "The quick brown fox jumps over the lazy dog near the river bank while rain falls down"
 LONG = " ".join(f"w{i % 977}x{i * 7919 % 10007}" for i in range(6000))

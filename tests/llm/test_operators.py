@@ -6,8 +6,8 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import BENCH, TEXTS, table
 from pyspark.sql import functions as F
+from samples import BENCH, TEXTS, bench, docs, given, none, table, wide  # noqa: F401
 
 from tidewater.llm import decontaminate, kd_sharding, packing, ppm, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, toxicity
 from tidewater.llm.common import fold
