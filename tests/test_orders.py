@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -26,7 +27,7 @@ def _inputs(spark):
 
 def test_order_documents_flat(spark):
     claimed = spark.createDataFrame([(1,), (1,), (2,), (3,), (5,), (4,)], "gorder_id bigint")
-    docs, dead = ordops.build_order_documents(claimed, skew_safe=True, **_inputs(spark))
+    docs, dead = ordops.build_order_documents(claimed, **_inputs(spark))
     got = rows(docs, "order_id", "item_id", "index_id", "goods_name", "has_refund",
                "refund_apply_type", "buy_account_name", "shop_id")
     assert got == sorted([
@@ -56,15 +57,29 @@ def test_skew_safe_position_matches_window_on_hot_group(spark):
     hot = spark.range(0, 5000).select(F.lit(1).alias("g"), (F.col("id") * 7 % 5000).alias("o"))
     cold = spark.range(0, 300).select((F.col("id") % 30 + 2).alias("g"), F.col("id").alias("o"))
     df = hot.unionByName(cold)
-    a = position_in_group(df, "g", ["o"], "pos", skew_safe=True, partitions=16)
-    b = position_in_group(df, "g", ["o"], "pos", skew_safe=False)
+    df = df.unionByName(df.where("g = 1").select(F.lit(None).cast("bigint").alias("g"), "o"))   # nulls are a group
+    a = position_in_group(df, "g", ["o"], "pos", partitions=16)
+    b = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     assert rows(a, "g", "o", "pos") == rows(b, "g", "o", "pos")
     assert a.where("g = 1").agg(F.max("pos")).first()[0] == 4999
-    # adaptive: measures the largest group and splits only above the limit
-    c = position_in_group(df, "g", ["o"], "pos", skew_safe="auto", hot_rows=100, partitions=16)
+    c = position_in_group(df, "g", ["o"], "pos")          # the planner's own number of slices
     assert rows(c, "g", "o", "pos") == rows(b, "g", "o", "pos")
 
 
+def test_refund_without_time_fails_its_checkout(spark):
+    inp = _inputs(spark)
+    inp["refunds"] = spark.createDataFrame(
+        [(10, "10-1", "R1", None), (11, "not-an-item", "R2", None)],
+        "order_id bigint, order_item_id string, apply_type string, create_time bigint")
+    claimed = spark.createDataFrame([(1,)], "gorder_id bigint")
+    docs, dead = ordops.build_order_documents(claimed, **inp)
+    assert docs.count() == 0 and rows(dead) == [(1, "null refund time")]
+    # a refund of no item of the checkout is never read
+    inp["refunds"] = inp["refunds"].where("order_id = 11")
+    docs, dead = ordops.build_order_documents(claimed, **inp)
+    assert docs.count() == 3 and dead.count() == 0
+
+
 def test_refund_duplicates(spark):
     r = _inputs(spark)["refunds"]
     assert rows(ordops.refund_duplicates(r)) == [(30, "30-1", 2)]

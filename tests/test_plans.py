@@ -33,9 +33,16 @@ def test_last_by_key_is_partial_aggregate(spark):
 
 
 def test_range_scan_reaches_the_scan(spark):
-    cells = roles.wide_cells(spark, SF_CHECK)
+    from tidewater.session import fresh_path
+
+    computed = roles.wide_cells(spark, SF_CHECK)
+    cells = sw.store_cells(computed, fresh_path(spark, "cells-plan-test"))
     df = sw.scan_range(cells, "4170", "4171")
-    assert "ReadSchema" in _plan(df)
+    pushed = [line for line in _plan(df).splitlines() if "PushedFilters" in line]
+    assert "GreaterThanOrEqual(row_key,4170)" in pushed[0] and "LessThan(row_key,4171)" in pushed[0]
+    assert df.count() == sw.scan_range(computed, "4170", "4171").count()
+    assert "EqualTo(row_key,4170)" in _plan(sw.get_row(cells, "4170"))
+    assert "Or(" in _plan(sw.scan_time_range(cells, 1704412800000, 1704585600000)).split("PushedFilters")[1]
 
 
 def test_routed_read_prunes_to_one_bucket(spark):

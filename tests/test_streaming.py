@@ -39,7 +39,7 @@ def test_stream_equals_batch_and_replay_is_noop(spark):
     again = OrderSearchStream(spark, SF_SMALL, queue_dir, work_root=os.path.join(root, "work"),
                               max_files=1, requeue_folder=requeue_dir)
     again.run(available_now=True)
-    assert again.counters == [] and again.index.rows().count() == held
+    assert not again.counters and again.index.rows().count() == held
 
 
 def test_commission_and_item_streams_equal_batch_jobs(spark):

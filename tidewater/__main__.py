@@ -38,7 +38,7 @@ def main(argv=None) -> None:
     q = job.run(available_now=a.once)
     if not a.once:
         q.awaitTermination()
-    print(json.dumps({"job": a.job, "batches": job.counters,
+    print(json.dumps({"job": a.job, "batches": list(job.counters),
                       "epoch": job.index.epoch}))
 
 

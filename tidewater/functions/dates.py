@@ -37,8 +37,9 @@ def parse_date(text, fmt: str = DATE_TIME_FORMAT, strict: bool = False) -> Colum
     """text to timestamp.  ``strict`` raises on bad text like the
     reference does; the default returns null so one bad row does not fail a
     whole batch (such rows are routed by the caller)."""
-    fn = F.to_timestamp if strict else F.try_to_timestamp
-    return fn(_col(text), F.lit(fmt))
+    if strict:
+        return F.to_timestamp(_col(text), fmt)
+    return F.try_to_timestamp(_col(text), F.lit(fmt))
 
 
 _DATE_TIME_PARTS = r"^\s*(\d+)-(\d+)-(\d+)(?:\s+(\d+):(\d+):(\d+))?\s*$"

@@ -2,7 +2,6 @@
 
 from tidewater.operators.counters import count_as, step_counters
 from tidewater.operators.dedup import distinct_keys, last_by_key
-from tidewater.operators.distribution import by_key, rows_at_most, shuffle, single_task, to_all
 from tidewater.operators.merge import (exists_split, flatten_json, flatten_struct, lookup_chain, lookup_join,
                                        matched_keys, not_blank, overlay_non_null, strict_lookup)
 from tidewater.operators.orders import (attach_items, build_order_documents, enrich_address, enrich_refund,

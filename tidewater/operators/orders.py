@@ -12,7 +12,8 @@ dead-letter set and is requeued; nothing of it is written):
 
 * the checkout is missing from the checkout table;
 * one of its orders has a null status or order time;
-* one order's refund list holds two refunds for the same item.
+* one order's refund list holds two refunds for the same item;
+* a refund of one of its items has no time.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def enrich_address(rows: DataFrame, addresses: DataFrame) -> DataFrame:
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
-                 skew_safe="auto", rebuild: bool = False) -> DataFrame:
+                 rebuild: bool = False) -> DataFrame:
     """T4 items + goods names + 0-based position.
 
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
@@ -88,7 +89,7 @@ def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
     # Line number, then item id; the remaining item columns make the order
     # total where an item id repeats in the source (sf0.001 has one).
     order = [F.col(c).asc_nulls_last() for c in ("line_no", "item_id", "unit_price", "item_count")]
-    batch_items = position_in_group(batch_items, ["order_id"], order, "index_id", skew_safe=skew_safe)
+    batch_items = position_in_group(batch_items, ["order_id"], order, "index_id")
     flat = lookup_join(rows, batch_items.drop("line_no"), "order_id", stream_lookup=not rebuild)
     return lookup_join(flat, goods, "goods_id")
 
@@ -107,7 +108,9 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
     Matching is by item id across all orders of the checkout, as in the
     reference.  ``orders_of_batch`` (``order_id``, ``gorder_id``) scopes the
     refund feed to the batch; by default it is taken from ``flat``.
-    Returns ``(flat, failed_gorders)``.
+    A checkout with two refunds of one item in an order, or with an item
+    whose refund has no time, fails as a whole.  Returns
+    ``(flat, failed)``, ``failed`` with ``dl_reason``.
     """
     src = flat if orders_of_batch is None else orders_of_batch
     order_of = src.select("order_id", "gorder_id").distinct()
@@ -128,7 +131,12 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
     out = lookup_join(flat, per_item, ["gorder_id", "item_id"])
     out = out.withColumn("has_refund", F.when(F.col("item_id").isNotNull(),
                                               F.coalesce(F.col("has_refund"), F.lit(False))))
-    failed = dup
+    timeless = (scoped.where(F.col("create_time").isNull())
+                .select("gorder_id", F.col("order_item_id").alias("item_id"))
+                .join(flat.select("gorder_id", "item_id"), ["gorder_id", "item_id"], "left_semi")
+                .select("gorder_id").distinct().join(dup, "gorder_id", "left_anti"))
+    failed = (dup.withColumn("dl_reason", F.lit("duplicate refund"))
+              .unionByName(timeless.withColumn("dl_reason", F.lit("null refund time"))))
     return out.join(failed, "gorder_id", "left_anti"), failed
 
 
@@ -140,7 +148,7 @@ def nest_orders(flat: DataFrame) -> DataFrame:
 
 def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFrame,
                           addresses: DataFrame, items: DataFrame, goods: DataFrame,
-                          refunds: DataFrame, skew_safe="auto", rebuild: bool = False):
+                          refunds: DataFrame, rebuild: bool = False):
     """J2 enrichment: claimed queue rows -> flat order documents.
 
     Returns ``(docs, dead)``: ``docs`` in :data:`FLAT_DOC_COLUMNS`, ``dead``
@@ -156,11 +164,11 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     # table and read several times below, so it is written once as a stage
     # table in the shared folder instead of being recomputed per reference.
     rows = materialize(enrich_address(rows, addresses), "order-rows")
-    flat = attach_items(rows, items, goods, skew_safe=skew_safe, rebuild=rebuild)
+    flat = attach_items(rows, items, goods, rebuild=rebuild)
     flat, refund_failed = enrich_refund(flat, refunds, rows, stage=not rebuild)
     docs = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c)
                          for c in FLAT_DOC_COLUMNS])
     dead = (missing.select("gorder_id", F.lit("missing gorder").alias("dl_reason"))
             .unionByName(bad.select("gorder_id", F.lit("null order status or time").alias("dl_reason")))
-            .unionByName(refund_failed.select("gorder_id", F.lit("duplicate refund").alias("dl_reason"))))
+            .unionByName(refund_failed.select("gorder_id", "dl_reason")))
     return docs, dead

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import materialize
 
 
-# A group up to this many rows is numbered by one task (a sort that spills
-# to disk past memory); larger groups are split across tasks.
-HOT_GROUP_ROWS = 2_000_000
-
-
 def position_in_group(df: DataFrame, group, order, out: str = "index_id",
-                      skew_safe="auto", partitions: int | None = None,
-                      hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """0-based position of each row within its group by ``order``.
 
-    ``order`` must be total within a group.  The plain plan is a
-    ``row_number`` window partitioned by the group, which puts a whole group
-    in one task.  ``skew_safe`` splits hot groups instead:
+    ``order`` must be total within a group.  One plan at every size, in which
+    no task holds a whole hot group:
 
     1. range-partition by (group, order): a hot group spans several
        partitions, each a contiguous slice of its order (written once as a
@@ -29,39 +24,26 @@ def position_in_group(df: DataFrame, group, order, out: str = "index_id",
     3. per group, offset each slice by the sizes of the slices before it
        (a window over the small count table: one row per slice);
     4. position = offset + local number.
-
-    ``skew_safe="auto"`` measures the largest group with an aggregate over
-    the group columns (one number reaches the driver) and splits only when
-    it exceeds ``hot_rows``.  Both plans give the same positions.
     """
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
-    if skew_safe == "auto":
-        # A pruned pass: only the group columns are read and counted
-        # (partial aggregation), one number reaches the driver.
-        biggest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-        skew_safe = biggest > hot_rows
-    if not skew_safe:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w) - 1)
-
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Both branches below must see the same slicing.  Range bounds are
-    # sampled per exchange, so two evaluations of the plan could slice
-    # differently; the sliced rows are written once as a stage table in the
-    # shared folder, which also cuts the lineage.
-    ranged = materialize(df.repartitionByRange(n, *group, *order)
-                           .withColumn("__slice", F.spark_partition_id()), "ranked")
+    by = [*group, *order]
+    # Range bounds are sampled per exchange, so two evaluations of the plan
+    # could slice differently: the sliced rows are written once in the shared
+    # folder, which also cuts the lineage.
+    sliced = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    ranged = materialize(sliced.withColumn("__slice", F.spark_partition_id()), "ranked")
     local = ranged.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__slice", *group).orderBy(*order)) - 1)
     sizes = ranged.groupBy("__slice", *group).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__slice", *group,
+    offsets = sizes.select(F.col("__slice").alias("__s"), *[F.col(c).alias(f"__g_{c}") for c in group],
                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    return (local.join(offsets, ["__slice", *group])
+    same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"__g_{c}")), group,
+                  F.col("__slice") == F.col("__s"))
+    return (local.join(offsets, same)
                  .withColumn(out, (F.col("__off") + F.col("__local")).cast("int"))
-                 .drop("__slice", "__local", "__off"))
+                 .drop("__slice", "__local", "__off", "__s", *[f"__g_{c}" for c in group]))
 
 
 def nest_children(df: DataFrame, parent_keys, child_cols, position: str, into: str) -> DataFrame:

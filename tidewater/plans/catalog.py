@@ -71,6 +71,18 @@ def q_queue_claim_by_id(spark, d):
     return remaining.select("id", "gorder_id", "event_type")
 
 
+@register("queue_claimed", f"""SELECT 'id' AS claim, CAST(NULL AS BIGINT) AS id, gorder_id, event_type
+FROM (SELECT event_id, user_id AS gorder_id, event_type FROM events ORDER BY event_id LIMIT {squeue.POLL_ROWS_ORDER_SEARCH})
+UNION ALL SELECT 'key', event_id, user_id, event_type
+FROM (SELECT * FROM events ORDER BY event_id LIMIT {squeue.POLL_ROWS_COMMISSION})""")
+def q_queue_claimed(spark, d):
+    by_id, _ = squeue.claim(roles.queue(spark, d), squeue.POLL_ROWS_ORDER_SEARCH, "id")
+    by_key, _ = squeue.claim(roles.queue(spark, d), squeue.POLL_ROWS_COMMISSION, "gorder_id")
+    both = (by_id.withColumn("claim", F.lit("id"))                # the delete key is stripped ...
+            .unionByName(by_key.withColumn("claim", F.lit("key")), allowMissingColumns=True))
+    return both.select("claim", "id", "gorder_id", "event_type")  # ... unless it is the payload key
+
+
 @register("queue_claim_by_key",
           "SELECT event_id AS id, user_id AS gorder_id, event_type FROM events WHERE user_id NOT IN "
           f"(SELECT user_id FROM (SELECT user_id FROM events ORDER BY event_id "
@@ -114,10 +126,14 @@ def q_doc_search_page(spark, d):
     return ssearch.search_page(roles.documents(spark, d), SEARCH_TERMS, page=SEARCH_PAGE)
 
 
+def _stored_cells(spark, d):
+    return swide.store_cells(roles.wide_cells(spark, d), fresh_path(spark, "wide-cells"))
+
+
 @register("wide_get", f"""WITH {sql.wide_cells_ctes()}
 SELECT * FROM cells WHERE row_key IN (SELECT row_key FROM rk WHERE event_type = 'purchase')""")
 def q_wide_get(spark, d):
-    cells = roles.wide_cells(spark, d)
+    cells = _stored_cells(spark, d)
     wanted = (cells.where((F.col("qualifier") == "event_type") & (F.col("value") == "purchase"))
               .select("row_key"))
     return swide.get_rows(cells, wanted)
@@ -127,7 +143,7 @@ def q_wide_get(spark, d):
 SELECT c.* FROM cells c JOIN rk ON rk.row_key = c.row_key
 WHERE rk.day_ms >= epoch_ms(TIMESTAMP '{RANGE_START}') AND rk.day_ms < epoch_ms(TIMESTAMP '{RANGE_STOP}')""")
 def q_wide_range_scan(spark, d):
-    return swide.scan_time_range(roles.wide_cells(spark, d), _ms(RANGE_START), _ms(RANGE_STOP))
+    return swide.scan_time_range(_stored_cells(spark, d), _ms(RANGE_START), _ms(RANGE_STOP))
 
 
 @register("wide_pivot", f"""WITH {sql.wide_cells_ctes()}
@@ -168,13 +184,19 @@ def q_project_defaults(spark, d):
     return projection.project_defaults(roles.orders(spark, d), DEFAULTS_SPEC)
 
 
-@register("guard_blank_key", """SELECT e.event_id AS id, CAST(e.user_id AS VARCHAR) AS gorder_key,
-  c.c_nationkey AS shop_id FROM events e LEFT JOIN customer c
-  ON CAST(c.c_custkey AS VARCHAR) = CAST(e.user_id AS VARCHAR) AND trim(CAST(e.user_id AS VARCHAR)) <> ''""")
+@register("guard_blank_key", """WITH e AS (SELECT event_id AS id, CASE event_type WHEN 'error' THEN ' '
+  WHEN 'signup' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS gorder_key FROM events)
+SELECT e.id, e.gorder_key, c.c_nationkey AS shop_id FROM e LEFT JOIN customer c
+  ON CAST(c.c_custkey AS VARCHAR) = e.gorder_key""")
 def q_guard_blank_key(spark, d):
-    inc = roles.queue(spark, d).select("id", keys.id_text("gorder_id").alias("gorder_key"))
+    """Errors carry a blank key and sign-ups none; the lookup table has a row
+    with the blank key (checkout 0 once more), which must never match."""
+    key = (F.when(F.col("event_type") == "error", F.lit(" "))
+            .when(F.col("event_type") != "signup", keys.id_text("gorder_id")))
+    inc = roles.queue(spark, d).select("id", key.alias("gorder_key"))
     lk = roles.gorders(spark, d).select(keys.id_text("gorder_id").alias("gorder_key"),
                                         F.col("benefit_user").alias("shop_id"))
+    lk = lk.unionByName(lk.where("gorder_key = '0'").withColumn("gorder_key", F.lit(" ")))
     return merge.lookup_join(inc, lk, "gorder_key", guard_blank=True)
 
 
@@ -216,10 +238,12 @@ def q_flatten_struct(spark, d):
 # ------------------------------------------------------------------ joins
 
 @register("lookup_join", """SELECT e.event_id AS id, e.user_id AS gorder_id, e.event_type,
-  coalesce(e.value, c.c_acctbal) AS value, c.c_mktsegment AS segment
+  coalesce(CASE WHEN e.event_type <> 'error' THEN e.value END, c.c_acctbal) AS value, c.c_mktsegment AS segment
 FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id""")
 def q_lookup_join(spark, d):
-    inc = roles.queue(spark, d).select("id", "gorder_id", "event_type", "value")
+    # errors have no value of their own: the lookup's fills in
+    value = F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    inc = roles.queue(spark, d).select("id", "gorder_id", "event_type", value)
     lk = table(spark, d, "customer").select(F.col("c_custkey").alias("gorder_id"),
                                             F.col("c_acctbal").alias("value"),
                                             F.col("c_mktsegment").alias("segment"))
@@ -266,11 +290,10 @@ def q_nest_orders(spark, d):
 
 
 @register("strict_lookup_missing", f"""SELECT k.gorder_id,
-  CASE WHEN c.c_custkey IS NULL THEN 'missing' ELSE 'found' END AS status
-FROM ({sql.KEYS}) k LEFT JOIN customer c ON c.c_custkey = k.gorder_id""")
+  CASE WHEN g.gorder_id IS NULL THEN 'missing' ELSE 'found' END AS status
+FROM ({sql.KEYS}) k LEFT JOIN ({sql.PARTIAL_GORDERS}) g ON g.gorder_id = k.gorder_id""")
 def q_strict_lookup_missing(spark, d):
-    g = roles.gorders(spark, d).select("gorder_id", F.col("benefit_user").alias("shop_id"))
-    found, missing = ordops.resolve_gorders(_queue_keys(spark, d), g)
+    found, missing = ordops.resolve_gorders(_queue_keys(spark, d), roles.partial_gorders(spark, d))
     return (found.select("gorder_id", F.lit("found").alias("status"))
             .unionByName(missing.select("gorder_id", F.lit("missing").alias("status"))))
 
@@ -290,10 +313,11 @@ def q_enrich_refund(spark, d):
             .select("order_id", "item_id", "has_refund", "refund_apply_type", "refund_apply_time"))
 
 
-@register("refund_duplicates", f"""SELECT order_id, order_item_id, CAST(count(*) AS BIGINT) AS n_refunds
-FROM ({sql.REFUNDS}) GROUP BY order_id, order_item_id HAVING count(*) > 1""")
+@register("refund_duplicates", """SELECT l_orderkey AS order_id, concat_ws('-', l_orderkey, l_linenumber)
+  AS order_item_id, CAST(count(*) AS BIGINT) AS n_refunds FROM lineitem WHERE l_returnflag = 'R'
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 def q_refund_duplicates(spark, d):
-    return ordops.refund_duplicates(roles.refunds(spark, d))
+    return ordops.refund_duplicates(roles.line_refunds(spark, d))
 
 
 # ------------------------------------------------ aggregations and windows
@@ -324,13 +348,12 @@ def q_dedup_last(spark, d):
 
 @register("step_counters", f"""WITH {sql.order_docs_ctes('n', sql.KEYS)}
 SELECT 'queue' AS step, 'emitted' AS status, CAST(count(*) AS BIGINT) AS n FROM events
-UNION ALL SELECT 'gorder', 'acked', CAST(count(*) AS BIGINT) FROM n_found
-UNION ALL SELECT 'gorder', 'failed', CAST(count(*) AS BIGINT) FROM n_k WHERE gorder_id NOT IN (SELECT gorder_id FROM n_found)
+UNION ALL SELECT 'gorder', CASE WHEN gorder_id IN (SELECT gorder_id FROM ({sql.PARTIAL_GORDERS})) THEN 'acked'
+  ELSE 'failed' END, CAST(count(*) AS BIGINT) FROM n_k GROUP BY 2
 UNION ALL SELECT 'document', 'emitted', CAST(count(*) AS BIGINT) FROM n_docs""")
 def q_step_counters(spark, d):
     q = roles.queue(spark, d)
-    g = roles.gorders(spark, d).select("gorder_id", F.col("benefit_user").alias("shop_id"))
-    found, missing = ordops.resolve_gorders(dedup.distinct_keys(q, "gorder_id"), g)
+    found, missing = ordops.resolve_gorders(dedup.distinct_keys(q, "gorder_id"), roles.partial_gorders(spark, d))
     docs, _ = jobs.order_search_batch(spark, d, q)
     return counters.step_counters([("queue", "emitted", q), ("gorder", "acked", found),
                                    ("gorder", "failed", missing), ("document", "emitted", docs)])
@@ -356,12 +379,23 @@ def q_date_format(spark, d):
 
 @register("date_parse", """SELECT event_id AS id,
   epoch_ms(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')) AS parsed_ms,
-  CAST(NULL AS BIGINT) AS bad_ms FROM events""")
+  CASE WHEN event_type <> 'error' THEN epoch_ms(date_trunc('second', ts)) END AS bad_ms,
+  epoch_ms(date_trunc('second', ts)) AS strict_ms,
+  epoch_ms(date_trunc('month', ts) + INTERVAL 12 MONTH + to_days(CAST(day(ts) + 30 AS INTEGER))
+    + to_hours(hour(ts) + 24) + to_minutes(minute(ts) + 60) + to_seconds(CAST(floor(second(ts)) AS BIGINT)))
+    AS rolled_ms FROM events""")
 def q_date_parse(spark, d):
     q = roles.queue(spark, d)
     text = dates.format_date("create_time")
+    bad = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(text)
+    t = F.col("create_time")
+    # out-of-range month, day, hour and minute: they roll over
+    rolled = F.format_string("%d-%d-%d %d:%d:%d", F.year(t), F.month(t) + 12, F.dayofmonth(t) + 31,
+                             F.hour(t) + 24, F.minute(t) + 60, F.second(t))
     return q.select("id", dates.epoch_millis(dates.parse_date(text)).alias("parsed_ms"),
-                    dates.epoch_millis(dates.parse_date(F.col("event_type"))).alias("bad_ms"))
+                    dates.epoch_millis(dates.parse_date(bad)).alias("bad_ms"),
+                    dates.epoch_millis(dates.parse_date(text, strict=True)).alias("strict_ms"),
+                    dates.epoch_millis(dates.parse_date_lenient(rolled)).alias("rolled_ms"))
 
 
 @register("epoch_millis", "SELECT event_id AS id, epoch_ms(ts) AS ts_ms, "
@@ -388,17 +422,26 @@ def q_insert_rows(spark, d):
                               batch.withColumn("status", F.lit(ktable.INSERTED_STATUS)))
 
 
-@register("upsert_commission", f"""WITH {sql.commission_batch_ctes()}
+@register("upsert_commission", f"""WITH {sql.commission_batch_ctes()}, moved AS ({sql.MOVED_TARGET})
 SELECT b.gorder_id, b.order_id, CASE
-  WHEN EXISTS (SELECT 1 FROM tgt t WHERE t.order_id = b.order_id AND t.gorder_id = b.gorder_id) THEN 'update'
-  WHEN EXISTS (SELECT 1 FROM tgt t WHERE t.order_id = b.order_id) THEN 'lost' ELSE 'insert' END AS action
+  WHEN EXISTS (SELECT 1 FROM moved t WHERE t.order_id = b.order_id AND t.gorder_id = b.gorder_id) THEN 'update'
+  WHEN EXISTS (SELECT 1 FROM moved t WHERE t.order_id = b.order_id) THEN 'lost' ELSE 'insert' END AS action
 FROM batch b""")
 def q_upsert_commission(spark, d):
     batch, _ = jobs.commission_batch(roles.queue(spark, d), roles.gorders(spark, d), roles.orders(spark, d))
-    return ktable.upsert_actions(roles.commission_target(spark, d), batch, "order_id",
+    return ktable.upsert_actions(roles.commission_target(spark, d, moved=True), batch, "order_id",
                                  ["gorder_id", "order_id"])
 
 
+@register("upsert_lost", f"""WITH {sql.commission_batch_ctes()}, moved AS ({sql.MOVED_TARGET})
+SELECT b.* FROM batch b JOIN moved t ON t.order_id = b.order_id WHERE t.gorder_id <> b.gorder_id""")
+def q_upsert_lost(spark, d):
+    """The updates of J1 that another checkout's row takes away (reported)."""
+    batch, _ = jobs.commission_batch(roles.queue(spark, d), roles.gorders(spark, d), roles.orders(spark, d))
+    _, lost = ktable.upsert_commission(roles.commission_target(spark, d, moved=True), batch)
+    return lost.select(*batch.columns)
+
+
 @register("doc_index", f"""WITH dx AS ({sql.docs()}), b AS (SELECT doc_id, CAST(NULL AS VARCHAR) AS routing,
   shop_id, gorder_id, order_id, order_status, order_priority, order_pay_amount, order_time FROM ({sql.QUEUED_DOCS}))
 SELECT * FROM dx WHERE doc_id NOT IN (SELECT doc_id FROM b) UNION ALL SELECT * FROM b""")
@@ -435,6 +478,20 @@ def q_doc_update(spark, d):
     return updated
 
 
+@register("doc_update_repeated", f"""WITH dx AS ({sql.docs()}), u AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_id,
+  max(l_linestatus) AS line_status FROM lineitem GROUP BY l_orderkey)
+SELECT dx.doc_id, dx.routing, dx.shop_id, dx.gorder_id, dx.order_id,
+  CASE WHEN u.doc_id IS NOT NULL THEN u.line_status ELSE dx.order_status END AS order_status,
+  dx.order_priority, dx.order_pay_amount, dx.order_time FROM dx LEFT JOIN u ON u.doc_id = dx.doc_id""")
+def q_doc_update_repeated(spark, d):
+    """One update per line, many per document: one document stays, the
+    greatest update wins."""
+    updates = table(spark, d, "lineitem").select(keys.id_text("l_orderkey").alias("doc_id"),
+                                                 F.col("l_linestatus").alias("order_status"))
+    updated, _ = ksearch.update_documents(roles.documents(spark, d, roles.INDEX_AS_OF), updates)
+    return updated
+
+
 @register("doc_update_missing", f"""WITH dx AS ({sql.docs()})
 SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS doc_id, '{REFUND_STATUS}' AS order_status FROM lineitem
 WHERE l_returnflag = 'R' AND CAST(l_orderkey AS VARCHAR) NOT IN (SELECT doc_id FROM dx)""")

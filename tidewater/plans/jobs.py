@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import distinct_keys, last_by_key
 from tidewater.operators.merge import lookup_join, strict_lookup
-from tidewater.operators.orders import FLAT_DOC_COLUMNS, build_order_documents
+from tidewater.operators.orders import FLAT_DOC_COLUMNS, build_order_documents, order_rows
 from tidewater.operators.projection import project_columns, require_key
 from tidewater.sinks.search import index_documents, replace_groups
 from tidewater.sinks.table import bind_positional, upsert_commission
@@ -80,32 +80,30 @@ def _order_search_inputs(spark: SparkSession, d: str, orders_before: str | None
                 refunds=roles.refunds(spark, d))
 
 
-def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame, skew_safe="auto",
+def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame,
                        orders_before: str | None = None, rebuild: bool = False):
     """J2 enrichment: claimed rows -> ``(flat order documents, dead)``."""
-    return build_order_documents(claimed, skew_safe=skew_safe, rebuild=rebuild,
+    return build_order_documents(claimed, rebuild=rebuild,
                                  **_order_search_inputs(spark, d, orders_before))
 
 
-def order_index_as_of(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF,
-                      skew_safe="auto") -> DataFrame:
+def order_index_as_of(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF) -> DataFrame:
     """The order index as the job left it when every checkout was last
     indexed: all checkouts, orders before ``as_of``."""
     everyone = roles.gorders(spark, d).select("gorder_id")
-    docs, _ = order_search_batch(spark, d, everyone, skew_safe, orders_before=as_of, rebuild=True)
+    docs, _ = order_search_batch(spark, d, everyone, orders_before=as_of, rebuild=True)
     return docs.withColumn("doc_id", F.col("order_id").cast("string"))
 
 
-def job_order_search(spark: SparkSession, d: str, index: DataFrame | None = None,
-                     skew_safe="auto"):
+def job_order_search(spark: SparkSession, d: str, index: DataFrame | None = None):
     """J2 over the whole queue: replace each claimed checkout's documents.
 
     Returns ``(new_index, dead)``.
     """
-    docs, dead = order_search_batch(spark, d, roles.queue(spark, d), skew_safe)
+    docs, dead = order_search_batch(spark, d, roles.queue(spark, d))
     # The sink reads the batch twice (group keys, new rows): stage it.
     docs = materialize(docs.withColumn("doc_id", F.col("order_id").cast("string")), "order-docs")
-    index = order_index_as_of(spark, d, skew_safe=skew_safe) if index is None else index
+    index = order_index_as_of(spark, d) if index is None else index
     return replace_groups(index, docs, ("shop_id", "gorder_id")), dead
 
 
@@ -116,13 +114,14 @@ def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
     """J3 as intended: item documents keyed by item id.
 
     The chain is T1 -> T4 -> P1 (no address or refund step), so the
-    receiver and apply columns are null.  An order without items has no
-    item id and fails (P7) -> dead-letter.
+    receiver and apply columns are null.  A checkout with an order of null
+    status or time fails (T4); an order without items has no item id and
+    fails (P7) -> dead-letter.
     """
     inp = _order_search_inputs(spark, d, orders_before)
     keys = distinct_keys(claimed, "gorder_id")
     found, missing = strict_lookup(keys, inp["gorders"], "gorder_id", stage=not rebuild)
-    rows = found.join(inp["orders"], "gorder_id", "inner")
+    rows, failed = order_rows(found, inp["orders"], stage=not rebuild)
     if rebuild:
         # Every checkout: plain joins, slicing would copy the tables.
         flat = lookup_join(rows, inp["items"], "order_id")
@@ -137,6 +136,7 @@ def item_index_batch(spark: SparkSession, d: str, claimed: DataFrame,
     good = last_by_key(good, "item_id", ["unit_price", "item_count"])
     good = good.withColumn("doc_id", F.col("item_id")).withColumn("routing", F.lit(None).cast("string"))
     dead = (missing.select("gorder_id", F.lit("missing gorder").alias("dl_reason"))
+            .unionByName(failed.select("gorder_id", F.lit("null order status or time").alias("dl_reason")))
             .unionByName(bad.select("gorder_id", F.lit("null item id").alias("dl_reason"))))
     return good, dead
 

@@ -7,7 +7,7 @@ Column names and types match the Spark outputs.
 
 from __future__ import annotations
 
-from tidewater.sources.roles import INDEX_AS_OF
+from tidewater.sources.roles import ABSENT_SEGMENT, INDEX_AS_OF, MOVED_PRIORITY
 
 def floor_millis(sql: str) -> str:
     """Rewrite ``epoch_ms(x)`` (DuckDB rounds to the nearest ms) as
@@ -44,6 +44,10 @@ ADDRESS = """SELECT o.o_orderkey AS order_id, c.c_name AS buy_account_name, n.n_
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"""
 REFUNDS = f"""SELECT l_orderkey AS order_id, {ITEM_ID} AS order_item_id, l_linestatus AS apply_type,
   epoch_ms(l_shipdate) AS create_time FROM lineitem WHERE l_returnflag = 'R'"""
+PARTIAL_GORDERS = f"""SELECT c_custkey AS gorder_id, c_nationkey AS shop_id FROM customer
+  WHERE c_mktsegment <> '{ABSENT_SEGMENT}'"""
+MOVED_TARGET = f"""SELECT CASE WHEN o_orderpriority = '{MOVED_PRIORITY}' THEN o_custkey + 1 ELSE o_custkey END AS gorder_id,
+  o_orderkey AS order_id FROM orders WHERE o_orderstatus = 'F'"""
 DOC_COLS = ("doc_id, routing, shop_id, gorder_id, order_id, order_status, order_priority, "
             "order_pay_amount, order_time")
 
@@ -88,6 +92,8 @@ def order_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
 {p}_scoped AS (SELECT r.*, oo.gorder_id FROM ({REFUNDS}) r JOIN {p}_oo oo ON oo.order_id = r.order_id),
 {p}_dup AS (SELECT DISTINCT oo.gorder_id FROM (SELECT order_id FROM {p}_scoped
   GROUP BY order_id, order_item_id HAVING count(*) > 1) d JOIN {p}_oo oo ON oo.order_id = d.order_id),
+{p}_timeless AS (SELECT DISTINCT s.gorder_id FROM {p}_scoped s JOIN {p}_idx x ON x.gorder_id = s.gorder_id
+  AND x.item_id = s.order_item_id WHERE s.create_time IS NULL),
 {p}_pi AS (SELECT gorder_id, order_item_id AS item_id, apply_type AS refund_apply_type,
   create_time AS refund_apply_time FROM (SELECT *, row_number() OVER (PARTITION BY gorder_id, order_item_id
   ORDER BY create_time DESC NULLS LAST, apply_type DESC NULLS LAST) AS rn FROM {p}_scoped) WHERE rn = 1),
@@ -97,7 +103,8 @@ def order_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
   x.item_count, CASE WHEN x.item_id IS NOT NULL THEN p.item_id IS NOT NULL END AS has_refund,
   p.refund_apply_type, p.refund_apply_time
   FROM {p}_idx x LEFT JOIN {p}_pi p ON p.gorder_id = x.gorder_id AND p.item_id = x.item_id
-  WHERE x.gorder_id NOT IN (SELECT gorder_id FROM {p}_dup))"""
+  WHERE x.gorder_id NOT IN (SELECT gorder_id FROM {p}_dup)
+  AND x.gorder_id NOT IN (SELECT gorder_id FROM {p}_timeless))"""
 
 
 def item_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
@@ -106,9 +113,11 @@ def item_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
 {p}_k AS ({keys_sql}),
 {p}_found AS (SELECT k.gorder_id, c.c_nationkey AS shop_id FROM {p}_k k
   JOIN customer c ON c.c_custkey = k.gorder_id),
-{p}_rows AS (SELECT f.gorder_id, f.shop_id, o.o_orderkey AS order_id, o.o_orderstatus AS order_status,
+{p}_rows0 AS (SELECT f.gorder_id, f.shop_id, o.o_orderkey AS order_id, o.o_orderstatus AS order_status,
   epoch_ms(o.o_orderdate) AS order_time, o.o_totalprice AS order_pay_amount
   FROM {p}_found f JOIN orders o ON o.o_custkey = f.gorder_id WHERE {order_filter}),
+{p}_bad AS (SELECT DISTINCT gorder_id FROM {p}_rows0 WHERE order_status IS NULL OR order_time IS NULL),
+{p}_rows AS (SELECT * FROM {p}_rows0 WHERE gorder_id NOT IN (SELECT gorder_id FROM {p}_bad)),
 {p}_flat AS (SELECT x.*, i.item_id, i.goods_id, i.sku_id, i.unit_price, i.item_count,
   gd.p_name AS goods_name FROM {p}_rows x LEFT JOIN ({ITEMS}) i ON i.order_id = x.order_id
   LEFT JOIN part gd ON gd.p_partkey = i.goods_id),
@@ -122,6 +131,7 @@ def item_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
   QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY unit_price DESC, item_count DESC) = 1),
 {p}_dead AS (SELECT gorder_id, 'missing gorder' AS dl_reason FROM {p}_k
   WHERE gorder_id NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT gorder_id, 'null order status or time' AS dl_reason FROM {p}_bad
   UNION ALL SELECT gorder_id, 'null item id' AS dl_reason FROM {p}_all WHERE item_id IS NULL)"""
 
 

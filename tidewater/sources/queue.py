@@ -7,8 +7,8 @@ when a row fails.  Here the queue is an append-only table:
 * a poll is ``orderBy(order).limit(n)`` -> TakeOrderedAndProject, i.e. a
   per-partition top-n and one merge of at most ``n * partitions`` rows;
 * a claim is the poll plus the queue minus the claimed delete keys.  The
-  claimed key set has at most ``n`` rows, a proven bound, so it is
-  broadcast; there is no shuffle of the queue;
+  limit tells the planner that the key set has at most ``n`` rows, so it
+  broadcasts a small one of its own accord and does not shuffle the queue;
 * in streaming, progress is the checkpoint, so nothing is deleted and no
   row is lost between claim and work.
 """
@@ -22,19 +22,12 @@ from pyspark.sql import functions as F
 POLL_ROWS_ORDER_SEARCH = 1000
 POLL_ROWS_COMMISSION = 2
 
-# Broadcast the claimed key set only while its row bound stays below this.
-BROADCAST_KEY_ROWS = 2_000_000
-
 
 def poll(queue: DataFrame, n: int, order_by=("id",)) -> DataFrame:
     """The first ``n`` queue rows in a total order (deterministic)."""
     return queue.orderBy(*order_by).limit(n)
 
 
-def _bounded_broadcast(keys: DataFrame, bound: int) -> DataFrame:
-    return F.broadcast(keys) if bound <= BROADCAST_KEY_ROWS else keys
-
-
 def claim(queue: DataFrame, n: int, delete_key: str = "id", order_by=("id",)):
     """Claim ``n`` rows; returns ``(claimed, remaining)``.
 
@@ -45,7 +38,7 @@ def claim(queue: DataFrame, n: int, delete_key: str = "id", order_by=("id",)):
     """
     polled = poll(queue, n, order_by)
     keys = polled.select(delete_key).where(F.col(delete_key).isNotNull()).distinct()
-    remaining = queue.join(_bounded_broadcast(keys, n), delete_key, "left_anti")
+    remaining = queue.join(keys, delete_key, "left_anti")
     claimed = polled if delete_key == "gorder_id" else polled.drop(delete_key)
     return claimed, remaining
 

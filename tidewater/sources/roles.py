@@ -23,6 +23,8 @@ INDEX_AS_OF = "2000-01-01"      # stored indexes were built from orders before t
 WIDE_FAMILY = "info"            # column family of the wide-column view of the queue
 WIDE_QUALIFIERS = ("event_type", "user_id", "value")
 EXISTING_TARGET_STATUS = 2      # status of commission rows already in the target
+ABSENT_SEGMENT = "BUILDING"     # checkouts that the partial checkout table lacks
+MOVED_PRIORITY = "5-LOW"        # orders that the moved target holds under another checkout
 SETTLED_ORDER_STATUS = "F"      # orders with this status already have a commission row
 
 
@@ -43,6 +45,12 @@ def gorders(spark: SparkSession, d: str) -> DataFrame:
         F.col("c_nationkey").alias("benefit_user"))
 
 
+def partial_gorders(spark: SparkSession, d: str) -> DataFrame:
+    """The checkout table without one market segment, so that lookups miss."""
+    c = table(spark, d, "customer").where(F.col("c_mktsegment") != ABSENT_SEGMENT)
+    return c.select(F.col("c_custkey").alias("gorder_id"), F.col("c_nationkey").alias("shop_id"))
+
+
 def orders(spark: SparkSession, d: str) -> DataFrame:
     """Order rows of a checkout.  The test table has one amount column, so
     pay and commission amounts are both ``o_totalprice``; there is no
@@ -100,9 +108,21 @@ def refunds(spark: SparkSession, d: str) -> DataFrame:
         epoch_millis("l_shipdate").alias("create_time"))
 
 
-def commission_target(spark: SparkSession, d: str) -> DataFrame:
+def line_refunds(spark: SparkSession, d: str) -> DataFrame:
+    """Refund feed keyed by order and line number alone, which repeat in the
+    line table: refunds of one item twice."""
+    li = table(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
+    return li.select(F.col("l_orderkey").alias("order_id"),
+                     F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"))
+
+
+def commission_target(spark: SparkSession, d: str, moved: bool = False) -> DataFrame:
     """Commission events already in the target: one stale row per settled
-    order, status 2, amounts not yet filled in."""
+    order, status 2, amounts not yet filled in.  ``moved``: the orders of one
+    priority are held under the next checkout's id."""
+    gorder = F.col("o_custkey")
+    if moved:
+        gorder = F.when(F.col("o_orderpriority") == MOVED_PRIORITY, gorder + 1).otherwise(gorder)
     o = table(spark, d, "orders").filter(F.col("o_orderstatus") == SETTLED_ORDER_STATUS)
     return o.select(
         F.lit("UNKNOWN").alias("order_type"),
@@ -111,7 +131,7 @@ def commission_target(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("benefit_user_account"),
         F.lit(0.0).alias("sales_amount"),
         F.lit(None).cast("bigint").alias("event_time"),
-        F.col("o_custkey").alias("gorder_id"),
+        gorder.alias("gorder_id"),
         F.col("o_orderkey").alias("order_id"),
         F.lit(EXISTING_TARGET_STATUS).alias("status"))
 

@@ -2,8 +2,9 @@
 
 A cell is ``(row_key, family, qualifier, value, cell_ts)``; values are text
 and row keys compare as bytes (Spark and parquet compare UTF-8 strings
-bytewise, the wide-column store's order).  Range predicates on ``row_key``
-reach the parquet scan as pushed filters.
+bytewise, the wide-column store's order).  Over a stored cell table
+(:func:`store_cells`) predicates on ``row_key`` reach the parquet scan as
+pushed filters.
 """
 
 from __future__ import annotations
@@ -24,6 +25,15 @@ def cells_from_rows(rows: DataFrame, row_key: str, cell_ts: str, family: str, qu
                         F.col(cell_ts).alias("cell_ts")))
 
 
+def store_cells(cells: DataFrame, path: str) -> DataFrame:
+    """Write the cells as a table sorted by row key, a range of keys per file,
+    and read it: row key predicates then skip files and row groups by their
+    statistics."""
+    ordered = cells.repartitionByRange("row_key", "qualifier").sortWithinPartitions("row_key", "qualifier")
+    ordered.write.mode("overwrite").parquet(path)
+    return cells.sparkSession.read.schema(cells.schema).parquet(path)
+
+
 def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """S10 (bulk point get): the cells of the requested row keys."""
     return cells.join(keys.select("row_key").distinct(), "row_key", "left_semi")

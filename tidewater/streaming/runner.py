@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import time
+from collections import deque
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ from tidewater.sources import roles
 # Fixed value: the reference polls the queue once per second.
 POLL_INTERVAL = "1 second"
 
+# Queue files per micro-batch unless the caller says otherwise.
+MAX_FILES = 64
+# Batches whose counters the driver keeps; a job never ends.
+KEPT_BATCHES = 1000
+
 
 def queue_stream(spark: SparkSession, folder: str, schema, file_glob: str | None = None,
                  max_files: int | None = None) -> DataFrame:
@@ -61,7 +67,7 @@ class ProgressLog(StreamingQueryListener):
     def __init__(self, query_name: str):
         super().__init__()
         self.query_name = query_name
-        self.batches: list[dict] = []
+        self.batches: deque[dict] = deque(maxlen=KEPT_BATCHES)
 
     def onQueryStarted(self, event):
         pass
@@ -104,21 +110,20 @@ class QueueJobStream:
     group_cols: tuple[str, ...] = ("gorder_id",)
 
     def __init__(self, spark: SparkSession, sf_dir: str, queue_folder: str, work_root: str | None = None,
-                 file_glob: str | None = None, max_files: int | None = None,
-                 requeue_folder: str | None = None, skew_safe="auto", then=None):
+                 file_glob: str | None = None, max_files: int | None = MAX_FILES,
+                 requeue_folder: str | None = None, then=None):
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
         self.queue_folder = queue_folder
         self.file_glob = file_glob
         self.max_files = max_files
         self.requeue_folder = requeue_folder
-        self.skew_safe = skew_safe
         root = work_root or checkpoint_root(spark, f"{self.name}-stream")
         self.then = then
         self.index = AppendedTable(spark, os.path.join(root, "index"), self.group_cols, os.path.join(root, "epoch"))
         self.dead_root = os.path.join(root, "dead-letter")
         self.checkpoint = os.path.join(root, "checkpoint")
-        self.counters: list[dict] = []
+        self.counters: deque[dict] = deque(maxlen=KEPT_BATCHES)
 
     # -- job specifics -----------------------------------------------------
     def initial_state(self) -> DataFrame:
@@ -197,10 +202,10 @@ class OrderSearchStream(QueueJobStream):
     group_cols = ("shop_id", "gorder_id")
 
     def initial_state(self) -> DataFrame:
-        return jobs.order_index_as_of(self.spark, self.sf_dir, skew_safe=self.skew_safe)
+        return jobs.order_index_as_of(self.spark, self.sf_dir)
 
     def enrich(self, batch: DataFrame):
-        docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch, self.skew_safe)
+        docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch)
         return docs.withColumn("doc_id", F.col("order_id").cast("string")), dead
 
 
