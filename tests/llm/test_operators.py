@@ -165,6 +165,31 @@ def test_suffix_dedup(spark, docs, wide, none, given, monkeypatch):
     assert found5(again) == sorted(brute.removed(given[1] + TEXTS), key=key) == found5(shuffled)
 
 
+@pytest.fixture
+def byte_batches(spark):
+    """Rows in one partition whose Arrow batches end by bytes, not by rows."""
+    r = np.random.default_rng(8)
+    texts = ["".join(r.choice(list("abcdefgh "), int(r.integers(60, 160)))) for _ in range(150)]
+    rows = [(i, texts[i % 150] + f" {i}") for i in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 2000)
+    yield table(spark, rows).coalesce(1), rows
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_suffix_dedup_batches_that_end_by_bytes(byte_batches):
+    df, rows = byte_batches
+    assert found5(df) == sorted(brute.removed(rows), key=key)
+
+
+def test_suffix_dedup_fails_on_lost_anchors():
+    data = np.random.default_rng(9).integers(97, 123, 400).astype(np.uint8)
+    anchors = suffix_dedup.Anchors(data, np.array([0, 400]), 50, 20)
+    own = suffix_dedup._low(anchors.key, 0)
+    assert suffix_dedup._wanted(anchors, [0], [own.tobytes()], 0).all()
+    with pytest.raises(ValueError, match="changed between two reads"):
+        suffix_dedup._wanted(anchors, [0], [(own + np.uint32(1)).tobytes()], 0)
+
+
 def test_suffix_dedup_short_repeats(spark):
     r = np.random.default_rng(5)
     rows = [(i, "".join(r.choice(list("ab"), int(r.integers(0, 80))))) for i in range(60)]

@@ -42,6 +42,7 @@ GRAM = 20
 SLICE, SHARD = 3 << 20, 8 << 20
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
+_CHANGED = "documents changed between two reads; read them from a table"
 
 
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -161,7 +162,8 @@ def _announce(documents: DataFrame, length: int, gram: int, bits: int) -> DataFr
             yield _batch(rows, [("shard", pa.int64()), ("slice", pa.int64()), ("once", pa.binary()), ("more", pa.binary())])
             give_back()
 
-    return documents.select("text").mapInArrow(run, "shard long, slice long, once binary, more binary")
+    # the columns of the later passes: Arrow batches, and so slices, end by the bytes of all columns
+    return documents.select("doc_id", "text").mapInArrow(run, "shard long, slice long, once binary, more binary")
 
 
 def _batch(rows: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
@@ -192,12 +194,14 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 
 def _wanted(anchors: Anchors, shards: list[int], blobs: list[bytes], bits: int) -> np.ndarray:
-    """Mask of the slice's anchors that the shards asked for."""
+    """Mask of the slice's anchors that the shards asked for; all must be there."""
     keys = [np.left_shift(np.uint64(s), np.uint64(32)) | _u4(b).astype(np.uint64) for s, b in zip(shards, blobs, strict=True)]
-    if not keys or not len(anchors.at):
+    if not keys:
         return np.zeros(len(anchors.at), bool)
     keys = np.sort(np.concatenate(keys))
     own = (_range(anchors.key, bits).astype(np.uint64) << np.uint64(32)) | _low(anchors.key, bits)
+    if not np.isin(keys, own).all():
+        raise ValueError(_CHANGED)
     place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
     return keys[place] == own
 
@@ -221,7 +225,9 @@ def _cut(slices: DataFrame, asked: DataFrame, length: int, gram: int, bits: int)
     def run(key: tuple, own: pa.Table, wanted: pa.Table) -> pa.Table:
         give_back()
         number, rows = key[0].as_py(), []
-        if own.num_rows and wanted.num_rows:
+        if wanted.num_rows and not own.num_rows:
+            raise ValueError(_CHANGED)
+        if wanted.num_rows:
             part = _unpack(own.column("texts")[0].as_py())
             data, ends = text_bytes(part.column("text"))
             found = Anchors(data, ends, length, gram)
@@ -327,7 +333,7 @@ def _remove(slices: DataFrame, answers: DataFrame, length: int) -> DataFrame:
     def run(key: tuple, own: pa.Table, known: pa.Table) -> pa.Table:
         give_back()
         if not own.num_rows:
-            raise ValueError("documents changed between two reads; read them from a table")
+            raise ValueError(_CHANGED)
         part = _unpack(own.column("texts")[0].as_py())
         data, ends = text_bytes(part.column("text"))
         cover = np.zeros(len(data) + 1, np.int32)
