@@ -275,6 +275,12 @@ def test_ppm(docs, wide, none, given):
     assert ppm.score(none).count() == 0
 
 
+def test_ppm_batches_that_end_by_bytes(byte_batches):
+    df, rows = byte_batches
+    out = {r.doc_id: r.score for r in ppm.score(df).collect()}
+    assert out == {d: pytest.approx(s, rel=1e-9) for (d, _), s in zip(rows, brute.ppm_scores(rows), strict=True)}
+
+
 def test_toxicity(spark, docs, wide, none):
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -111,7 +111,8 @@ def dictionary(documents: DataFrame) -> DataFrame:
                         [pa.array(np.full(n, block)), pa.array(np.full(n, kind, np.int32)), pa.array(keys[some]), pa.array(counts[some])],
                         ["block", "kind", "key", "n"])
 
-    return documents.select("text", "train").mapInArrow(run, "block long, kind int, key long, n long")
+    # the columns of the scoring pass: Arrow batches, and so blocks, end by the bytes of all columns
+    return documents.select("doc_id", "text", "train").mapInArrow(run, "block long, kind int, key long, n long")
 
 
 def _context(gram: Column, order: int) -> Column:
