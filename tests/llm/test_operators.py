@@ -181,6 +181,34 @@ def test_suffix_dedup_batches_that_end_by_bytes(byte_batches):
     assert found5(df) == sorted(brute.removed(rows), key=key)
 
 
+def test_suffix_dedup_sends_a_hot_anchor_once(spark, monkeypatch):
+    """Runs of one character: a shard gets their contents, not their places."""
+    r = np.random.default_rng(10)
+    noise = lambda: "".join(r.choice(list("abcdefgh "), 70))
+    rows = [(i, noise() + "-" * (1000 + i % 3) + noise() + "=-" * 200) for i in range(20)] + [(None, "-" * 700), (3, "-" * 300)]
+    classes = suffix_dedup._classes
+
+    def checked(length):
+        run = classes(length)
+
+        def few(table):
+            n = sum(suffix_dedup._unpack(b.as_py()).num_rows for b in table.column("pieces"))
+            if n > 4000:
+                raise ValueError(f"{n} rows in a shard")
+            return run(table)
+
+        return few
+
+    monkeypatch.setattr(suffix_dedup, "_classes", checked)
+    want = sorted(brute.removed(rows), key=key)
+    assert found5(table(spark, rows)) == want
+    # hot anchors' windows go one by one, to shards of their own
+    monkeypatch.setattr(suffix_dedup, "HOT", 2)
+    monkeypatch.setattr(suffix_dedup, "COUNTED", 1)
+    monkeypatch.setattr(suffix_dedup, "SHARD", 1 << 13)
+    assert found5(table(spark, rows)) == want
+
+
 def test_suffix_dedup_fails_on_lost_anchors():
     data = np.random.default_rng(9).integers(97, 123, 400).astype(np.uint8)
     anchors = suffix_dedup.Anchors(data, np.array([0, 400]), 50, 20)

@@ -6,14 +6,15 @@ filters come first.  Every window of LENGTH bytes has an anchor, the smallest
 hash among its ``GRAM``-byte strings, so equal windows have equal anchors; a
 window whose anchor occurs in one document only repeats nowhere.  And a
 window's neighbours share its anchor, so they travel as one piece, and equal
-pieces of a slice travel once.
+pieces of a slice travel once, without their places.
 
-Pieces are dealt to shards by anchor.  A shard collapses equal pieces and
-sorts the window suffixes of the anchors that still have several by external
-induced sorting (:mod:`.induced`); neighbours in that order with a common
-prefix of LENGTH bytes form a class, and windows of documents other than the
-class's first go back to the slices as removed places.  Every step is a
-grouping of bounded compressed blobs.
+Pieces are dealt to shards by anchor, the windows of a hot anchor each by its
+own hash.  A shard collapses equal pieces and sorts the window suffixes of the
+anchors that still have several by external induced sorting (:mod:`.induced`);
+neighbours in that order with a common prefix of LENGTH bytes form a class,
+and each piece's windows go back to the slices with the class's first
+document; a slice removes them from its other documents.  Every step is a
+grouping of compressed blobs; a shard holds a row per slice and distinct piece.
 
 ``documents`` must give the same rows in the same partitions when read again
 (a table read from files).  Null text is empty; shorter texts than LENGTH
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, give_back, numbered_slices, ragged, text_bytes
+from .common import binary_array, give_back, numbered_slices, ragged, stage, text_bytes
 from .induced import suffix_order
 
 LENGTH = 50
@@ -40,6 +41,11 @@ GRAM = 20
 #: Bytes of text in a slice, and bytes of text per shard (each has about a
 #: thirtieth of that in anchors, and less in pieces).
 SLICE, SHARD = 3 << 20, 8 << 20
+#: Bytes of pieces that are looked at together before equal ones are one.
+CHUNK = 1 << 20
+#: Places of an anchor in a slice from which they are counted, and counted
+#: places in the table from which its windows are dealt one by one.
+COUNTED, HOT = 4, 20_000
 _BASE = 0x9E3779B97F4A7C15
 _LAST = np.iinfo(np.int64).max
 _CHANGED = "documents changed between two reads; read them from a table"
@@ -114,9 +120,15 @@ class Anchors:
         held = count > 0
         return row[held], first[held], count[held], keys[held]
 
-    def content(self, first: np.ndarray, count: np.ndarray) -> pa.Array:
+    def coded(self, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Each piece's place among the distinct contents, and those.  Only
+        CHUNK bytes of repeated contents are held at a time."""
         size = count + self.length - 1
-        return binary_array(self.data[ragged(first, size)], size)
+        part = (np.cumsum(size) - size) // CHUNK
+        cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+        found = pa.chunked_array([binary_array(self.data[ragged(f, n)], n).dictionary_encode()
+                                  for f, n in zip(np.split(first, cuts), np.split(size, cuts), strict=True)]).unify_dictionaries()
+        return np.concatenate([c.indices.to_numpy() for c in found.chunks]), found.chunk(0).dictionary
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -140,8 +152,11 @@ def _dealt(values: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndar
 
 
 def _announce(documents: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
-    """(shard, slice, once, more): anchors of one and of several documents of
-    the slice, as sorted 32-bit blobs."""
+    """(shard, slice, once, more, many): anchors of one and of several
+    documents of the slice, as sorted 32-bit blobs, and (anchor, places) of
+    those with COUNTED places or more."""
+
+    counted = COUNTED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, part in numbered_slices(batches, SLICE):
@@ -153,17 +168,21 @@ def _announce(documents: DataFrame, length: int, gram: int, bits: int) -> DataFr
             start = np.flatnonzero(new)
             end = np.append(start[1:], len(hashes)) - 1
             several = row[start] != row[end] if len(start) else np.zeros(0, bool)
+            places = end + 1 - start
             blobs: dict[int, list] = {}
-            for i, mask in enumerate((~several, several)):
+            for i, mask in enumerate((~several, several, places >= counted)):
                 own = hashes[start][mask]
-                for shard, values in _dealt(_low(own, bits), _range(own, bits)) if len(own) else ():
-                    blobs.setdefault(shard, [b"", b""])[i] = values.astype("<u4").tobytes()
+                values = _low(own, bits)
+                if i == 2:
+                    values = np.stack([values, places[mask].astype(np.uint32)], axis=1)
+                for shard, values in _dealt(values, _range(own, bits)) if len(own) else ():
+                    blobs.setdefault(shard, [b"", b"", b""])[i] = values.astype("<u4").tobytes()
             rows = [(s, number, *b) for s, b in blobs.items()]
-            yield _batch(rows, [("shard", pa.int64()), ("slice", pa.int64()), ("once", pa.binary()), ("more", pa.binary())])
+            yield _batch(rows, [("shard", pa.int64()), ("slice", pa.int64()), ("once", pa.binary()), ("more", pa.binary()), ("many", pa.binary())])
             give_back()
 
     # the columns of the later passes: Arrow batches, and so slices, end by the bytes of all columns
-    return documents.select("doc_id", "text").mapInArrow(run, "shard long, slice long, once binary, more binary")
+    return documents.select("doc_id", "text").mapInArrow(run, "shard long, slice long, once binary, more binary, many binary")
 
 
 def _batch(rows: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
@@ -175,22 +194,34 @@ def _u4(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u4")
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Of a shard: each slice's anchors that occur in several documents."""
-    slices = table.column("slice").to_pylist()
-    once, more = ([_u4(b) for b in table.column(c).to_pylist()] for c in ("once", "more"))
-    every = np.concatenate([*once, *more])
-    values, counts = np.unique(every, return_counts=True)
-    wanted = np.union1d(values[counts > 1], np.concatenate(more))
-    shard = table.column("shard")[0].as_py()
-    rows = []
-    for i, number in enumerate(slices):
-        own = np.concatenate([once[i], more[i]])
-        place = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
-        own = np.sort(own[wanted[place] == own]) if len(wanted) else own[:0]
-        if len(own):
-            rows.append((number, shard, own.astype("<u4").tobytes()))
-    return pa.Table.from_batches([_batch(rows, [("slice", pa.int64()), ("shard", pa.int64()), ("anchors", pa.binary())])])
+def _repeated(places: int):
+    """Of a shard: each slice's anchors that occur in several documents, and
+    those of them with that many places or more."""
+
+    def run(table: pa.Table) -> pa.Table:
+        slices = table.column("slice").to_pylist()
+        once, more = ([_u4(b) for b in table.column(c).to_pylist()] for c in ("once", "more"))
+        every = np.concatenate([*once, *more])
+        values, counts = np.unique(every, return_counts=True)
+        wanted = np.union1d(values[counts > 1], np.concatenate(more))
+        many = np.concatenate([_u4(b).reshape(-1, 2) for b in table.column("many").to_pylist()])
+        index, counted = pd.factorize(many[:, 0])
+        hot = counted[np.bincount(index, weights=many[:, 1], minlength=len(counted)) + counts[np.searchsorted(values, counted)] >= places]
+        hot = np.union1d(hot, values[counts >= places])
+        shard = table.column("shard")[0].as_py()
+        rows = []
+        for i, number in enumerate(slices):
+            own = np.concatenate([once[i], more[i]])
+            place = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+            own = np.sort(own[wanted[place] == own]) if len(wanted) else own[:0]
+            if len(own):
+                rows.append((number, shard, *(x.astype("<u4").tobytes() for x in (own, own[np.isin(own, hot)]))))
+        return pa.Table.from_batches([_batch(rows, [("slice", pa.int64()), ("shard", pa.int64()), ("anchors", pa.binary()), ("hot", pa.binary())])])
+
+    return run
+
+
+_ASKED = "slice long, shard long, anchors binary, hot binary"
 
 
 def _wanted(anchors: Anchors, shards: list[int], blobs: list[bytes], bits: int) -> np.ndarray:
@@ -218,9 +249,39 @@ def _unpack(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(blob).read_next_batch()
 
 
+class Cut:
+    """The pieces of a slice at the anchors asked for, dealt to shards.
+
+    A piece goes to its anchor's shard.  The windows of a hot anchor, one
+    that would fill its shard, are pieces each and go by their own hash: equal
+    windows still meet, for they have equal anchors.  The shards see distinct
+    contents only; the places stay in the slice, which finds them again."""
+
+    def __init__(self, part: pa.RecordBatch, wanted: pa.Table, length: int, gram: int, bits: int):
+        data, ends = text_bytes(part.column("text"))
+        self.anchors = found = Anchors(data, ends, length, gram)
+        shards, blobs, hot = (wanted.column(c).to_pylist() for c in ("shard", "anchors", "hot"))
+        row, first, count, keys = found.pieces(_wanted(found, shards, blobs, bits))
+        if any(hot):
+            every = np.concatenate([np.left_shift(np.uint64(s), np.uint64(32)) | _u4(b).astype(np.uint64) for s, b in zip(shards, hot, strict=True)])
+            split = np.isin((_range(keys, bits).astype(np.uint64) << np.uint64(32)) | _low(keys, bits), every)
+            n = np.where(split, count, 1)
+            row, keys, first = np.repeat(row, n), np.repeat(keys, n), ragged(first, n)
+            count, split = np.repeat(np.where(split, 1, count), n), np.repeat(split, n)
+            keys[split] = _gram_hashes(data, length)[first[split]] * np.uint64(_BASE)
+        self.order = np.argsort(keys, kind="stable")
+        self.row, self.first, self.count, self.keys = row, first, count, keys
+        self.ids, self.shard = _ids(part.column("doc_id"))[row], _range(keys[self.order], bits)
+
+    def dealt(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Array]]:
+        """Per shard: its pieces, their contents' places, the contents."""
+        for shard, at in _dealt(self.order, self.shard):
+            yield shard, at, *self.anchors.coded(self.first[at], self.count[at])
+
+
 def _cut(slices: DataFrame, asked: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
-    """(shard, slice, pieces): blobs of the pieces at the anchors asked for,
-    with the rows, doc_ids and places where they are."""
+    """(shard, slice, pieces): blobs of the distinct pieces at the anchors
+    asked for, with the smallest and the largest doc_id that they are in."""
 
     def run(key: tuple, own: pa.Table, wanted: pa.Table) -> pa.Table:
         give_back()
@@ -228,34 +289,32 @@ def _cut(slices: DataFrame, asked: DataFrame, length: int, gram: int, bits: int)
         if wanted.num_rows and not own.num_rows:
             raise ValueError(_CHANGED)
         if wanted.num_rows:
-            part = _unpack(own.column("texts")[0].as_py())
-            data, ends = text_bytes(part.column("text"))
-            found = Anchors(data, ends, length, gram)
-            row, first, count, hashes = found.pieces(_wanted(found, wanted.column("shard").to_pylist(), wanted.column("anchors").to_pylist(), bits))
-            ids = _ids(part.column("doc_id"))
-            order = np.argsort(hashes, kind="stable")
-            for shard, at in _dealt(order, _range(hashes[order], bits)):
-                r = row[at]
+            cut = Cut(_unpack(own.column("texts")[0].as_py()), wanted, length, gram, bits)
+            for shard, at, index, content in cut.dealt():
+                least, most = np.full(len(content), _LAST), np.full(len(content), np.iinfo(np.int64).min)
+                np.minimum.at(least, index, cut.ids[at])
+                np.maximum.at(most, index, cut.ids[at])
+                hashes = np.zeros(len(content), np.uint64)
+                hashes[index] = cut.keys[at]
                 rows.append((shard, number, _pack(pa.RecordBatch.from_arrays(
-                    [found.content(first[at], count[at]).dictionary_encode(), pa.array(hashes[at].view(np.int64)), pa.array(ids[r]),
-                     pa.array(r), pa.array((first[at] - ends[r]).astype(np.int32)), pa.array(count[at].astype(np.int32))],
-                    ["content", "hash", "id", "row", "first", "count"]))))
+                    [content, pa.array(hashes.view(np.int64)), pa.array(least), pa.array(most)], ["content", "hash", "least", "most"]))))
         return pa.Table.from_batches([_batch(rows, [("shard", pa.int64()), ("slice", pa.int64()), ("pieces", pa.binary())])])
 
     return slices.groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(run, "shard long, slice long, pieces binary")
 
 
 def _classes(length: int):
-    """Of a shard's pieces: per slice, the places of windows to remove as
-    (row, first window, last window + 1)."""
+    """Of a shard's pieces: per slice, the runs of windows to remove from
+    larger doc_ids as (content, first window, last window + 1, doc_id)."""
 
     def run(table: pa.Table) -> pa.Table:
         give_back()
         parts = [_unpack(b.as_py()) for b in table.column("pieces")]
-        coded = pa.concat_arrays([p.column("content").cast(pa.binary()) for p in parts]).dictionary_encode()
-        hashes, ids, row, first, count = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("hash", "id", "row", "first", "count"))
-        at_slice = np.repeat(np.array(table.column("slice").to_pylist()), [p.num_rows for p in parts])
-        index, content = coded.indices.to_numpy(), coded.dictionary
+        coded = pa.chunked_array([p.column("content") for p in parts]).dictionary_encode()
+        index, content = np.concatenate([c.indices.to_numpy() for c in coded.chunks]), coded.chunk(0).dictionary
+        hashes, ids, most = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("hash", "least", "most"))
+        shard, numbers, held = table.column("shard")[0].as_py(), table.column("slice").to_pylist(), [p.num_rows for p in parts]
+        del parts, coded
         least = np.full(len(content), _LAST)
         np.minimum.at(least, index, ids)
         anchor = np.zeros(len(content), np.int64)
@@ -270,24 +329,24 @@ def _classes(length: int):
         if len(mates):
             best[ragged(start[mates], windows[mates])] = _least_of_class(
                 data[ragged(ends[mates], sizes[mates])], sizes[mates], windows[mates], least[mates], length)
-        # whole pieces go if their worst window goes; of the others, runs
-        whole = np.maximum.reduceat(best, start)[index] < ids
-        mixed = np.flatnonzero(~whole & (np.minimum.reduceat(best, start)[index] < ids))
-        n = count[mixed].astype(np.int64)
-        gone = best[ragged(start[index[mixed]], n)] < np.repeat(ids[mixed], n)
-        owner = np.repeat(mixed, n)
-        place = ragged(first[mixed].astype(np.int64), n)[gone]
-        owner = owner[gone]
-        joins = (owner[1:] == owner[:-1]) & (place[1:] == place[:-1] + 1)
-        head = np.flatnonzero(np.append(True, ~joins)[:len(owner)])
-        tail = np.append(head[1:], len(owner)) - 1
-        pick = np.concatenate((np.flatnonzero(whole), owner[head]))
-        begin = np.concatenate((first[whole], place[head]))
-        stop = np.concatenate((first[whole] + count[whole], place[tail] + 1 if len(head) else place[:0]))
-        order = np.argsort(at_slice[pick], kind="stable")
-        spans = np.stack([row[pick], begin, stop], axis=1).astype("<i4")[order]
-        rows = [(number, p.tobytes()) for number, p in _dealt(spans, at_slice[pick][order])]
-        return pa.Table.from_batches([_batch(rows, [("slice", pa.int64()), ("spans", pa.binary())])])
+        new = np.append(True, best[1:] != best[:-1])
+        new[start] = True
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(best))
+        bounds = np.searchsorted(head, np.append(start, len(best)))  # each content's first run
+        rows, lo = [], 0
+        for number, n in zip(numbers, held, strict=True):
+            of = index[lo:lo + n]
+            each = bounds[of + 1] - bounds[of]
+            at, runs = np.repeat(np.arange(n), each), ragged(bounds[of], each)
+            keep = best[head[runs]] < most[lo:lo + n][at]
+            at, runs, lo = at[keep], runs[keep], lo + n
+            if len(at):
+                base = start[of[at]]
+                rows.append((number, shard, _pack(pa.RecordBatch.from_arrays(
+                    [pa.array(at.astype(np.int32)), pa.array((head[runs] - base).astype(np.int32)), pa.array((tail[runs] - base).astype(np.int32)),
+                     pa.array(best[head[runs]])], ["content", "first", "stop", "least"]))))
+        return pa.Table.from_batches([_batch(rows, [("slice", pa.int64()), ("shard", pa.int64()), ("runs", pa.binary())])])
 
     return run
 
@@ -326,7 +385,24 @@ def _common_prefix(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
 _RESULT = "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"
 
 
-def _remove(slices: DataFrame, answers: DataFrame, length: int) -> DataFrame:
+def _places(cut: Cut, answers: dict[int, bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """First windows and last windows + 1 that the shards' answers remove."""
+    for shard, at, index, content in cut.dealt():
+        if shard not in answers:
+            continue
+        runs = _unpack(answers.pop(shard))
+        of, first, stop, least = (runs.column(c).to_numpy() for c in ("content", "first", "stop", "least"))
+        bounds = np.searchsorted(of, np.arange(len(content) + 1))
+        each = bounds[index + 1] - bounds[index]
+        piece, run = np.repeat(at, each), ragged(bounds[index], each)
+        gone = least[run] < cut.ids[piece]
+        piece, run = piece[gone], run[gone]
+        yield cut.first[piece] + first[run], cut.first[piece] + stop[run]
+    if answers:
+        raise ValueError(_CHANGED)
+
+
+def _remove(slices: DataFrame, asked: DataFrame, answers: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 
@@ -337,10 +413,12 @@ def _remove(slices: DataFrame, answers: DataFrame, length: int) -> DataFrame:
         part = _unpack(own.column("texts")[0].as_py())
         data, ends = text_bytes(part.column("text"))
         cover = np.zeros(len(data) + 1, np.int32)
-        for blob in known.column("spans").to_pylist():
-            row, first, stop = np.frombuffer(blob, "<i4").reshape(-1, 3).T.astype(np.int64)
-            np.add.at(cover, ends[row] + first, 1)
-            np.add.at(cover, ends[row] + stop + length - 1, -1)
+        told = known.filter(known.column("runs").is_valid())
+        if told.num_rows:
+            cut = Cut(part, known.filter(known.column("anchors").is_valid()), length, gram, bits)
+            for first, stop in _places(cut, dict(zip(told.column("shard").to_pylist(), told.column("runs").to_pylist(), strict=True))):
+                np.add.at(cover, first, 1)
+                np.add.at(cover, stop + length - 1, -1)
         gone = np.cumsum(cover[:-1]) > 0
         edge = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
         begin, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -356,7 +434,8 @@ def _remove(slices: DataFrame, answers: DataFrame, length: int) -> DataFrame:
         kept = binary_array(data[~gone], left[ends[1:]] - left[ends[:-1]])
         return pa.table([part.column("doc_id"), pa.array(np.diff(ends)), pa.ListArray.from_arrays(bounds, spans), kept], schema=schema)
 
-    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, _RESULT)
+    known = answers.unionByName(asked, allowMissingColumns=True)
+    return slices.groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(run, _RESULT)
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -373,7 +452,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     slices = texts.mapInArrow(tag, "slice long, texts binary")
     # as many tasks as shards: the work is in the sorting, not in the bytes
     announced = _announce(texts, length, gram, bits).repartition(1 << bits, "shard")
-    asked = announced.groupBy("shard").applyInArrow(_repeated, "slice long, shard long, anchors binary")
+    asked = stage(announced.groupBy("shard").applyInArrow(_repeated(HOT), _ASKED), "anchors")
     cut = _cut(slices, asked, length, gram, bits).repartition(1 << bits, "shard")
-    answers = cut.groupBy("shard").applyInArrow(_classes(length), "slice long, spans binary")
-    return _remove(slices, answers, length)
+    answers = cut.groupBy("shard").applyInArrow(_classes(length), "slice long, shard long, runs binary")
+    return _remove(slices, asked, answers, length, gram, bits)
