@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from samples import BENCH, TEXTS, bench, docs, given, none, table, wide  # noqa: F401
@@ -269,6 +270,29 @@ def test_secret_scan(docs, wide, none, given):
     assert secret_scan.scan(none).count() == 0
 
 
+def test_secret_candidates_are_all_runs():
+    """Runs without a digit, short ones, and the middle of long ones are read."""
+    texts = ["pwd: hunterab", "passphrase: abcdefghijklmnop", "p/" * 30 + "Zq9Zq9Zq9Zq9Zq9" + "/p" * 30, None, "é key1234"]
+    found = secret_scan.Candidates(pa.array(texts))
+    runs = [(int(r), int(a), int(b)) for r, a, b in zip(found.row, found.begin, found.end, strict=True)]
+    assert runs == [(0, 5, 13), (1, 0, 10), (1, 12, 28), (2, 0, 135), (4, 2, 9)]
+    x = found.windows(np.arange(len(found.run)))
+    assert any(b"Zq9Zq9Zq9Zq9Zq9" in w.tobytes() for w in x)
+    covered = {int(p) for a, b, r in zip(found.start, found.stop, found.run, strict=True) if r == 3 for p in range(a, b)}
+    assert covered == set(range(found.offset[2], found.offset[2] + 135))
+    net = secret_scan.CharNet()
+    assert np.allclose(net.logits(x), net._forward(x)[-1], atol=1e-4)
+
+
+def test_secret_recall_counts_every_base_finding():
+    texts = ["password: hunter", "x token = abcdefgh and secret: zzzzzz", "nothing here"]
+    found = secret_scan.Candidates(pa.array(texts))
+    assert len(found.found) == 3
+    best = found.found_bins(np.arange(1, len(found.run) + 1))
+    assert len(best) == 3 and (best > 0).all()
+    assert found.labelled.tolist() == [True, True, True, True, True, False]
+
+
 def test_secret_network_learns():
     r = np.random.default_rng(2)
     word = lambda chars, n: "".join(r.choice(list(chars), n))

@@ -1,21 +1,25 @@
 """Secret scans: fixed patterns plus a character convolutional network.
 
 Patterns (assignments, access keys, long hex) give the base spans.  Every
-other run of key characters that holds a digit is a candidate; a small
-convolutional network in numpy reads it with the characters around it.  It is
-trained on labelled findings: runs that a pattern marked against runs that
-none did, ``TRAIN_ROWS`` of each kind at most (those of the smallest hashes).
-Scores are calibrated (Platt) on that sample's held-out part; the threshold
-is the largest one that keeps ``RECALL`` of the labelled findings of all
-documents, from a histogram of every candidate's score.
+run of ``LEAST`` or more key characters is a candidate; a small convolutional
+network in numpy reads it with the characters around it, a run longer than
+``BODY`` in windows that overlap by half, of which the best counts.  It is
+trained on labelled findings: windows that a pattern marked against windows
+that none did, ``TRAIN_ROWS`` of each kind at most (those of the smallest
+hashes).  Scores are calibrated (Platt) on that sample's held-out part; the
+threshold is the largest one that keeps ``RECALL`` of the base findings of all
+documents, from a histogram of every finding's score, but not under one half:
+a run that the network calls less likely than not is no finding.  Where that
+floor costs recall, the share it keeps is logged.
 
 Null or empty text has no findings.  Repeated rows are scanned each.  With no
 labelled findings of both kinds nothing is learned, and only the base spans
-are returned.  An empty table gives an empty result.
+are returned.  ``documents`` is read twice.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 
@@ -31,9 +35,10 @@ from .common import pieces, stage, text_bytes, text_slices
 _ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 KINDS = ("assign", "access", "hex", "net")
 
+#: Key characters of the shortest candidate (a pattern's shortest value).
+LEAST = 6
 SIDE = 16
 BODY = 40
 WIDTH = 2 * SIDE + BODY
@@ -43,6 +48,8 @@ TRAIN_ROWS = 3_000
 #: Share of the labelled findings that the threshold must keep.
 RECALL = 0.99
 BINS = 1_000
+#: Windows that a numpy step looks at.
+STEP = 4_096
 _KEY = np.zeros(256, bool)
 _KEY[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")] = True
 
@@ -56,55 +63,150 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _suspects(texts: pa.Array) -> np.ndarray:
-    """Rows that can hold a finding or a candidate; the others have neither.
+    """Rows that can hold a base finding; the others have none.
 
-    An assignment needs ':' or '='; everything else is a run of at least 12
-    key characters (a finding of the other kinds has 20 or more)."""
+    An assignment needs ':' or '='; the other kinds are runs of 20 or more
+    key characters."""
     data, ends = text_bytes(texts)
     starts, stops, _ = pieces(data, ends, ~_KEY[data])
-    digit = np.concatenate(([0], np.cumsum((data >= 48) & (data <= 57))))
-    long = stops - starts >= 12
-    able = long & ((digit[stops] > digit[starts]) | (stops - starts >= 20))
+    able = stops - starts >= 20
     rows = np.zeros(len(texts), bool)
     rows[np.searchsorted(ends, starts[able], side="right") - 1] = True
     rows[np.searchsorted(ends, np.flatnonzero((data == 58) | (data == 61)), side="right") - 1] = True
     return np.flatnonzero(rows)
 
 
+class Candidates:
+    """The windows of a batch's candidates and its base findings.
+
+    The rows' characters stand in one array, as classes, SIDE zeros apart.
+    ``start`` and ``stop`` are the windows' bodies there, in order, ``run``
+    the candidate of each; candidates are (row, start, end) in code points."""
+
+    def __init__(self, texts: pa.Array):
+        rows = [t or "" for t in texts.to_pylist()]
+        gap = "\0" * SIDE
+        codes = np.frombuffer(f"{gap}{gap.join(rows)}{gap}".encode("utf-32-le"), "<u4")
+        self.text = np.minimum(codes, 127).astype(np.uint8)
+        size = np.array([len(t) for t in rows], np.int64) + SIDE
+        self.offset = np.cumsum(size) - size + SIDE
+        edge = np.diff(np.concatenate(([0], _KEY[self.text].view(np.int8), [0])))
+        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        a, b = a[b - a >= LEAST], b[b - a >= LEAST]
+        self.row = np.searchsorted(self.offset, a, side="right") - 1
+        self.begin, self.end = a - self.offset[self.row], b - self.offset[self.row]
+        # windows of BODY characters, half a BODY apart, the last at the end
+        n = 1 + np.maximum(-(-(b - a - BODY) // (BODY // 2)), 0)
+        self.run = np.repeat(np.arange(len(a)), n)
+        self.first = np.cumsum(n) - n
+        ahead = a[self.run] + (np.arange(len(self.run)) - self.first[self.run]) * (BODY // 2)
+        self.stop = np.minimum(ahead + BODY, b[self.run])
+        self.start = np.maximum(np.minimum(ahead, self.stop - BODY), a[self.run])
+        self.base: list[list] = [[] for _ in rows]
+        for i in _suspects(texts):
+            self.base[i] = base_spans(rows[i])
+        found = [(self.offset[i] + s, self.offset[i] + e) for i, own in enumerate(self.base) for s, e, _ in own]
+        self.found = np.array(found, np.int64).reshape(-1, 2)
+        far = np.concatenate(([-1], np.maximum.accumulate(self.found[:, 1])))
+        self.labelled = far[np.searchsorted(self.found[:, 0], self.stop)] > self.start
+
+    def windows(self, some: np.ndarray) -> np.ndarray:
+        """These windows with their surroundings, WIDTH classes each."""
+        a, b = self.start[some, None], self.stop[some, None]
+        body = a + np.arange(BODY)
+        return np.concatenate((self.text[a - SIDE + np.arange(SIDE)],
+                               np.where(body < b, self.text[np.minimum(body, len(self.text) - 1)], 0).astype(np.uint8),
+                               self.text[b + np.arange(SIDE)]), axis=1)
+
+    def bins(self, net: CharNet) -> np.ndarray:
+        """Every window's score as a bin; equal windows are scored once."""
+        out = np.zeros(len(self.run), np.int64)
+        for lo in range(0, len(out), STEP):
+            x = self.windows(np.arange(lo, min(lo + STEP, len(out))))
+            index, distinct = _distinct(x)
+            out[lo:lo + STEP] = np.floor(net.probability(x[distinct]) * (BINS - 1))[index]
+        return out
+
+    def found_bins(self, bins: np.ndarray) -> np.ndarray:
+        """Every base finding's best bin: each holds LEAST key characters."""
+        lo = np.searchsorted(self.stop, self.found[:, 0], side="right")
+        hi = np.searchsorted(self.start, self.found[:, 1])
+        cuts = np.stack((lo, hi), axis=1).ravel()
+        return np.maximum.reduceat(np.append(bins, 0), cuts)[::2] if len(cuts) else bins[:0]
+
+
+def _hashes(x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x), np.uint64)
+    for word in np.ascontiguousarray(x).view("<u8").T:
+        out = (out ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's place among the distinct rows, and a row for each of those."""
+    _, distinct, index = np.unique(np.ascontiguousarray(x).view(f"V{x.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    return index, distinct
+
+
 def _window(text: str, start: int, end: int) -> bytes:
     """The candidate with its surroundings as WIDTH character classes."""
-    left = text[max(0, start - SIDE):start].rjust(SIDE, "\0")
-    body = text[start:end] if end - start <= BODY else text[start:start + BODY // 2] + text[end - BODY // 2:end]
-    right = text[end:end + SIDE].ljust(SIDE, "\0")
-    return bytes(min(ord(c), 127) for c in left + body.ljust(BODY, "\0") + right)
+    own = Candidates(pa.array([text]))
+    own.start, own.stop = np.array([SIDE + start]), np.array([SIDE + min(end, len(text))])
+    return own.windows(np.array([0])).tobytes()
 
 
-def _found(documents: DataFrame) -> DataFrame:
-    """doc_id and its findings and candidates; labelled: a base finding
-    overlaps the candidate."""
-    kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())])
-    cand = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("labelled", pa.bool_()), ("window", pa.binary())])
+def _samples(documents: DataFrame, train_rows: int) -> DataFrame:
+    """(labelled, hash, window): of every task, the distinct windows of each
+    label with the smallest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {label: (np.zeros(0, np.uint64), np.zeros((0, WIDTH), np.uint8)) for label in (True, False)}
+        for part in text_slices(batches):
+            found = Candidates(part.column("text"))
+            for lo in range(0, len(found.run), STEP):
+                some = np.arange(lo, min(lo + STEP, len(found.run)))
+                x = found.windows(some)
+                own = _hashes(x)
+                for label, (hashes, windows) in held.items():
+                    mask = found.labelled[some] == label
+                    if len(hashes) == train_rows and train_rows:
+                        mask &= own < hashes[-1]
+                    if mask.any():
+                        hashes, place = np.unique(np.concatenate((hashes, own[mask])), return_index=True)
+                        held[label] = hashes[:train_rows], np.concatenate((windows, x[mask]))[place[:train_rows]]
+        for label, (hashes, windows) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), label)), pa.array(hashes.view(np.int64)),
+                                              pa.array([w.tobytes() for w in windows], pa.binary())], ["labelled", "hash", "window"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "labelled boolean, hash long, window binary")
+
+
+def _found(documents: DataFrame, net: CharNet | None) -> DataFrame:
+    """doc_id, base findings with their best bins, and the other candidates
+    that the network calls likely: (start, end, bin)."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())]))
+    cand = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("bin", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            texts = part.column("text")
-            spans: list[list] = [[] for _ in range(len(texts))]
-            runs: list[list] = [[] for _ in range(len(texts))]
-            for i in _suspects(texts):
-                text = texts[int(i)].as_py()
-                own = spans[i] = base_spans(text)
-                for m in _RUN.finditer(text):
-                    a, b = m.span()
-                    if any("0" <= c <= "9" for c in m.group()):
-                        runs[i].append((a, b, any(s < b and a < e for s, e, _ in own), _window(text, a, b)))
+            found = Candidates(part.column("text"))
+            runs: list[list] = [[] for _ in found.base]
+            marks = np.zeros(len(found.found), np.int64)
+            if net is not None and len(found.run):
+                bins = found.bins(net)
+                marks = found.found_bins(bins)
+                best = np.maximum.reduceat(np.where(found.labelled, -1, bins), found.first)
+                for i in np.flatnonzero(best >= BINS // 2):
+                    runs[found.row[i]].append({"start": int(found.begin[i]), "end": int(found.end[i]), "bin": int(best[i])})
+            cuts = np.cumsum([0, *map(len, found.base)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([[dict(zip(("start", "end", "kind"), x, strict=True)) for x in r] for r in spans], pa.list_(kind)),
-                 pa.array([[dict(zip(("start", "end", "labelled", "window"), x, strict=True)) for x in r] for r in runs], pa.list_(cand))],
-                ["doc_id", "base", "runs"])
+                [part.column("doc_id"), pa.array([[dict(zip(("start", "end", "kind"), x, strict=True)) for x in r] for r in found.base], kind),
+                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(marks.astype(np.int32))), pa.array(runs, cand)],
+                ["doc_id", "base", "bins", "runs"])
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, base array<struct<start:int,end:int,kind:int>>, "
-             "runs array<struct<start:int,end:int,labelled:boolean,window:binary>>")
+        run, "doc_id long, base array<struct<start:int,end:int,kind:int>>, bins array<int>, runs array<struct<start:int,end:int,bin:int>>")
 
 
 class CharNet:
@@ -127,8 +229,23 @@ class CharNet:
         hidden = np.maximum(top @ w1 + b1, 0)
         return best, pooled, top, hidden, hidden @ w2 + b2[0]
 
+    def _read(self, x: np.ndarray) -> np.ndarray:
+        """The logits alone: two characters a look-up, in single precision."""
+        taps, bias, w1, b1, w2, b2 = self.weights
+        pair = [(taps[t][:, None] + taps[t + 1][None]).reshape(-1, FILTERS).astype(np.float32) for t in (0, 2)]
+        last, places, out = (taps[4] + bias).astype(np.float32), x.shape[1] - TAPS + 1, []
+        both = x[:, :-1].astype(np.int32) * 128 + x[:, 1:]
+        for i in range(0, len(x), 256):
+            own, two = x[i:i + 256], both[i:i + 256]
+            conv = pair[0].take(two[:, :places], axis=0)
+            conv += pair[1].take(two[:, 2:2 + places], axis=0)
+            conv += last.take(own[:, 4:4 + places], axis=0)
+            top = np.maximum(conv.max(axis=1), 0)
+            out.append(np.maximum(top @ w1 + b1, 0) @ w2 + b2[0])
+        return np.concatenate(out)
+
     def logits(self, windows: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._forward(windows[i:i + 512])[-1] for i in range(0, len(windows), 512)]) if len(windows) else np.zeros(0)
+        return self._read(windows) if len(windows) else np.zeros(0)
 
     def fit(self, x: np.ndarray, y: np.ndarray, rounds: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 11) -> CharNet:
         """Adam on the log loss, over shuffled batches."""
@@ -178,12 +295,11 @@ def _as_array(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WIDTH)
 
 
-def train(candidates: DataFrame, train_rows: int = TRAIN_ROWS) -> CharNet | None:
+def train(documents: DataFrame, train_rows: int = TRAIN_ROWS) -> CharNet | None:
     """Fit on at most ``train_rows`` distinct windows of each label."""
-    rows = []
+    rows, sample = [], stage(_samples(documents, train_rows), "samples")
     for label in (True, False):
-        rows += candidates.filter(F.col("labelled") == label).select("window", "labelled").distinct().orderBy(
-            F.xxhash64("window"), "window").limit(train_rows).collect()
+        rows += sample.filter(F.col("labelled") == label).distinct().orderBy("hash", "window").limit(train_rows).collect()
     y = np.array([float(r.labelled) for r in rows])
     if not len(y) or y.min() == y.max():
         return None
@@ -198,35 +314,25 @@ def train(candidates: DataFrame, train_rows: int = TRAIN_ROWS) -> CharNet | None
 def scan(documents: DataFrame, train_rows: int = TRAIN_ROWS, recall: float = RECALL) -> DataFrame:
     """doc_id, ``base`` and ``spans``: arrays of (start, end, kind) in code
     points, end exclusive, sorted; kind is a place in ``KINDS``."""
-    found = stage(_found(documents).withColumn("row", F.monotonically_increasing_id()), "findings")
-    candidates = found.select("row", F.explode("runs").alias("r")).select("row", "r.*")
-    net = train(candidates, train_rows)
+    net = train(documents, train_rows)
+    found = _found(documents, net)
     if net is None:
         return found.select("doc_id", "base", F.col("base").alias("spans"))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
-                p = net.probability(_as_array(part.column("window").to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("row", "start", "end", "labelled")), pa.array(np.floor(p * (BINS - 1)).astype(np.int32))],
-                    ["row", "start", "end", "labelled", "bin"])
-
-    scored = stage(candidates.mapInArrow(score, "row long, start int, end int, labelled boolean, bin int"), "scores")
-    counts = {r.bin: r.n for r in scored.filter("labelled").groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = stage(found, "findings")
+    counts = {r.bin: r.n for r in found.select(F.explode("bins").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()}
     need, kept, threshold = recall * sum(counts.values()), 0, BINS
     for b in sorted(counts, reverse=True):
         kept, threshold = kept + counts[b], b
         if kept >= need:
             break
     # a run that the network calls less likely than not is no finding
-    threshold = max(threshold, BINS // 2)
-    more = (scored.filter(~F.col("labelled") & (F.col("bin") >= threshold))
-            .groupBy("row").agg(F.collect_list(F.struct("start", "end", F.lit(KINDS.index("net")).alias("kind"))).alias("net")))
-    none = F.array().cast("array<struct<start:int,end:int,kind:int>>")
-    return found.join(more, "row", "left").select(
-        "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("net", none))).alias("spans"))
+    if threshold < BINS // 2:
+        threshold = BINS // 2
+        kept = sum(n for b, n in counts.items() if b >= threshold)
+        logging.getLogger(__name__).warning("the floor of one half keeps %d of %d base findings", kept, sum(counts.values()))
+    more = F.transform(F.filter("runs", lambda r: r["bin"] >= threshold),
+                       lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.lit(KINDS.index("net")).alias("kind")))
+    return found.select("doc_id", "base", F.array_sort(F.concat("base", more)).alias("spans"))
 
 
 def span_text(spans) -> F.Column:
