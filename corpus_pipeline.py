@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes what the one before kept, is written as Parquet and read
-again.  Rows keep the columns of ``documents`` until the last stage.
+again.  Rows keep the columns of ``documents`` until the last stage.  Stages
+decide row by row, so that rows without a doc_id, or of one doc_id with unlike
+texts, are each judged by their own text.
 """
 
 from __future__ import annotations
@@ -14,30 +16,56 @@ from tidewater.llm.common import read_table, stage
 from tidewater.llm.queries import digest_pieces
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with these ids; a row without an id has no say."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+_ROW, _REST = "pipeline_row", "pipeline_rest"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row number, staged so that it stays a row's own."""
+    if _ROW in docs.columns or _REST in docs.columns:
+        raise ValueError(f"documents must not have columns named {_ROW} or {_REST}")
+    return stage(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """What operators see: the row number as doc_id, and the text."""
+    return rows.select(F.col(_ROW).alias("doc_id"), "text")
+
+
+def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose number is a doc_id of ``kept``."""
+    return rows.join(kept.select(F.col("doc_id").alias(_ROW)), _ROW, "left_semi").drop(_ROW)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _only(docs, quality_rules.judge(docs).filter("kept"))
+    rows = _numbered(docs)
+    return _only(rows, quality_rules.judge(_by_row(rows)).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, the smallest doc_id."""
-    return _only(docs, simhash.near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id"))).dropDuplicates(["doc_id"])
+    """One document of each near-duplicate component, the smallest doc_id (a
+    null is larger than any), and of its rows the first."""
+    rows = _numbered(docs)
+    found = simhash.near_duplicates(_by_row(rows)).select(F.col("doc_id").alias(_ROW), "component_id")
+    placed = rows.select(_ROW, "doc_id").join(found, _ROW)
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", _ROW)).alias("kept"))
+    return _only(rows, first.select(F.col(f"kept.{_ROW}").alias("doc_id")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of any benchmark item."""
-    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.filter(~F.col("contaminated")))
+    rows = _numbered(docs)
+    found = decontaminate.contamination(_by_row(rows), read_table(spark, sf_dir, "benchmark"))
+    return _only(rows, found.filter(~F.col("contaminated")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every found secret masked in the text."""
-    return secret_scan.redact(docs, secret_scan.scan(docs)).select(*docs.columns)
+    rows = _numbered(docs)
+    changed = [c for c in docs.columns if c in ("text", "n_chars")]
+    rest = F.struct(*(c for c in docs.columns if c not in changed)).alias(_REST)
+    masked = secret_scan.redact(rows.select(F.col(_ROW).alias("doc_id"), *changed, rest), secret_scan.scan(_by_row(rows)))
+    return masked.select(*(F.col(c) if c in changed else F.col(f"{_REST}.{c}").alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
