@@ -219,6 +219,24 @@ def test_suffix_dedup_fails_on_lost_anchors():
         suffix_dedup._wanted(anchors, [0], [(own + np.uint32(1)).tobytes()], 0)
 
 
+def test_suffix_order_with_queues_that_spill(monkeypatch):
+    from tidewater.llm import induced
+
+    spilled = []
+    spill = induced.SpillQueues._spill
+    monkeypatch.setattr(induced.SpillQueues, "_spill", lambda queues: (spilled.append(queues.held), spill(queues)))
+    r = np.random.default_rng(12)
+    text = np.append(r.integers(1, 5, 600), 0).astype(np.int16)
+    depth = 12
+    prefix = lambda i: text[i:i + depth].tolist()
+    for limit in (3, 10 ** 6):
+        spilled.clear()
+        order = np.concatenate(list(induced.suffix_order(text, 5, depth, limit))).tolist()
+        assert sorted(order) == list(range(len(text)))
+        assert [prefix(i) for i in order] == sorted(prefix(i) for i in range(len(text)))
+        assert bool(spilled) == (limit == 3)
+
+
 def test_suffix_dedup_short_repeats(spark):
     r = np.random.default_rng(5)
     rows = [(i, "".join(r.choice(list("ab"), int(r.integers(0, 80))))) for i in range(60)]
