@@ -76,8 +76,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
           ("secrets", secrets), ("packing", pack)]
 
-#: The quality posterior and the network's spans are not SQL; tests compare
-#: run() with a brute-force version.
+#: The quality posterior and the network's spans are not SQL; the first four
+#: stages are tested one by one in tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
