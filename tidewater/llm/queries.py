@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kd_sharding, packing, ppm, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, toxicity
+from . import decontaminate, kd_sharding, packing, ppm, quality_rules, secret_scan, simhash, spelling, suffix_dedup, token_counts, toxicity
 from .common import fold, read_table
 
 
@@ -71,9 +71,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_token_counts, op3_decontamination, op4_quality_rules, op5_suffix_dedup, op6_sharding,
-                            op7_secret_scan, op8_ppm_scores, op9_toxicity, op10_simhash)}
+                            op7_secret_scan, op8_ppm_scores, op9_toxicity, op10_simhash, op11_spelling_variants)}
 
 #: DuckDB SQL of the benchmark decontamination query.
 _OP3 = r"""
@@ -102,4 +106,46 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM cut LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-ORACLE: dict[str, str] = {"op3_decontamination": _OP3}
+#: DuckDB SQL of the spelling variants: the checksum by its table (one entry per
+#: byte value, eight steps of the reflected polynomial), near words by the keys
+#: that leave one character out.
+_OP11 = r"""
+WITH RECURSIVE steps AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents)
+  GROUP BY 1, 2),
+marked AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || list_transform(range(length(h) // 2),
+           lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+           lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS mark
+  FROM (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs), steps),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN mark % 31 = 0 THEN substr(run, 1, mark % length(run)) || substr(run, mark % length(run) + 2) ELSE run END AS word, n
+    FROM marked)
+  GROUP BY word HAVING sum(n) >= 2 AND length(word) >= 7),
+gaps AS (SELECT word, n, i, substr(word, 1, i) || '$' || substr(word, i + 2) AS rest
+         FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+wholes AS (SELECT word, n, substr(word, 1, i) || '$' || substr(word, i + 1) AS rest
+           FROM (SELECT word, n, unnest(range(length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN wholes b ON a.rest = b.rest
+  UNION SELECT a.word, b.word, b.n FROM wholes a JOIN gaps b ON a.rest = b.rest),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.at WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, walk.at AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN walk ON walk.word = forms.word JOIN forms ends ON ends.word = walk.at AND ends.form IS NULL
+"""
+
+ORACLE: dict[str, str] = {"op3_decontamination": _OP3, "op11_spelling_variants": _OP11}
