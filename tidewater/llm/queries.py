@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kd_sharding, packing, ppm, quality_rules, secret_scan, simhash, spelling, suffix_dedup, token_counts, toxicity
+from . import decontaminate, kd_sharding, packing, ppm, quality_rules, ranked_search, secret_scan, simhash, spelling, suffix_dedup, token_counts, toxicity
 from .common import fold, read_table
 
 
@@ -75,9 +75,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(read_table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_token_counts, op3_decontamination, op4_quality_rules, op5_suffix_dedup, op6_sharding,
-                            op7_secret_scan, op8_ppm_scores, op9_toxicity, op10_simhash, op11_spelling_variants)}
+                            op7_secret_scan, op8_ppm_scores, op9_toxicity, op10_simhash, op11_spelling_variants,
+                            op13_ranked_search)}
 
 #: DuckDB SQL of the benchmark decontamination query.
 _OP3 = r"""
@@ -148,4 +154,26 @@ SELECT forms.word, forms.form, walk.at AS root, forms.n, forms.n_near, forms.for
 FROM forms JOIN walk ON walk.word = forms.word JOIN forms ends ON ends.word = walk.at AND ends.form IS NULL
 """
 
-ORACLE: dict[str, str] = {"op3_decontamination": _OP3, "op11_spelling_variants": _OP11}
+#: DuckDB SQL of the ranked search.
+_OP13 = r"""
+WITH terms AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+freq AS (SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM freq GROUP BY r),
+total AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM freq, total GROUP BY term),
+asked AS (
+  SELECT DISTINCT q, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM benchmark)),
+scored AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nd) // nt)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN freq USING (term) JOIN sizes USING (r), total GROUP BY q, item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op3_decontamination": _OP3, "op11_spelling_variants": _OP11, "op13_ranked_search": _OP13}
