@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, kd_sharding, packing, ppm, quality_rules, ranked_search, secret_scan, simhash, spelling, suffix_dedup, token_counts, toxicity
+from . import decontaminate, kd_sharding, language_crf, packing, ppm, quality_rules, ranked_search, secret_scan, simhash, spelling, suffix_dedup, token_counts, toxicity
 from .common import fold, read_table
 
 
@@ -75,6 +75,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return language_crf.predict(documents, language_crf.fit(documents))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranked_search.build_index(read_table(spark, sf_dir, "documents"))
     return ranked_search.search(index, read_table(spark, sf_dir, "benchmark"))
@@ -83,7 +88,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_token_counts, op3_decontamination, op4_quality_rules, op5_suffix_dedup, op6_sharding,
                             op7_secret_scan, op8_ppm_scores, op9_toxicity, op10_simhash, op11_spelling_variants,
-                            op13_ranked_search)}
+                            op12_language_id, op13_ranked_search)}
 
 #: DuckDB SQL of the benchmark decontamination query.
 _OP3 = r"""
