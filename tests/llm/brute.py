@@ -1,6 +1,8 @@
 """Plain Python versions of the operators' contracts, for small tables."""
 
 import hashlib
+import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -161,3 +163,64 @@ def ppm_scores(docs, order=4):
         s = stream(text)
         out.append(sum(log10(chance(s[i - order:i], s[i])) for i in range(order, len(s))))
     return out
+
+
+def spelling(docs):
+    """``(word, form, root, n, n_near, form_n)`` by trying every edit."""
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+    letters = {c for w in words for c in w}
+
+    def near(w):
+        out = {w[:i] + c + w[i:] for i in range(len(w) + 1) for c in letters}
+        out |= {w[:i] + c + w[i + 1:] for i in range(len(w)) for c in letters} | {w[:i] + w[i + 1:] for i in range(len(w))}
+        return [x for x in out - {w} if x in words]
+
+    found = {w: near(w) for w in words}
+    best = {w: min(x, key=lambda y: (-words[y], y)) for w, x in found.items() if x}
+    form = {w: b for w, b in best.items() if words[b] >= 10 * words[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+    return [(w, form.get(w), root(w), n, len(found[w]), words.get(form.get(w))) for w, n in words.items()]
+
+
+def ranked(docs, items, k=10):
+    """``(item_id, rank, doc_id, score)`` by scoring every document."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    counts = [Counter(cut(t)) for _, t in docs]
+    n_docs, total = sum(map(bool, counts)), sum(c.total() for c in counts)
+    df = Counter(t for c in counts for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c in enumerate(counts):
+            m = 100 - 90 + 90 * c.total() * n_docs // max(total, 1)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m))
+                        for t in set(cut(text)) if c[t])
+            if score > 0:
+                scored.append((-score, docs[i][0] is None, docs[i][0] or 0, i))
+        out += [(item, r + 1, docs[i][0], -s) for r, (s, _, _, i) in enumerate(sorted(scored)[:k])]
+    return out
+
+
+def chain(scores, transitions):
+    """Label probabilities of a short chain by summing over all labellings."""
+    k, steps = len(transitions), len(scores)
+    out = [[0.0] * k for _ in range(steps)]
+    for labels in itertools.product(range(k), repeat=steps):
+        p = sum(math.exp(transitions[i][labels[0]]) for i in range(k))
+        for t, y in enumerate(labels):
+            p *= math.exp(scores[t][y] + (transitions[labels[t - 1]][y] if t else 0))
+        for t, y in enumerate(labels):
+            out[t][y] += p
+    return [[x / sum(row) for x in row] for row in out]
