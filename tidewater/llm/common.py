@@ -53,6 +53,11 @@ def _remove_staged(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def id_type(documents: DataFrame) -> str:
+    """The type of ``doc_id``: operators that only pass it on take any."""
+    return documents.schema["doc_id"].dataType.simpleString()
+
+
 def fold(doc_id: Column | str) -> Column:
     """``crc32(doc_id as text) mod 5``; a null id counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, pieces, stage, text_bytes, text_slices, words_of
+from .common import binary_array, id_type, pieces, stage, text_bytes, text_slices, words_of
 
 #: Words of a window that counts as a repeat when found twice in a text.
 WINDOW = 5
@@ -116,7 +116,7 @@ def text_counts(documents: DataFrame) -> DataFrame:
             columns = [part.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in _counts(part.column("text")))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *COUNTS])
 
-    return documents.select("doc_id", "text").mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *COUNTS)))
+    return documents.select("doc_id", "text").mapInArrow(run, ", ".join([f"doc_id {id_type(documents)}", *(f"{c} long" for c in COUNTS)]))
 
 
 def base_failed() -> Column:

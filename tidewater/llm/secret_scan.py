@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, stage, text_bytes, text_slices
+from .common import id_type, pieces, stage, text_bytes, text_slices
 
 
 # The base patterns and the order of kinds.
@@ -206,7 +206,7 @@ def _found(documents: DataFrame, net: CharNet | None) -> DataFrame:
                 ["doc_id", "base", "bins", "runs"])
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, base array<struct<start:int,end:int,kind:int>>, bins array<int>, runs array<struct<start:int,end:int,bin:int>>")
+        run, f"doc_id {id_type(documents)}, base array<struct<start:int,end:int,kind:int>>, bins array<int>, runs array<struct<start:int,end:int,bin:int>>")
 
 
 class CharNet:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stage, text_bytes, text_slices, words_of
+from .common import id_type, lower_ascii, stage, text_bytes, text_slices, words_of
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -47,7 +47,7 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED)
             marks = _fingerprints(part.column("text"), shingle, seed)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "mark"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, mark long")
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(documents)}, mark long")
 
 
 def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> np.ndarray:

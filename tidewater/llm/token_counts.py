@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back, text_slices
+from .common import give_back, stage, text_slices
 from .tokens import encoder, vocabulary_path
 
 CHUNK = 6 << 20
@@ -40,9 +40,10 @@ def document_lengths(documents: DataFrame, vocabulary: str | None = None) -> Dat
 
 
 def length_histogram(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """One row per encoded length: ``n_docs``, ``tokens`` (their sum)."""
-    return (document_lengths(documents, vocabulary).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
-            .withColumn("tokens", F.col("n_tokens") * F.col("n_docs")))
+    """One row per encoded length: ``n_docs``, ``tokens`` (their sum); staged,
+    so that texts are encoded once however often it is read."""
+    counted = document_lengths(documents, vocabulary).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    return stage(counted.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")), "lengths")
 
 
 def context_totals(histogram: DataFrame, limits: list[int] | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ JOINED = 100
 # letters whose runs are one pre-token each.
 _TRAIL = ".,!#$%&*|:;?"
 _PLAIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"
-_SPECIAL = "<\\|(startoftext|endoftext)\\|>"
+_SPECIAL = "<\\|(startoftext|endoftext)\\|>"   # in any case: lowering must not make one
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -122,7 +122,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end to end, and the n + 1 offsets of the rows."""
-        special = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), _SPECIAL), False)
+        special = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), _SPECIAL, ignore_case=True), False)
         if pc.any(special).as_py():
             return self._whole(texts)
         data, ends = text_bytes(texts)
