@@ -4,68 +4,89 @@ Each stage takes what the one before kept, is written as Parquet and read
 again.  Rows keep the columns of ``documents`` until the last stage.  Stages
 decide row by row, so that rows without a doc_id, or of one doc_id with unlike
 texts, are each judged by their own text.
+
+A row is named by its place in its file while a stage judges it; verdicts come
+back as bitmaps over places, so that no stage copies or shuffles the texts that
+it keeps as they are.  Columns of any name pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, packing, quality_rules, secret_scan, simhash
 from tidewater.llm.common import read_table, stage
 from tidewater.llm.queries import digest_pieces
+from tidewater.llm.row_places import bitmaps, free_name, is_in, placed
 
 
-_ROW, _REST = "pipeline_row", "pipeline_rest"
+def _named(columns: list[str], inside: str = "") -> list[Column]:
+    """The columns of these names, of any spelling."""
+    return [F.col(f"{inside}`{c.replace('`', '``')}`").alias(c) for c in columns]
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number, staged so that it stays a row's own."""
-    if _ROW in docs.columns or _REST in docs.columns:
-        raise ValueError(f"documents must not have columns named {_ROW} or {_REST}")
-    return stage(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
+class _Rows:
+    """A stage's rows with their places."""
 
+    def __init__(self, docs: DataFrame):
+        self.columns = docs.columns
+        self.place, self.verdict = free_name(docs, "pipeline_place"), free_name(docs, "pipeline_verdict")
+        self.rows = placed(docs, self.place)
 
-def _by_row(rows: DataFrame) -> DataFrame:
-    """What operators see: the row number as doc_id, and the text."""
-    return rows.select(F.col(_ROW).alias("doc_id"), "text")
+    def named(self) -> DataFrame:
+        """What operators see: a doc_id of its own for every row, and the text.
+        Their order is that of the rows' doc_ids (a null is larger than any),
+        then of the places."""
+        own = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"),
+                       F.col(f"{self.place}.file").alias("file"), F.col(f"{self.place}.at").alias("at"))
+        return self.rows.select(own.alias("doc_id"), "text")
 
+    def judged(self, found: DataFrame) -> DataFrame:
+        """All rows, and whether ``found`` has their doc_id (as :meth:`named`)."""
+        return is_in(self.rows, self.place, bitmaps(found, "doc_id"), self.verdict)
 
-def _only(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows whose number is a doc_id of ``kept``."""
-    return rows.join(kept.select(F.col("doc_id").alias(_ROW)), _ROW, "left_semi").drop(_ROW)
+    def kept(self, found: DataFrame) -> DataFrame:
+        """The rows whose doc_id ``found`` has."""
+        return self.judged(found).where(F.col(self.verdict)).select(*_named(self.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = _numbered(docs)
-    return _only(rows, quality_rules.judge(_by_row(rows)).filter("kept"))
+    rows = _Rows(docs)
+    return rows.kept(quality_rules.judge(rows.named()).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component, the smallest doc_id (a
     null is larger than any), and of its rows the first."""
-    rows = _numbered(docs)
-    found = simhash.near_duplicates(_by_row(rows)).select(F.col("doc_id").alias(_ROW), "component_id")
-    placed = rows.select(_ROW, "doc_id").join(found, _ROW)
-    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", _ROW)).alias("kept"))
-    return _only(rows, first.select(F.col(f"kept.{_ROW}").alias("doc_id")))
+    rows = _Rows(docs)
+    return rows.kept(simhash.near_duplicates(rows.named()).filter("doc_id = component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of any benchmark item."""
-    rows = _numbered(docs)
-    found = decontaminate.contamination(_by_row(rows), read_table(spark, sf_dir, "benchmark"))
-    return _only(rows, found.filter(~F.col("contaminated")))
+    rows = _Rows(docs)
+    found = decontaminate.contamination(rows.named(), read_table(spark, sf_dir, "benchmark"))
+    return rows.kept(found.filter(~F.col("contaminated")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every found secret masked in the text."""
-    rows = _numbered(docs)
+    """All documents, with every found secret masked in the text and n_chars to
+    match.  Only the texts that hold one are joined with their findings."""
+    rows = _Rows(docs)
+    found = stage(secret_scan.scan(rows.named()).filter(F.size("spans") > 0).select("doc_id", "spans"), "pipeline-findings")
+    judged = rows.judged(found)
+    clean = judged.where(~F.col(rows.verdict)).select(*_named(rows.columns))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
     changed = [c for c in docs.columns if c in ("text", "n_chars")]
-    rest = F.struct(*(c for c in docs.columns if c not in changed)).alias(_REST)
-    masked = secret_scan.redact(rows.select(F.col(_ROW).alias("doc_id"), *changed, rest), secret_scan.scan(_by_row(rows)))
-    return masked.select(*(F.col(c) if c in changed else F.col(f"{_REST}.{c}").alias(c) for c in docs.columns))
+    rest = [c for c in docs.columns if c not in changed]
+    held = judged.where(F.col(rows.verdict)).select(F.col(rows.place).alias("doc_id"), *changed, F.struct(*_named(rest)).alias("rest"))
+    by_place = found.select(F.struct(F.col("doc_id.file").alias("file"), F.col("doc_id.at").alias("at")).alias("doc_id"), "spans")
+    masked = secret_scan.redact(held, by_place)
+    back = [c for name in docs.columns for c in _named([name], "" if name in changed else "rest.")]
+    return clean.unionByName(masked.select(*back))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +98,7 @@ STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontam
           ("secrets", secrets), ("packing", pack)]
 
 #: The quality posterior and the network's spans are not SQL; the first four
-#: stages are tested one by one in tests/llm/test_pipeline.py.
+#: stages are tested one by one, and run() as a whole, in tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
