@@ -68,12 +68,10 @@ def enrich_address(rows: DataFrame, addresses: DataFrame) -> DataFrame:
     return lookup_join(rows, addresses, "order_id", prefilter=True)
 
 
-def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
-                 rebuild: bool = False) -> DataFrame:
-    """T4 items + goods names + 0-based position.
+def positioned_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -> DataFrame:
+    """The items of the batch's orders with their 0-based position.
 
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
-    An order without items keeps one row with null item columns.
     """
     if rebuild:
         # Every order is in the batch: slicing would copy the item table.
@@ -89,8 +87,17 @@ def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
     # Line number, then item id; the remaining item columns make the order
     # total where an item id repeats in the source (sf0.001 has one).
     order = [F.col(c).asc_nulls_last() for c in ("line_no", "item_id", "unit_price", "item_count")]
-    batch_items = position_in_group(batch_items, ["order_id"], order, "index_id")
-    flat = lookup_join(rows, batch_items.drop("line_no"), "order_id", stream_lookup=not rebuild)
+    return position_in_group(batch_items, ["order_id"], order, "index_id").drop("line_no")
+
+
+def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
+                 rebuild: bool = False) -> DataFrame:
+    """T4 items + goods names + 0-based position.
+
+    An order without items keeps one row with null item columns.
+    """
+    batch_items = positioned_items(rows, items, rebuild)
+    flat = lookup_join(rows, batch_items, "order_id", stream_lookup=not rebuild)
     return lookup_join(flat, goods, "goods_id")
 
 
@@ -114,6 +121,21 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
     """
     src = flat if orders_of_batch is None else orders_of_batch
     order_of = src.select("order_id", "gorder_id").distinct()
+    per_item, failed = refunds_by_item(refunds, order_of, flat.select("gorder_id", "item_id"), stage)
+    out = lookup_join(flat, per_item.withColumn("has_refund", F.lit(True)), ["gorder_id", "item_id"])
+    out = out.withColumn("has_refund", F.when(F.col("item_id").isNotNull(),
+                                              F.coalesce(F.col("has_refund"), F.lit(False))))
+    return out.join(failed, "gorder_id", "left_anti"), failed
+
+
+def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, stage: bool = True):
+    """The T6 feed of a batch: ``(per_item, failed)``.
+
+    ``per_item`` has one refund per (checkout, item) of the orders in
+    ``order_of`` (``order_id``, ``gorder_id``); ``failed`` are the checkouts
+    with two refunds of one item in an order, or with an item of ``held``
+    (``gorder_id``, ``item_id``) whose refund has no time.
+    """
     # The refund feed is scanned once for the batch's orders and staged: the
     # duplicate check and the per-item pick both read the stage.
     scoped = refunds.join(order_of, "order_id", "inner")
@@ -127,17 +149,13 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
                       F.col("apply_type").alias("refund_apply_type"),
                       F.col("create_time").alias("refund_apply_time")),
         ["gorder_id", "item_id"], ["refund_apply_time", "refund_apply_type"])
-    per_item = per_item.withColumn("has_refund", F.lit(True))
-    out = lookup_join(flat, per_item, ["gorder_id", "item_id"])
-    out = out.withColumn("has_refund", F.when(F.col("item_id").isNotNull(),
-                                              F.coalesce(F.col("has_refund"), F.lit(False))))
     timeless = (scoped.where(F.col("create_time").isNull())
                 .select("gorder_id", F.col("order_item_id").alias("item_id"))
-                .join(flat.select("gorder_id", "item_id"), ["gorder_id", "item_id"], "left_semi")
+                .join(held, ["gorder_id", "item_id"], "left_semi")
                 .select("gorder_id").distinct().join(dup, "gorder_id", "left_anti"))
     failed = (dup.withColumn("dl_reason", F.lit("duplicate refund"))
               .unionByName(timeless.withColumn("dl_reason", F.lit("null refund time"))))
-    return out.join(failed, "gorder_id", "left_anti"), failed
+    return per_item, failed
 
 
 def nest_orders(flat: DataFrame) -> DataFrame:
@@ -157,6 +175,17 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     tables are then joined directly instead of being sliced to the batch
     and staged, which would copy them.  Same result either way.
     """
+    rows, dead = order_level(claimed, gorders, orders, addresses, rebuild)
+    flat = attach_items(rows, items, goods, rebuild=rebuild)
+    flat, refund_failed = enrich_refund(flat, refunds, rows, stage=not rebuild)
+    docs = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c)
+                         for c in FLAT_DOC_COLUMNS])
+    return docs, dead.unionByName(refund_failed.select("gorder_id", "dl_reason"))
+
+
+def order_level(claimed: DataFrame, gorders: DataFrame, orders: DataFrame, addresses: DataFrame, rebuild: bool = False):
+    """T1, T4 and T5 of J2: ``(one row per order of the claimed checkouts with
+    its address, failing checkouts)``."""
     keys = claimed.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
     found, missing = resolve_gorders(keys, gorders, stage=not rebuild)
     rows, bad = order_rows(found, orders, stage=not rebuild)
@@ -164,11 +193,6 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     # table and read several times below, so it is written once as a stage
     # table in the shared folder instead of being recomputed per reference.
     rows = materialize(enrich_address(rows, addresses), "order-rows")
-    flat = attach_items(rows, items, goods, rebuild=rebuild)
-    flat, refund_failed = enrich_refund(flat, refunds, rows, stage=not rebuild)
-    docs = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c)
-                         for c in FLAT_DOC_COLUMNS])
     dead = (missing.select("gorder_id", F.lit("missing gorder").alias("dl_reason"))
-            .unionByName(bad.select("gorder_id", F.lit("null order status or time").alias("dl_reason")))
-            .unionByName(refund_failed.select("gorder_id", "dl_reason")))
-    return docs, dead
+            .unionByName(bad.select("gorder_id", F.lit("null order status or time").alias("dl_reason"))))
+    return rows, dead

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import dates, keys
-from tidewater.operators import counters, dedup, merge, orders as ordops, projection, ranking
+from tidewater.operators import counters, dedup, documents, merge, orders as ordops, projection, ranking
 from tidewater.plans import jobs
 from tidewater.plans import oracle as sql
-from tidewater.session import fresh_path
+from tidewater.session import fresh_path, materialize
 from tidewater.sinks import layout, search as ksearch, table as ktable, widecolumn as kwide
 from tidewater.sources import queue as squeue, roles, search as ssearch, widecolumn as swide
 from tidewater.sources.tables import table
@@ -30,6 +30,7 @@ ORACLE: dict[str, str] = {}
 REQUEUE_TIME = "2024-02-01 00:00:00"
 SEARCH_TERMS = {"order_status": "F", "order_priority": "1-URGENT"}
 SEARCH_PAGE = 1
+SEARCH_SHOP = 7
 DELETE_TERMS = {"order_status": "O", "order_priority": "5-LOW"}
 RANGE_START, RANGE_STOP = "2024-01-05 00:00:00", "2024-01-12 00:00:00"
 REFUND_STATUS = "R"
@@ -587,8 +588,63 @@ SELECT {sql.FLAT_DOC_COLS}, CAST(order_id AS VARCHAR) AS doc_id FROM b_docs x WH
   WHERE y.shop_id IS NOT DISTINCT FROM x.shop_id AND y.gorder_id IS NOT DISTINCT FROM x.gorder_id)
 UNION ALL SELECT {sql.FLAT_DOC_COLS}, CAST(order_id AS VARCHAR) AS doc_id FROM n_docs""")
 def q_job_order_search(spark, d):
+    """The stored documents of J2 in their flat form, one row per item."""
     index, _ = jobs.job_order_search(spark, d)
-    return index
+    return documents.explode_documents(index)
+
+
+@register("job_order_documents", f"""WITH {sql.order_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)},
+{sql.order_docs_ctes('n', sql.KEYS)}, flat AS ({sql.ORDER_INDEX})
+{sql.documents_of('flat')}""")
+def q_job_order_documents(spark, d):
+    """The index of J2 as stored: one row per order, its items nested (shown
+    as text)."""
+    index, _ = jobs.job_order_search(spark, d)
+    return _shown(index)
+
+
+def _shown(index):
+    price = F.aggregate("items", F.lit(0).cast("bigint"), lambda a, x: a + F.round(x["unit_price"] * 100).cast("bigint"))
+    return index.select("doc_id", "part", "shop_id", "gorder_id", "order_id", "order_status", "order_time", "order_pay_amount",
+                        "buy_account_name", "buy_account_phone", F.size("items").cast("bigint").alias("n_items"),
+                        price.alias("cents"), documents.items_text().alias("items"))
+
+
+@register("order_document_get", f"""WITH {sql.order_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)},
+{sql.order_docs_ctes('n', sql.KEYS)}, flat AS ({sql.ORDER_INDEX}), stored AS ({sql.documents_of('flat')}),
+ids AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS doc_id FROM lineitem WHERE l_returnflag = 'R')
+SELECT ids.doc_id AS _doc_id, stored.shop_id, stored.order_status, stored.n_items, stored.items, stored.doc_id IS NOT NULL AS found
+FROM ids LEFT JOIN stored ON stored.doc_id = ids.doc_id""")
+def q_order_document_get(spark, d):
+    """S8 on stored documents: those of all refunded orders, misses too."""
+    index, _ = jobs.job_order_search(spark, d)
+    ids = roles.refunds(spark, d).select(keys.id_text("order_id").alias("doc_id"))
+    found = ssearch.get_documents(materialize(index, "order-index"), ids)
+    return found.select("_doc_id", "shop_id", "order_status", F.size("items").cast("bigint").alias("n_items"),
+                        documents.items_text().alias("items"), "found")
+
+
+@register("order_document_search", f"""WITH {sql.order_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)},
+{sql.order_docs_ctes('n', sql.KEYS)}, flat AS ({sql.ORDER_INDEX})
+SELECT * FROM ({sql.documents_of('flat')}) WHERE order_status = 'F' AND shop_id = {SEARCH_SHOP} ORDER BY doc_id
+LIMIT 100 OFFSET {100 * SEARCH_PAGE}""")
+def q_order_document_search(spark, d):
+    """S9 on stored documents: a page of one shop's."""
+    index, _ = jobs.job_order_search(spark, d)
+    return _shown(ssearch.search_page(index, {"order_status": "F", "shop_id": SEARCH_SHOP}, page=SEARCH_PAGE))
+
+
+@register("order_document_refund", f"""WITH {sql.order_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)}, flat AS (
+  SELECT x.* REPLACE (x.has_refund OR u.item_id IS NOT NULL AS has_refund,
+    coalesce(u.apply_type, x.refund_apply_type) AS refund_apply_type, coalesce(u.create_time, x.refund_apply_time) AS refund_apply_time),
+    CAST(x.order_id AS VARCHAR) AS doc_id
+  FROM b_docs x LEFT JOIN ({sql.LATE_REFUNDS}) u ON u.order_id = x.order_id AND u.item_id = x.item_id)
+{sql.documents_of('flat')}""")
+def q_order_document_refund(spark, d):
+    """A later refund feed merged into the arrays of the stored index (T6 on
+    documents that are there already)."""
+    index = materialize(jobs.order_index_as_of(spark, d), "order-index")
+    return _shown(documents.merge_refunds(index, roles.late_refunds(spark, d))[0])
 
 
 @register("job_item_index", f"""WITH {sql.item_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)},
@@ -609,7 +665,7 @@ def _run_stream(cls, spark, d):
 def q_stream_order_search(spark, d):
     """J2 as a Structured Streaming query over the queue table (one
     ``availableNow`` run); the final index equals the batch job's."""
-    return _run_stream(OrderSearchStream, spark, d)
+    return documents.explode_documents(_run_stream(OrderSearchStream, spark, d))
 
 
 @register("stream_commission", ORACLE["job_commission"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators import documents
 from tidewater.operators.dedup import distinct_keys, last_by_key
 from tidewater.operators.merge import lookup_join, strict_lookup
 from tidewater.operators.orders import FLAT_DOC_COLUMNS, build_order_documents, order_rows
@@ -87,22 +88,29 @@ def order_search_batch(spark: SparkSession, d: str, claimed: DataFrame,
                                  **_order_search_inputs(spark, d, orders_before))
 
 
+def order_document_batch(spark: SparkSession, d: str, claimed: DataFrame,
+                         orders_before: str | None = None, rebuild: bool = False):
+    """J2 enrichment as stored: claimed rows -> ``(one document per order, its
+    items nested, dead)``."""
+    return documents.build_documents(claimed, rebuild=rebuild, **_order_search_inputs(spark, d, orders_before))
+
+
 def order_index_as_of(spark: SparkSession, d: str, as_of: str = INDEX_AS_OF) -> DataFrame:
     """The order index as the job left it when every checkout was last
     indexed: all checkouts, orders before ``as_of``."""
     everyone = roles.gorders(spark, d).select("gorder_id")
-    docs, _ = order_search_batch(spark, d, everyone, orders_before=as_of, rebuild=True)
-    return docs.withColumn("doc_id", F.col("order_id").cast("string"))
+    docs, _ = order_document_batch(spark, d, everyone, orders_before=as_of, rebuild=True)
+    return docs
 
 
 def job_order_search(spark: SparkSession, d: str, index: DataFrame | None = None):
     """J2 over the whole queue: replace each claimed checkout's documents.
 
-    Returns ``(new_index, dead)``.
+    Returns ``(new_index, dead)``; the index has one row per order.
     """
-    docs, dead = order_search_batch(spark, d, roles.queue(spark, d))
-    # The sink reads the batch twice (group keys, new rows): stage it.
-    docs = materialize(docs.withColumn("doc_id", F.col("order_id").cast("string")), "order-docs")
+    docs, dead = order_document_batch(spark, d, roles.queue(spark, d))
+    # The sink reads the batch three times (group keys, ids, new rows): stage it.
+    docs = materialize(docs, "order-docs")
     index = order_index_as_of(spark, d) if index is None else index
     return replace_groups(index, docs, ("shop_id", "gorder_id")), dead
 
@@ -150,5 +158,5 @@ def job_item_index(spark: SparkSession, d: str):
     return index_documents(before, docs), dead
 
 
-__all__ = ["commission_batch", "job_commission", "order_search_batch", "order_index_as_of",
+__all__ = ["commission_batch", "job_commission", "order_search_batch", "order_document_batch", "order_index_as_of",
            "job_order_search", "item_index_batch", "job_item_index", "FLAT_DOC_COLUMNS"]

@@ -48,6 +48,9 @@ PARTIAL_GORDERS = f"""SELECT c_custkey AS gorder_id, c_nationkey AS shop_id FROM
   WHERE c_mktsegment <> '{ABSENT_SEGMENT}'"""
 MOVED_TARGET = f"""SELECT CASE WHEN o_orderpriority = '{MOVED_PRIORITY}' THEN o_custkey + 1 ELSE o_custkey END AS gorder_id,
   o_orderkey AS order_id FROM orders WHERE o_orderstatus = 'F'"""
+#: Refunds of accepted lines, one per order and item.
+LATE_REFUNDS = f"""SELECT l_orderkey AS order_id, {ITEM_ID} AS item_id, max(l_linestatus) AS apply_type,
+  epoch_ms(max(l_shipdate)) AS create_time FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2"""
 DOC_COLS = ("doc_id, routing, shop_id, gorder_id, order_id, order_status, order_priority, "
             "order_pay_amount, order_time")
 
@@ -107,6 +110,22 @@ def order_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
   AND x.gorder_id NOT IN (SELECT gorder_id FROM {p}_timeless))"""
 
 
+#: The index of J2 in flat form, from the CTEs b (as of the day before) and n.
+ORDER_INDEX = f"""SELECT {FLAT_DOC_COLS}, CAST(order_id AS VARCHAR) AS doc_id FROM b_docs x WHERE NOT EXISTS (SELECT 1 FROM n_docs y
+  WHERE y.shop_id IS NOT DISTINCT FROM x.shop_id AND y.gorder_id IS NOT DISTINCT FROM x.gorder_id)
+UNION ALL SELECT {FLAT_DOC_COLS}, CAST(order_id AS VARCHAR) AS doc_id FROM n_docs"""
+
+
+def documents_of(flat: str) -> str:
+    """One row per order of a flat form, its items as text."""
+    return f"""SELECT doc_id, CAST(0 AS INTEGER) AS part, shop_id, gorder_id, order_id, order_status, order_time, order_pay_amount,
+  buy_account_name, buy_account_phone, CAST(count(item_id) AS BIGINT) AS n_items,
+  CAST(coalesce(sum(CAST(round(unit_price * 100) AS BIGINT)), 0) AS BIGINT) AS cents,
+  coalesce(string_agg(concat_ws(':', index_id, item_id, goods_id, goods_name, sku_id, has_refund, refund_apply_type, refund_apply_time),
+    ';' ORDER BY index_id) FILTER (WHERE item_id IS NOT NULL), '') AS items
+FROM {flat} GROUP BY ALL"""
+
+
 def item_docs_ctes(p: str, keys_sql: str, order_filter: str = "TRUE") -> str:
     """CTEs ending in ``{p}_docs`` (item documents) and ``{p}_dead``."""
     return f"""

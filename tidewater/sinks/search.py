@@ -113,9 +113,11 @@ def delete_by_query(index: DataFrame, terms: dict, routing=None):
 
 
 def replace_groups(index: DataFrame, batch: DataFrame, group_cols=("shop_id", "gorder_id"),
-                   id_col: str = "doc_id") -> DataFrame:
+                   id_col: str = "doc_id", routing_col: str = "shop_id") -> DataFrame:
     """K9: every group present in the batch is deleted from the index, then
-    the batch's documents are inserted.
+    the batch's documents are inserted by id: a document of the same id and
+    routing that another group holds (an order that moved to another checkout
+    of the shop) is replaced too.
 
     Groups are matched null-safely (a null shop is a group value).  The
     reference deletes only the first 100 documents of a group; here the
@@ -126,5 +128,7 @@ def replace_groups(index: DataFrame, batch: DataFrame, group_cols=("shop_id", "g
     """
     group_cols = list(group_cols)
     kept = _anti(index, batch.select(*group_cols), group_cols)
+    if id_col in index.columns and id_col in batch.columns:
+        kept = _anti(kept, batch.select(routing_col, id_col), [routing_col, id_col])
     return kept.unionByName(batch.select(*[c for c in batch.columns if c in index.columns]),
                             allowMissingColumns=True)

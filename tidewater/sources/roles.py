@@ -108,6 +108,15 @@ def refunds(spark: SparkSession, d: str) -> DataFrame:
         epoch_millis("l_shipdate").alias("create_time"))
 
 
+def late_refunds(spark: SparkSession, d: str) -> DataFrame:
+    """A later refund feed: accepted lines, one row per order and item."""
+    li = table(spark, d, "lineitem").filter(F.col("l_returnflag") == "A")
+    each = li.select(F.col("l_orderkey").alias("order_id"),
+                     item_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_item_id"),
+                     F.col("l_linestatus").alias("apply_type"), epoch_millis("l_shipdate").alias("create_time"))
+    return each.groupBy("order_id", "order_item_id").agg(F.max("apply_type").alias("apply_type"), F.max("create_time").alias("create_time"))
+
+
 def line_refunds(spark: SparkSession, d: str) -> DataFrame:
     """Refund feed keyed by order and line number alone, which repeat in the
     line table: refunds of one item twice."""

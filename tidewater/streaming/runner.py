@@ -108,10 +108,13 @@ class QueueJobStream:
 
     name = "queue-job"
     group_cols: tuple[str, ...] = ("gorder_id",)
+    #: Keys whose older rows a batch hides, and what decides a row's bucket.
+    identities: tuple[tuple[str, ...], ...] | None = None
+    routed_by: tuple[str, ...] | None = None
 
     def __init__(self, spark: SparkSession, sf_dir: str, queue_folder: str, work_root: str | None = None,
                  file_glob: str | None = None, max_files: int | None = MAX_FILES,
-                 requeue_folder: str | None = None, then=None):
+                 requeue_folder: str | None = None, then=None, buckets: int | None = None):
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
         self.queue_folder = queue_folder
@@ -120,7 +123,8 @@ class QueueJobStream:
         self.requeue_folder = requeue_folder
         root = work_root or checkpoint_root(spark, f"{self.name}-stream")
         self.then = then
-        self.index = AppendedTable(spark, os.path.join(root, "index"), self.group_cols, os.path.join(root, "epoch"))
+        self.index = AppendedTable(spark, os.path.join(root, "index"), self.group_cols, os.path.join(root, "epoch"),
+                                   self.identities, self.routed_by, buckets)
         self.dead_root = os.path.join(root, "dead-letter")
         self.checkpoint = os.path.join(root, "checkpoint")
         self.counters: deque[dict] = deque(maxlen=KEPT_BATCHES)
@@ -200,13 +204,14 @@ class OrderSearchStream(QueueJobStream):
 
     name = "order-search"
     group_cols = ("shop_id", "gorder_id")
+    identities = (("shop_id", "gorder_id"), ("shop_id", "doc_id"))
+    routed_by = ("shop_id",)
 
     def initial_state(self) -> DataFrame:
         return jobs.order_index_as_of(self.spark, self.sf_dir)
 
     def enrich(self, batch: DataFrame):
-        docs, dead = jobs.order_search_batch(self.spark, self.sf_dir, batch)
-        return docs.withColumn("doc_id", F.col("order_id").cast("string")), dead
+        return jobs.order_document_batch(self.spark, self.sf_dir, batch)
 
 
 class CommissionStream(QueueJobStream):
