@@ -259,8 +259,17 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, windows: int = W
     uses = stage(rows.select("text", "lang").mapInArrow(_counts, "lang string, word binary, n long")
                  .groupBy("word", "lang").agg(F.sum("n").alias("n")), "language-words")
     per = {r.lang: r.n for r in uses.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    frequent = (uses.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("uses"))
-                .orderBy(F.col("n").desc(), "word").limit(lexicon_size).collect())
+    # the least level of counts above which at most lexicon_size words lie
+    level = F.floor(F.log("n") * 32)
+    sizes = uses.groupBy("word").agg(F.sum("n").alias("n")).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"))
+    held, least = 0, None
+    for r in sizes.orderBy(F.col("level").desc()).collect():
+        held += r.words
+        if held > lexicon_size:
+            break
+        least = r.level
+    words = uses.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("uses"))
+    frequent = [] if least is None else words.where(level >= least).orderBy(F.col("n").desc(), "word").collect()
     lexicon = pa.array([bytes(r.word) for r in frequent], pa.binary())
     share = np.zeros((len(frequent), k))
     for i, r in enumerate(frequent):
