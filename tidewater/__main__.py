@@ -28,16 +28,17 @@ def main(argv=None) -> None:
     ap.add_argument("--glob", default=None, help="only queue files matching this glob")
     ap.add_argument("--work", default=None, help="target, dead-letter and checkpoint root")
     ap.add_argument("--max-files", type=int, default=None, help="files per micro-batch")
+    ap.add_argument("--max-bytes", type=int, default=None, help="bytes of queue files per micro-batch")
     ap.add_argument("--requeue", default=None, help="folder failed keys are appended to")
     ap.add_argument("--once", action="store_true", help="process what is there now, then stop")
     a = ap.parse_args(argv)
 
     spark = get_session(app_name=f"tidewater-{a.job}")
     job = JOBS[a.job](spark, a.tables, a.queue, work_root=a.work, file_glob=a.glob,
-                      max_files=a.max_files, requeue_folder=a.requeue)
+                      max_files=a.max_files, max_bytes=a.max_bytes, requeue_folder=a.requeue)
     q = job.run(available_now=a.once)
     if not a.once:
-        q.awaitTermination()
+        job.serve(q)
     print(json.dumps({"job": a.job, "batches": list(job.counters),
                       "epoch": job.index.epoch}))
 

@@ -25,6 +25,8 @@ from tidewater.sources.roles import INDEX_AS_OF
 # Column lists configured for the sinks of the shipped jobs.
 COMMISSION_COLUMNS = ("order_type, commission_amount, buy_account, gorder_benefit_user, "
                       "pay_amount, pay_success_time, gorder_id, order_id")
+#: Which of a batch's rows of one order is the later one.
+COMMISSION_ORDER = ["event_time", "sales_amount", "amount", "order_type", "buy_account", "benefit_user_account"]
 ITEM_INDEX_COLUMNS = ("shop_id, gorder_id, order_id, order_status, buy_account_name, "
                       "buy_account_phone, order_time, order_pay_amount, item_id, apply_status, "
                       "apply_type, apply_time, goods_id, goods_name, goods_img, sku_id, sku_desc, "
@@ -63,7 +65,7 @@ def job_commission(spark: SparkSession, d: str):
                                    roles.orders(spark, d))
     # The sink reads the batch three times (update, insert, lost): stage it.
     batch = materialize(batch, "commission-batch")
-    new_target, lost = upsert_commission(roles.commission_target(spark, d), batch)
+    new_target, lost = upsert_commission(roles.commission_target(spark, d), batch, order=COMMISSION_ORDER)
     return new_target, lost, dead
 
 

@@ -1,8 +1,8 @@
 """Relational sinks: insert (K1) and check-then-write upsert (K2).
 
-Sinks are pure ``(target, batch) -> new_target`` functions; the versioned
-writer in :mod:`tidewater.sinks.appended` persists the result once per
-batch id.
+Sinks are pure ``(target, batch) -> new_target`` functions; a stream appends
+what they give for a batch's keys to a table of
+:mod:`tidewater.sinks.appended`.
 """
 
 from __future__ import annotations
@@ -52,12 +52,17 @@ def upsert(target: DataFrame, batch: DataFrame, check_key: str, update_keys,
     exists only under other update keys: the reference's UPDATE hits zero
     rows and the row vanishes; here it is reported instead.  Columns not in
     ``update_columns`` (e.g. ``status``) keep their value on update.  When
-    ``order`` is given the batch is deduped to the last row per check key
-    first (G4); otherwise the batch must already be unique per check key.
+    ``order`` is given, repeated rows of a batch act as if written one by one
+    in that order (ties by the update keys): of equal update keys the last one
+    counts (G4), and of a new check key under several update keys the first
+    one is inserted and the others are lost.  Otherwise the batch must already
+    be unique per check key.
     """
     update_keys = [update_keys] if isinstance(update_keys, str) else list(update_keys)
     if order:
-        batch = last_by_key(batch, check_key, order)
+        # who comes first is decided before repeated rows are folded
+        began = batch.groupBy(*update_keys).agg(F.min(F.struct(*order)).alias("__began"))
+        batch = last_by_key(batch, update_keys, order)
     b = batch.select(*[F.col(c).alias(f"__b_{c}") for c in batch.columns])
     cond = None
     for k in update_keys:
@@ -73,6 +78,12 @@ def upsert(target: DataFrame, batch: DataFrame, check_key: str, update_keys,
     # bounded by the batch, not by the target.
     target_keys = matched_keys(target, [(check_key, check_key)], batch)
     new_rows = batch.join(target_keys, check_key, "left_anti")
+    late = None
+    if order:
+        first = (began.groupBy(check_key).agg(F.min_by(F.struct(*update_keys), F.struct("__began", *update_keys)).alias("__first"))
+                 .select(*[F.col(f"__first.{k}").alias(k) for k in update_keys]))
+        late = new_rows.join(first, update_keys, "left_anti")
+        new_rows = new_rows.join(first, update_keys, "left_semi")
     inserts = new_rows.select(*[
         F.col(c) if c in batch.columns else
         (F.lit(insert_defaults[c]) if c in insert_defaults else F.lit(None)).cast(t).alias(c)
@@ -80,6 +91,8 @@ def upsert(target: DataFrame, batch: DataFrame, check_key: str, update_keys,
     existing = batch.join(target_keys, check_key, "left_semi")
     both = matched_keys(target, [(k, k) for k in update_keys], batch)
     lost = existing.join(both, update_keys, "left_anti")
+    if late is not None:
+        lost = lost.unionByName(late)
     return updated.unionByName(inserts), lost
 
 

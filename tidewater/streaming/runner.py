@@ -11,15 +11,18 @@ micro-batch runs a job's batch function inside ``foreachBatch``:
   effectively-once on top of the checkpoint's at-least-once input, and no
   batch rewrites what it does not hold;
 * failing keys are written to a dead-letter folder (one sub-folder per
-  batch id, overwritten on replay) and appended to the queue folder, so
-  the next trigger retries them (S4);
+  batch id, overwritten on replay) and, until they have failed
+  ``max_attempts`` times, to a :class:`~tidewater.streaming.retries.RetryTable`,
+  which appends them to the queue folder when they are due (S4);
+* the target merges its log once enough batches wait, so that what a batch
+  reads stays flat;
 * per-batch counters (G7): rows read, written and dead-lettered come from
   ``Observation`` metrics on the writes, input rows and trigger time from a
   ``StreamingQueryListener`` (:class:`ProgressLog`).
 
 Triggers: ``processingTime`` (the reference polls every second) or
-``availableNow`` for tests and catch-up runs.  ``max_files`` bounds a
-micro-batch (back-pressure, S6).
+``availableNow`` for tests and catch-up runs.  ``max_files`` or ``max_bytes``
+bounds a micro-batch (back-pressure, S6).
 """
 
 from __future__ import annotations
@@ -34,9 +37,10 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewater.plans import jobs
 from tidewater.session import checkpoint_root, materialize, prepare_session, stage_scope
-from tidewater.sinks.appended import AppendedTable
+from tidewater.sinks.appended import MERGE_AFTER, AppendedTable
 from tidewater.sinks.table import upsert_commission
 from tidewater.sources import roles
+from tidewater.streaming.retries import BACKOFF, MAX_ATTEMPTS, REQUEUE, RetryTable, attempts_of
 
 # Fixed value: the reference polls the queue once per second.
 POLL_INTERVAL = "1 second"
@@ -48,12 +52,15 @@ KEPT_BATCHES = 1000
 
 
 def queue_stream(spark: SparkSession, folder: str, schema, file_glob: str | None = None,
-                 max_files: int | None = None) -> DataFrame:
-    """Queue rows as a stream, in the queue role's column names."""
+                 max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Queue rows as a stream, in the queue role's column names.  A micro-batch
+    is bounded by ``max_bytes`` if given (one file at least), else by files."""
     reader = spark.readStream.schema(schema)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    if max_files:
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    elif max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     raw = reader.parquet(folder)
     return raw.select(F.col("event_id").alias("id"), F.col("user_id").alias("gorder_id"),
@@ -85,17 +92,6 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
-def _to_queue_rows(dead: DataFrame, epoch: int, batch_id: int) -> DataFrame:
-    """Queue rows for another try.  Their ids come from the failing batch, so
-    a replayed batch requeues the same rows, not more of them."""
-    ts = F.current_timestamp().cast("timestamp_ntz")
-    keys = dead.select("gorder_id").where(F.col("gorder_id").isNotNull()).distinct()
-    return keys.select(F.xxhash64(F.lit("retry"), F.col("gorder_id"), F.lit(epoch), F.lit(batch_id)).alias("event_id"),
-                       ts.alias("ts"), F.col("gorder_id").alias("user_id"),
-                       F.lit("requeue").alias("event_type"), F.lit(None).cast("double").alias("value"),
-                       F.lit(None).cast("string").alias("props"))
-
-
 class QueueJobStream:
     """A job as a streaming query: queue folder -> appended target.
 
@@ -114,17 +110,21 @@ class QueueJobStream:
 
     def __init__(self, spark: SparkSession, sf_dir: str, queue_folder: str, work_root: str | None = None,
                  file_glob: str | None = None, max_files: int | None = MAX_FILES,
-                 requeue_folder: str | None = None, then=None, buckets: int | None = None):
+                 requeue_folder: str | None = None, then=None, buckets: int | None = None,
+                 max_bytes: int | None = None, max_attempts: int = MAX_ATTEMPTS, backoff: float = BACKOFF,
+                 merge_after: int = MERGE_AFTER):
         self.spark = prepare_session(spark)
         self.sf_dir = sf_dir
         self.queue_folder = queue_folder
         self.file_glob = file_glob
-        self.max_files = max_files
-        self.requeue_folder = requeue_folder
+        self.max_files, self.max_bytes = max_files, max_bytes
         root = work_root or checkpoint_root(spark, f"{self.name}-stream")
         self.then = then
         self.index = AppendedTable(spark, os.path.join(root, "index"), self.group_cols, os.path.join(root, "epoch"),
-                                   self.identities, self.routed_by, buckets)
+                                   self.identities, self.routed_by, buckets, merge_after)
+        self.retries = None if requeue_folder is None else RetryTable(
+            spark, os.path.join(root, "retries"), requeue_folder, max_attempts, backoff)
+        self.max_attempts = max_attempts
         self.dead_root = os.path.join(root, "dead-letter")
         self.checkpoint = os.path.join(root, "checkpoint")
         self.counters: deque[dict] = deque(maxlen=KEPT_BATCHES)
@@ -152,6 +152,8 @@ class QueueJobStream:
         seen_in, seen_out, seen_dead = (Observation(f"{self.name}-{n}-{batch_id}") for n in ("in", "out", "dead"))
         self.index.initialize(self.initial_state)
         batch = materialize(batch.observe(seen_in, F.count(F.lit(1)).alias("n")), f"{self.name}-queue")
+        tries = (batch.where(F.col("event_type") == REQUEUE).groupBy("gorder_id")
+                 .agg(F.max(attempts_of()).alias("attempts")))
         rows, dead = self.enrich(batch)
         rows, lost = self.to_append(materialize(rows, f"{self.name}-batch"), batch_id)
         dead = dead.select("gorder_id", "dl_reason")
@@ -160,12 +162,18 @@ class QueueJobStream:
         # Dead-letter and requeue first, the batch's rows last; every write
         # overwrites what an earlier try of the same batch left.
         dead_path = os.path.join(self.dead_root, f"epoch={self.index.epoch}", f"batch={batch_id}")
+        dead = dead.join(tries, "gorder_id", "left").withColumn("attempts", F.coalesce("attempts", F.lit(0)) + 1)
+        # a lost update cannot succeed later
+        retried = (F.col("dl_reason") != "lost update") & (F.col("attempts") < self.max_attempts)
+        dead = dead.withColumn("final", ~retried if self.retries is not None else F.lit(True))
         dead.observe(seen_dead, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(dead_path)
         n_dead = seen_dead.get["n"]
-        if n_dead and self.requeue_folder:
-            retry = self.spark.read.parquet(dead_path).where("dl_reason <> 'lost update'")
-            _to_queue_rows(retry, self.index.epoch, batch_id).write.mode("append").parquet(self.requeue_folder)
+        if self.retries is not None:
+            self.retries.record(self.index.epoch, batch_id, self.spark.read.parquet(dead_path).where("not final"))
         self.index.append(batch_id, rows.observe(seen_out, F.count(F.lit(1)).alias("n")))
+        self.index.maintain()
+        if self.retries is not None:
+            self.retries.release()
         if self.then is not None:
             self.then(rows, batch_id)
         self.counters.append({"batch_id": batch_id, "queue_rows": seen_in.get["n"],
@@ -174,7 +182,7 @@ class QueueJobStream:
     def run(self, available_now: bool = True, timeout: float | None = None):
         schema = self.spark.read.parquet(
             os.path.join(self.queue_folder, self.file_glob) if self.file_glob else self.queue_folder).schema
-        stream = queue_stream(self.spark, self.queue_folder, schema, self.file_glob, self.max_files)
+        stream = queue_stream(self.spark, self.queue_folder, schema, self.file_glob, self.max_files, self.max_bytes)
         query_name = f"{self.name}-{os.path.basename(self.checkpoint.rstrip('/'))}-{id(self)}"
         self.progress = ProgressLog(query_name)
         self.spark.streams.addListener(self.progress)
@@ -194,6 +202,13 @@ class QueueJobStream:
             self.spark.streams.removeListener(self.progress)
         return q
 
+    def serve(self, query, poll: float = 1.0) -> None:
+        """Wait for a running query, releasing retries as they fall due also
+        while no other queue file arrives."""
+        while not query.awaitTermination(poll):
+            if self.retries is not None:
+                self.retries.release()
+
     def result(self) -> DataFrame:
         self.index.initialize(self.initial_state)
         return self.index.read()
@@ -233,7 +248,7 @@ class CommissionStream(QueueJobStream):
     def to_append(self, rows: DataFrame, batch_id: int):
         # the state of the batch's orders alone, as it was before the batch
         state = materialize(self.index.read((self.index.epoch, batch_id), only=rows), "commission-state")
-        return upsert_commission(state, rows)
+        return upsert_commission(state, rows, order=jobs.COMMISSION_ORDER)
 
 
 class ItemIndexStream(QueueJobStream):
