@@ -1,5 +1,9 @@
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import rows
+from test_plans import _plan as plan
 from tidewater.sinks import search as ks, table as kt, widecolumn as kw
 from tidewater.sinks.appended import AppendedTable
 from tidewater.session import fresh_path
@@ -148,3 +152,117 @@ def test_repeated_ids_in_a_batch_leave_one_document(spark):
     assert rows(updated, "doc_id", "v") == [("a", "u2")] and rows(missing, "doc_id", "v") == [("b", "u3")]
     both = spark.createDataFrame([("a", None, 1, 1, "n1"), ("a", None, 1, 1, "n2"), ("c", None, 1, 1, "n3")], DOCS)
     assert rows(ks.index_documents(idx, both), "doc_id", "v") == [("a", "n2"), ("c", "n3")]
+
+
+def _one(spark, root, **more):
+    return AppendedTable(spark, f"{root}/index", ["k"], f"{root}/epoch", **more)
+
+
+def test_a_bucketed_log_opens_only_the_batchs_buckets(spark):
+    """State reads name the batch's buckets in PartitionFilters."""
+    t = _one(spark, fresh_path(spark, "bucket-test"), buckets=32)
+    t.initialize(lambda: spark.range(400).select(F.col("id").alias("k"), F.lit("old").alias("v")))
+    for i in range(3):
+        t.append(i, spark.range(i * 10, i * 10 + 5).select(F.col("id").alias("k"), F.lit(f"b{i}").alias("v")))
+    batch = spark.createDataFrame([(11,), (399,), (1000,)], "k bigint")
+    state = t.read((t.epoch, 2), only=batch)
+    assert rows(state) == [(11, "b1"), (399, "old")]
+    touched = t._buckets_of(batch)
+    scans = [x for x in plan(state).split("PartitionFilters: [")[1:]]
+    assert scans and all("bucket#" in s.split("]")[0] and str(touched[0]) in s.split("]")[0] for s in scans)
+
+
+def test_the_number_of_buckets_is_stored(spark):
+    root = fresh_path(spark, "bucket-count-test")
+    _one(spark, root, buckets=4).initialize(lambda: spark.range(20).select(F.col("id").alias("k")))
+    assert _one(spark, root).read().count() == 20 and _one(spark, root).buckets == 4
+    with pytest.raises(ValueError, match="holds 4 buckets"):
+        _one(spark, root, buckets=8).read()
+
+
+def test_one_routing_value_reads_one_bucket(spark):
+    t = AppendedTable(spark, f"{(root := fresh_path(spark, 'routed-log-test'))}/index", ["shop_id", "gorder_id"], f"{root}/epoch",
+                      bucket_by=["shop_id"], buckets=16)
+    t.initialize(lambda: spark.range(200).select((F.col("id") % 20).alias("shop_id"), F.col("id").alias("gorder_id")))
+    t.append(0, spark.createDataFrame([(7, 7), (None, 3)], "shop_id bigint, gorder_id bigint"))
+    one = t.read(routing={"shop_id": 7})
+    assert {r.shop_id for r in one.collect()} == {7} and one.count() == 10
+    assert all("bucket#" in s.split("]")[0] for s in plan(one).split("PartitionFilters: [")[1:])
+    assert rows(t.read(routing={"shop_id": None}), "gorder_id") == [(3,)]
+
+
+def test_cost_stays_flat_over_fifty_batches(spark):
+    """Few segments and waiting batches, however many batches came; every
+    state equals that of plain replacement by key."""
+    t = _one(spark, fresh_path(spark, "flat-test"), buckets=2, merge_after=4)
+    want = {i: "old" for i in range(200)}
+    t.initialize(lambda: spark.range(200).select(F.col("id").alias("k"), F.lit("old").alias("v")))
+    shuffled, widest = spark.conf.get("spark.sql.shuffle.partitions"), 0
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for i in range(50):
+            own = [(i * 7 + j * 3) % 260 for j in range(5)]
+            t.append(i, spark.createDataFrame([(k, f"b{i}") for k in own], "k bigint, v string").coalesce(1))
+            want |= {k: f"b{i}" for k in own}
+            t.maintain()
+            widest = max(widest, len(t.pending()) + len(t._manifest()[1]))
+        assert widest <= 4 + 7 and len(t._names(f"{t.root}/segments")) <= 14
+        assert rows(t.read()) == sorted(want.items(), key=repr)
+        assert sum(len(t._names(f"{t.root}/log/epoch={e}")) for e in t._names(f"{t.root}/log")) <= 8
+        t.merge(everything=True)
+        assert len(t._manifest()[1]) == 1 and rows(t.read()) == sorted(want.items(), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+
+
+def test_replay_after_a_merge_and_readers_of_the_old_form(spark):
+    t = _one(spark, fresh_path(spark, "merge-replay-test"), buckets=2, merge_after=2)
+    t.initialize(lambda: spark.createDataFrame([(1, "old"), (2, "old")], "k bigint, v string"))
+    for i in range(3):
+        t.append(i, spark.createDataFrame([(2 * (i == 2), f"b{i}")], "k bigint, v string"))
+    before = t.read()
+    state = rows(before)
+    t.merge()
+    assert t.pending() == [(t.epoch, 2)] and rows(t.read()) == state == rows(before)   # a running reader keeps its folders
+    assert rows(t.read((t.epoch, 2))) == [(0, "b1"), (1, "old"), (2, "old")]   # a replay sees what the batch saw
+    for i in (1, 2):                                     # replays of a merged batch and of the latest
+        t.append(i, spark.createDataFrame([(2 * (i == 2), f"b{i}")], "k bigint, v string"))
+        assert rows(t.read()) == state
+
+
+def test_a_moved_order_leaves_its_old_checkout(spark):
+    """K9 by group and by id within the routing, in every form of the table."""
+    kinds = "doc_id string, shop_id bigint, gorder_id bigint, v string"
+    base = spark.createDataFrame([("5", 1, 10, "old"), ("6", 1, 10, "old"), ("5", 2, 20, "other shop")], kinds)
+    moved = spark.createDataFrame([("5", 1, 11, "moved")], kinds)
+    gone = spark.createDataFrame([("9", 1, 11, "without 5")], kinds)
+    assert rows(ks.replace_groups(base, moved), "doc_id", "gorder_id", "v") == [
+        ("5", 11, "moved"), ("5", 20, "other shop"), ("6", 10, "old")]
+    want = rows(ks.replace_groups(ks.replace_groups(base, moved), gone))
+    assert ("5", 1, 10, "old") not in want and ("5", 1, 11, "moved") not in want
+    for merge in ((), (1,), (0,), (0, 1)):
+        root = fresh_path(spark, "moved-test")
+        t = AppendedTable(spark, f"{root}/index", ["shop_id", "gorder_id"], f"{root}/epoch",
+                          [["shop_id", "gorder_id"], ["shop_id", "doc_id"]], ["shop_id"], buckets=1)
+        t.initialize(lambda: base)
+        # a large oldest segment, so that merges leave it out
+        live = t._manifest()[1]
+        t._publish([(live[0].segment, 10**6)], (0, 0))
+        for i, batch in enumerate((moved, gone)):
+            t.append(i, batch)
+            if i in merge:
+                t.merge()
+        assert rows(t.read()) == want, merge
+        t.merge(everything=True)
+        assert rows(t.read()) == want, merge
+
+
+def test_repeated_orders_of_a_batch_act_row_by_row(spark):
+    kinds = "order_type string, amount double, buy_account string, benefit_user_account int, sales_amount double, event_time bigint, gorder_id bigint, order_id bigint"
+    target = spark.createDataFrame([("OLD", 0.0, None, None, 0.0, None, 1, 100, 2)], kinds + ", status int")
+    row = lambda t, g, o, at: (t, 1.0, None, 3, 2.0, at, g, o)
+    batch = spark.createDataFrame([row("a", 1, 100, 5), row("b", 1, 100, 6), row("c", 2, 100, 9),
+                                   row("d", 7, 200, 4), row("e", 7, 200, 8), row("f", 8, 200, 6)], kinds)
+    new, lost = kt.upsert_commission(target, batch, order=["event_time"])
+    assert rows(new, "order_id", "gorder_id", "order_type", "status") == [(100, 1, "b", 2), (200, 7, "e", 1)]
+    assert rows(lost, "order_id", "gorder_id", "order_type") == [(100, 2, "c"), (200, 8, "f")]

@@ -8,6 +8,8 @@ on the machine.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,23 +44,63 @@ def parse_date(text, fmt: str = DATE_TIME_FORMAT, strict: bool = False) -> Colum
     return F.try_to_timestamp(_col(text), F.lit(fmt))
 
 
-_DATE_TIME_PARTS = r"^\s*(\d+)-(\d+)-(\d+)(?:\s+(\d+):(\d+):(\d+))?\s*$"
+#: Pattern letters that the lenient parser knows, with the field of a calendar.
+_FIELDS = {"y": "year", "M": "month", "d": "day", "H": "hour", "m": "minute", "s": "second", "S": "milli"}
+_LENIENT_FORMAT = "yyyy-MM-dd[ HH:mm:ss]"
+
 
+def _compile(fmt: str) -> tuple[str, list[str]]:
+    """The regular expression of a date pattern and its fields, in order.
 
-def parse_date_lenient(text) -> Column:
-    """F3, lenient: ``yyyy-MM-dd[ HH:mm:ss]`` where out-of-range fields roll
-    over as a lenient calendar does (month 13 -> January next year, Feb 30
-    -> Mar 1, hour 24 -> next day).  Text that does not have the shape is
-    null.  Built from ``regexp_extract`` and date arithmetic, no UDF.
+    A field next to another field has the pattern's width; else it takes all
+    digits, after blanks and a minus sign if there are any.  ``[...]`` is an
+    optional part (one blank in it stands for any number), ``'...'`` and all
+    other characters but letters stand for themselves.
+    """
+    out, fields, depth = "^", [], 0
+    runs = re.findall(r"([A-Za-z])(\1*)|'([^']*)'|(.)", fmt, re.DOTALL)
+    for i, (letter, more, quoted, other) in enumerate(runs):
+        if letter:
+            if letter not in _FIELDS or (letter == "y" and len(more) != 3) or (letter == "M" and len(more) > 1):
+                raise ValueError(f"pattern {letter + more!r} in {fmt!r} is not supported")
+            close = i + 1 < len(runs) and bool(runs[i + 1][0])
+            after = i > 0 and bool(runs[i - 1][0])
+            out += rf"(\d{{{len(more) + 1}}})" if close or after else r"\s*(-?\d+)"
+            fields.append(_FIELDS[letter])
+        elif other == "[":
+            out, depth = out + "(?:", depth + 1
+        elif other == "]":
+            out, depth = out + ")?", depth - 1
+        elif other == " " and depth:
+            out += r"\s+"
+        else:
+            out += re.escape(quoted or other)
+    return out, fields
+
+
+def parse_date_lenient(text, fmt: str = _LENIENT_FORMAT) -> Column:
+    """F3, lenient, for any pattern of numeric fields: out-of-range and
+    negative fields roll over as a lenient calendar's do (month 13 -> January
+    next year, day 0 -> the last of the month before, Feb 30 -> Mar 1, hour 24
+    -> next day), text after the pattern is ignored, and fields that the
+    pattern lacks are those of 1970-01-01 00:00:00.  Text that does not begin
+    as the pattern says is null.  The pattern is compiled to an extraction plus
+    calendar arithmetic, no UDF.
     """
     t = _col(text)
-    part = lambda i: F.regexp_extract(t, _DATE_TIME_PARTS, i)
-    ok = t.rlike(_DATE_TIME_PARTS)
-    num = lambda i: F.when(part(i) == "", F.lit(0)).otherwise(part(i).cast("int"))
-    day = F.date_add(F.add_months(F.make_date(num(1), F.lit(1), F.lit(1)), num(2) - 1), num(3) - 1)
-    secs = num(4) * 3600 + num(5) * 60 + num(6)
-    ts = F.timestamp_seconds(F.unix_timestamp(day.cast("timestamp")) + secs)
-    return F.when(ok, ts)
+    shape, fields = _compile(fmt)
+
+    def num(field: str, absent: int) -> Column:
+        if field not in fields:
+            return F.lit(absent)
+        part = F.regexp_extract(t, shape, fields.index(field) + 1)
+        return F.when(part == "", F.lit(absent)).otherwise(F.try_to_number(part, F.lit("S9999999999")).cast("bigint"))
+
+    months = num("year", 1970) * 12 + num("month", 1) - 1
+    first = F.make_date(F.floor(months / 12).cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1))
+    days = F.unix_date(first) + num("day", 1) - 1
+    millis = ((days * 24 + num("hour", 0)) * 60 + num("minute", 0)) * 60000 + num("second", 0) * 1000 + num("milli", 0)
+    return F.when(t.rlike(shape), F.timestamp_millis(millis))
 
 
 def epoch_millis(ts) -> Column:

@@ -8,18 +8,19 @@ operator (queue poll size, result page).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import dates, keys
-from tidewater.operators import counters, dedup, documents, merge, orders as ordops, projection, ranking
+from tidewater.operators import counters, dedup, documents, merge, orders as ordops, projection, ranking, steps
 from tidewater.plans import jobs
 from tidewater.plans import oracle as sql
-from tidewater.session import fresh_path, materialize
+from tidewater.session import checkpoint_root, fresh_path, materialize
 from tidewater.sinks import layout, search as ksearch, table as ktable, widecolumn as kwide
-from tidewater.sources import queue as squeue, roles, search as ssearch, widecolumn as swide
+from tidewater.sources import colocated, queue as squeue, roles, search as ssearch, widecolumn as swide
 from tidewater.sources.tables import table
 from tidewater.streaming.runner import CommissionStream, ItemIndexStream, OrderSearchStream
 
@@ -127,8 +128,19 @@ def q_doc_search_page(spark, d):
     return ssearch.search_page(roles.documents(spark, d), SEARCH_TERMS, page=SEARCH_PAGE)
 
 
+@register("doc_search_after", ORACLE["doc_search_page"])
+def q_doc_search_after(spark, d):
+    """The same page by cursors: each page starts after the last id before it."""
+    index, after = roles.documents(spark, d), None
+    for _ in range(SEARCH_PAGE):
+        after = ssearch.page_end(ssearch.search_after(index, SEARCH_TERMS, after))
+    return ssearch.search_after(index, SEARCH_TERMS, after)
+
+
 def _stored_cells(spark, d):
-    return swide.store_cells(roles.wide_cells(spark, d), fresh_path(spark, "wide-cells"))
+    """The cell store of a data folder, built once in a checkpoint folder."""
+    cells = roles.wide_cells(spark, d)
+    return swide.keep_cells(cells, checkpoint_root(spark, f"wide-cells-{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"))
 
 
 @register("wide_get", f"""WITH {sql.wide_cells_ctes()}
@@ -236,8 +248,56 @@ def q_flatten_struct(spark, d):
     return merge.flatten_json(q, "props", "k INT")
 
 
+def _keyed_queue(spark, d):
+    """Queue rows whose JSON has one more key, named by the row's type."""
+    q = roles.queue(spark, d)
+    own = F.to_json(F.map_concat(F.from_json("props", "map<string,string>"), F.create_map("event_type", F.col("gorder_id").cast("string"))))
+    return q.select("id", F.when(F.col("event_type") != "error", own).alias("props"), F.lit("as queued").alias("view"))
+
+
+@register("flatten_pairs", """SELECT event_id AS id, 'as queued' AS view, 'k' AS key, json_extract_string(props, '$.k') AS value
+FROM events WHERE event_type <> 'error' UNION ALL SELECT event_id, 'as queued', event_type, CAST(user_id AS VARCHAR)
+FROM events WHERE event_type <> 'error'""")
+def q_flatten_pairs(spark, d):
+    return steps.spread_pairs(_keyed_queue(spark, d), "props")
+
+
+@register("flatten_any", """SELECT event_id AS id, CASE WHEN event_type <> 'error' THEN json_extract_string(props, '$.k') END AS k,
+  CASE WHEN event_type = 'view' THEN CAST(user_id AS VARCHAR) ELSE 'as queued' END AS view,
+  CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS click,
+  CASE WHEN event_type = 'purchase' THEN CAST(user_id AS VARCHAR) END AS purchase,
+  CASE WHEN event_type = 'signup' THEN CAST(user_id AS VARCHAR) END AS signup FROM events""")
+def q_flatten_any(spark, d):
+    """Every key becomes a column, none declared; one clashes with a column of
+    the row."""
+    return steps.flatten_any(_keyed_queue(spark, d), "props")
+
+
 # ------------------------------------------------------------------ joins
 
+
+@register("service_step", f"""SELECT k.gorder_id, o.order_id, o.pay_amount FROM ({sql.KEYS}) k LEFT JOIN (
+  SELECT * FROM (SELECT o_custkey AS gorder_id, o_orderkey AS order_id, o_totalprice AS pay_amount, row_number() OVER
+    (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders
+    WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O') WHERE rn <= 2) o ON o.gorder_id = k.gorder_id""")
+def q_service_step(spark, d):
+    """A service that answers a checkout with its two dearest urgent open
+    orders: none, one or two rows."""
+    o = roles.orders(spark, d).where("order_type = '1-URGENT' and order_status = 'O'").select("gorder_id", "order_id", "pay_amount")
+    return steps.service_step(_queue_keys(spark, d), o, """SELECT order_id, pay_amount FROM {service} AS o
+        WHERE o.gorder_id = row.gorder_id ORDER BY pay_amount DESC, order_id LIMIT 2""")
+
+
+@register("service_step_required", f"""SELECT k.gorder_id, x.n_open, x.open_amount FROM ({sql.KEYS}) k JOIN (
+  SELECT o_custkey AS gorder_id, CAST(count(*) AS BIGINT) AS n_open, max(o_totalprice) AS open_amount FROM orders
+  WHERE o_orderstatus = 'O' GROUP BY o_custkey HAVING count(*) > 1) x ON x.gorder_id = k.gorder_id""")
+def q_service_step_required(spark, d):
+    """A service that answers with a summary, or not at all: unanswered rows go."""
+    o = roles.orders(spark, d).where("order_status = 'O'").select("gorder_id", "order_id", "pay_amount")
+    return steps.service_step(_queue_keys(spark, d), o, """SELECT count(*) AS n_open, max(pay_amount) AS open_amount FROM {service} AS o
+        WHERE o.gorder_id = row.gorder_id HAVING count(*) > 1""", required=True)
+
+
 @register("lookup_join", """SELECT e.event_id AS id, e.user_id AS gorder_id, e.event_type,
   coalesce(CASE WHEN e.event_type <> 'error' THEN e.value END, c.c_acctbal) AS value, c.c_mktsegment AS segment
 FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id""")
@@ -271,6 +331,16 @@ def q_lookup_chain(spark, d):
     return merge.lookup_chain(_queue_keys(spark, d), steps)
 
 
+@register("lookup_colocated", ORACLE["lookup_chain"])
+def q_lookup_colocated(spark, d):
+    """The chain of lookups over bucketed tables: only the batch is dealt."""
+    bucketed = lambda df, key: colocated.store_bucketed(df, key, fresh_path(spark, "bucketed"))
+    orders = bucketed(roles.orders(spark, d).select("gorder_id", "order_id"), "gorder_id")
+    items = bucketed(roles.items(spark, d).select("order_id", "item_id"), "order_id")
+    g = merge.lookup_join(_queue_keys(spark, d), roles.gorders(spark, d).select("gorder_id", F.col("benefit_user").alias("shop_id")), "gorder_id")
+    return merge.lookup_join(merge.lookup_join(g, orders, "gorder_id"), items, "order_id")
+
+
 def _order_batch(spark, d):
     docs, _ = jobs.order_search_batch(spark, d, roles.queue(spark, d))
     return docs
@@ -399,6 +469,27 @@ def q_date_parse(spark, d):
                     dates.epoch_millis(dates.parse_date_lenient(rolled)).alias("rolled_ms"))
 
 
+@register("date_parse_formats", """SELECT event_id AS id,
+  epoch_ms(date_trunc('day', ts) + INTERVAL 13 MONTH) AS compact_ms,
+  epoch_ms(date_trunc('month', ts) - INTERVAL 2 MONTH + to_days(CAST(hour(ts) AS INTEGER) - 1)) AS negative_ms,
+  epoch_ms(date_trunc('minute', ts) - INTERVAL 90 MINUTE) AS trailing_ms,
+  epoch_ms(TIMESTAMP '1970-01-01' + to_minutes(minute(ts) + 1440)) AS clock_ms,
+  CASE WHEN event_type <> 'error' THEN epoch_ms(date_trunc('day', ts)) END AS bad_ms FROM events""")
+def q_date_parse_formats(spark, d):
+    """Lenient parsing by given patterns: fields side by side, a month beyond
+    the year, negative and zero fields, trailing text, absent fields, bad text."""
+    q, t = roles.queue(spark, d), F.col("create_time")
+    ms = lambda text, fmt: dates.epoch_millis(dates.parse_date_lenient(text, fmt))
+    next_year = F.date_format(t + F.expr("INTERVAL 13 MONTH"), "yyyyMMdd")
+    return q.select(
+        "id", ms(next_year, "yyyyMMdd").alias("compact_ms"),
+        ms(F.format_string("%d/%d/%d", F.hour(t), F.month(t) - 2, F.year(t)), "dd/MM/yyyy").alias("negative_ms"),
+        ms(F.format_string("%s at %d:%d and more", F.date_format(t, "yyyy.MM.dd"), F.hour(t) - 1, F.minute(t) - 30),
+           "yyyy.MM.dd 'at' HH:mm").alias("trailing_ms"),
+        ms(F.format_string("24h%d", F.minute(t)), "HH'h'mm").alias("clock_ms"),
+        ms(F.when(F.col("event_type") != "error", F.date_format(t, "d.M.yyyy")).otherwise("no date"), "d.M.yyyy").alias("bad_ms"))
+
+
 @register("epoch_millis", "SELECT event_id AS id, epoch_ms(ts) AS ts_ms, "
                           "epoch_ms(date_trunc('day', ts)) AS day_ms FROM events")
 def q_epoch_millis(spark, d):

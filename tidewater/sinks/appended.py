@@ -24,14 +24,14 @@ O(log n) times, and what a batch has to read stays flat.  A new manifest, the
 last thing written, switches every reader, also that of a running stream, to
 the merged form; folders go when no manifest of the last two names them.  A
 merge without the oldest segment keeps rows that are the latest for any of
-their keys, since they still hide older rows.
+their keys, since they still hide older rows.  The latest batch is never
+merged: it may be replayed, and what was there before it must stay readable.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,10 +54,8 @@ class AppendedTable:
 
     # ------------------------------------------------------------- folders
     def _try(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:  # no such folder, or none that a write finished
-            return None
+        """The table at ``path``, if a write finished there."""
+        return self.spark.read.parquet(path) if self._finished(path) else None
 
     def _fs(self, path: str):
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -217,23 +215,24 @@ class AppendedTable:
         return [v for v in found if v > upto]
 
     def maintain(self) -> bool:
-        """Merge if ``merge_after`` batches wait; whether it did."""
-        if len(self.pending()) < self.merge_after:
+        """Merge if ``merge_after`` batches wait besides the latest one; whether
+        it did."""
+        if len(self.pending()) <= self.merge_after:
             return False
         self.merge()
         return True
 
     def merge(self, everything: bool = False) -> None:
-        """Merge the waiting batches, and the last segments as the rule above
-        says (or all), into one segment."""
-        waiting = self.pending()
+        """Merge the waiting batches but the latest, and the last segments as
+        the rule above says (or all), into one segment."""
+        waiting = self.pending()[:-1]
         number, live = self._manifest()
         upto = (live[-1].epoch, live[-1].batch)
         if waiting:
             upto = waiting[-1]
             log = self._log().where(_after((live[-1].epoch, live[-1].batch)) & ~_after(upto))
             n = log.count()
-        elif not everything:
+        elif not everything or len(live) < 2:
             return
         parts = [log] if waiting else []
         total, kept = n if waiting else 0, list(live)

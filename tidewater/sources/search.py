@@ -48,6 +48,26 @@ def get_document(index: DataFrame, doc_id: str, routing: str | None = None) -> D
     return df.withColumn("_doc_id", F.col("doc_id"))
 
 
+def search_after(index: DataFrame, terms: dict, after: str | None = None, size: int = DEFAULT_PAGE_SIZE,
+                 routing: str | None = None) -> DataFrame:
+    """S9 by a cursor: the ``size`` matches that follow ``doc_id`` ``after`` in
+    order (from the start if null).  A page sorts ``size`` rows, however deep
+    it lies, where :func:`search_page` sorts all rows before it; the cursor is
+    a pushed filter.  The pages are the same as long as ids are unique."""
+    pred = term_predicate(terms)
+    if pred is None:
+        return index.where(F.lit(False)).withColumn("_doc_id", F.col("doc_id"))
+    df = index.where(pred if after is None else pred & (F.col("doc_id") > F.lit(after)))
+    if routing:
+        df = df.where(F.col("routing") == F.lit(routing))
+    return df.orderBy("doc_id").limit(size).withColumn("_doc_id", F.col("doc_id"))
+
+
+def page_end(page: DataFrame) -> str | None:
+    """The cursor after a page (one value; null: there is no further page)."""
+    return page.agg(F.max("_doc_id")).first()[0]
+
+
 def search_page(index: DataFrame, terms: dict, page: int = 0, size: int = DEFAULT_PAGE_SIZE,
                 routing: str | None = None) -> DataFrame:
     """AND of exact terms, page ``page`` (0-based) of ``size`` rows.

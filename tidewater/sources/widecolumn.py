@@ -34,6 +34,28 @@ def store_cells(cells: DataFrame, path: str) -> DataFrame:
     return cells.sparkSession.read.schema(cells.schema).parquet(path)
 
 
+#: Distinct row keys that a file's bloom filter is made for.
+BLOOM_KEYS = 1_000_000
+
+
+def keep_cells(cells: DataFrame, path: str) -> DataFrame:
+    """The kept store at ``path``: built on the first call, read afterwards.
+
+    Cells are sorted by row key, a range of keys per file, with a bloom filter
+    on ``row_key`` in every row group: a point get skips files and groups by
+    their statistics, and a miss within their range by the filter.  ``cells``
+    is not read again once the store is there.
+    """
+    spark = cells.sparkSession
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        (cells.repartitionByRange("row_key", "qualifier").sortWithinPartitions("row_key", "qualifier").write.mode("overwrite")
+         .option("parquet.bloom.filter.enabled#row_key", "true")
+         .option("parquet.bloom.filter.expected.ndv#row_key", str(BLOOM_KEYS))
+         .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path))
+    return spark.read.schema(cells.schema).parquet(path)
+
+
 def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
     """S10 (bulk point get): the cells of the requested row keys."""
     return cells.join(keys.select("row_key").distinct(), "row_key", "left_semi")
