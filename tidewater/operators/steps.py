@@ -56,8 +56,11 @@ def flatten_any(df: DataFrame, json_col: str, max_keys: int = MAX_KEYS) -> DataF
     parsed = df.withColumn("__variant", F.try_parse_json(json_col))
 
     def value(key: str) -> Column:
-        path = "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
-        return F.try_variant_get("__variant", path, "string")
+        for quote in "'", '"':
+            if key and quote not in key:
+                return F.try_variant_get("__variant", f"$[{quote}{key}{quote}]", "string")
+        # a path cannot spell the empty key, nor one with both quotes
+        return F.try_element_at(F.from_json(json_col, "map<string,string>"), F.lit(key))
 
     kept = [c for c in df.columns if c != json_col]
     return parsed.select(*[F.coalesce(value(c), F.col(f"`{c}`").cast("string")).alias(c) if c in keys else F.col(f"`{c}`") for c in kept],
