@@ -137,6 +137,11 @@ class AppendedTable:
         (held.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/log/epoch={self.epoch}/batch={batch_id}"))
 
+    def appended(self, batch_id: int) -> int:
+        """How many rows the batch's partition holds (from file footers)."""
+        path = f"{self.root}/log/epoch={self.epoch}/batch={batch_id}"
+        return self.spark.read.parquet(path).count() if self._names(path) else 0
+
     def _manifest(self) -> tuple[int, list]:
         """The latest manifest's number (0: none) and rows: live segments with
         their rows, oldest first, and up to which batch they hold the log."""

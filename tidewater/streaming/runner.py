@@ -16,9 +16,9 @@ micro-batch runs a job's batch function inside ``foreachBatch``:
   which appends them to the queue folder when they are due (S4);
 * the target merges its log once enough batches wait, so that what a batch
   reads stays flat;
-* per-batch counters (G7): rows read, written and dead-lettered come from
-  ``Observation`` metrics on the writes, input rows and trigger time from a
-  ``StreamingQueryListener`` (:class:`ProgressLog`).
+* per-batch counters (G7): queue rows come from an ``Observation``, rows
+  written and dead-lettered from the footers of the written files, input rows
+  and trigger time from a ``StreamingQueryListener`` (:class:`ProgressLog`).
 
 Triggers: ``processingTime`` (the reference polls every second) or
 ``availableNow`` for tests and catch-up runs.  ``max_files`` or ``max_bytes``
@@ -147,9 +147,10 @@ class QueueJobStream:
             self._process(batch, batch_id)
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
-        # Counters ride along the writes as observed metrics (no extra
-        # count jobs).
-        seen_in, seen_out, seen_dead = (Observation(f"{self.name}-{n}-{batch_id}") for n in ("in", "out", "dead"))
+        # Queue rows are observed on their way in; what was written is
+        # counted from the files' footers (a plan that turns out to be empty
+        # drops an observation).
+        seen_in = Observation(f"{self.name}-in-{batch_id}")
         self.index.initialize(self.initial_state)
         batch = materialize(batch.observe(seen_in, F.count(F.lit(1)).alias("n")), f"{self.name}-queue")
         tries = (batch.where(F.col("event_type") == REQUEUE).groupBy("gorder_id")
@@ -166,18 +167,18 @@ class QueueJobStream:
         # a lost update cannot succeed later
         retried = (F.col("dl_reason") != "lost update") & (F.col("attempts") < self.max_attempts)
         dead = dead.withColumn("final", ~retried if self.retries is not None else F.lit(True))
-        dead.observe(seen_dead, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(dead_path)
-        n_dead = seen_dead.get["n"]
+        dead.write.mode("overwrite").parquet(dead_path)
+        n_dead = self.spark.read.parquet(dead_path).count()
         if self.retries is not None:
             self.retries.record(self.index.epoch, batch_id, self.spark.read.parquet(dead_path).where("not final"))
-        self.index.append(batch_id, rows.observe(seen_out, F.count(F.lit(1)).alias("n")))
+        self.index.append(batch_id, rows)
         self.index.maintain()
         if self.retries is not None:
             self.retries.release()
         if self.then is not None:
             self.then(rows, batch_id)
         self.counters.append({"batch_id": batch_id, "queue_rows": seen_in.get["n"],
-                              "emitted": seen_out.get["n"], "dead": n_dead})
+                              "emitted": self.index.appended(batch_id), "dead": n_dead})
 
     def run(self, available_now: bool = True, timeout: float | None = None):
         schema = self.spark.read.parquet(
