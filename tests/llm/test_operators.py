@@ -62,6 +62,15 @@ def test_packing(docs, wide, none, given):
     check_packing(packing.pack_documents(given[0]), given[1])
 
 
+def test_names_of_special_tokens_in_any_case(spark):
+    rows = [(i, t) for i, t in enumerate(["<|ENDOFTEXT|> hi", "<|EndOfText|>x <|endoftext|>", "a <|STARTofTEXT|>", "<|ENDOFTEXT", "|>"])]
+    check_packing(packing.pack_documents(table(spark, rows)), rows)
+    histogram = token_counts.length_histogram(table(spark, rows))
+    assert got(histogram, "n_tokens", "n_docs") == sorted(Counter(len(encode(t)) for _, t in rows).items(), key=key)
+    plan = token_counts.context_totals(histogram)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "PythonMapInArrow" not in plan    # encoded once, when it was staged
+
+
 def test_packing_step_groups_are_balanced(given):
     sizes = packing.pack_documents(given[0]).groupBy("step_group", "tier").agg(F.sum("length").alias("n"))
     assert sizes.filter(f"n > {packing.STEP_TOKENS}").count() == 0
@@ -277,6 +286,23 @@ def test_sharding_is_even_on_many_rows(spark):
     assert len(copies) <= 24  # the copies lie together, cut only between shards
 
 
+def test_sharding_cuts_equal_rows_and_keeps_other_groups(spark):
+    """Rows that agree in every column are cut evenly; a group of copies is
+    split only where one of the 39 cuts falls into it."""
+    rows = [(None, "one text")] * 4000
+    held = Counter(r.shard for r in kd_sharding.shard_documents(table(spark, rows)).collect())
+    assert held == {k: 100 for k in range(40)}
+    r = np.random.default_rng(2)
+    texts = [f"text {i} " * int(r.integers(5, 60)) for i in range(400)]
+    rows = [(int(d), t) for t in texts for d in r.integers(0, 100_000, 5)]
+    out = check_shards(table(spark, rows), rows, 0.2)
+    shards = defaultdict(set)
+    for x in out:
+        shards[x.text_crc32].add(x.shard)
+    # a cut adds one piece at most
+    assert len(shards) == 400 and sum(len(v) - 1 for v in shards.values()) <= 39
+
+
 def test_secret_scan(docs, wide, none, given):
     for df, rows in ((docs, TEXTS), (wide, TEXTS), given):
         out = secret_scan.scan(df).collect()

@@ -7,14 +7,18 @@ A median is found by counting bytes per bucket of the key's range and
 descending into the bucket that holds it, for all nodes of a level at once;
 the driver sees one row per node and round.
 
-A dimension's key ends in the text's checksum, so equal texts lie side by side
-and mostly share a shard; a group of copies too large for one shard is cut at
-a doc_id.  Each cut is within one document of its target, hence the law
+Copies of one text (equal checksum and size) take part with the least values
+of their group in every dimension, and a dimension's key ends in the checksum,
+so they lie side by side: a group shares a shard unless a cut falls into it,
+and a cut falls into one group at most.  There it goes by the row's own number,
+so a group of any size, also of rows that agree in every column, is cut
+anywhere.  Each cut is within one document of its target, hence the law
 ``bytes``: sizes near equal.
 
-Null text counts as none (size 16, checksum 0); null metadata sorts first.
-Rows that agree in text, metadata and doc_id cannot be told apart and stay
-together.  An empty table gives an empty result.
+Null text counts as none (size 16, checksum 0); null metadata sorts first.  A
+very long text is one document like any other.  Only ``doc_id``, ``text``,
+``lang`` and ``source`` are read, so other columns may have any name.  An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,7 +49,7 @@ class Node:
     shards: int
     weight: int = 0
     dimension: int = 0
-    cut: tuple[int, int] = (0, 0)  # the last (key, doc_id) on the left
+    cut: tuple[int, int] = (0, 0)  # the last (key, row number) on the left
     search: dict = field(default_factory=dict)
 
 
@@ -56,16 +60,23 @@ def _grid(value: Column, low: float, high: float) -> Column:
 
 
 def metadata(documents: DataFrame, overhead: int = OVERHEAD) -> DataFrame:
-    """doc_id, size, text_crc32 and one 63-bit key per dimension."""
+    """doc_id, size, text_crc32, the row's number and one 63-bit key per dimension."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     raw = stage(documents.select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("id"),
+        "doc_id", F.monotonically_increasing_id().alias("id"), F.col("doc_id").cast("double").alias("order"),
         (F.octet_length(F.coalesce("text", F.lit(""))) + overhead).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
         F.crc32(F.coalesce(F.col("lang"), F.lit("")).cast("binary")).cast("double").alias("lang"),
         F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")).cast("double").alias("source")), "metadata")
-    values = {"by_size": F.log2("size"), "by_lang": F.col("lang"), "by_source": F.col("source"),
-              "by_order": F.col("doc_id").cast("double")}
+    # partial minima, then one small row per group of copies; the planner splits
+    # a large group's side of the join
+    own = ("lang", "source", "order")
+    groups = (raw.groupBy("text_crc32", "size").agg(F.count(F.lit(1)).alias("copies"), *(F.min(c).alias(f"least_{c}") for c in own))
+              .where("copies > 1"))
+    raw = raw.join(groups, ["text_crc32", "size"], "left").select(
+        "doc_id", "id", "size", "text_crc32", *(F.when(F.col("copies").isNull(), F.col(c)).otherwise(F.col(f"least_{c}")).alias(c) for c in own))
+    raw = stage(raw, "metadata")
+    values = {"by_size": F.log2("size"), "by_lang": F.col("lang"), "by_source": F.col("source"), "by_order": F.col("order")}
     ends = raw.agg(*(f(v).alias(f"{k}_{n}") for k, v in values.items() for n, f in (("lo", F.min), ("hi", F.max)))).first()
     keys = [(F.shiftleft(_grid(v, ends[f"{k}_lo"] or 0.0, ends[f"{k}_hi"] or 0.0), 32) + F.col("text_crc32")).alias(k)
             for k, v in values.items()]
