@@ -83,3 +83,19 @@ def test_refund_without_time_fails_its_checkout(spark):
 def test_refund_duplicates(spark):
     r = _inputs(spark)["refunds"]
     assert rows(ordops.refund_duplicates(r)) == [(30, "30-1", 2)]
+
+
+def test_positions_with_nulls_last_and_several_columns(spark):
+    """Every slicing gives the positions of one window, nulls last."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 40).cast("string"))).alias("g"),
+        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 13).alias("a"),
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("s"), (F.col("id") % 17).cast("string"))).alias("b"),
+        F.col("id").cast("double").alias("c"))
+    order = [F.col(x).asc_nulls_last() for x in ("a", "b", "c")]
+    want = rows(df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order)) - 1))
+    for slices in (None, 2, 5, 37):
+        assert rows(position_in_group(df, "g", ["a", "b", "c"], "pos", partitions=slices, nulls_last=True)) == want
+    hot = position_in_group(df, "g", ["a", "b", "c"], "pos", partitions=8, nulls_last=True)
+    tree = hot._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in tree and "Python" not in tree

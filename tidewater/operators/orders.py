@@ -86,8 +86,8 @@ def positioned_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -
     # computed on the narrow item rows, before the join to the orders.
     # Line number, then item id; the remaining item columns make the order
     # total where an item id repeats in the source (sf0.001 has one).
-    order = [F.col(c).asc_nulls_last() for c in ("line_no", "item_id", "unit_price", "item_count")]
-    return position_in_group(batch_items, ["order_id"], order, "index_id").drop("line_no")
+    order = ["line_no", "item_id", "unit_price", "item_count"]
+    return position_in_group(batch_items, ["order_id"], order, "index_id", nulls_last=True).drop("line_no")
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
