@@ -14,7 +14,9 @@ measured size is within ``BROADCAST_BYTES``; a larger one is shuffled.
 
 Null, empty or wordless text has no words and no hits.  Repeated rows and
 repeated ids are documents of their own; items are told apart by id, and equal
-items all count.  Empty tables give no hits.
+items all count.  Texts of any length are read whole.  Only ``doc_id``,
+``item_id`` and ``text`` are read, so other columns may have any name.  Empty
+tables give no hits.
 """
 
 from __future__ import annotations

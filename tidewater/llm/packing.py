@@ -14,7 +14,9 @@ of ``STEP_TOKENS`` tokens each, so that the groups of a task are balanced and
 a group holds one window length (a task's last group per tier may be short).
 
 Null or empty text is a document of the end id alone.  Repeated rows are
-documents of their own.  An empty table gives an empty result.
+documents of their own.  A text of any length is cut over as many windows as it
+needs.  Only ``doc_id`` and ``text`` are read, so other columns may have any
+name.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,8 +16,10 @@ be a frame that gives the same rows in the same partitions when read again
 (a table read from files); a block that finds its dictionary lacking fails.
 
 Null or empty text is the end symbol alone.  Repeated rows count each.  With
-no training documents every symbol is uniform, and every token unknown.  An
-empty table gives an empty result.
+no training documents every symbol is uniform, and every token unknown.  A very
+long text is a block of its own, scored whole.  Only ``doc_id`` and ``text`` are
+read, so other columns may have any name.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ The pattern table has at most 3 ** len(RULES) rows (729 here) whatever the
 number of documents; that table alone reaches the driver and is broadcast.
 
 Null, empty or wordless text has all counts zero and fails the base check.
-Repeated rows are judged each; an empty table gives an empty result.
+Repeated rows are judged each; very long texts are counted whole.  Only
+``doc_id`` and ``text`` are read, so other columns may have any name.  An empty
+table gives an empty result.  Five-word windows are told apart by 64-bit
+hashes of a chunk's words, which are not verified word by word.
 """
 
 from __future__ import annotations

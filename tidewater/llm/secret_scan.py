@@ -14,7 +14,9 @@ floor costs recall, the share it keeps is logged.
 
 Null or empty text has no findings.  Repeated rows are scanned each.  With no
 labelled findings of both kinds nothing is learned, and only the base spans
-are returned.  ``documents`` is read twice.  An empty table gives an empty result.
+are returned.  ``documents`` is read twice, texts of any length whole.  Only
+``doc_id`` and ``text`` are read, so other columns may have any name (for
+:func:`redact`, any but ``spans_``).  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -17,7 +17,10 @@ Work per fingerprint is bounded by the ball of three bits around it; equal
 fingerprints are one entry, however many documents share them.
 
 Null, empty or wordless text has fingerprint zero, and is linked like any
-other.  An empty table gives an empty result.
+other; very long texts are hashed whole.  Repeated rows share a fingerprint.  A
+null doc_id is no smallest one unless its component has no other (then
+``component_id`` is null).  Only ``doc_id`` and ``text`` are read, so other
+columns may have any name.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

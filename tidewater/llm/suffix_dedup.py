@@ -19,8 +19,9 @@ grouping of compressed blobs; a shard holds a row per slice and distinct piece.
 ``documents`` must give the same rows in the same partitions when read again
 (a table read from files).  Null text is empty; shorter texts than LENGTH
 have no windows.  Rows of one doc_id never remove from each other (no id is
-smaller); a null doc_id counts as larger than any.  An empty table gives an
-empty result.
+smaller); a null doc_id counts as larger than any.  A very long text is cut
+into windows like any other.  Only ``doc_id`` and ``text`` are read, so other
+columns may have any name.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

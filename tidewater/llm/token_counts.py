@@ -5,8 +5,9 @@ id); the histogram has one row per length that occurs, so sums over it answer
 every question about a context limit exactly, without another pass over the
 texts: documents and tokens that fit, totals after truncation, quantiles.
 
-Null or empty text has length 1 (the end id).  An empty table gives an empty
-histogram.
+Null or empty text has length 1 (the end id); a very long text is encoded
+whole.  Repeated rows count each.  Only ``text`` is read, so other columns may
+have any name.  An empty table gives an empty histogram.
 """
 
 from __future__ import annotations

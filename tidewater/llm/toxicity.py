@@ -10,7 +10,9 @@ naming a group does not by itself raise a score.
 
 Null, empty or wordless text gets the score of the bias alone.  Repeated rows
 are scored each; a doc_id labelled more than once is toxic if any label says
-so.  Without labels of both kinds every score is the share of toxic ones (0
+so, and one with several texts is learnt from by its smallest text.  Texts of
+any length are read whole.  Only ``doc_id``, ``text`` and the labels are read,
+so other columns may have any name.  Without labels of both kinds every score is the share of toxic ones (0
 when there are none).  An empty table gives an empty result.
 """
 
@@ -146,7 +148,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     chosen = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id") != 0))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).persist()
+    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).persist()
     try:
         share = sample.agg(F.avg("toxic").alias("p"), F.count(F.lit(1)).alias("n")).first()
         if not share.n or share.p in (0.0, 1.0):
