@@ -266,3 +266,11 @@ def test_repeated_orders_of_a_batch_act_row_by_row(spark):
     new, lost = kt.upsert_commission(target, batch, order=["event_time"])
     assert rows(new, "order_id", "gorder_id", "order_type", "status") == [(100, 1, "b", 2), (200, 7, "e", 1)]
     assert rows(lost, "order_id", "gorder_id", "order_type") == [(100, 2, "c"), (200, 8, "f")]
+
+
+def test_the_last_update_of_a_document_wins(spark):
+    idx = spark.createDataFrame([("a", None, 1, 1, "x")], DOCS)
+    twice = spark.createDataFrame([("a", "z-first", 1), ("a", "a-last", 2), ("b", "u", 1)], "doc_id string, v string, at int")
+    updated, missing = ks.update_documents(idx, twice, order=["at"])
+    assert rows(updated, "doc_id", "v") == [("a", "a-last")] and updated.columns == idx.columns
+    assert rows(missing, "doc_id") == [("b",)]

@@ -50,11 +50,6 @@ def require_key(df: DataFrame, key: str):
     return split_rows(df, F.col(key).isNotNull())
 
 
-def with_reason(dead: DataFrame, reason: str, step: str) -> DataFrame:
-    """Tag dead-letter rows with the failing step and reason."""
-    return dead.withColumn("dl_step", F.lit(step)).withColumn("dl_reason", F.lit(reason))
-
-
 def non_empty_groups(df: DataFrame, list_col: str) -> DataFrame:
     """A group without children writes nothing and deletes nothing."""
     return df.where(F.size(F.col(list_col)) > 0)

@@ -18,7 +18,7 @@ from tidewater.functions import dates, keys
 from tidewater.operators import counters, dedup, documents, merge, orders as ordops, projection, ranking, steps
 from tidewater.plans import jobs
 from tidewater.plans import oracle as sql
-from tidewater.session import checkpoint_root, fresh_path, materialize
+from tidewater.session import materialize, passing_path
 from tidewater.sinks import layout, search as ksearch, table as ktable, widecolumn as kwide
 from tidewater.sources import colocated, queue as squeue, roles, search as ssearch, widecolumn as swide
 from tidewater.sources.tables import table
@@ -140,7 +140,7 @@ def q_doc_search_after(spark, d):
 def _stored_cells(spark, d):
     """The cell store of a data folder, built once in a checkpoint folder."""
     cells = roles.wide_cells(spark, d)
-    return swide.keep_cells(cells, checkpoint_root(spark, f"wide-cells-{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"))
+    return swide.keep_cells(cells, passing_path(spark, "wide-cells", f"{spark.sparkContext.applicationId}-{zlib.crc32(d.encode())}"))
 
 
 @register("wide_get", f"""WITH {sql.wide_cells_ctes()}
@@ -334,7 +334,7 @@ def q_lookup_chain(spark, d):
 @register("lookup_colocated", ORACLE["lookup_chain"])
 def q_lookup_colocated(spark, d):
     """The chain of lookups over bucketed tables: only the batch is dealt."""
-    bucketed = lambda df, key: colocated.store_bucketed(df, key, fresh_path(spark, "bucketed"))
+    bucketed = lambda df, key: colocated.store_bucketed(df, key, passing_path(spark, "bucketed"))
     orders = bucketed(roles.orders(spark, d).select("gorder_id", "order_id"), "gorder_id")
     items = bucketed(roles.items(spark, d).select("order_id", "item_id"), "order_id")
     g = merge.lookup_join(_queue_keys(spark, d), roles.gorders(spark, d).select("gorder_id", F.col("benefit_user").alias("shop_id")), "gorder_id")
@@ -584,6 +584,18 @@ def q_doc_update_repeated(spark, d):
     return updated
 
 
+@register("doc_update_last", f"""WITH dx AS ({sql.docs()}), u AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_id,
+  arg_max(l_returnflag, (l_shipdate, l_returnflag)) AS flag FROM lineitem GROUP BY l_orderkey)
+SELECT dx.doc_id, dx.routing, dx.shop_id, dx.gorder_id, dx.order_id, coalesce(u.flag, dx.order_status) AS order_status,
+  dx.order_priority, dx.order_pay_amount, dx.order_time FROM dx LEFT JOIN u ON u.doc_id = dx.doc_id""")
+def q_doc_update_last(spark, d):
+    """One update per line, many per document: the last by ship date wins."""
+    updates = table(spark, d, "lineitem").select(keys.id_text("l_orderkey").alias("doc_id"), F.col("l_returnflag").alias("order_status"),
+                                                 F.col("l_shipdate").alias("at"))
+    updated, _ = ksearch.update_documents(roles.documents(spark, d, roles.INDEX_AS_OF), updates, order=["at"])
+    return updated
+
+
 @register("doc_update_missing", f"""WITH dx AS ({sql.docs()})
 SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS doc_id, '{REFUND_STATUS}' AS order_status FROM lineitem
 WHERE l_returnflag = 'R' AND CAST(l_orderkey AS VARCHAR) NOT IN (SELECT doc_id FROM dx)""")
@@ -626,7 +638,7 @@ def q_replace_group(spark, d):
 
 @register("routing_layout", f"SELECT {sql.DOC_COLS} FROM ({sql.CURRENT_DOCS})")
 def q_routing_layout(spark, d):
-    path = fresh_path(spark, "routing-layout")
+    path = passing_path(spark, "routing-layout")
     layout.write_routed(roles.documents(spark, d), path, "routing")
     return layout.read_routed(spark, path).select(*roles.documents(spark, d).columns)
 
@@ -751,7 +763,7 @@ STREAM_FILES = 4
 
 def _run_stream(cls, spark, d, max_files=1):
     """A job over the queue as it arrives: the queue table in four files."""
-    root = fresh_path(spark, f"{cls.name}-stream")
+    root = passing_path(spark, f"{cls.name}-stream")
     table(spark, d, "events").repartitionByRange(STREAM_FILES, "event_id").write.parquet(f"{root}/queue")
     job = cls(spark, d, f"{root}/queue", work_root=f"{root}/work", max_files=max_files)
     job.run(available_now=True)

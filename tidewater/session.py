@@ -138,12 +138,20 @@ def materialize(df: DataFrame, prefix: str = "stage") -> DataFrame:
     and gives the planner real file sizes for its broadcast decisions.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, prefix)
+    path = passing_path(spark, prefix)
     df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def passing_path(spark: SparkSession, prefix: str, name: str | None = None) -> str:
+    """A folder under the shared checkpoint folder that goes as stage tables
+    do: a new one, or that of ``name``."""
+    path = checkpoint_root(spark, f"{prefix}-{name}") if name else fresh_path(spark, prefix)
     if not _EXIT_HOOK:
         _EXIT_HOOK.append(atexit.register(_release_at_exit, spark))
-    _STAGES.paths.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if path not in _STAGES.paths:
+        _STAGES.paths.append(path)
+    return path
 
 
 _EXIT_HOOK: list = []

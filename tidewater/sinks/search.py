@@ -57,15 +57,16 @@ def index_with_parent(index: DataFrame, batch: DataFrame, parent_col: str, order
     return index_documents(index, batch.withColumn("routing", F.col(parent_col).cast("string")), order)
 
 
-def update_documents(index: DataFrame, batch: DataFrame, with_routing: bool = False):
+def update_documents(index: DataFrame, batch: DataFrame, with_routing: bool = False, order=None):
     """K6/K7: partial update; of several updates of one document in a batch
-    one wins.  Fields present in ``batch`` replace the
+    the last by ``order`` wins (without it, the greatest).  Fields present in ``batch`` replace the
     document's fields; others are kept.  Returns ``(index, missing)``:
     a batch row whose document does not exist fails (dead-letter)."""
     keys = _keys(with_routing)
     fields = [c for c in batch.columns if c not in keys and c in index.columns]
     if fields:  # one update per document: the greatest fields win a tie
-        batch = last_by_key(batch.select(*keys, *fields), keys, fields)
+        when = [c for c in order or [] if c not in fields]
+        batch = last_by_key(batch.select(*keys, *fields, *when), keys, [*(order or []), *fields]).drop(*when)
     b = batch.select(*[F.col(c).alias(f"__b_{c}") for c in keys + fields])
     cond = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"__b_{c}")),
                   keys[1:], F.col(keys[0]) == F.col(f"__b_{keys[0]}"))

@@ -28,18 +28,18 @@ def poll(queue: DataFrame, n: int, order_by=("id",)) -> DataFrame:
     return queue.orderBy(*order_by).limit(n)
 
 
-def claim(queue: DataFrame, n: int, delete_key: str = "id", order_by=("id",)):
+def claim(queue: DataFrame, n: int, delete_key: str = "id", order_by=("id",), payload_key: str = "gorder_id"):
     """Claim ``n`` rows; returns ``(claimed, remaining)``.
 
-    ``claimed`` has the delete key stripped unless it is also the payload
-    key.  ``remaining`` is the queue after the claim's deletes: with the
-    delete key = ``gorder_id`` every row of a claimed checkout goes, even
-    rows that were not claimed.  Null delete keys delete nothing.
+    ``claimed`` has the delete key stripped unless it is also the
+    ``payload_key``.  ``remaining`` is the queue after the claim's deletes: with
+    the payload key as the delete key every row of a claimed checkout goes,
+    even rows that were not claimed.  Null delete keys delete nothing.
     """
     polled = poll(queue, n, order_by)
     keys = polled.select(delete_key).where(F.col(delete_key).isNotNull()).distinct()
     remaining = queue.join(keys, delete_key, "left_anti")
-    claimed = polled if delete_key == "gorder_id" else polled.drop(delete_key)
+    claimed = polled if delete_key == payload_key else polled.drop(delete_key)
     return claimed, remaining
 
 

@@ -99,8 +99,3 @@ def pivot_rows(cells: DataFrame, qualifiers, family: str | None = None) -> DataF
     return (df.groupBy("row_key")
               .pivot("qualifier", qualifiers)
               .agg(F.max_by("value", F.struct("cell_ts", "value"))))
-
-
-def explode_cells(records: DataFrame, row_key: str, cell_ts: str, family: str, qualifiers) -> DataFrame:
-    """S13 for records already pivoted (the inverse of :func:`pivot_rows`)."""
-    return cells_from_rows(records, row_key, cell_ts, family, qualifiers)

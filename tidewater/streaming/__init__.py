@@ -1,5 +1,6 @@
 """Structured Streaming drivers for the jobs."""
 
+from tidewater.streaming.retries import RetryTable
 from tidewater.streaming.runner import (CommissionStream, ItemIndexStream, OrderSearchStream,
                                         QueueJobStream, queue_stream)
 
