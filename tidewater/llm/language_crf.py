@@ -23,7 +23,8 @@ long text costs few steps; the result is that of the uncut chain.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text
 if there is nothing to learn from.  Equal sums go to the first language in
-alphabetic order.  A null doc_id counts as the empty text in the fold.  Rows of
+alphabetic order.  The model's size grows with the number of languages, which is
+taken to be some dozens.  A null doc_id counts as the empty text in the fold.  Rows of
 equal doc_id are judged each by its own text.  Only ``doc_id``, ``text`` and
 ``lang`` are read, so other columns may have any name.
 """

@@ -186,7 +186,7 @@ def near_edges(marks: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(walk, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of the edges (a, b) with the smallest node of
     its component, by alternating star contraction.
 
@@ -207,14 +207,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     pairs = stage(edges.filter("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges")
     seen = None
-    for _ in range(rounds):
+    while True:
         pairs = stage(star(star(pairs, True), False), "stars")
         # the edges are settled when no round changes them
         mark = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = mark
-    raise RuntimeError("components did not settle")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
