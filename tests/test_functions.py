@@ -68,3 +68,14 @@ def test_lenient_parse_rolls_over(spark):
                                 ("junk",), (None,)], "s string")
     got = [r[0] for r in df.select(dates.format_date(dates.parse_date_lenient("s"))).collect()]
     assert got == ["2024-03-01 00:00:00", "2025-01-02 00:01:01", "2024-01-05 10:20:30", None, None]
+
+
+def test_lenient_parsing_extracts_a_required_field_once(spark):
+    df = spark.createDataFrame([("3/-2/2024",), ("03/00/2024 x",), ("no",), ("1/2/12345678901",), (None,)], "t string")
+    out = df.select(dates.epoch_millis(dates.parse_date_lenient("t", "dd/MM/yyyy")).alias("ms"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 3
+    day = lambda *a: int(dt.datetime(*a, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    assert [r.ms for r in out.collect()] == [day(2023, 10, 3), day(2023, 12, 3), None, None, None]
+    shared = df.sparkSession.createDataFrame([("2024-125",)], "t string").select(dates.parse_date_lenient("t", "yyyy-MM'5'").cast("string"))
+    assert shared.first()[0] == "2024-12-01 00:00:00"

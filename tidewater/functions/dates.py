@@ -49,15 +49,16 @@ _FIELDS = {"y": "year", "M": "month", "d": "day", "H": "hour", "m": "minute", "s
 _LENIENT_FORMAT = "yyyy-MM-dd[ HH:mm:ss]"
 
 
-def _compile(fmt: str) -> tuple[str, list[str]]:
-    """The regular expression of a date pattern and its fields, in order.
+def _compile(fmt: str) -> tuple[str, list[str], set[str]]:
+    """The regular expression of a date pattern, its fields, in order, and which
+    of them may be absent or too long.
 
     A field next to another field has the pattern's width; else it takes all
-    digits, after blanks and a minus sign if there are any.  ``[...]`` is an
+    digits (ten at most), after blanks and a minus sign if there are any.  ``[...]`` is an
     optional part (one blank in it stands for any number), ``'...'`` and all
     other characters but letters stand for themselves.
     """
-    out, fields, depth = "^", [], 0
+    out, fields, optional, depth = "^", [], set(), 0
     runs = re.findall(r"([A-Za-z])(\1*)|'([^']*)'|(.)", fmt, re.DOTALL)
     for i, (letter, more, quoted, other) in enumerate(runs):
         if letter:
@@ -65,8 +66,13 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
                 raise ValueError(f"pattern {letter + more!r} in {fmt!r} is not supported")
             close = i + 1 < len(runs) and bool(runs[i + 1][0])
             after = i > 0 and bool(runs[i - 1][0])
-            out += rf"(\d{{{len(more) + 1}}})" if close or after else r"\s*(-?\d+)"
             fields.append(_FIELDS[letter])
+            # what follows may take its last digits
+            shared = i + 1 < len(runs) and (runs[i + 1][2] or runs[i + 1][3])[:1].isdigit()
+            if depth or shared:
+                optional.add(_FIELDS[letter])
+            free = r"\s*(-?\d+)" if depth or shared else r"\s*(-?\d{1,10})(?!\d)"
+            out += rf"(\d{{{len(more) + 1}}})" if close or after else free
         elif other == "[":
             out, depth = out + "(?:", depth + 1
         elif other == "]":
@@ -75,7 +81,7 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
             out += r"\s+"
         else:
             out += re.escape(quoted or other)
-    return out, fields
+    return out, fields, optional
 
 
 def parse_date_lenient(text, fmt: str = _LENIENT_FORMAT) -> Column:
@@ -88,16 +94,19 @@ def parse_date_lenient(text, fmt: str = _LENIENT_FORMAT) -> Column:
     calendar arithmetic, no UDF.
     """
     t = _col(text)
-    shape, fields = _compile(fmt)
+    shape, fields, optional = _compile(fmt)
 
     def num(field: str, absent: int) -> Column:
         if field not in fields:
-            return F.lit(absent)
+            return F.lit(absent).cast("bigint")
         part = F.regexp_extract(t, shape, fields.index(field) + 1)
+        if field not in optional:  # always digits: one extraction
+            return part.try_cast("bigint")
         return F.when(part == "", F.lit(absent)).otherwise(F.try_to_number(part, F.lit("S9999999999")).cast("bigint"))
 
     months = num("year", 1970) * 12 + num("month", 1) - 1
-    first = F.make_date(F.floor(months / 12).cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1))
+    # named once: an expression inside a condition is evaluated wherever it is named
+    first = F.add_months(F.lit("1970-01-01").cast("date"), (months - 1970 * 12).cast("int"))
     days = F.unix_date(first) + num("day", 1) - 1
     millis = ((days * 24 + num("hour", 0)) * 60 + num("minute", 0)) * 60000 + num("second", 0) * 1000 + num("milli", 0)
     return F.when(t.rlike(shape), F.timestamp_millis(millis))
