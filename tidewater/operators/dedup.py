@@ -20,6 +20,15 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).where(cond).distinct()
 
 
+def last_of_repeated(df: DataFrame, repeated: DataFrame, key: str, order) -> DataFrame:
+    """:func:`last_by_key` for a key that seldom repeats: ``repeated`` holds
+    every key that may.  All other rows stay where they are."""
+    few = repeated.select(F.col(key).alias("__repeated")).distinct()
+    same = F.col(key) == F.col("__repeated")
+    return (df.join(few, same, "left_anti")
+            .unionByName(last_by_key(df.join(few, same, "left_semi"), key, order)))
+
+
 def last_by_key(df: DataFrame, keys, order) -> DataFrame:
     """One row per key, the greatest by ``order`` (e.g. ``["ts", "id"]``).
 

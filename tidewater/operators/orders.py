@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import last_by_key
 from tidewater.operators.merge import batch_slice, lookup_join, strict_lookup
-from tidewater.operators.ranking import nest_children, position_in_group
+from tidewater.operators.ranking import nest_children, position_in_group, positions
 from tidewater.session import materialize
 
 ORDER_COLUMNS = ["shop_id", "gorder_id", "order_id", "order_status", "order_time",
@@ -32,6 +32,9 @@ ITEM_COLUMNS = ["index_id", "item_id", "goods_id", "goods_name", "goods_img", "s
                 "sku_desc", "unit_price", "item_count", "has_refund", "refund_apply_type",
                 "refund_apply_time"]
 FLAT_DOC_COLUMNS = ORDER_COLUMNS + ITEM_COLUMNS
+# Line number, then item id; the remaining item columns make the order
+# total where an item id repeats in the source (sf0.001 has one).
+ITEM_ORDER = ["line_no", "item_id", "unit_price", "item_count"]
 
 
 def resolve_gorders(keys: DataFrame, gorders: DataFrame, stage: bool = True):
@@ -73,21 +76,26 @@ def positioned_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -
 
     ``items`` is keyed by ``order_id`` and holds ``line_no`` for ordering.
     """
-    if rebuild:
-        # Every order is in the batch: slicing would copy the item table.
-        batch_items = items
-    else:
-        # The batch's items: the item table streamed once through a semi
-        # join on the batch's order ids (broadcast when AQE measures them
-        # small) and staged; the steps below read the batch-sized stage.
-        batch_items = materialize(items.join(rows.select("order_id"), "order_id", "left_semi"),
-                                  "batch-items")
     # An item's position depends only on the items of its order, so it is
     # computed on the narrow item rows, before the join to the orders.
-    # Line number, then item id; the remaining item columns make the order
-    # total where an item id repeats in the source (sf0.001 has one).
-    order = ["line_no", "item_id", "unit_price", "item_count"]
-    return position_in_group(batch_items, ["order_id"], order, "index_id", nulls_last=True).drop("line_no")
+    return position_in_group(batch_items(rows, items, rebuild), ["order_id"], ITEM_ORDER, "index_id", nulls_last=True).drop("line_no")
+
+
+def item_positions(items: DataFrame):
+    """:func:`positioned_items` of ``items`` in the two frames of
+    :func:`~tidewater.operators.ranking.positions`."""
+    return positions(items, ["order_id"], ITEM_ORDER, "index_id", nulls_last=True)
+
+
+def batch_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -> DataFrame:
+    """The items of the batch's orders (``rebuild``: of all orders)."""
+    if rebuild:
+        # Every order is in the batch: slicing would copy the item table.
+        return items
+    # The batch's items: the item table streamed once through a semi
+    # join on the batch's order ids (broadcast when AQE measures them
+    # small) and staged; the steps below read the batch-sized stage.
+    return materialize(items.join(rows.select("order_id"), "order_id", "left_semi"), "batch-items")
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
@@ -96,8 +104,8 @@ def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
 
     An order without items keeps one row with null item columns.
     """
-    batch_items = positioned_items(rows, items, rebuild)
-    flat = lookup_join(rows, batch_items, "order_id", stream_lookup=not rebuild)
+    placed = positioned_items(rows, items, rebuild)
+    flat = lookup_join(rows, placed, "order_id", stream_lookup=not rebuild)
     return lookup_join(flat, goods, "goods_id")
 
 
@@ -136,12 +144,7 @@ def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, st
     with two refunds of one item in an order, or with an item of ``held``
     (``gorder_id``, ``item_id``) whose refund has no time.
     """
-    # The refund feed is scanned once for the batch's orders and staged: the
-    # duplicate check and the per-item pick both read the stage.
-    scoped = refunds.join(order_of, "order_id", "inner")
-    if stage:
-        scoped = materialize(scoped, "batch-refunds")
-    dup = refund_duplicates(scoped).join(order_of, "order_id").select("gorder_id").distinct()
+    scoped, dup = scoped_refunds(refunds, order_of, stage)
     # One refund per (checkout, item); two orders of one checkout refunding
     # the same item id resolve to the latest refund.
     per_item = last_by_key(
@@ -158,6 +161,17 @@ def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, st
     return per_item, failed
 
 
+def scoped_refunds(refunds: DataFrame, order_of: DataFrame, stage: bool = True):
+    """The refunds of the orders in ``order_of`` with their checkout, and the
+    checkouts with two refunds of one item in an order."""
+    # The refund feed is scanned once for the batch's orders and staged: the
+    # duplicate check and the per-item pick both read the stage.
+    scoped = refunds.join(order_of, "order_id", "inner")
+    if stage:
+        scoped = materialize(scoped, "batch-refunds")
+    return scoped, refund_duplicates(scoped).join(order_of, "order_id").select("gorder_id").distinct()
+
+
 def nest_orders(flat: DataFrame) -> DataFrame:
     """G1: one row per order with ``items`` as an ordered list."""
     child = [c for c in ITEM_COLUMNS if c in flat.columns]

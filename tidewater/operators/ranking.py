@@ -27,22 +27,37 @@ def position_in_group(df: DataFrame, group, order, out: str = "index_id",
        :data:`SLICE_ROWS` rows (or ``partitions`` slices) at literal bounds, the
        quantiles of a small sample; a row's slice is an expression (a binary
        search), evaluated only for the groups that a bound falls into, at most
-       one per slice.  Any other group lies in one slice;
-    2. rows are numbered within (group, slice);
+       one per slice.  Any other group lies in one slice and is numbered whole;
+    2. the rows of groups with a bound are numbered within (group, slice);
     3. the groups with a bound are counted per slice (a partial aggregate; at
        most two rows per slice), and each slice is offset by those before it.
 
     Whatever the sample is, the positions are exact.
     """
+    whole, pieces, _ = positions(df, group, order, out, partitions, nulls_last)
+    return whole if pieces is None else whole.unionByName(pieces)
+
+
+def positions(df: DataFrame, group, order, out: str = "index_id", partitions: int | None = None, nulls_last: bool = False):
+    """:func:`position_in_group` in two frames: ``(groups in one slice, groups
+    with a bound or None, hashes of the latter's keys)``.  The first is dealt
+    by ``group`` alone, so that what follows per group needs no other exchange."""
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
     by = [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc() for c in order]
+    number = lambda rows: rows.withColumn(
+        out, (F.row_number().over(Window.partitionBy(*group).orderBy(*by)) - 1).cast("int"))
     bounds = _bounds(df, group, order, by, partitions)
     if not bounds:
-        return df.withColumn(out, (F.row_number().over(Window.partitionBy(*group).orderBy(*by)) - 1).cast("int"))
+        return number(df), None, []
     own = F.xxhash64(*group)
     hot = [h for h, in df.sparkSession.createDataFrame(bounds, df.select(*group, *order).schema).select(own).distinct().collect()]
     cut = own.isin(hot)
+    return number(df.where(~cut)), _sliced(df.where(cut), cut, group, order, by, bounds, out, nulls_last), hot
+
+
+def _sliced(df: DataFrame, cut: Column, group: list[str], order: list[str], by: list[Column], bounds: list[tuple], out: str,
+            nulls_last: bool) -> DataFrame:
     sliced = df.withColumn("__slice", F.when(cut, _slice(df, group, order, bounds, nulls_last)).otherwise(F.lit(0)))
     local = sliced.withColumn("__local", F.row_number().over(Window.partitionBy(*group, "__slice").orderBy(*by)) - 1)
     sizes = sliced.where(cut).groupBy(*group, "__slice").agg(F.count(F.lit(1)).alias("__n"))

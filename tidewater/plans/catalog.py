@@ -746,8 +746,8 @@ def q_order_document_search(spark, d):
 def q_order_document_refund(spark, d):
     """A later refund feed merged into the arrays of the stored index (T6 on
     documents that are there already)."""
-    index = materialize(jobs.order_index_as_of(spark, d), "order-index")
-    return _shown(documents.merge_refunds(index, roles.late_refunds(spark, d))[0])
+    index, buckets = jobs.stored_order_index(spark, d)
+    return _shown(documents.merge_refunds(index, roles.late_refunds(spark, d), buckets=buckets)[0])
 
 
 @register("job_item_index", f"""WITH {sql.item_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)},

@@ -36,6 +36,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewater.operators.places import by_keys
+from tidewater.session import STAGE_CODEC
+
 ORDER = ("epoch", "batch")
 BUCKETS = 16
 MERGE_AFTER = 8
@@ -126,7 +129,8 @@ class AppendedTable:
         self._publish([(0, n)], (0, 0))
 
     def _write(self, rows: DataFrame, path: str) -> int:
-        rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        (rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
+         .parquet(path, compression=STAGE_CODEC))
         return self.spark.read.parquet(path).count() if self._finished(path) and self._names(path) else 0
 
     def append(self, batch_id: int, rows: DataFrame) -> None:
@@ -135,7 +139,7 @@ class AppendedTable:
         held = rows.select(*[F.col(c).cast(f.dataType).alias(c) if (c := f.name) in rows.columns
                              else F.lit(None).cast(f.dataType).alias(c) for f in self._meta[0]])
         (held.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.root}/log/epoch={self.epoch}/batch={batch_id}"))
+         .parquet(f"{self.root}/log/epoch={self.epoch}/batch={batch_id}", compression=STAGE_CODEC))
 
     def appended(self, batch_id: int) -> int:
         """How many rows the batch's partition holds (from file footers)."""
@@ -170,6 +174,10 @@ class AppendedTable:
     def rows(self, before: tuple[int, int] | None = None, buckets: list[int] | None = None) -> DataFrame:
         """All stored rows with epoch, batch and bucket: of ``before`` only
         older ones, of ``buckets`` only theirs (both prune folders)."""
+        return reduce(DataFrame.unionByName, self._parts(before, buckets))
+
+    def _parts(self, before: tuple[int, int] | None = None, buckets: list[int] | None = None) -> list[DataFrame]:
+        """:meth:`rows` by segment, oldest first, and the log."""
         self._open()
         _, live = self._manifest()
         parts = [self._segment(m.segment) for m in live]
@@ -178,10 +186,9 @@ class AppendedTable:
             parts.append(log.where(_after((live[-1].epoch, live[-1].batch))) if live else log)
         if buckets is not None:
             parts = [p.where(F.col("bucket").isin(buckets)) for p in parts]
-        df = reduce(DataFrame.unionByName, parts)
         if before is not None:
-            df = df.where((F.col("epoch") < before[0]) | ((F.col("epoch") == before[0]) & (F.col("batch") < before[1])))
-        return df
+            parts = [p.where((F.col("epoch") < before[0]) | ((F.col("epoch") == before[0]) & (F.col("batch") < before[1]))) for p in parts]
+        return parts
 
     def _buckets_of(self, keys: DataFrame) -> list[int]:
         """The buckets of a batch's rows: at most as many as the table has."""
@@ -199,8 +206,10 @@ class AppendedTable:
             buckets = self._buckets_of(one)
         elif only is not None:
             buckets = self._buckets_of(only)
-        rows = self.rows(before, buckets)
         keys = None if only is None else only.select(*self.group_cols).distinct()
+        if keys is None and routing is None:
+            return self._all(before).drop(*ORDER, "bucket")
+        rows = self.rows(before, buckets)
         if keys is not None and self.identities == [self.group_cols]:
             rows = _meet(rows, keys, self.group_cols, "left_semi")
         found = _current(rows, self.identities, all)
@@ -210,6 +219,17 @@ class AppendedTable:
             found = found.where(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in routing.items()]))
         return found.drop(*ORDER, "bucket")
 
+    def _all(self, before: tuple[int, int] | None) -> DataFrame:
+        """The whole current state.  Rows of the oldest segment hide no other
+        row and are current among themselves: they are filtered where they
+        lie, by the keys that later rows have, and only those are exchanged."""
+        oldest, *later = self._parts(before)
+        if not later:
+            return oldest
+        later = reduce(DataFrame.unionByName, later)
+        kept = by_keys(oldest, [(later.select(*k), k) for k in self.identities], keep=False)
+        return kept.unionByName(_current(later, self.identities, all))
+
     # ------------------------------------------------------------- merging
     def pending(self) -> list[tuple[int, int]]:
         """The log's batches that no segment holds yet."""

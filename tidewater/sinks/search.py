@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import last_by_key
+from tidewater.operators.places import by_keys
 
 
 def _keys(with_routing: bool) -> list[str]:
@@ -36,18 +37,19 @@ def assign_ids(batch: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return batch.withColumn(id_col, F.coalesce(F.col(id_col).cast("string"), F.expr("uuid()")))
 
 
-def index_documents(index: DataFrame, batch: DataFrame, order=None) -> DataFrame:
+def index_documents(index: DataFrame, batch: DataFrame, order=None, stored: bool = False) -> DataFrame:
     """K3/K5: replace whole documents by id, create the rest.
 
     Within one bulk request the last request for an id wins; ``order``
     (e.g. ``["ts", "event_id"]``) gives that order, else the greatest row.
+    ``stored`` as in :func:`replace_groups`.
     """
     batch = assign_ids(batch)
     if order:
         batch = last_by_key(batch, "doc_id", order).drop(*order)
     else:
         batch = last_by_key(batch, "doc_id", [c for c in batch.columns if c != "doc_id"])
-    kept = _anti(index, batch, ["doc_id"])
+    kept = by_keys(index, [(batch, ["doc_id"])], keep=False) if stored else _anti(index, batch, ["doc_id"])
     return kept.unionByName(batch.select(*[c for c in batch.columns if c in index.columns]),
                             allowMissingColumns=True)
 
@@ -114,7 +116,7 @@ def delete_by_query(index: DataFrame, terms: dict, routing=None):
 
 
 def replace_groups(index: DataFrame, batch: DataFrame, group_cols=("shop_id", "gorder_id"),
-                   id_col: str = "doc_id", routing_col: str = "shop_id") -> DataFrame:
+                   id_col: str = "doc_id", routing_col: str = "shop_id", stored: bool = False) -> DataFrame:
     """K9: every group present in the batch is deleted from the index, then
     the batch's documents are inserted by id: a document of the same id and
     routing that another group holds (an order that moved to another checkout
@@ -125,11 +127,18 @@ def replace_groups(index: DataFrame, batch: DataFrame, group_cols=("shop_id", "g
     whole group goes, so a group larger than a page cannot leave stale
     documents.  A group with no documents in the batch deletes nothing
     (P6).  Documents of the group left under another group key (e.g. an old
-    shop) stay, as in the reference.
+    shop) stay, as in the reference.  ``stored``: the index is a scan of files;
+    its documents are filtered by place and not exchanged, whatever the size
+    of the batch.
     """
-    group_cols = list(group_cols)
-    kept = _anti(index, batch.select(*group_cols), group_cols)
+    keys = [list(group_cols)]
     if id_col in index.columns and id_col in batch.columns:
-        kept = _anti(kept, batch.select(routing_col, id_col), [routing_col, id_col])
+        keys.append([routing_col, id_col])
+    if stored:
+        kept = by_keys(index, [(batch.select(*k), k) for k in keys], keep=False)
+    else:
+        kept = index
+        for k in keys:
+            kept = _anti(kept, batch.select(*k), k)
     return kept.unionByName(batch.select(*[c for c in batch.columns if c in index.columns]),
                             allowMissingColumns=True)
