@@ -274,3 +274,11 @@ def test_the_last_update_of_a_document_wins(spark):
     updated, missing = ks.update_documents(idx, twice, order=["at"])
     assert rows(updated, "doc_id", "v") == [("a", "a-last")] and updated.columns == idx.columns
     assert rows(missing, "doc_id") == [("b",)]
+
+
+def test_last_of_repeated_equals_last_by_key(spark):
+    from tidewater.operators.dedup import last_by_key, last_of_repeated
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", 2.0, 0), ("b", 1.0, 5), ("c", 3.0, 1), ("c", 3.0, 2)], "item_id string, unit_price double, n int")
+    may = spark.createDataFrame([("a",), ("c",), ("c",), ("z",)], "item_id string")
+    assert rows(last_of_repeated(df, may, "item_id", ["unit_price", "n"])) == rows(last_by_key(df, "item_id", ["unit_price", "n"]))
+    assert rows(last_of_repeated(df, may, "item_id", ["unit_price", "n"])) == [("a", 2.0, 0), ("b", 1.0, 5), ("c", 3.0, 2)]
