@@ -228,6 +228,32 @@ def test_suffix_dedup_fails_on_lost_anchors():
         suffix_dedup._wanted(anchors, [0], [(own + np.uint32(1)).tobytes()], 0)
 
 
+def test_suffix_dedup_hashes_in_blocks(monkeypatch):
+    """Block borders change no hash, and the passes keep a block's values, not
+    copies of the whole slice."""
+    import tracemalloc
+    data = np.frombuffer(np.random.default_rng(5).bytes(1 << 20), np.uint8)
+    tracemalloc.start()
+    hashes = suffix_dedup._gram_hashes(data, 20)
+    least = suffix_dedup._slide(hashes, 31, np.minimum)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * (hashes.nbytes + least.nbytes)
+    small = suffix_dedup._gram_hashes(data[:5000], 20), suffix_dedup._slide(hashes[:5000], 31, np.maximum)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 7)
+    cut = suffix_dedup._gram_hashes(data[:5000], 20), suffix_dedup._slide(hashes[:5000], 31, np.maximum)
+    assert all((a == b).all() for a, b in zip(small, cut, strict=True))
+    assert (small[0] == hashes[:4981]).all() and (least[:90] == [hashes[i:i + 31].min() for i in range(90)]).all()
+
+
+def test_suffix_dedup_asks_for_an_anchor_twice():
+    data = np.frombuffer(bytes(range(32, 127)) * 4, np.uint8)
+    anchors = suffix_dedup.Anchors(data, np.array([0, len(data)]), 50, 20)
+    own = suffix_dedup._low(anchors.key, 0)
+    assert suffix_dedup._wanted(anchors, [0, 0], [own.tobytes(), own.tobytes()], 0).all()
+    assert not suffix_dedup._wanted(anchors, [0], [b""], 0).any()
+
+
 def test_suffix_order_with_queues_that_spill(monkeypatch):
     from tidewater.llm import induced
 

@@ -44,6 +44,8 @@ GRAM = 20
 SLICE, SHARD = 3 << 20, 8 << 20
 #: Bytes of pieces that are looked at together before equal ones are one.
 CHUNK = 1 << 20
+#: Places that are hashed and compared at a time.
+BLOCK = 1 << 14
 #: Places of an anchor in a slice from which they are counted, and counted
 #: places in the table from which its windows are dealt one by one.
 COUNTED, HOT = 4, 20_000
@@ -52,31 +54,49 @@ _LAST = np.iinfo(np.int64).max
 _CHANGED = "documents changed between two reads; read them from a table"
 
 
+def _in_blocks(values: np.ndarray, width: int, kind: type, step) -> np.ndarray:
+    """``step`` over every ``width`` neighbours, BLOCK results at a time: its
+    passes over the values then stay in the processor's cache."""
+    n = max(len(values) - width + 1, 0)
+    out = np.empty(n, kind)
+    for lo in range(0, n, BLOCK):
+        out[lo:lo + BLOCK] = step(values[lo:lo + BLOCK + width - 1])
+    return out
+
+
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """64-bit hash of every ``size`` bytes, never zero."""
-    n, out, width, done = len(data) - size + 1, None, 1, 0
-    own = data.astype(np.uint64) + np.uint64(1)  # hashes of width bytes
-    while True:
-        step = np.uint64(pow(_BASE, width, 1 << 64))
-        if size & width:
-            part = own[done:done + n]
-            out = part.copy() if out is None else out * step + part
-            done += width
-        if 2 * width > size:
-            break
-        own = own[:-width] * step + own[width:]
-        width *= 2
-    out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return (out ^ (out >> np.uint64(32))) | np.uint64(1)
+
+    def block(part: np.ndarray) -> np.ndarray:
+        n, out, width, done = len(part) - size + 1, None, 1, 0
+        own = part.astype(np.uint64) + np.uint64(1)  # hashes of width bytes
+        while True:
+            step = np.uint64(pow(_BASE, width, 1 << 64))
+            if size & width:
+                part = own[done:done + n]
+                out = part.copy() if out is None else out * step + part
+                done += width
+            if 2 * width > size:
+                break
+            own = own[:-width] * step + own[width:]
+            width *= 2
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return (out ^ (out >> np.uint64(32))) | np.uint64(1)
+
+    return _in_blocks(data, size, np.uint64, block)
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) over every ``width`` neighbours."""
-    n, out, have = len(values) - width + 1, values, 1
-    while have * 2 <= width:
-        out = pick(out[:-have], out[have:])
-        have *= 2
-    return pick(out[:n], out[width - have:width - have + n])
+
+    def block(part: np.ndarray) -> np.ndarray:
+        n, out, have = len(part) - width + 1, part, 1
+        while have * 2 <= width:
+            out = pick(out[:-have], out[have:])
+            have *= 2
+        return pick(out[:n], out[width - have:width - have + n])
+
+    return _in_blocks(values, width, values.dtype, block)
 
 
 class Anchors:
@@ -231,11 +251,17 @@ def _wanted(anchors: Anchors, shards: list[int], blobs: list[bytes], bits: int)
     if not keys:
         return np.zeros(len(anchors.at), bool)
     keys = np.sort(np.concatenate(keys))
+    if not len(keys):
+        return np.zeros(len(anchors.at), bool)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])]
     own = (_range(anchors.key, bits).astype(np.uint64) << np.uint64(32)) | _low(anchors.key, bits)
-    if not np.isin(keys, own).all():
-        raise ValueError(_CHANGED)
     place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-    return keys[place] == own
+    mask = keys[place] == own
+    met = np.zeros(len(keys), bool)
+    met[place[mask]] = True
+    if not met.all():
+        raise ValueError(_CHANGED)
+    return mask
 
 
 def _pack(batch: pa.RecordBatch) -> bytes:
