@@ -2,7 +2,7 @@ import datetime as dt
 import os
 
 
-from conftest import SF_SMALL, rows
+from conftest import SF_CHECK, SF_SMALL, rows
 from tidewater.plans import jobs
 from tidewater.session import fresh_path
 from tidewater.streaming.runner import OrderSearchStream
@@ -126,3 +126,29 @@ def test_two_streams_in_one_session_keep_their_stages(spark):
     done.set()
     t.join()
     assert seen == [5]
+
+
+def test_queue_files_have_several_row_groups(spark, monkeypatch):
+    """One file to a batch, many tasks to a file."""
+    import pyarrow.parquet as pq
+
+    from tidewater.plans import catalog
+    monkeypatch.setattr(catalog, "QUEUE_ROW_GROUP", 1 << 12, raising=False)
+
+    class Queue:
+        name = "row-groups"
+
+        def __init__(self, spark, d, folder, work_root, max_files):
+            self.folder = folder
+
+        def run(self, available_now):
+            pass
+
+        def result(self):
+            return spark.read.parquet(self.folder)
+
+    read = catalog._run_stream(Queue, spark, SF_CHECK)
+    files = [f.removeprefix("file://") for f in read.inputFiles()]
+    assert len(files) == catalog.STREAM_FILES and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
+    assert read.exceptAll(spark.read.parquet(f"{SF_CHECK}/events.parquet")).isEmpty()
+    assert read.count() == spark.read.parquet(f"{SF_CHECK}/events.parquet").count()

@@ -759,12 +759,16 @@ def q_job_item_index(spark, d):
 
 
 STREAM_FILES = 4
+#: Bytes of a row group of the queue files, the least that a task reads.
+QUEUE_ROW_GROUP = 4 << 20
 
 
 def _run_stream(cls, spark, d, max_files=1):
     """A job over the queue as it arrives: the queue table in four files."""
     root = passing_path(spark, f"{cls.name}-stream")
-    table(spark, d, "events").repartitionByRange(STREAM_FILES, "event_id").write.parquet(f"{root}/queue")
+    # several row groups to a file: a batch of one file is read by many tasks
+    (table(spark, d, "events").repartitionByRange(STREAM_FILES, "event_id").write
+     .option("parquet.block.size", QUEUE_ROW_GROUP).parquet(f"{root}/queue"))
     job = cls(spark, d, f"{root}/queue", work_root=f"{root}/work", max_files=max_files)
     job.run(available_now=True)
     return job.result()
