@@ -142,3 +142,27 @@ def test_attempts_are_read_from_requeued_rows_only(spark):
     df = spark.createDataFrame([("view", '{"attempts": 9}'), ("requeue", '{"attempts":2}'), ("requeue", None), ("requeue", "x")],
                                "event_type string, props string")
     assert [r[0] for r in df.select(attempts_of()).collect()] == [0, 2, 1, 1]
+
+
+def test_two_threads_release_one_after_the_other(spark):
+    """A batch's thread and the serving one: neither deletes what the other reads."""
+    from concurrent.futures import ThreadPoolExecutor
+    root = fresh_path(spark, "release-test")
+    table = RetryTable(spark, f"{root}/retries", f"{root}/queue")
+    table.record(1, 1, spark.createDataFrame([(7, 1), (8, 1)], "gorder_id long, attempts int"))
+    at_work, most, release = [], [], table._release
+
+    def slow(*partition):
+        at_work.append(partition)
+        most.append(len(at_work))
+        time.sleep(1)
+        try:
+            return release(*partition)
+        finally:
+            at_work.pop()
+
+    table._release = slow
+    with ThreadPoolExecutor(2) as pool:
+        files = [f.result() for f in [pool.submit(table.release) for _ in range(2)]]
+    assert max(most) == 1 and sorted(files) == [0, 1]
+    assert spark.read.parquet(f"{root}/queue").count() == 2

@@ -14,6 +14,7 @@ The queue row carries the number of attempts; a key that has failed
 
 from __future__ import annotations
 
+import threading
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,7 @@ class RetryTable:
                  backoff: float = BACKOFF):
         self.spark, self.root, self.queue_folder = spark, root.rstrip("/"), queue_folder.rstrip("/")
         self.max_attempts, self.backoff = max_attempts, backoff
+        self._one = threading.Lock()
 
     def record(self, epoch: int, batch_id: int, failed: DataFrame) -> None:
         """Write the keys to try again: ``(gorder_id, attempts)`` with the
@@ -86,12 +88,15 @@ class RetryTable:
         return sorted(found)
 
     def release(self, now: float | None = None) -> int:
-        """Append the due keys to the queue folder; the number of files."""
-        now, files = time.time() if now is None else now, 0
-        for epoch, batch_id, attempts, due in self.waiting():
-            if due <= now:
-                files += self._release(epoch, batch_id, attempts)
-        return files
+        """Append the due keys to the queue folder; the number of files.  The
+        stream's batches and :meth:`QueueJobStream.serve` call it from threads
+        of their own: one at a time, as each deletes what it has released."""
+        with self._one:
+            now, files = time.time() if now is None else now, 0
+            for epoch, batch_id, attempts, due in self.waiting():
+                if due <= now:
+                    files += self._release(epoch, batch_id, attempts)
+            return files
 
     def _release(self, epoch: int, batch_id: int, attempts: int) -> int:
         own = f"{self.root}/epoch={epoch}/batch={batch_id}/attempts={attempts}"
