@@ -1,5 +1,6 @@
 """Each operator against its contract, on edge cases and on a whole table."""
 
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from samples import BENCH, TEXTS, bench, docs, given, none, table, wide  # noqa: F401
 
 from tidewater.llm import decontaminate, kd_sharding, packing, ppm, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, toxicity
@@ -456,6 +458,52 @@ def test_simhash(docs, wide, none, given):
     assert found10(given[0]) == sorted(brute.near(given[1]), key=key)
 
 
+class Caught:
+    """A frame that hands out the function given to mapInArrow."""
+
+    schema = StructType().add("doc_id", "long").add("text", "string")
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+@pytest.mark.parametrize("step", [simhash.fingerprints, quality_rules.text_counts,
+                                  lambda docs: secret_scan._found(docs, secret_scan.CharNet()),
+                                  lambda docs: secret_scan._samples(docs, 100)])
+def test_memory_of_a_worker(step):
+    r = np.random.default_rng(4)
+    lexicon = np.array(["".join(map(chr, r.integers(97, 123, r.integers(2, 9)))) for _ in range(5000)])
+    texts = [" ".join(r.choice(lexicon, 500)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts)], ["doc_id", "text"])
+    run = step(Caught())
+    list(run(iter([batch.slice(0, 2)])))
+    tracemalloc.start()
+    try:
+        rows = sum(part.num_rows for part in run(iter([batch])))
+        # before: 106 to 251 MB
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+    assert rows
+
+
+def test_fingerprint_of_a_long_text():
+    # its shingles lie in several blocks, with short texts before and after
+    r = np.random.default_rng(5)
+    long = " ".join(f"W{i}" for i in r.integers(0, 9000, 3 * simhash.BLOCK))
+    texts = ["", "one two", long, "  ", "a b c d", None, long[:100], "x"]
+    tracemalloc.start()
+    try:
+        marks = simhash._fingerprints(pa.array(texts * 5), 3, 42)
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+    assert marks.tolist() == [brute.fingerprint(t) for t in texts] * 5
+
+
 def test_trie_join_finds_every_link():
     r = np.random.default_rng(6)
     centres = r.integers(0, 1 << 63, 30, dtype=np.uint64)

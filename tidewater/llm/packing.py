@@ -36,8 +36,9 @@ LONGEST = 4096
 SHORTEST = 256
 END_ID = 2
 STEP_TOKENS = 16 * LONGEST
-#: Bytes of text encoded at a time.
+#: Bytes of text packed at a time, and encoded at a time.
 CHUNK = 6 << 20
+ENCODED = 2 << 20
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
           "offset long, tier int, step_group long, ids binary")
@@ -146,13 +147,14 @@ def pack_documents(documents: DataFrame, longest: int = LONGEST, shortest: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, codes = Packer(TaskContext.get().partitionId(), longest, shortest, step_tokens), encoder(path)
         for part in text_slices(batches, limit=CHUNK):
-            ids, bounds = codes.encode(part.column("text"))
-            for i, document in enumerate(part.column("doc_id").to_pylist()):
-                own = np.empty(bounds[i + 1] - bounds[i] + 1, np.uint32)
-                own[:-1], own[-1] = ids[bounds[i]:bounds[i + 1]], end_id
-                packer.add(document, own)
-                if len(packer.rows) >= 2_000:
-                    yield packer.take()
+            for some in text_slices([part], limit=ENCODED):
+                ids, bounds = codes.encode(some.column("text"))
+                for i, document in enumerate(some.column("doc_id").to_pylist()):
+                    own = np.empty(bounds[i + 1] - bounds[i] + 1, np.uint32)
+                    own[:-1], own[-1] = ids[bounds[i]:bounds[i + 1]], end_id
+                    packer.add(document, own)
+                    if len(packer.rows) >= 2_000:
+                        yield packer.take()
             packer.pack()
             yield packer.take()
             give_back()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, id_type, pieces, stage, text_bytes, text_slices, words_of
+from .common import SLICE_BYTES, binary_array, give_back, id_type, pieces, stage, text_bytes, text_slices, words_of
 
 #: Words of a window that counts as a repeat when found twice in a text.
 WINDOW = 5
@@ -115,9 +115,10 @@ def text_counts(documents: DataFrame) -> DataFrame:
     """doc_id and the counts that rules look at, over every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=SLICE_BYTES):
             columns = [part.column("doc_id"), *(pa.array(x.astype(np.int64)) for x in _counts(part.column("text")))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *COUNTS])
+        give_back()
 
     return documents.select("doc_id", "text").mapInArrow(run, ", ".join([f"doc_id {id_type(documents)}", *(f"{c} long" for c in COUNTS)]))
 

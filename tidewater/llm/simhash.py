@@ -32,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_type, lower_ascii, stage, text_bytes, text_slices, words_of
+from .common import SLICE_BYTES, give_back, id_type, lower_ascii, stage, text_bytes, text_slices, words_of
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 QUARTER = 16
+#: Shingles hashed at a time; a text's may lie in several blocks.
+BLOCK = 1 << 14
 #: Node pairs walked at a time.
 FRONT = 1 << 18
 
@@ -46,9 +48,10 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED)
     """doc_id and the 64-bit fingerprint (a signed long) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, limit=SLICE_BYTES):
             marks = _fingerprints(part.column("text"), shingle, seed)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "mark"])
+        give_back()
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type(documents)}, mark long")
 
@@ -58,26 +61,27 @@ def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> np.ndarray:
 
     data, ends = text_bytes(texts)
     words, first, starts, stops = words_of(lower_ascii(data), ends)
-    # the words of a row joined by spaces; a shingle is a slice of them
-    at = np.concatenate(([0], np.cumsum(stops - starts + 1)))
-    joined = b" ".join(words.to_pylist()) if len(words) else b""
+    if not len(words):
+        return np.zeros(len(texts), np.uint64)
+    # all words joined by spaces; a shingle is a slice of them
+    size = stops - starts
+    at = np.concatenate(([0], np.cumsum(size + 1)))
+    joined = np.insert(np.frombuffer(words.buffers()[2], np.uint8), np.cumsum(size), 0x20).tobytes()
     n_words = np.diff(first)
     n_shingles = np.where(n_words > 0, np.maximum(n_words - shingle + 1, 1), 0)
-    heads = np.repeat(first[:-1] - (np.cumsum(n_shingles) - n_shingles), n_shingles) + np.arange(n_shingles.sum())
-    tails = heads + np.repeat(np.minimum(n_words, shingle), n_shingles)
-    hashes = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in
-                          zip(at[heads].tolist(), (at[tails] - 1).tolist(), strict=True)), np.uint64, len(heads))
-    out = np.zeros(len(texts), np.uint64)
-    rows = np.flatnonzero(n_shingles)
-    bounds = np.concatenate(([0], np.cumsum(n_shingles[rows])))
-    step = 4096
-    for lo in range(0, len(rows), step):
-        some = rows[lo:lo + step]
-        own = hashes[bounds[lo]:bounds[lo + len(some)]]
-        bits = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, bounds[lo:lo + len(some)] - bounds[lo], axis=0, dtype=np.int32)
-        out[some] = np.packbits(ones * 2 > n_shingles[some][:, None], axis=1).view(np.uint64).ravel()
-    return out
+    bounds = np.concatenate(([0], np.cumsum(n_shingles)))
+    ones = np.zeros((len(texts), 64), np.int32)
+    for lo in range(0, int(bounds[-1]), BLOCK):
+        own = np.arange(lo, min(lo + BLOCK, int(bounds[-1])))
+        row = np.searchsorted(bounds, own, side="right") - 1
+        heads = first[row] + own - bounds[row]
+        tails = heads + np.minimum(n_words[row], shingle)
+        hashes = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in
+                              zip(at[heads].tolist(), (at[tails] - 1).tolist(), strict=True)), np.uint64, len(own))
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+        edges = np.flatnonzero(np.diff(row, prepend=-1))
+        ones[row[edges]] += np.add.reduceat(bits, edges, axis=0, dtype=np.int32)
+    return np.packbits(ones * 2 > n_shingles[:, None], axis=1).view(np.uint64).ravel()
 
 
 def _rotate(mark: np.ndarray, by: int) -> np.ndarray:

@@ -18,7 +18,7 @@ from .common import binary_array, lower_ascii, ragged, text_bytes, words_of
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words that a worker remembers at most before it starts anew.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
 #: Distinct words joined into one text for the tokenizer.
 JOINED = 100
 
