@@ -282,3 +282,22 @@ def test_last_of_repeated_equals_last_by_key(spark):
     may = spark.createDataFrame([("a",), ("c",), ("c",), ("z",)], "item_id string")
     assert rows(last_of_repeated(df, may, "item_id", ["unit_price", "n"])) == rows(last_by_key(df, "item_id", ["unit_price", "n"]))
     assert rows(last_of_repeated(df, may, "item_id", ["unit_price", "n"])) == [("a", 2.0, 0), ("b", 1.0, 5), ("c", 3.0, 2)]
+
+
+def test_a_stage_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from tidewater.session import FREE_SHUFFLES, materialize
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    kept = materialize(spark.range(1000).repartition(3, "id"), "no-shuffle-left")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and kept.count() == 1000
+    assert FREE_SHUFFLES not in spark.conf.getAll   # the session's own setting is back

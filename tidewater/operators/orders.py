@@ -18,7 +18,7 @@ dead-letter set and is requeued; nothing of it is written):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import last_by_key
@@ -81,10 +81,10 @@ def positioned_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -
     return position_in_group(batch_items(rows, items, rebuild), ["order_id"], ITEM_ORDER, "index_id", nulls_last=True).drop("line_no")
 
 
-def item_positions(items: DataFrame):
+def item_positions(items: DataFrame, like: DataFrame | None = None):
     """:func:`positioned_items` of ``items`` in the two frames of
     :func:`~tidewater.operators.ranking.positions`."""
-    return positions(items, ["order_id"], ITEM_ORDER, "index_id", nulls_last=True)
+    return positions(items, ["order_id"], ITEM_ORDER, "index_id", nulls_last=True, like=like)
 
 
 def batch_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -> DataFrame:
@@ -116,8 +116,7 @@ def refund_duplicates(refunds: DataFrame) -> DataFrame:
                    .where(F.col("n_refunds") > 1))
 
 
-def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFrame | None = None,
-                  stage: bool = True):
+def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFrame | None = None):
     """``has_refund`` (default false), type and epoch-ms time per item.
 
     Matching is by item id across all orders of the checkout, as in the
@@ -128,15 +127,14 @@ def enrich_refund(flat: DataFrame, refunds: DataFrame, orders_of_batch: DataFram
     ``(flat, failed)``, ``failed`` with ``dl_reason``.
     """
     src = flat if orders_of_batch is None else orders_of_batch
-    order_of = src.select("order_id", "gorder_id").distinct()
-    per_item, failed = refunds_by_item(refunds, order_of, flat.select("gorder_id", "item_id"), stage)
+    per_item, failed = refunds_by_item(refunds, src.select("order_id", "gorder_id"), flat.select("gorder_id", "item_id"))
     out = lookup_join(flat, per_item.withColumn("has_refund", F.lit(True)), ["gorder_id", "item_id"])
     out = out.withColumn("has_refund", F.when(F.col("item_id").isNotNull(),
                                               F.coalesce(F.col("has_refund"), F.lit(False))))
     return out.join(failed, "gorder_id", "left_anti"), failed
 
 
-def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, stage: bool = True):
+def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame):
     """The T6 feed of a batch: ``(per_item, failed)``.
 
     ``per_item`` has one refund per (checkout, item) of the orders in
@@ -144,7 +142,7 @@ def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, st
     with two refunds of one item in an order, or with an item of ``held``
     (``gorder_id``, ``item_id``) whose refund has no time.
     """
-    scoped, dup = scoped_refunds(refunds, order_of, stage)
+    scoped, dup = scoped_refunds(refunds, order_of)
     # One refund per (checkout, item); two orders of one checkout refunding
     # the same item id resolve to the latest refund.
     per_item = last_by_key(
@@ -152,7 +150,7 @@ def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, st
                       F.col("apply_type").alias("refund_apply_type"),
                       F.col("create_time").alias("refund_apply_time")),
         ["gorder_id", "item_id"], ["refund_apply_time", "refund_apply_type"])
-    timeless = (scoped.where(F.col("create_time").isNull())
+    timeless = (scoped.where("timeless")
                 .select("gorder_id", F.col("order_item_id").alias("item_id"))
                 .join(held, ["gorder_id", "item_id"], "left_semi")
                 .select("gorder_id").distinct().join(dup, "gorder_id", "left_anti"))
@@ -161,15 +159,24 @@ def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame, st
     return per_item, failed
 
 
-def scoped_refunds(refunds: DataFrame, order_of: DataFrame, stage: bool = True):
-    """The refunds of the orders in ``order_of`` with their checkout, and the
-    checkouts with two refunds of one item in an order."""
-    # The refund feed is scanned once for the batch's orders and staged: the
-    # duplicate check and the per-item pick both read the stage.
-    scoped = refunds.join(order_of, "order_id", "inner")
-    if stage:
-        scoped = materialize(scoped, "batch-refunds")
-    return scoped, refund_duplicates(scoped).join(order_of, "order_id").select("gorder_id").distinct()
+def scoped_refunds(refunds: DataFrame, order_of: DataFrame):
+    """The refunds of the orders in ``order_of`` with their checkout, one row per
+    (order, item, checkout): the latest refund, whether one is ``timeless`` and
+    ``n_refunds``; and the checkouts with two refunds of one item in an order."""
+    # The refund feed is scanned and exchanged once, by order, where it is also
+    # counted and joined, and staged: the duplicate check and the per-item pick
+    # both read the stage.
+    latest = F.max_by(F.struct("apply_type", "create_time"), F.struct("create_time", "apply_type"))
+    each = (refunds.repartition("order_id").groupBy("order_id", "order_item_id")
+            .agg(latest.alias("__latest"), F.max(F.col("create_time").isNull()).alias("timeless"),
+                 F.count(F.lit(1)).cast("bigint").alias("n_refunds")))
+    held = order_of.repartition("order_id").distinct().withColumn(
+        "__checkouts", F.count(F.lit(1)).over(Window.partitionBy("order_id")))
+    # an order that two checkouts hold has each of its refunds twice
+    scoped = each.join(held, "order_id").select("order_id", "gorder_id", "order_item_id", "__latest.*", "timeless",
+                                                (F.col("n_refunds") * F.col("__checkouts")).alias("n_refunds"))
+    scoped = materialize(scoped, "batch-refunds")
+    return scoped, scoped.where("n_refunds > 1").select("gorder_id").distinct()
 
 
 def nest_orders(flat: DataFrame) -> DataFrame:
@@ -191,7 +198,7 @@ def build_order_documents(claimed: DataFrame, gorders: DataFrame, orders: DataFr
     """
     rows, dead = order_level(claimed, gorders, orders, addresses, rebuild)
     flat = attach_items(rows, items, goods, rebuild=rebuild)
-    flat, refund_failed = enrich_refund(flat, refunds, rows, stage=not rebuild)
+    flat, refund_failed = enrich_refund(flat, refunds, rows)
     docs = flat.select(*[F.col(c) if c in flat.columns else F.lit(None).cast("string").alias(c)
                          for c in FLAT_DOC_COLUMNS])
     return docs, dead.unionByName(refund_failed.select("gorder_id", "dl_reason"))

@@ -38,16 +38,19 @@ def position_in_group(df: DataFrame, group, order, out: str = "index_id",
     return whole if pieces is None else whole.unionByName(pieces)
 
 
-def positions(df: DataFrame, group, order, out: str = "index_id", partitions: int | None = None, nulls_last: bool = False):
+def positions(df: DataFrame, group, order, out: str = "index_id", partitions: int | None = None, nulls_last: bool = False,
+              like: DataFrame | None = None):
     """:func:`position_in_group` in two frames: ``(groups in one slice, groups
     with a bound or None, hashes of the latter's keys)``.  The first is dealt
-    by ``group`` alone, so that what follows per group needs no other exchange."""
+    by ``group`` alone, so that what follows per group needs no other exchange.
+    ``like``: a frame with the same groups and order, cheaper to read, from
+    which the bounds are taken."""
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, str) else list(order)
     by = [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc() for c in order]
     number = lambda rows: rows.withColumn(
         out, (F.row_number().over(Window.partitionBy(*group).orderBy(*by)) - 1).cast("int"))
-    bounds = _bounds(df, group, order, by, partitions)
+    bounds = _bounds(df if like is None else like, group, order, by, partitions)
     if not bounds:
         return number(df), None, []
     own = F.xxhash64(*group)

@@ -722,7 +722,7 @@ def q_order_document_get(spark, d):
     """S8 on stored documents: those of all refunded orders, misses too."""
     index, _ = jobs.job_order_search(spark, d)
     ids = roles.refunds(spark, d).select(keys.id_text("order_id").alias("doc_id"))
-    found = ssearch.get_documents(materialize(index, "order-index"), ids)
+    found = ssearch.get_documents(materialize(index, "order-index"), ids, stored=True)
     return found.select("_doc_id", "shop_id", "order_status", F.size("items").cast("bigint").alias("n_items"),
                         documents.items_text().alias("items"), "found")
 

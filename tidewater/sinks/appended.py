@@ -37,10 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewater.operators.places import by_keys
-from tidewater.session import STAGE_CODEC
+from tidewater.session import STAGE_CODEC, freed_shuffles, stage_scope
 
 ORDER = ("epoch", "batch")
 BUCKETS = 16
+#: Buckets that a task of the first write keeps open; the rows of more are sorted.
+OPEN_BUCKETS = 64
 MERGE_AFTER = 8
 
 
@@ -119,18 +121,25 @@ class AppendedTable:
         """Write the first state (a function that gives it) if there is none."""
         if self._open() and self._manifest()[0]:
             return
-        rows = state()
+        # what the first state was made from goes once it is written
+        with stage_scope(self.spark):
+            self._initialize(state())
+
+    def _initialize(self, rows: DataFrame) -> None:
         if not self._open():
             meta = [(rows.schema.json(), self._asked or BUCKETS, self.bucket_by)]
             self.spark.createDataFrame(meta, "schema string, buckets int, bucket_by array<string>").coalesce(1).write.mode(
                 "overwrite").parquet(f"{self.root}/meta")
             self._open()
-        n = self._write(rows.withColumns({c: F.lit(0).cast("long") for c in ORDER}), f"{self.root}/segments/segment=0")
+        # as large as the table: written by the tasks that hold the rows, not exchanged
+        n = self._write(rows.withColumns({c: F.lit(0).cast("long") for c in ORDER}), f"{self.root}/segments/segment=0", deal=False)
         self._publish([(0, n)], (0, 0))
 
-    def _write(self, rows: DataFrame, path: str) -> int:
-        (rows.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(path, compression=STAGE_CODEC))
+    def _write(self, rows: DataFrame, path: str, deal: bool = True) -> int:
+        rows = rows.withColumn("bucket", self.bucket())
+        with freed_shuffles(self.spark, 0 if deal else OPEN_BUCKETS):
+            (rows.hint("rebalance", "bucket") if deal else rows).write.mode("overwrite").partitionBy("bucket").parquet(
+                path, compression=STAGE_CODEC)
         return self.spark.read.parquet(path).count() if self._finished(path) and self._names(path) else 0
 
     def append(self, batch_id: int, rows: DataFrame) -> None:
@@ -138,8 +147,9 @@ class AppendedTable:
         self._open()
         held = rows.select(*[F.col(c).cast(f.dataType).alias(c) if (c := f.name) in rows.columns
                              else F.lit(None).cast(f.dataType).alias(c) for f in self._meta[0]])
-        (held.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.root}/log/epoch={self.epoch}/batch={batch_id}", compression=STAGE_CODEC))
+        with freed_shuffles(self.spark):
+            (held.withColumn("bucket", self.bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
+             .parquet(f"{self.root}/log/epoch={self.epoch}/batch={batch_id}", compression=STAGE_CODEC))
 
     def appended(self, batch_id: int) -> int:
         """How many rows the batch's partition holds (from file footers)."""

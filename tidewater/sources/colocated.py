@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from tidewater.session import STAGE_CODEC
+from tidewater.session import STAGE_CODEC, freed_shuffles
 
 #: Buckets of one table; a power of two per few hundred MB of it is usual.
 BUCKETS = 32
@@ -24,6 +24,7 @@ def store_bucketed(df: DataFrame, key: str, path: str, name: str | None = None,
     new name by default) and read it.  ``deal`` false: its rows are dealt by
     the key already and stay in their tasks."""
     name = name or f"bucketed_{uuid.uuid4().hex[:12]}"
-    ((df.repartition(buckets, key) if deal else df).write.mode("overwrite").option("path", path).option("compression", STAGE_CODEC)
-       .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    with freed_shuffles(df.sparkSession):
+        ((df.repartition(buckets, key) if deal else df).write.mode("overwrite").option("path", path).option("compression", STAGE_CODEC)
+           .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
     return df.sparkSession.table(name)

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.merge import matched_keys
+from tidewater.operators.places import by_keys
+from tidewater.session import materialize
 from tidewater.sinks.search import term_predicate
 
 # Default page size of a term search.
 DEFAULT_PAGE_SIZE = 100
 
 
-def get_documents(index: DataFrame, ids: DataFrame, with_routing: bool = False) -> DataFrame:
+def get_documents(index: DataFrame, ids: DataFrame, with_routing: bool = False, stored: bool = False) -> DataFrame:
     """S8 (bulk): one row per requested id with ``_doc_id`` and ``found``.
 
     A miss is an empty document (payload columns null, ``found`` false), the
@@ -22,15 +24,21 @@ def get_documents(index: DataFrame, ids: DataFrame, with_routing: bool = False)
     requests are the small side: the hits are an inner join (AQE broadcasts
     the requests and streams the index), the misses an anti join against
     the index keys that occur in the request, so the index is never
-    shuffled whole.
+    shuffled whole.  ``stored``: the index is a scan of files; the documents
+    found are filtered by place and not exchanged, however many are asked for.
     """
     keys = ["doc_id", "routing"] if with_routing else ["doc_id"]
     req = ids.select(*keys).distinct()
+    if stored:
+        req = materialize(req, "asked-ids")
     payload = [c for c in index.columns if c not in keys]
     idx = index.select(*keys, *payload, F.lit(True).alias("found"))
     cond = reduce(lambda a, b: a & b, [req[k].eqNullSafe(idx[k]) for k in keys])
-    hits = req.join(idx, cond, "inner").select(*[req[k] for k in keys], *[idx[f"`{c}`"] for c in payload],
-                                              idx["found"])
+    if stored:
+        hits = by_keys(index, [(req, keys)], keep=True).select(*keys, *payload, F.lit(True).alias("found"))
+    else:
+        hits = req.join(idx, cond, "inner").select(*[req[k] for k in keys], *[idx[f"`{c}`"] for c in payload],
+                                                  idx["found"])
     present = matched_keys(index, [(k, k) for k in keys], req, null_safe=True)
     misses = req.join(present, reduce(lambda a, b: a & b, [req[k].eqNullSafe(present[k]) for k in keys]),
                       "left_anti")
