@@ -72,3 +72,28 @@ def test_batch_slice_streams_the_big_table(spark):
     assert "BroadcastHashJoin LeftSemi BuildRight" in final
     tree = final.split("\n\n")[0]
     assert "SortMergeJoin" not in tree
+
+
+def test_a_big_table_is_thinned_before_many_keys_deal_it(spark):
+    """Every row that meets a key stays (nulls equal), nearly all others go."""
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.places import among, thinned
+    big = spark.range(20000).select(F.when(F.col("id") % 1000 != 0, F.col("id")).alias("a"), (F.col("id") % 7).cast("string").alias("b"))
+    keys = big.where("a IS NULL OR a % 10 = 3").distinct()
+    assert thinned(big, keys, ["a", "b"]) is big                  # few: the planner sends them
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        some = thinned(big, keys, ["a", "b"])
+        met = big.where("a IS NULL OR a % 10 = 3")
+        assert some.columns == big.columns and some.intersectAll(met).count() == met.count()
+        assert some.count() < met.count() + 200
+        # and the exact join comes after the thinning
+        own = keys.where("a IS NOT NULL").union(keys.where("a IS NOT NULL"))
+        found = among(big, own, ["a", "b"])
+        assert found.exceptAll(big.where("a % 10 = 3")).isEmpty() and found.count() == big.where("a % 10 = 3").count()
+        joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+        assert "__word" not in joins[0] and "__word" in joins[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

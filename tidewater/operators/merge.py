@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.places import among
 from tidewater.session import materialize
 
 _IN = "__in"
@@ -73,7 +74,7 @@ def batch_slice(lookup: DataFrame, pairs, incoming: DataFrame) -> DataFrame:
     """The lookup rows whose key occurs in ``incoming``, scanned once and
     staged: later steps read the batch-sized slice, not the table."""
     wanted = incoming.select(*[F.col(l).alias(r) for l, r in pairs]).distinct()
-    return materialize(lookup.join(wanted, [r for _, r in pairs], "left_semi"), "lookup-slice")
+    return materialize(among(lookup, wanted, [r for _, r in pairs]), "lookup-slice")
 
 
 def lookup_join(incoming: DataFrame, lookup: DataFrame, on, *, guard_blank: bool = False,

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.dedup import last_by_key
 from tidewater.operators.merge import batch_slice, lookup_join, strict_lookup
+from tidewater.operators.places import among, thinned
 from tidewater.operators.ranking import nest_children, position_in_group, positions
 from tidewater.session import materialize
 
@@ -95,7 +96,7 @@ def batch_items(rows: DataFrame, items: DataFrame, rebuild: bool = False) -> Dat
     # The batch's items: the item table streamed once through a semi
     # join on the batch's order ids (broadcast when AQE measures them
     # small) and staged; the steps below read the batch-sized stage.
-    return materialize(items.join(rows.select("order_id"), "order_id", "left_semi"), "batch-items")
+    return materialize(among(items, rows.select("order_id"), ["order_id"]), "batch-items")
 
 
 def attach_items(rows: DataFrame, items: DataFrame, goods: DataFrame,
@@ -159,14 +160,17 @@ def refunds_by_item(refunds: DataFrame, order_of: DataFrame, held: DataFrame):
     return per_item, failed
 
 
-def scoped_refunds(refunds: DataFrame, order_of: DataFrame):
+def scoped_refunds(refunds: DataFrame, order_of: DataFrame, whole: bool = False):
     """The refunds of the orders in ``order_of`` with their checkout, one row per
     (order, item, checkout): the latest refund, whether one is ``timeless`` and
-    ``n_refunds``; and the checkouts with two refunds of one item in an order."""
+    ``n_refunds``; and the checkouts with two refunds of one item in an order.
+    ``whole``: nearly every order is among them."""
     # The refund feed is scanned and exchanged once, by order, where it is also
     # counted and joined, and staged: the duplicate check and the per-item pick
     # both read the stage.
     latest = F.max_by(F.struct("apply_type", "create_time"), F.struct("create_time", "apply_type"))
+    if not whole:
+        refunds = thinned(refunds, order_of.select("order_id"), ["order_id"])
     each = (refunds.repartition("order_id").groupBy("order_id", "order_item_id")
             .agg(latest.alias("__latest"), F.max(F.col("create_time").isNull()).alias("timeless"),
                  F.count(F.lit(1)).cast("bigint").alias("n_refunds")))

@@ -747,7 +747,7 @@ def q_order_document_refund(spark, d):
     """A later refund feed merged into the arrays of the stored index (T6 on
     documents that are there already)."""
     index, buckets = jobs.stored_order_index(spark, d)
-    return _shown(documents.merge_refunds(index, roles.late_refunds(spark, d), buckets=buckets)[0])
+    return _shown(documents.merge_refunds(index, roles.late_refunds(spark, d), buckets=buckets, whole=True)[0])
 
 
 @register("job_item_index", f"""WITH {sql.item_docs_ctes('b', sql.ALL_KEYS, sql.AS_OF)},
