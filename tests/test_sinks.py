@@ -301,3 +301,18 @@ def test_a_stage_table_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not shuffled() - before and kept.count() == 1000
     assert FREE_SHUFFLES not in spark.conf.getAll   # the session's own setting is back
+
+
+def test_what_a_first_state_was_made_from_goes_once_it_is_written(spark):
+    from tidewater.session import fresh_path, materialize
+    from tidewater.sinks.appended import AppendedTable
+    root, made = fresh_path(spark, "first-state-test"), []
+
+    def state():
+        rows = materialize(spark.range(100).selectExpr("id % 5 AS shop_id", "id AS doc_id"), "first-state")
+        made.append(rows.inputFiles()[0].rsplit("/", 1)[0])
+        return rows
+
+    t = AppendedTable(spark, f"{root}/index", ["shop_id"], f"{root}/epoch", buckets=4)
+    t.initialize(state)
+    assert made and not t._finished(made[0]) and t.read().count() == 100
