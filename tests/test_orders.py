@@ -99,3 +99,15 @@ def test_positions_with_nulls_last_and_several_columns(spark):
     hot = position_in_group(df, "g", ["a", "b", "c"], "pos", partitions=8, nulls_last=True)
     tree = hot._jdf.queryExecution().executedPlan().toString()
     assert "Window" in tree and "Python" not in tree
+
+
+def test_scoped_refunds_count_once_per_order_and_item(spark):
+    """One row per (order, item, checkout) with the latest refund; an order that
+    two checkouts hold has each refund twice, so both fail."""
+    refunds = spark.createDataFrame([(1, "a", "R", 5), (2, "b", "S", 5), (2, "b", "T", 7), (3, "c", "U", None), (4, "d", "V", 1), (9, "z", "W", 1)],
+                                    "order_id bigint, order_item_id string, apply_type string, create_time bigint")
+    held = spark.createDataFrame([(1, 10), (1, 10), (2, 20), (3, 30), (4, 40), (4, 41)], "order_id bigint, gorder_id bigint")
+    scoped, dup = ordops.scoped_refunds(refunds, held)
+    assert rows(scoped, "order_id", "gorder_id", "apply_type", "create_time", "timeless", "n_refunds") == [
+        (1, 10, "R", 5, False, 1), (2, 20, "T", 7, False, 2), (3, 30, "U", None, True, 1), (4, 40, "V", 1, False, 2), (4, 41, "V", 1, False, 2)]
+    assert rows(dup) == [(20,), (40,), (41,)]
